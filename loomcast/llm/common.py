@@ -91,3 +91,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file, which is installed alike on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
