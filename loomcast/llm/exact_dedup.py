@@ -57,6 +57,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns; ids identify rows here."""
-    keep = exact_dedup(docs, id_col, text_col).where("kept").select(id_col)
-    return docs.join(keep, id_col, "left_semi")
+    """The rows of docs that stay, with all their columns; rows without an id can't be told apart and stay."""
+    keep = exact_dedup(docs, id_col, text_col).where("kept").select(id_col).distinct()
+    named = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
+    return named.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcast.llm import chat, exact_dedup, lattice, packing, simhash, url_filter
+from loomcast.llm import bpe, chat, exact_dedup, html_text, lattice, packing, pii, quality, simhash, url_filter
 from loomcast.llm.common import cut, documents, table, tokenizer_file
 
 
@@ -21,10 +21,23 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut(items))
 
 
+#: The queries' key; a corpus has a secret one of its own.
+PII_KEY = b"loomcast example key"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    safe = pii.protect(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+    return safe.select("doc_id", "text", pii.total().cast("long").alias("n_replaced"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 #: (action, rule) of the query's list.
 URL_RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 
@@ -54,10 +67,32 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(turns.unionByName(extra)))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = tokenizer_file("byte_bpe_50k.tiktoken")
+    coded = bpe.decode(bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN), path)
+    return coded.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
+    """Fitted on the labelled rows of docs that are not held out."""
+    return quality.fit(docs, table(spark, sf_dir, "labels").where(~quality.held_out()))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = quality.score(docs, quality_model(spark, sf_dir, docs))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 OP4_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -124,8 +159,14 @@ FROM m LEFT JOIN n ON n.a = m.vec_id
 """
 
 
+QUERIES = (
+    op1_simhash, op2_packing, op3_pii, op4_exact_dedup, op5_html_text,
+    op6_url_filter, op7_chat, op8_byte_bpe, op9_lattice, op10_quality,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_packing, op4_exact_dedup, op6_url_filter, op7_chat, op9_lattice)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -191,6 +191,7 @@ def fingerprint_hex(col: str = "fp") -> F.Column:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of their near-duplicate group; ids identify rows here."""
-    keep = near_duplicates(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(id_col)
-    return docs.join(keep, id_col, "left_semi")
+    """The rows of docs whose id is the smallest of their near-duplicate group; rows without an id stay."""
+    keep = near_duplicates(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+    named = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
+    return named.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
