@@ -3,20 +3,23 @@
 Tokenising. The tokeniser lowers case, composes characters and never lets a token
 cross white space, so a text's ids are those of its space-separated chunks in order.
 Each Python worker keeps the ids of chunks met (a bounded table) and asks the tokeniser
-library for new ones only. Texts with characters that Python and the tokeniser take
+library for the words of new ones only. Texts with characters that Python and the tokeniser take
 differently (U+001C to U+001F) go to the library whole.
 
 Packing. Pieces are dealt into bounded partitions and packed by best-fit decreasing. In
 each, dual-feasible functions bound the number of bins from below. A partition that
 meets its bound is certified; its closed bins stay. Partitions with a gap give up the
-documents of their open bins and certified ones a few of their emptiest; these are dealt out
+documents of their open bins and certified ones the emptiest quarter of theirs; these are dealt out
 anew into fewer partitions and packed again, and the new packing is taken if it has
 fewer bins, until nothing is left to gain.
 """
 
 from __future__ import annotations
 
+import functools
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,42 +32,83 @@ from loomcast.llm.common import cut
 
 CAPACITY, PARTITION_PIECES, MAX_ROUNDS = 2048, 20_000, 4
 #: Of a certified partition's bins, one in so many is exchanged, the emptiest first.
-EMPTIEST = 20
+EMPTIEST = 4
 #: Chunks a worker remembers; beyond it the table starts anew.
 REMEMBERED = 600_000
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
+#: Letters and numbers below U+0130, where composition changes nothing and lower case is plain.
+_LETTERS, _NUMBERS, _PLAIN_END = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff\u0100-\u012f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\u0130"
+_PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    table, extra = {b: chr(b) for b in plain}, 256
+    for b in range(256):
+        if b not in table:
+            table[b] = chr(extra)
+            extra += 1
+    return table
+
+
 class ChunkTokenizer:
-    """Ids of whole texts, as little-endian unsigned 32-bit bytes, equal to the library's."""
+    """Ids of whole texts, as little-endian unsigned 32-bit bytes, equal to the library's.
+
+    A new chunk below U+0130 is split into words here and its words, remembered too,
+    go to the library's model; any other goes to the library as it is.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = False
-        self.known: dict[str, bytes] = {}
+        self.model = self.whole.model
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
+
+    def _library(self, text: str) -> bytes:
+        return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        letters = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        ids = self.words[word] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return ids
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+    def _chunk(self, chunk: str) -> bytes:
+        if not chunk.isascii() and max(chunk) >= _PLAIN_END or not chunk.isprintable():
+            return self._library(chunk)
+        words, known = _PLAIN_WORDS.findall(chunk.lower()), self.words
+        return b"".join([known[w] if w in known else self._word(w) for w in words])
 
     def ids(self, text: str) -> bytes:
         if any(c in text for c in _ODD) or any(s in text for s in self.specials):
-            return self._library([text])[0]
-        chunks = text.split()
-        known = self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(dict.fromkeys(chunks))
-            for at in range(0, len(new), 4096):
-                some = new[at : at + 4096]
-                known.update(zip(some, self._library(some), strict=True))
+            return self._library(text)
+        chunks, known = text.split(), self.chunks
+        try:
+            return b"".join([known[c] for c in chunks])
+        except KeyError:
+            new = [c for c in dict.fromkeys(chunks) if c not in known]
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = list(dict.fromkeys(chunks))
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        for c in new:
+            known[c] = self._chunk(c)
         return b"".join([known[c] for c in chunks])
 
 
+@functools.lru_cache(maxsize=1)
+def worker_tokenizer(path: str) -> ChunkTokenizer:
+    """One table for all tasks that a Python worker runs."""
+    return ChunkTokenizer(path)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]): each whole text's ids, then end_id, cut at capacity.
 
@@ -74,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     fields = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, end, step = ChunkTokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes(), 4 * capacity
+        tok, end, step = worker_tokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows: list[tuple] = []
             for i, text in enumerate(batch.column(1).to_pylist()):

@@ -1,3 +1,4 @@
+import functools
 import random
 import zlib
 
@@ -13,10 +14,15 @@ TEXTS = [
 ]
 
 
-def library_ids(text):
+@functools.cache
+def library():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(PATH)
+
+
+def library_ids(text):
+    return library().encode(text, add_special_tokens=False).ids
 
 
 def test_ids_equal_the_library():
@@ -78,4 +84,4 @@ def test_exchange_reaches_the_bound(spark):
     got = P.pack(items, partition_pieces=150).collect()
     assert sorted(r.doc_id for r in got) == list(range(4000))
     bound = P.lower_bound(np.array([r[3] for r in rows]), 2048)
-    assert check_sequences(got, 2048) <= bound + 1
+    assert bound <= check_sequences(got, 2048) <= bound + 2  # 27 partitions alone would need up to 26 more
