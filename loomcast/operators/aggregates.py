@@ -76,7 +76,7 @@ def gap_days(source: DataFrame, cache: DataFrame, source_at: str, cache_at: str,
     return s.join(c, "day", "left").select("day", "n_source", held.alias("n_cache")).where(F.col("n_cache") < F.col("n_source") * share)
 
 
-def importance(df: DataFrame, key: str, rankings: str, as_of_month: str, platform_weight: Mapping[str, float], decay: float = 0.9) -> DataFrame:
+def importance(df: DataFrame, key: str, rankings: str, as_of_month: str, platform_weight: Mapping[str, float], decay: float = 0.9, digits: int = 2) -> DataFrame:
     """(key, importance) from month -> (platform:country -> rank): the best weighted, decayed rank of each chart, summed.
 
     A rank r gives 101 - r points (at least 0); months that don't parse are left out.
@@ -88,4 +88,4 @@ def importance(df: DataFrame, key: str, rankings: str, as_of_month: str, platfor
     weight = F.coalesce(F.try_element_at(pairs, F.substring_index("chart", ":", 1)), F.lit(1.0))
     points = F.greatest(F.lit(0.0), F.lit(101.0) - F.col("rank")) * weight * F.pow(F.lit(decay), age)
     best = months.withColumn("p", points).where(then.isNotNull()).groupBy(key, "chart").agg(F.max("p").alias("p"))
-    return best.groupBy(key).agg(F.round(F.sum("p"), 2).alias("importance"))
+    return best.groupBy(key).agg(F.round(F.sum("p"), digits).alias("importance"))
