@@ -6,11 +6,12 @@ the one space before it, if that is a space, and of the white space between. So
 is the sequence of its words' ids.
 
 Each input partition is read in blocks of bounded size. A block yields its distinct
-words, which are shuffled by word over the whole input so that every distinct word is
-encoded once, by one task; and, for its documents, the positions of those words as
-compressed numbers. The ids are joined back by block, each block's texts reassembled by
-position, and decoded against the table of token bytes, which has one row per token of
-the vocabulary.
+words, dealt by a hash of the word into buckets that are shuffled over the whole input,
+so that every distinct word is encoded once, by one task; and, for its documents, the
+positions of those words. Words, ids and positions travel as compressed columns, a row
+for each block and bucket. The ids are joined back by block, each block's texts
+reassembled by position, and decoded against the table of token bytes, which has one row
+per token of the vocabulary.
 
 The two readings of a block must see the same rows in the same order, as tables, files
 and checkpoints give them; a digest of the block's content in its key makes a mismatch
@@ -22,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
@@ -54,17 +56,25 @@ def encoding(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
+def _squeeze(data: bytes) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
-def _numbers(planes: bytes) -> np.ndarray:
+def _expand(data: bytes) -> bytes:
     import zstandard
 
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(planes), np.uint8)
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
+    return _squeeze(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    raw = np.frombuffer(_expand(planes), np.uint8)
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1)
 
 
@@ -94,19 +104,26 @@ def _blocks(batches: Iterator[pa.RecordBatch], positions: bool, block_chars: int
         yield int.from_bytes(digest.digest(), "little", signed=True), index, ids, counts, found
 
 
-def distinct_words(docs: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(block, at, word): each block's distinct words, numbered by first appearance."""
+def distinct_words(docs: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS, buckets: int = 64) -> DataFrame:
+    """(bucket, block, at, sizes, words): each block's distinct words by bucket.
+
+    at numbers a block's words by first appearance (as differences), sizes are their
+    lengths in bytes and words the bytes themselves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, index, *_ in _blocks(batches, False, block_chars):
-            words = list(index)
-            for at in range(0, len(words), 50_000):
-                some = words[at : at + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), key)), pa.array(np.arange(at, at + len(some), dtype=np.int32)), pa.array(some, pa.string())], names=["block", "at", "word"]
-                )
+            held: list[tuple[list[int], list[bytes]]] = [([], []) for _ in range(buckets)]
+            for at, word in enumerate(index):
+                raw = word.encode()
+                spot = held[zlib.crc32(raw) % buckets]
+                spot[0].append(at)
+                spot[1].append(raw)
+            rows = [(b, key, _planes(np.diff(ats, prepend=0)), _planes(np.fromiter(map(len, raws), np.int64, len(raws))), _squeeze(b"".join(raws))) for b, (ats, raws) in enumerate(held) if ats]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), *[pa.binary()] * 3), strict=True)], names=["bucket", "block", "at", "sizes", "words"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, "block long, at int, word string")
+    return docs.select(id_col, text_col).mapInArrow(run, "bucket int, block long, at binary, sizes binary, words binary")
 
 
 def word_positions(docs: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -123,20 +140,32 @@ def word_positions(docs: DataFrame, id_col: str, text_col: str, block_chars: int
 
 
 def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(block, at, ids): words shuffled by word, each distinct one encoded once."""
+    """(block, at, sizes, ids): words shuffled by bucket, each distinct one encoded once.
+
+    A task takes its buckets one after the other and remembers one bucket's words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lib, known = encoding(path, pattern).encode_ordinary, {}
+        lib, known, now = encoding(path, pattern).encode_ordinary, {}, None
         for batch in batches:
-            out = []
-            for word in batch.column(2).to_pylist():
-                ids = known.get(word)
-                if ids is None:
-                    ids = known[word] = array("I", lib(word)).tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["block", "at", "ids"])
-
-    return words.repartition("word").mapInArrow(run, "block long, at int, ids binary")
+            rows = []
+            for bucket, block, at, sizes, blob in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if bucket != now:
+                    known, now = {}, bucket
+                raw, start, out = _expand(blob), 0, []
+                for size in _numbers(sizes).tolist():
+                    word = raw[start : start + size]
+                    start += size
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = array("I", lib(word.decode())).tobytes()
+                    out.append(ids)
+                counts = np.fromiter(map(len, out), np.int64, len(out)) // 4
+                rows.append((block, at, _planes(counts), _planes(np.frombuffer(b"".join(out), "<u4"))))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 3), strict=True)], names=["block", "at", "sizes", "ids"])
+
+    return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "block long, at binary, sizes binary, ids binary")
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -144,34 +173,41 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return flat[np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, buckets: int | None = None) -> DataFrame:
     """(id, ids): one row per row of docs; ids are little-endian unsigned 32-bit integers.
 
     Equal to encoding each match of pattern in the whole text, without special tokens;
     pattern must treat white space as the module says. A null text is empty and has no
     ids. Repeated rows stay; an empty table gives an empty result; other columns are
-    ignored.
+    ignored. buckets, by default as many as the session has shuffle partitions, bounds
+    the words that a task remembers: a bucket's share of all distinct words.
     """
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema[id_col].dataType.simpleString()
-    numbered = encode_words(distinct_words(docs, id_col, text_col, block_chars), path, pattern)
+    numbered = encode_words(distinct_words(docs, id_col, text_col, block_chars, buckets), path, pattern)
     nothing = F.lit(None)
     rows = numbered.withColumns({"doc_ids": nothing.cast(f"array<{id_type}>"), "counts": nothing.cast("binary"), "positions": nothing.cast("binary")}).unionByName(
-        word_positions(docs, id_col, text_col, block_chars).withColumns({"at": nothing.cast("int"), "ids": nothing.cast("binary")})
+        word_positions(docs, id_col, text_col, block_chars).withColumns({c: nothing.cast("binary") for c in ("at", "sizes", "ids")})
     )
 
     def assemble(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         whole = table.filter(pa.compute.is_valid(table["positions"]))
-        words = table.filter(pa.compute.is_valid(table["at"])).sort_by("at")
-        at, first = np.unique(words["at"].to_numpy(), return_index=True)  # blocks of equal content share a key
-        held = words["ids"].take(pa.array(first)).to_pylist()
-        flat = np.frombuffer(b"".join(held), "<u4")
-        lengths = np.fromiter(map(len, held), np.int64, len(held)) // 4
-        starts = np.cumsum(lengths) - lengths
+        words = table.filter(pa.compute.is_valid(table["at"]))
+        parts: dict[bytes, tuple] = {}  # blocks of equal content share a key: their words come once for each
+        for at, sizes, ids in zip(*[words[c].to_pylist() for c in ("at", "sizes", "ids")], strict=True):
+            if at not in parts:
+                parts[at] = (np.cumsum(_numbers(at).astype(np.int64)), _numbers(sizes).astype(np.int64), _numbers(ids))
+        empty = np.empty(0, np.int64)
+        at, sizes, flat = (np.concatenate([p[i] for p in parts.values()] or [empty]) for i in range(3))
+        order = np.argsort(at)
+        starts, lengths = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        n = len(at)
+        complete = n == 0 or at[order[-1]] == n - 1
         ids, out = [], []
         for row in range(len(whole)):
             positions = _numbers(whole["positions"][row].as_py())
-            if len(at) != (int(positions.max()) + 1 if len(positions) else 0) or (len(at) and at[-1] != len(at) - 1):
+            if not complete or n != (int(positions.max()) + 1 if len(positions) else 0):
                 raise RuntimeError(DIFFERENT)
             counts = _numbers(whole["counts"][row].as_py()).astype(np.int64)
             ends = np.cumsum(counts)
