@@ -173,3 +173,51 @@ def dense_core(vectors: DataFrame, key: str, row_id: str, vector: str, least: fl
     return vectors.groupBy(key).applyInPandas(run, schema)
 
 
+
+
+def gates(prototype: float = 0.68, density: float = 0.82, sentinel: float = 0.65):
+    """A test (candidate, members, anchor, names) of the four gates of canopy growth.
+
+    The candidate must be near the members' mean, near the anchor, near enough to a
+    share of the members, and must not carry another name than theirs.
+    """
+
+    def passes(x: np.ndarray, members: np.ndarray, anchor: np.ndarray, name: str | None, names: set[str]) -> bool:
+        mean = members.mean(axis=0)
+        near = members @ x
+        return bool(
+            x @ mean / max(float(np.linalg.norm(mean)), 1e-12) >= prototype and x @ anchor >= sentinel
+            and (near >= sentinel).mean() >= density and (name is None or not names or name in names)
+        )
+
+    return passes
+
+
+def canopies(vectors: DataFrame, key: str, row_id: str, vector: str, quality: str, name: str, least_size: int = 1, **thresholds: float) -> DataFrame:
+    """(key, row_id, canopy): clusters grown from the best free row by the gates, within each key.
+
+    Claims depend on their order, so a key is one task; key should be a bounded unit such
+    as one project's unresolved speakers. Canopies under least_size are left out.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in vectors.schema.fields}
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([quality, row_id], ascending=[False, True], kind="stable", ignore_index=True)
+        vecs = np.array(pdf[vector].tolist(), float)
+        vecs /= np.maximum(np.linalg.norm(vecs, axis=1, keepdims=True), 1e-12)
+        names = [None if pd.isna(x) else x for x in pdf[name]]
+        passes, canopy, found = gates(**thresholds), np.full(len(pdf), -1), 0
+        for i in range(len(pdf)):
+            if canopy[i] >= 0:
+                continue
+            members, held = [i], {names[i]} - {None}
+            for j in np.argsort(-(vecs @ vecs[i]), kind="stable").tolist():
+                if j != i and canopy[j] < 0 and passes(vecs[j], vecs[members], vecs[i], names[j], held):
+                    members.append(j)
+                    held |= {names[j]} - {None}
+            if len(members) >= least_size:
+                canopy[members] = found
+                found += 1
+        return pdf[[key, row_id]].assign(canopy=canopy)[canopy >= 0]
+
+    return vectors.select(key, row_id, vector, quality, name).groupBy(key).applyInPandas(run, f"`{key}` {kinds[key]}, `{row_id}` {kinds[row_id]}, canopy int")

@@ -66,3 +66,17 @@ def smooth(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
 
     spots = F.transform(F.sequence(F.lit(-half), F.lit(half)), lambda d: F.element_at("__cells", (mirrored(F.col("__at") + d) - F.col("__first") + 1).cast("int")))
     return numbered.withColumn(out, F.aggregate(spots, F.lit(0.0), lambda s, x: s + x) / (2 * half + 1)).drop("__n", "__at", "__cells", "__first")
+
+
+def merge_contractions(df: DataFrame, keys: Sequence[str], order: Sequence[str], word: str) -> DataFrame:
+    """(keys, at, word): a word takes up the next if that starts with an apostrophe; a word taken up takes none itself.
+
+    at numbers the words that are left in order.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    head = F.when(F.col(word).startswith("'"), 0).otherwise(1)
+    marked = df.withColumn("__head", F.sum(head).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = F.row_number().over(Window.partitionBy(*keys, "__head").orderBy(*order)) - 1
+    pairs = marked.withColumn("__pair", F.floor(inside / 2)).groupBy(*keys, "__head", "__pair").agg(F.array_sort(F.collect_list(F.struct(*order, word))).alias("__w"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("__head", "__pair"))
+    return pairs.select(*keys, number.cast("long").alias("at"), F.array_join(F.col(f"__w.{word}"), "").alias(word))

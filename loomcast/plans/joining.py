@@ -316,3 +316,16 @@ def set_match(spark: SparkSession, d: str) -> DataFrame:
     best = top_per_group(J.set_match(a, b, "x", "y", "m"), ["x"], [F.col("overlap").desc(), F.col("y")])
     band = F.when((F.col("overlap") >= 0.9) & (F.col("coverage") >= 0.4), "auto").when(F.col("overlap") >= 0.7, "review").otherwise("none")
     return best.select("x", "y", "shared", band.alias("band"))
+
+
+@query("JON-27")
+def fuzzy_match(spark: SparkSession, d: str) -> DataFrame:
+    """Turns of one conversation and role whose titles match by 0.5 or more, with bonuses for near places and lengths."""
+    from loomcast.functions.text_udfs import title_similarity
+
+    t = Tables(spark, d).turns.select("conv_id", "role", "turn", F.substring("text", 1, 60).alias("title"), F.length("text").alias("n"))
+    other = t.toDF("conv_id", "role", "other_turn", "other_title", "other_n")
+    pairs = t.join(other, ["conv_id", "role"]).where("turn < other_turn").withColumn("ratio", title_similarity("title", "other_title")).where("ratio >= 0.5")
+    bonus = F.when(F.col("other_turn") - F.col("turn") <= 2, 0.1).otherwise(0.0) + F.when(F.abs(F.col("n") - F.col("other_n")) <= 30, 0.1).otherwise(0.0)
+    scored = pairs.withColumn("score", F.round(F.col("ratio") + bonus, 6))
+    return top_per_group(scored, ["conv_id", "role", "turn"], [F.col("score").desc(), F.col("other_turn")]).select("conv_id", "role", "turn", "other_turn", "score")

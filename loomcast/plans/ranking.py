@@ -307,3 +307,11 @@ def merged_maps(spark: SparkSession, d: str) -> DataFrame:
     s = Tables(spark, d).segments.groupBy("content_id", "status", "emotion").agg(F.max("length").alias("v"))
     maps = s.groupBy("content_id").agg(*[F.map_from_entries(F.collect_list(F.when(F.col("status") == x, F.struct("emotion", "v")))).alias(x) for x in ("O", "F")])
     return maps.select("content_id", F.explode(Sets.merge_maps(F.col("O"), F.col("F"))).alias("emotion", "v"))
+
+
+@query("WIN-11", """, w AS (SELECT user_id, event_id, ts, CASE WHEN k % 3 = 0 THEN '''s' ELSE event_type END AS word FROM ev), h AS (SELECT *, sum(CASE WHEN word LIKE '''%' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS hd FROM w),
+i AS (SELECT *, row_number() OVER (PARTITION BY user_id, hd ORDER BY ts, event_id) - 1 AS p FROM h), j AS (SELECT user_id, hd, p // 2 AS pr, string_agg(word, '' ORDER BY ts, event_id) AS word FROM i GROUP BY 1, 2, 3)
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY hd, pr) AS at, word FROM j""")
+def contractions(spark: SparkSession, d: str) -> DataFrame:
+    words = Tables(spark, d).events.select("user_id", "ts", "event_id", F.when(F.col("k") % 3 == 0, "'s").otherwise(F.col("event_type")).alias("word"))
+    return Wn.merge_contractions(words, ["user_id"], ["ts", "event_id"], "word")

@@ -344,3 +344,26 @@ co AS (SELECT node, min(c) AS component FROM rc GROUP BY 1) SELECT component, co
 def constrained(spark: SparkSession, d: str) -> DataFrame:
     found = C.connected_components(edges(Tables(spark, d)).where("a % 40 <> b % 40"))
     return found.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col("node") % 40).alias("episodes")).where("n >= 5")
+
+
+@query("CLU-19", EDGES + ", lb AS (SELECT vec_id, 'L' || (vec_id % 4) AS name FROM vec) SELECT DISTINCT least(x.name, y.name) AS a, greatest(x.name, y.name) AS b FROM ed JOIN lb x ON x.vec_id = ed.a JOIN lb y ON y.vec_id = ed.b WHERE x.name <> y.name AND sim > 0.3")
+def cluster_splits(spark: SparkSession, d: str) -> DataFrame:
+    t = Tables(spark, d)
+    names = t.vectors.select("vec_id", F.concat(F.lit("L"), F.col("vec_id") % 4).alias("name"))
+    both = edges(t).where("sim > 0.3").join(names.toDF("a", "x"), "a").join(names.toDF("b", "y"), "b").where("x <> y")
+    return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+@query("CLU-23")
+def canopy_growth(spark: SparkSession, d: str) -> DataFrame:
+    v = Tables(spark, d).vectors.select("vec_id", "label", "e", (F.col("vec_id") % 13).alias("quality"), F.when(F.col("vec_id") % 9 == 0, F.concat(F.lit("n"), F.col("vec_id") % 4)).alias("name"))
+    return C.canopies(v, "label", "vec_id", "e", "quality", "name", prototype=0.3, density=0.6, sentinel=0.15)
+
+
+@query("CLU-29")
+def quick_check(spark: SparkSession, d: str) -> DataFrame:
+    """Control flow: too few rows are one cluster; else the best valid split, or none."""
+    v = Tables(spark, d).vectors
+    few = v.limit(30).count() < 30
+    _, report = ({}, {"k": 1}) if few else C.k_means(v, range(2, 5), components=32, least_size=10, least_silhouette=0.15)
+    return spark.range(1).select(F.lit(report["k"]).alias("k"), F.lit(few).alias("too_few"))

@@ -245,3 +245,33 @@ def parameterised_view(spark: SparkSession, d: str) -> DataFrame:
 @query("TOP-14", "SELECT label, round(quantile_cont(vec_id, 0.5), 4) AS median FROM vec GROUP BY 1")
 def medians(spark: SparkSession, d: str) -> DataFrame:
     return Tables(spark, d).vectors.groupBy("label").agg(F.round(F.percentile("vec_id", 0.5), 4).alias("median"))
+
+
+@query("STR-8", """, f AS (SELECT user_id, ts, event_id, event_type = 'error' AS bad FROM ev), g AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS grp FROM f)
+SELECT user_id, max(c)::BIGINT AS longest FROM (SELECT user_id, grp, count(*) FILTER (bad) AS c FROM g GROUP BY 1, 2) GROUP BY 1""")
+def failure_runs(spark: SparkSession, d: str) -> DataFrame:
+    """The batch form of the failure tracker: each worker's longest run of failures."""
+    e = Tables(spark, d).events.withColumn("bad", F.col("event_type") == "error")
+    r = Wn.runs(e, ["user_id"], ["ts", "event_id"], "bad").groupBy("user_id", "run").agg(F.count_if("bad").alias("c"))
+    return r.groupBy("user_id").agg(F.max("c").alias("longest"))
+
+
+@query("UDF-2", "SELECT channel_id, round(CASE WHEN project = 'BUILDING' THEN 1.5 ELSE 1 END * ln(1 + greatest(score, 0)) / ln(101), 6) AS x FROM channels")
+def preference_callback(spark: SparkSession, d: str) -> DataFrame:
+    """A user's preference as a function of columns, applied to a built-in score."""
+    from loomcast.functions.scores import log_popularity_fixed
+
+    def prefer(project):
+        return F.when(project == "BUILDING", 1.5).otherwise(1.0)
+
+    return Tables(spark, d).channels.select("channel_id", F.round(prefer(F.col("project")) * log_popularity_fixed(F.col("score")), 6).alias("x"))
+
+
+#: Which events give work of a kind, as conditions.
+TASK_RULES = {"retry": "event_type = 'error' AND k > 50", "greet": "event_type = 'signup'", "thank": "event_type = 'purchase' AND k >= 10"}
+
+
+@query("UDF-11", "SELECT event_id, CASE WHEN event_type = 'error' THEN 'retry' WHEN event_type = 'signup' THEN 'greet' ELSE 'thank' END AS task FROM ev WHERE (event_type = 'error' AND k > 50) OR event_type = 'signup' OR (event_type = 'purchase' AND k >= 10)")
+def task_strategies(spark: SparkSession, d: str) -> DataFrame:
+    wanted = F.array_compact(F.array(*[F.when(F.expr(rule), name) for name, rule in TASK_RULES.items()]))
+    return Tables(spark, d).events.select("event_id", F.explode(wanted).alias("task"))
