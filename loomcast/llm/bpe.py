@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 8_000_000
 DIFFERENT = "a block's two readings differ: the input must give the same rows in the same order each time"
 #: White space as the pattern's \s takes it (str.isspace takes four characters more).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -87,7 +87,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], positions: bool, block_chars: int
 
     index, ids, counts, found, digest, chars = start()
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+        for doc_id, value in zip(batch.column(0), batch.column(1), strict=True):
+            text = value.as_py()  # one text at a time: a batch may hold many long ones
             words = words_of(text or "")
             at = list(map(index.__getitem__, words)) if positions else index.update(dict.fromkeys(words))
             if positions:
@@ -231,8 +232,8 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "deco
         for token, i in ranks.items():
             table[i] = token
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
-            texts = [None if x is None else b"".join([table[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in ids]
+            ids = batch.column(batch.schema.get_field_index(ids_col))
+            texts = [b"".join([table[i] for i in np.frombuffer(x.as_buffer(), "<u4").tolist()]) if x.is_valid else None for x in ids]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, out])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
