@@ -65,5 +65,7 @@ def test_recall_at_the_threshold():
         b = 0.98 * a + np.sqrt(1 - 0.98**2) * b / np.linalg.norm(b)
         row, tab, cell = lat.keys(a[None], True)
         _, tab2, cell2 = lat.keys(b[None], False)
+        x, y = (lat.signs(v[None])[0] for v in (a, b))
+        assert sum(((int(p) ^ int(q)) & (2**64 - 1)).bit_count() for p, q in zip(x, y, strict=True)) <= L.most_signs(0.98)
         missed += not set(zip(tab, cell, strict=True)) & set(zip(tab2, cell2, strict=True))
     assert missed == 0
