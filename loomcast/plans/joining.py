@@ -227,7 +227,7 @@ def date_window(spark: SparkSession, d: str) -> DataFrame:
 @query("JON-28", """, t AS (SELECT vec_id, label, e, vec_id % 30 AS day FROM vec), r AS (
   SELECT a.vec_id, b.vec_id AS other, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.e, b.e), 9) DESC, b.vec_id) AS rk
   FROM t a JOIN t b ON a.vec_id <> b.vec_id AND a.label = b.label AND abs(a.day - b.day) <= 2 WHERE a.vec_id % 20 = 0)
-SELECT vec_id, other, round(1 - 0.03 * rk, 4) AS similarity FROM r WHERE rk <= 5""")
+SELECT vec_id, other, round(1 - 0.03 * rk, 4)::DOUBLE AS similarity FROM r WHERE rk <= 5""")
 def related(spark: SparkSession, d: str) -> DataFrame:
     """The vectors of the stated query set against those of their label within two days."""
     v = Tables(spark, d).vectors.withColumn("day", F.col("vec_id") % 30)
@@ -295,8 +295,8 @@ def expanded(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("JON-36", SPANS_SQL + """, mp AS (SELECT content_id, ss AS fs, se AS fe, ss / 2 AS tst, span_id AS o FROM sp),
-h AS (SELECT w.segment_id, arg_max(tst + ws - fs, o) AS m FROM w JOIN mp ON w.content_id = mp.content_id AND ws BETWEEN fs AND fe GROUP BY 1)
-SELECT w.segment_id, round(coalesce(m, ws), 4) AS mapped FROM w LEFT JOIN h USING (segment_id)""")
+h AS (SELECT w.segment_id, w.ws, arg_max(tst + ws - fs, o) AS m FROM w JOIN mp ON w.content_id = mp.content_id AND ws BETWEEN fs AND fe GROUP BY 1, 2)
+SELECT w.segment_id, round(coalesce(m, ws), 4) AS mapped FROM w LEFT JOIN h USING (segment_id, ws)""")
 def remapped(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     mapping = spans(t).select("content_id", F.col("ss").alias("from_start"), F.col("se").alias("from_end"), (F.col("ss") / 2).alias("to_start"), F.col("span_id").alias("ordinal"))
