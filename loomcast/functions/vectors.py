@@ -26,8 +26,8 @@ def euclidean(a: Column, b: Column) -> Column:
 
 
 def normalised(a: Column) -> Column:
-    """Unit vector; a zero vector stays."""
-    return F.when(norm(a) > 0, F.transform(a, lambda x: x / norm(a))).otherwise(a)
+    """Unit vector; a zero vector stays. The length is bound to a lambda's variable, so that it is computed once."""
+    return F.element_at(F.transform(F.array(norm(a)), lambda n: F.when(n > 0, F.transform(a, lambda x: x / n)).otherwise(a)), 1)
 
 
 def mean_vectors(df: DataFrame, keys: list[str], vector: str = "e", weight: str | None = None, unit: bool = False) -> DataFrame:

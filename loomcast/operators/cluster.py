@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.functions.vectors import cosine, euclidean, mean_vectors
+from loomcast.functions.vectors import dot, euclidean, mean_vectors, normalised
 from loomcast.operators.windows import top_per_group
 
 
@@ -35,8 +35,9 @@ def neighbours(vectors: DataFrame, k: int, threshold: float, vec_id: str = "vec_
 
     asked = vectors if queries is None else vectors.where(queries)
     if block:
-        left = asked.select(F.col(vec_id).alias("a"), F.col(vector).alias("__x"), block)
-        hits = left.join(vectors.select(F.col(vec_id).alias("b"), F.col(vector).alias("__y"), block), block).select("a", "b", F.round(cosine(F.col("__x"), F.col("__y"), 0.0), 6).alias("sim"))
+        left = asked.select(F.col(vec_id).alias("a"), normalised(F.col(vector)).alias("__x"), block)
+        right = vectors.select(F.col(vec_id).alias("b"), normalised(F.col(vector)).alias("__y"), block)
+        hits = left.join(right, block).select("a", "b", F.round(dot(F.col("__x"), F.col("__y")), 6).alias("sim"))
     else:
         hits = scored(vectors, asked.select(F.col(vec_id).alias("query_id"), F.col(vector).alias("qe")), vec_id, vector).select(F.col("query_id").alias("a"), F.col(vec_id).alias("b"), "sim")
     return top_per_group(hits.where((F.col("a") != F.col("b")) & (F.col("sim") >= threshold)), ["a"], [F.col("sim").desc(), F.col("b")], k)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcast.functions import scores as S
-from loomcast.functions.vectors import cosine
+from loomcast.functions.vectors import dot, normalised
 from loomcast.operators.windows import top, top_per_group
 
 #: Queries scored against all rows in one pass; more are taken in blocks of about this many.
@@ -26,9 +26,11 @@ def scored(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vecto
     """
     blocks = -(-queries.count() // QUERY_BLOCK) or 1
     part = F.pmod(F.xxhash64(query_id), F.lit(blocks))
-    passes = [vectors.where(F.col(vector).isNotNull()).crossJoin(F.broadcast(queries.where(part == i).select(query_id, query_vector))) for i in range(blocks)]
+    rows = vectors.where(F.col(vector).isNotNull()).withColumn("__unit", normalised(F.col(vector)))  # lengths once a row, not once a pair
+    asked = queries.select(query_id, normalised(F.col(query_vector)).alias("__asked"))
+    passes = [rows.crossJoin(F.broadcast(asked.where(part == i))) for i in range(blocks)]
     whole = reduce(DataFrame.unionByName, passes)
-    return whole.withColumn("sim", F.round(cosine(F.col(vector), F.col(query_vector), 0.0), digits)).drop(query_vector)
+    return whole.withColumn("sim", F.round(dot(F.col("__unit"), F.col("__asked")), digits)).drop("__unit", "__asked")
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None = None, vec_id: str = "vec_id", keys: Sequence[str] = (), **names) -> DataFrame:
