@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcast.llm import exact_dedup, packing, pii, quality, simhash
+from loomcast.llm import exact_dedup, near_dedup, packing, pii, quality
 from loomcast.llm.common import cut, documents, ensure_checkpoint_dir, tokenizer_file
 from loomcast.llm.queries import PII_KEY, quality_model
 
@@ -29,8 +29,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash near-duplicate group."""
-    return simhash.one_of_each(docs)
+    """One document of each group linked by five-word similarity of 0.8 or more."""
+    return near_dedup.one_of_each(docs, width=5, similarity=0.8)
 
 
 def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +48,12 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", good_quality),
     ("exact dedup", without_copies),
-    ("simhash near-dedup", without_near_copies),
+    ("near-dedup", without_near_copies),
     ("pii", pseudonymous),
     ("best-fit packing", packed),
 ]
 
-#: SQL can't express the classifier, the fingerprints' links, the pseudonyms or the packing.
+#: SQL can't express the classifier, the near copies' groups, the pseudonyms or the packing.
 ORACLE_SQL: str | None = None
 
 
