@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.functions import scores as S
@@ -62,33 +62,37 @@ def select_top(df: DataFrame, score: str, row_id: str, n: int) -> DataFrame:
     return top(df, [F.col(score).desc(), F.col(row_id)], n)
 
 
-def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight: float = 0.5, keys: Sequence[str] = (), pool: int | None = None) -> DataFrame:
+def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight: float = 0.5, keys: Sequence[str] = ()) -> DataFrame:
     """Greedy: the best static score first, then static score + weight * (1 - largest dot product with the chosen).
 
-    Each group's candidates are its `pool` best by static score (all of them if pool is
-    None and the group is known to be small); groups of at most n rows come back whole,
-    rows without a vector too. Adds picked, the place in the choice, from 1.
+    All rows are candidates. A pass for each place takes every group's best row and
+    updates the largest dot products, so that no task holds a group; each ends in a
+    reliable checkpoint. Groups of at most n rows come back whole, rows without a vector
+    too. Adds picked, the place in the choice, from 1.
     """
-    kept = df if pool is None else top_per_group(df, list(keys) or [F.lit(0)], [F.col(score).desc(), F.col(row_id)], pool)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", picked int"
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([score, row_id], ascending=[False, True], kind="stable", ignore_index=True)
-        if len(pdf) <= n:
-            return pdf.assign(picked=range(1, len(pdf) + 1))
-        pdf = pdf[pdf[vector].notna()].reset_index(drop=True)
-        vecs, static = np.array(pdf[vector].tolist(), float), pdf[score].to_numpy(float)
-        nearest, chosen = np.full(len(pdf), -np.inf), []
-        for _ in range(min(n, len(pdf))):
-            gain = static + (weight * (1 - nearest) if chosen else 0)
-            gain[chosen] = -np.inf
-            best = int(np.argmax(gain))
-            chosen.append(best)
-            nearest = np.maximum(nearest, vecs @ vecs[best])
-        return pdf.iloc[chosen].assign(picked=range(1, len(chosen) + 1))
-
-    groups = kept.groupBy(*keys) if keys else kept.groupBy(F.lit(0).alias("__all"))
-    return groups.applyInPandas(pick, schema)
+    from loomcast.operators.cluster import reliable
+
+    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    rows = df.withColumn("__group", F.to_json(group, {"ignoreNullFields": "false"}))
+    sizes = rows.groupBy("__group").agg(F.count(F.lit(1)).alias("__size"))
+    rows = reliable(rows.join(sizes, "__group"))
+    small = rows.where(F.col("__size") <= n)
+    place = F.row_number().over(Window.partitionBy("__group").orderBy(F.col(score).desc(), F.col(row_id)))
+    parts = [small.withColumn("picked", place).select(*df.columns, "picked")]
+    left = rows.where((F.col("__size") > n) & F.col(vector).isNotNull()).withColumn("__uid", F.monotonically_increasing_id()).withColumn("__nearest", F.lit(None).cast("double"))
+    left = reliable(left)
+    for at in range(1, n + 1):
+        gain = F.col(score).cast("double") + F.coalesce(weight * (1 - F.col("__nearest")), F.lit(0.0))
+        # max_by of the gain; ties go to the better static score, then to the smaller id
+        rank = F.struct((-gain).alias("g"), (-F.col(score)).alias("s"), F.col(row_id).alias("i"), F.col("__uid").alias("u"))
+        best = reliable(left.groupBy("__group").agg(F.min_by(F.struct("__uid", vector), rank).alias("__b")))
+        if best.isEmpty():
+            break
+        joined = left.join(best, "__group")
+        parts.append(joined.where(F.col("__uid") == F.col("__b.__uid")).select(*df.columns, F.lit(at).alias("picked")))
+        near = F.greatest(F.col("__nearest"), dot(F.col(vector), F.col("__b")[vector]))
+        left = reliable(joined.where(F.col("__uid") != F.col("__b.__uid")).withColumn("__nearest", near).drop("__b"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def farthest_points(df: DataFrame, vector: str, row_id: str, n: int, keys: Sequence[str]) -> DataFrame:

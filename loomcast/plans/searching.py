@@ -122,7 +122,7 @@ def candidates(t: Tables) -> DataFrame:
 
 @query("VEC-13")
 def diverse(spark: SparkSession, d: str) -> DataFrame:
-    return Q.diverse(candidates(Tables(spark, d)), "static", "e", "vec_id", 20, 0.5, pool=1000).select("vec_id", "picked")
+    return Q.diverse(candidates(Tables(spark, d)), "static", "e", "vec_id", 20, 0.5).select("vec_id", "picked")
 
 
 @query("VEC-14", "SELECT vec_id, round(vec_id % 11 / 11, 6) AS static FROM vec ORDER BY vec_id % 11 DESC, vec_id LIMIT 20")
@@ -132,7 +132,7 @@ def rank_only(spark: SparkSession, d: str) -> DataFrame:
 
 @query("VEC-15")
 def balanced(spark: SparkSession, d: str) -> DataFrame:
-    return Q.diverse(candidates(Tables(spark, d)), "static", "e", "vec_id", 5, 0.5, keys=["label"], pool=500).select("label", "vec_id", "picked")
+    return Q.diverse(candidates(Tables(spark, d)), "static", "e", "vec_id", 5, 0.5, keys=["label"]).select("label", "vec_id", "picked")
 
 
 @query("VEC-16", QS + ", k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rn FROM r WHERE vec_id % 2 = 1) SELECT q.query_id, k.vec_id AS hit, k.sim FROM q LEFT JOIN k ON k.query_id = q.query_id AND rn = 1 AND k.sim >= 0.3")

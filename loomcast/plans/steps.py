@@ -221,7 +221,7 @@ def select_segments(c: Context, p: Mapping[str, Any]) -> Context:
         return c.put(selected=Q.select_top(rows, "__score", "segment_id", p["n"]))
     if p["strategy"] not in ("balanced", "diversity"):
         raise ValueError(f"no strategy {p['strategy']}")
-    picked = Q.diverse(rows, "__score", "e", "segment_id", p["n"], keys=keys, pool=50 * p["n"])
+    picked = Q.diverse(rows, "__score", "e", "segment_id", p["n"], keys=keys)
     if keys == ["cluster"]:
         picked = picked.where((F.col("cluster") != -1) | (F.col("picked") <= p["n_unclustered"]))
     return c.put(selected=picked)

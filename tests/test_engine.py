@@ -193,3 +193,29 @@ def test_streams(spark, tmp_path):
     sink(df.where("k = 1"), 1)
     sink(df.where("k = 1"), 1)  # run again: the same state
     assert rows(spark.read.parquet(f"{p}/win/state=1"), "k", "s") == [(1, 4100), (2, 5)]
+
+
+def test_diverse_considers_every_row(spark):
+    """Over 1,200 rows of one static score in two groups; the far ones have the largest ids."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    vecs = rng.normal(size=(1200, 4))
+    vecs[:1100, 1:] *= 0.05
+    vecs[:1100, 0] = np.abs(vecs[:1100, 0]) + 0.5
+    vecs /= np.linalg.norm(vecs, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, i % 2, 0.0, v.tolist()) for i, v in enumerate(vecs)], "segment_id int, channel int, s double, e array<double>")
+    for keys in ([], ["channel"]):
+        want = []
+        for group in ([range(1200)] if not keys else [range(0, 1200, 2), range(1, 1200, 2)]):
+            chosen = [group[0]]
+            while len(chosen) < 4:
+                chosen.append(min((i for i in group if i not in chosen), key=lambda i: ((vecs[chosen] @ vecs[i]).max(), i)))
+            want += [(i, at) for at, i in enumerate(chosen, 1)]
+        got = rows(Q.diverse(df, "s", "e", "segment_id", 4, keys=keys), "segment_id", "picked")
+        assert sorted(got) == sorted(want)
+    from loomcast.plans import steps
+
+    chosen = {"strategy": "balanced", "n": 3, "n_unclustered": 6}
+    picked = steps.STEPS["select_segments"].run(steps.Context(df, ""), chosen).frames["selected"]
+    assert picked.where("segment_id >= 1100").count() > 0
