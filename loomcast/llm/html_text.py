@@ -155,12 +155,11 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
 
 def main_lines(page: list[tuple[str, bool]], pair: list[tuple[str, bool]] | None) -> list[str]:
     """The lines that stay, given those of the paired page."""
-    has_article = any(inside for _, inside in page)
     loose = [i for i, (_, inside) in enumerate(page) if not inside]
     shared: set[int] = set()
     if pair is not None:
         shared = {loose[i] for i in shared_lines([page[i][0] for i in loose], [x for x, inside in pair if not inside])}
-    return [x for i, (x, inside) in enumerate(page) if inside or not has_article and i not in shared]
+    return [x for i, (x, inside) in enumerate(page) if inside or i not in shared]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

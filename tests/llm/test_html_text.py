@@ -72,3 +72,8 @@ def test_pairs_in_one_partition(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert got == {i: f"Body {i}" for i in range(6)}
+
+
+def test_differencing_decides_outside_an_article():
+    page, near = (H.page_lines(f"<div>Menu</div><p>Headline {i}</p><article><p>Shared</p><p>Body {i}</p></article><p>Note {i}</p><p>Bottom</p>") for i in range(2))
+    assert H.main_lines(page, near) == ["Headline 0", "Shared", "Body 0", "Note 0"]
