@@ -82,13 +82,13 @@ def _strength(groups: DataFrame) -> DataFrame:
     return sums.select(F.greatest(F.lit(STRENGTH[0]), F.least(F.lit(STRENGTH[1]), fitted)).alias("m"), F.coalesce(p, F.lit(0.0)).alias("p"))
 
 
-def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad", z: float = 1.645) -> DataFrame:
-    """(host, n_labelled, bad_rate, bad_low) for hosts with outcomes.
+def _posterior(n: Column, bad: Column, prior: Column, m: Column, z: float) -> dict[str, Column]:
+    rate, whole = (bad + m * prior) / (n + m), n + m
+    return {"bad_rate": rate, "bad_low": rate - z * F.sqrt(rate * (1 - rate) / (whole + 1))}
 
-    outcomes: one row per labelled page. bad_rate is the posterior mean and bad_low its
-    lower bound, z posterior standard deviations below. Counts are combined before any
-    shuffle, so a hot host sends one row a task.
-    """
+
+def _levels(outcomes: DataFrame, host: str, bad: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """hosts (host, domain, suffix, n, bad); domains (domain, domain_rate); suffixes (suffix, suffix_rate); one row (m, p): the hosts' strength and the overall rate."""
     hosts = outcomes.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(bad).cast("long")).alias("bad"))
     hosts = hosts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -100,10 +100,20 @@ def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad", z: fl
     # Each strength is one row: the joins below broadcast a single row.
     s = suffixes.join(F.broadcast(_strength(suffixes))).select("suffix", shrunk(F.col("p")).alias("suffix_rate"))
     d = domains.join(F.broadcast(_strength(domains).select("m"))).join(s, "suffix").select("domain", shrunk(F.col("suffix_rate")).alias("domain_rate"))
-    h = hosts.join(F.broadcast(_strength(hosts).select("m"))).join(d, "domain")
-    a, whole = F.col("bad") + F.col("m") * F.col("domain_rate"), F.col("n") + F.col("m")
-    rate = a / whole
-    return h.select("host", F.col("n").alias("n_labelled"), rate.alias("bad_rate"), (rate - z * F.sqrt(rate * (1 - rate) / (whole + 1))).alias("bad_low"))
+    return hosts, d, s, _strength(hosts)
+
+
+def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad", z: float = 1.645) -> DataFrame:
+    """(host, n_labelled, bad_rate, bad_low) for hosts with outcomes.
+
+    outcomes: one row per labelled page. bad_rate is the posterior mean and bad_low its
+    lower bound, z posterior standard deviations below. Counts are combined before any
+    shuffle, so a hot host sends one row a task.
+    """
+    hosts, d, _, whole = _levels(outcomes, host, bad)
+    h = hosts.join(F.broadcast(whole.select("m"))).join(d, "domain")
+    found = _posterior(F.col("n"), F.col("bad"), F.col("domain_rate"), F.col("m"), z)
+    return h.select("host", F.col("n").alias("n_labelled"), *(c.alias(k) for k, c in found.items()))
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]], url_col: str = "url", threshold: float = 0.5, z: float = 1.645) -> DataFrame:
@@ -111,13 +121,22 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]
 
     outcomes: (url_col, bad boolean), one row per labelled page. verdict is the longest
     fitting rule's action, else block where the host's posterior lower bound reaches
-    threshold, else allow; hosts without outcomes are allowed. A null or odd url has an
+    threshold, else allow; a host without outcomes has its domain's rate as its prior, else
+    its suffix's, else the overall one, and the bound of that prior counts. A null or odd url has an
     empty host and path and is judged like any other host; rows with a null bad are
     ignored. Repeated rows are judged alike; an empty table gives an empty result.
     """
     known = split_url(outcomes.where(F.col("bad").isNotNull()).select(F.col(url_col).alias("url"), "bad"), "url").select("host", "bad")
-    reputation = reputations(known, z=z).withColumnRenamed("host", "__host")
+    hosts, domains, suffixes, whole = _levels(known, "host", "bad")
+    counts = hosts.select(F.col("host").alias("__host"), F.col("n").alias("__n"), F.col("bad").alias("__bad"))
+    domains, suffixes = domains.select(F.col("domain").alias("__domain"), "domain_rate"), suffixes.select(F.col("suffix").alias("__suffix"), "suffix_rate")
     parts = match_rules(split_url(pages.drop("host", "path", "rule", "verdict", "rule_action", "bad_rate", "bad_low", "n_labelled"), url_col), rules)
-    out = parts.join(reputation, F.col("host") == F.col("__host"), "left").drop("__host")
+    kept, unseen = parts.columns, F.lit(0).cast("long")
+    out = parts.join(counts, F.col("host") == F.col("__host"), "left")
+    out = out.join(domains, F.substring_index("host", ".", -2) == F.col("__domain"), "left").join(suffixes, F.substring_index("host", ".", -1) == F.col("__suffix"), "left")
+    out = out.crossJoin(F.broadcast(whole.select(F.col("m").alias("__m"), F.col("p").alias("__p"))))
+    n, prior = F.coalesce("__n", unseen), F.coalesce("domain_rate", "suffix_rate", "__p")
+    found = _posterior(n, F.coalesce("__bad", unseen), prior, F.col("__m"), z)
+    out = out.select(*kept, n.alias("n_labelled"), *(c.alias(k) for k, c in found.items()))
     verdict = F.coalesce("rule_action", F.when(F.col("bad_low") >= threshold, "block").otherwise("allow"))
-    return out.withColumn("verdict", verdict).withColumn("n_labelled", F.coalesce("n_labelled", F.lit(0).cast("long"))).drop("rule_action")
+    return out.withColumn("verdict", verdict).drop("rule_action")

@@ -82,3 +82,12 @@ def test_rates_match_a_plain_computation(spark):
     df = U.split_url(spark.createDataFrame(rows, "url string, bad boolean"), "url")
     got = {r.host: r.bad_rate for r in U.reputations(df).collect()}
     assert got == pytest.approx(want)
+
+
+def test_hosts_without_outcomes_take_their_domains_rate(spark):
+    rows = [(f"http://h{i}.bad.com/", True) for i in range(30) for _ in range(20)] + [(f"http://h{i}.good{i}.com/", False) for i in range(30) for _ in range(20)]
+    rows += [(f"http://d{i}.xx/", True) for i in range(30) for _ in range(20)] + [(f"http://d{i}.org/", False) for i in range(30) for _ in range(60)]
+    outcomes = spark.createDataFrame(rows, "url string, bad boolean")
+    pages = spark.createDataFrame([(1, "http://new.bad.com/"), (2, "http://new.good3.com/"), (3, "http://never.xx/"), (4, "http://a.unknown/"), (5, None)], "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.n_labelled) for r in U.judge(pages, outcomes, []).collect()}
+    assert got == {1: ("block", 0), 2: ("allow", 0), 3: ("block", 0), 4: ("allow", 0), 5: ("allow", 0)}
