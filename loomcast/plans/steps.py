@@ -184,11 +184,18 @@ def quick_cluster_check(c: Context, p: Mapping[str, Any]) -> Context:
     return c.put(themed=out)
 
 
+#: Themes that extract_subthemes clusters one after the other; more are an error.
+MAX_THEMES = 100
+
+
 @step("extract_subthemes", method="kmeans", n_subthemes=3, min_cluster_size=3, require_valid_clusters=True, min_silhouette_score=0.15)
 def extract_subthemes(c: Context, p: Mapping[str, Any]) -> Context:
     """frames.subthemed: rows with cluster and subtheme; the themes, a few, are clustered one after the other."""
     themed, parts = c.frames["themed"], None
-    for (theme,) in themed.select("cluster").distinct().orderBy("cluster").limit(100).collect():
+    themes = themed.select("cluster").distinct().orderBy("cluster").limit(MAX_THEMES + 1).collect()
+    if len(themes) > MAX_THEMES:
+        raise ValueError(f"extract_subthemes takes at most {MAX_THEMES} themes")
+    for (theme,) in themes:
         floor = p["min_silhouette_score"] if p["require_valid_clusters"] else -1.0
         out, _ = C.k_means(themed.where(F.col("cluster") == theme).withColumnRenamed("cluster", "__theme"), [p["n_subthemes"]], least_size=p["min_cluster_size"], least_silhouette=floor)
         part = out.withColumnRenamed("cluster", "subtheme").withColumnRenamed("__theme", "cluster")

@@ -219,3 +219,12 @@ def test_diverse_considers_every_row(spark):
     chosen = {"strategy": "balanced", "n": 3, "n_unclustered": 6}
     picked = steps.STEPS["select_segments"].run(steps.Context(df, ""), chosen).frames["selected"]
     assert picked.where("segment_id >= 1100").count() > 0
+
+
+def test_too_many_themes_are_an_error(spark):
+    from loomcast.plans import steps
+
+    themed = spark.createDataFrame([(i, i) for i in range(101)], "segment_id int, cluster int")
+    with pytest.raises(ValueError, match="at most 100 themes"):
+        run, defaults = steps.STEPS["extract_subthemes"].run, steps.STEPS["extract_subthemes"].defaults
+        run(steps.Context(themed, "", frames={"themed": themed}), defaults)
