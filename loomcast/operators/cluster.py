@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 import numpy as np
@@ -11,20 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcast.functions.vectors import dot, euclidean, mean_vectors, normalised
+from loomcast.operators.reliable import components
+from loomcast.operators.reliable import cut as reliable
 from loomcast.operators.windows import top_per_group
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """df cut from its lineage by a checkpoint in the folder that spark.checkpoint.dir names (a temporary one in local sessions)."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir")
-        if not named and not sc.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomcast-"))
-    return df.checkpoint(eager=True)
-
-
 def neighbours(vectors: DataFrame, k: int, threshold: float, vec_id: str = "vec_id", vector: str = "e", block: str | None = None, queries: Column | None = None) -> DataFrame:
     """(a, b, sim): the k nearest rows above threshold of each row (of those that queries picks).
 
@@ -43,25 +33,9 @@ def neighbours(vectors: DataFrame, k: int, threshold: float, vec_id: str = "vec_
     return top_per_group(hits.where((F.col("a") != F.col("b")) & (F.col("sim") >= threshold)), ["a"], [F.col("sim").desc(), F.col("b")], k)
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
-    """(node, component): the least node that each can reach.
-
-    Nodes take the least label among themselves and their neighbours, then that label's
-    own label, until nothing changes; each round ends in a reliable checkpoint.
-    """
-    links = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
-    links = reliable(links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
-    labels = reliable(links.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("l")))
-    for _ in range(max_rounds):
-        near = links.join(labels.select(F.col("x").alias("y"), "l"), "y").groupBy("x").agg(F.min("l").alias("m"))
-        step = labels.join(near, "x").select("x", "l", F.least("l", "m").alias("m"))
-        jump = step.select(F.col("x").alias("m"), F.col("m").alias("mm"))
-        new = reliable(step.join(jump, "m", "left").select("x", "l", F.least("m", F.coalesce("mm", "m")).alias("n")))
-        changed = new.where("n <> l").limit(1).count()
-        labels = new.select("x", F.col("n").alias("l"))
-        if not changed:
-            return labels.select(F.col("x").alias("node"), F.col("l").alias("component"))
-    raise RuntimeError("components did not settle")
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component): the least node that each can reach."""
+    return components(edges.select(F.col(a).alias("a"), F.col(b).alias("b")))
 
 
 def propagate(edges: DataFrame, labels: DataFrame, least_votes: float, contested: float = 0.70) -> DataFrame:

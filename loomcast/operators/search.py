@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from loomcast.functions import scores as S
 from loomcast.functions.vectors import dot, normalised
+from loomcast.operators.reliable import cut as reliable
 from loomcast.operators.windows import top, top_per_group
 
 #: Queries scored against all rows in one pass; more are taken in blocks of about this many.
@@ -70,8 +71,6 @@ def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight:
     reliable checkpoint. Groups of at most n rows come back whole, rows without a vector
     too. Adds picked, the place in the choice, from 1.
     """
-    from loomcast.operators.cluster import reliable
-
     group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     rows = df.withColumn("__group", F.to_json(group, {"ignoreNullFields": "false"}))
     sizes = rows.groupBy("__group").agg(F.count(F.lit(1)).alias("__size"))
