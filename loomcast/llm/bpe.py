@@ -13,9 +13,10 @@ for each block and bucket. The ids are joined back by block, each block's texts
 reassembled by position, and decoded against the table of token bytes, which has one row
 per token of the vocabulary.
 
-The two readings of a block must see the same rows in the same order, as tables, files
-and checkpoints give them; a digest of the block's content in its key makes a mismatch
-an error instead of a wrong result.
+Both readings of a partition sort it by id and text first, so that a block holds the same
+rows each time, in whatever order a shuffle brings them; a digest of the block's content in
+its key makes other rows an error instead of a wrong result. Blocks, buckets and the
+partitions of both shuffles are as many as the input's characters ask for.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 8_000_000
-DIFFERENT = "a block's two readings differ: the input must give the same rows in the same order each time"
+#: Characters of input for each bucket of words and each partition of blocks.
+PART_CHARS = 64_000_000
+DIFFERENT = "a block's two readings differ: the input must give the same rows each time"
 #: White space as the pattern's \s takes it (str.isspace takes four characters more).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _WORDS = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
@@ -140,7 +143,7 @@ def word_positions(docs: DataFrame, id_col: str, text_col: str, block_chars: int
     return docs.select(id_col, text_col).mapInArrow(run, f"block long, doc_ids array<{id_type.simpleString()}>, counts binary, positions binary")
 
 
-def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode_words(words: DataFrame, path: str, pattern: str, parts: int) -> DataFrame:
     """(block, at, sizes, ids): words shuffled by bucket, each distinct one encoded once.
 
     A task takes its buckets one after the other and remembers one bucket's words.
@@ -166,7 +169,7 @@ def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
             columns = list(zip(*rows, strict=True)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 3), strict=True)], names=["block", "at", "sizes", "ids"])
 
-    return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "block long, at binary, sizes binary, ids binary")
+    return words.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "block long, at binary, sizes binary, ids binary")
 
 
 def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -179,16 +182,21 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     Equal to encoding each match of pattern in the whole text, without special tokens;
     pattern must treat white space as the module says. A null text is empty and has no
-    ids. Repeated rows stay; an empty table gives an empty result; other columns are
-    ignored. buckets, by default as many as the session has shuffle partitions, bounds
-    the words that a task remembers: a bucket's share of all distinct words.
+    ids; a very long one is a block of its own. Repeated rows stay; an empty table gives an
+    empty result; other columns are ignored, whatever their names. buckets bounds the
+    words that a task remembers, a bucket's share of all distinct words; by default there
+    is one for each PART_CHARS characters, and at least one a shuffle partition.
     """
-    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    id_type = docs.schema[id_col].dataType.simpleString()
-    numbered = encode_words(distinct_words(docs, id_col, text_col, block_chars, buckets), path, pattern)
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-(docs.agg(F.sum(F.length("text"))).first()[0] or 0) // PART_CHARS))
+    buckets = buckets or parts
+    docs = docs.sortWithinPartitions("id", "text")
+    id_type = docs.schema["id"].dataType.simpleString()
+    numbered = encode_words(distinct_words(docs, "id", "text", block_chars, buckets), path, pattern, min(parts, buckets))
     nothing = F.lit(None)
     rows = numbered.withColumns({"doc_ids": nothing.cast(f"array<{id_type}>"), "counts": nothing.cast("binary"), "positions": nothing.cast("binary")}).unionByName(
-        word_positions(docs, id_col, text_col, block_chars).withColumns({c: nothing.cast("binary") for c in ("at", "sizes", "ids")})
+        word_positions(docs, "id", "text", block_chars).withColumns({c: nothing.cast("binary") for c in ("at", "sizes", "ids")})
     )
 
     def assemble(table: pa.Table) -> pa.Table:
@@ -220,11 +228,16 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             raise RuntimeError(DIFFERENT)
         return pa.table({id_col: pa.chunked_array(ids), "ids": pa.array(out, pa.binary())})
 
-    return rows.groupBy("block").applyInArrow(assemble, f"`{id_col}` {id_type}, ids binary")
+    return rows.repartition(parts, "block").groupBy("block").applyInArrow(assemble, f"`{id_col}` {id_type}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """encoded with the bytes of its ids added; the token-byte table has a row per token of the vocabulary. Null ids give null."""
+    """encoded with the bytes of its ids in column out, which replaces one of that name.
+
+    The token-byte table has a row per token of the vocabulary. Null ids give null, empty
+    ones nothing; very long ones are decoded whole; an empty table gives an empty result.
+    """
+    encoded = encoded.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = load_ranks(path)

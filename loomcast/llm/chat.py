@@ -66,7 +66,9 @@ def format_chats(turns: DataFrame, template: Template = CHATML, id_col: str = "c
     (text, loss): markup without loss, escaped text with the loss of its role; their
     concatenation is formatted. valid tells whether the machine accepts the role order
     and ends after a trained role; conversations it rejects are formatted all the same.
-    Rows with a null id form one conversation; an empty table gives none.
+    Rows with a null id form one conversation; an empty table gives none; other columns are
+    ignored, whatever their names. A conversation, however long its texts, is one row, as
+    its output is: it is the unit that a reader of the output takes whole.
     """
     picked = turns.select(
         F.col(id_col).alias("id"),

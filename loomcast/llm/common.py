@@ -1,88 +1,49 @@
-"""What several operators share: reliable checkpoints and connected components."""
+"""What several operators share."""
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomcast.operators.reliable import components, cut, ensure_checkpoint_dir, remove_folder
+
+__all__ = ["ASCII_SPACE", "components", "cut", "documents", "ensure_checkpoint_dir", "free_name", "remove_folder", "stay", "table", "tokenizer_file"]
+
 #: ASCII white space, as the operators' contracts name it.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder that the cluster names in spark.checkpoint.dir.
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """name with as many underscores before it as it takes to be none of taken, letter case aside."""
+    used = {x.lower() for x in taken}
+    while name.lower() in used:
+        name = "_" + name
+    return name
 
-    Where none is named, a temporary folder serves local sessions (tests); elsewhere
-    that would lose data with its machine, so it is an error.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    named = sc.getConf().get("spark.checkpoint.dir")
-    if not named:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="loomcast-checkpoint-")
-    sc.setCheckpointDir(named)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from what was written."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of an edge list (a, b) of one orderable type.
-
-    Alternates the large-star and small-star steps: every node points at the least
-    neighbour it knows, so that chains halve each round. Every step is an aggregation
-    with map-side combining and one equi-join, which AQE splits where a hub is hot;
-    rounds are cut by a reliable checkpoint. Edges with a null end and loops are
-    ignored. Returns (node, component) for nodes with an edge; component is the
-    least node reachable.
+
+def stay(docs: DataFrame, id_col: str, marks: DataFrame, class_of: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """One row of docs for each group of marks, with all its columns: a row of the group's smallest id.
+
+    marks has one row per row of docs: (id, cls, grp, least): the class of the row's text,
+    its group and the group's smallest id, null if none of its rows has one. class_of adds
+    the class to rows of docs, in a column of a given name. Ids that name one row are settled by a join on the id
+    alone; class_of runs only for rows whose id is null or repeated, of which one row of
+    each group stays.
     """
-    spark = edges.sparkSession
-
-    def star(pairs: DataFrame) -> DataFrame:
-        """Large star, then small star, over (a, b) with a > b."""
-        both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = (
-            both.join(least, both.a == least.u).where(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        )
-        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
-        joined = large.join(low, large.a == low.u)
-        return (
-            joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-            .unionByName(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
-        )
-
-    def mark(pairs: DataFrame):
-        row = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        return tuple(row)
-
-    now = cut(
-        edges.where("a is not null and b is not null and a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    )
-    before = mark(now)
-    for _ in range(max_rounds):
-        if before[0] == 0:
-            break
-        now = cut(star(now))
-        after = mark(now)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError("components did not settle")
-    leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return leaves.unionByName(roots)
+    marks = cut(marks.withColumn("best", F.col("id").eqNullSafe(F.col("least"))))
+    ids = marks.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("best").alias("any_best")).where("any_best")
+    out = docs.join(ids.where("n = 1").select(F.col("id").alias(id_col)), id_col, "left_semi").select(docs.columns)
+    repeated = cut(ids.where("n > 1").select(F.col("id").alias(id_col)))
+    nameless = marks.where("id is null and best")
+    if repeated.isEmpty() and nameless.isEmpty():
+        return out
+    odd = docs.join(repeated, id_col, "left_semi").select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    here, least, cls, grp = (free_name(x, docs.columns) for x in ("_here", "_least", "_cls", "_grp"))
+    wanted = marks.where("best").select(F.col("id").alias(least), F.col("cls").alias(cls), F.col("grp").alias(grp)).distinct()
+    met = class_of(odd, here).join(wanted, (F.col(cls) == F.col(here)) & F.col(least).eqNullSafe(F.col(id_col)))
+    return out.unionByName(met.dropDuplicates([grp]).select(docs.columns))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import ASCII_SPACE, cut
+from loomcast.llm.common import ASCII_SPACE, cut, stay
 
 SALTS = 16
 
@@ -40,7 +40,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keep_id is the smallest id among equal texts (null if all are null); kept marks the
     rows that have it. A null text equals an empty one; white space alone is one space,
     so it differs from empty. Repeated rows count in group_size and, having the same id,
-    are all kept. An empty table gives an empty result; other columns are ignored.
+    are all kept. Very long texts are compared whole, like others. An empty table gives an
+    empty result; other columns are ignored, whatever their names.
     """
     groups = text_groups(docs, id_col, text_col, salts)
     by_digest = cut(groups.groupBy("digest").agg(F.count(F.lit(1)).alias("n_texts"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")))
@@ -57,7 +58,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns; rows without an id can't be told apart and stay."""
-    keep = exact_dedup(docs, id_col, text_col).where("kept").select(id_col).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
-    return named.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    """One row of docs for each normalised text, with all its columns: a row of the smallest id.
+
+    Of rows that share text and smallest id one stays, of a text without any id one too.
+    """
+    def class_of(rows: DataFrame, name: str) -> DataFrame:
+        return rows.withColumn(name, F.sha2(normalised(text_col), 256))
+
+    found = exact_dedup(docs, id_col, text_col)
+    marks = found.select(F.col(id_col).alias("id"), F.col("text_sha256").alias("cls"), F.col("text_sha256").alias("grp"), F.col("keep_id").alias("least"))
+    return stay(docs, id_col, marks, class_of)

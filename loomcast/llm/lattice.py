@@ -1,15 +1,16 @@
 """Near-duplicate vectors by E8 lattice hashing.
 
-A unit vector is rotated by a fixed random orthonormal matrix and cut into tables of
-eight coordinates, each scaled and decoded to the nearest point of the E8 lattice. A
-vector is indexed under its own cell of each table and probes, besides it, the cells of
-the 240 neighbouring lattice points within `reach` of it. Two unit vectors of cosine t
-are sqrt(2 - 2t) apart; over the tables the squared distance sums to at most that of
-the vectors, so the scale is set to make the average projected distance STEP. A
-candidate in any table is verified by its cosine in double precision. Keys also carry
-the signs of SIGNS random projections: a pair that differs in more of them than a pair at
-the cosine would, by DEVIATIONS standard deviations, is left out before vectors are
-fetched (for 0.98, a chance below 1e-9 of leaving out a pair that the cosine would keep).
+A unit vector is rotated by fixed random orthonormal matrices and cut into blocks of eight
+coordinates, each scaled and decoded to the nearest point of the E8 lattice; BLOCKS of them
+make the key of one table, so that two unrelated vectors share a key by chance about once
+in ten million (64 dimensions, cosine 0.98). A vector is indexed under its own cells and
+probes the PROBES keys nearest to it, made of each block's own cell and of neighbouring
+lattice points. Two unit vectors of cosine t are sqrt(2 - 2t) apart; the scale makes the
+average distance of their projections STEP. A candidate in any table is verified by its
+cosine in double precision. Keys also carry the signs of SIGNS random projections: a pair
+that differs in more of them than a pair at the cosine would, by DEVIATIONS standard
+deviations, is left out before vectors are fetched (for 0.98, a chance below 1e-9 of
+leaving out a pair that the cosine would keep).
 """
 
 from __future__ import annotations
@@ -25,8 +26,11 @@ from pyspark.sql import types as T
 
 from loomcast.llm.common import components, cut
 
-TABLES, STEP, REACH, SEED = 8, 0.5, 1.15, 20240131
+TABLES, BLOCKS, PROBES, STEP, SEED = 12, 3, 8, 0.35, 20240131
+#: Cells of each block that probes are made of.
+CELLS = 4
 SIGNS, DEVIATIONS = 128, 8.0
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def neighbours() -> np.ndarray:
@@ -64,37 +68,51 @@ def pack_cells(points: np.ndarray) -> np.ndarray:
 
 
 class Lattice:
-    def __init__(self, dim: int, cosine: float, tables: int = TABLES, reach: float = REACH, seed: int = SEED) -> None:
-        rng, cols, parts = np.random.default_rng(seed), 8 * tables, []
+    def __init__(self, dim: int, cosine: float, tables: int = TABLES, seed: int = SEED) -> None:
+        rng, cols, parts = np.random.default_rng(seed), 8 * BLOCKS * tables, []
         while sum(p.shape[1] for p in parts) < cols:
             q, _ = np.linalg.qr(rng.standard_normal((dim, dim)))
             parts.append(q if dim >= 8 else np.pad(q, ((0, 0), (0, 8 - dim))))
         turn = np.concatenate(parts, axis=1)[:, :cols]
         apart = max(np.sqrt(max(0.0, 2 - 2 * cosine)), 1e-3)
         self.turn = turn * STEP * np.sqrt(max(dim, 8) / 8) / apart
-        self.tables, self.reach, self.near = tables, reach, neighbours()
+        self.tables, self.near = tables, np.vstack([np.zeros((1, 8)), neighbours()])
+        self.lengths = (self.near**2).sum(axis=1)
         self.planes = rng.standard_normal((dim, SIGNS))
 
     def signs(self, unit: np.ndarray) -> np.ndarray:
         """The signs of the random projections as two signed 64-bit numbers a row."""
         return np.packbits(unit @ self.planes > 0, axis=1).view("<i8")
 
+    def _cells(self, unit: np.ndarray, block: int, probing: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, squared distances) of the cells nearest to each vector in a block, the nearest first."""
+        x = unit @ self.turn[:, 8 * block : 8 * block + 8]
+        at = decode_e8(x)
+        if not probing:
+            return pack_cells(at)[:, None], np.zeros((len(x), 1))
+        rest = x - at
+        far = (rest**2).sum(axis=1)[:, None] + self.lengths - 2.0 * (rest @ self.near.T)
+        which = np.argpartition(far, CELLS - 1, axis=1)[:, :CELLS]
+        cells = pack_cells((at[:, None] + self.near[which]).reshape(-1, 8)).reshape(-1, CELLS)
+        return cells, np.take_along_axis(far, which, axis=1)
+
     def keys(self, unit: np.ndarray, probing: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, table, cell) of unit vectors."""
-        rows, tables, cells = [], [], []
+        """(row, table, key) of unit vectors."""
+        n, rows, tables, keys = len(unit), [], [], []
         for t in range(self.tables):
-            x = unit @ self.turn[:, 8 * t : 8 * t + 8]
-            at = decode_e8(x)
-            rows.append(np.arange(len(x)))
-            cells.append(pack_cells(at))
-            if probing:
-                rest = x - at
-                far = (rest**2).sum(axis=1)[:, None] + 2.0 - 2.0 * (rest @ self.near.T)
-                row, which = np.nonzero(far <= self.reach**2)
-                rows.append(row)
-                cells.append(pack_cells(at[row] + self.near[which]))
-            tables += [np.full(sum(map(len, rows)) - sum(map(len, tables)), t, dtype=np.int32)]
-        return np.concatenate(rows), np.concatenate(tables), np.concatenate(cells)
+            key, far = np.zeros((n, 1), np.uint64), np.zeros((n, 1))
+            for block in range(BLOCKS * t, BLOCKS * (t + 1)):
+                cells, d = self._cells(unit, block, probing)
+                far = (far[:, :, None] + d[:, None, :]).reshape(n, -1)
+                mixed = (key[:, :, None] ^ cells.view(np.uint64)[:, None, :]) * _MIX
+                key = (mixed ^ (mixed >> np.uint64(29))).reshape(n, -1)
+            if probing and key.shape[1] > PROBES:
+                best = np.argpartition(far, PROBES - 1, axis=1)[:, :PROBES]
+                key = np.take_along_axis(key, best, axis=1)
+            rows.append(np.repeat(np.arange(n), key.shape[1]))
+            tables.append(np.full(key.size, t, dtype=np.int32))
+            keys.append(key.reshape(-1).view(np.int64))
+        return np.concatenate(rows), np.concatenate(tables), np.concatenate(keys)
 
 
 def most_signs(cosine: float) -> int:
@@ -131,7 +149,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     and counted, so copies are never expanded into pairs; n_links counts the other rows
     linked directly, copies included. Rows whose label is null, or whose vector is null,
     empty, zero or holds null or non-finite components, link with nothing and are their
-    own component. A null id never becomes a component's id; such rows are not kept.
+    own component. A null id never becomes a component's id; such rows are not kept. Very
+    long vectors are hashed by their projections and verified whole. An empty table
+    gives an empty result; other columns are ignored, whatever their names.
     """
     rows, dtype = usable(docs, id_col, vec_col, label_col)
     rows = cut(rows)
@@ -173,14 +193,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                u, v = np.frombuffer(x, dtype).astype(float), np.frombuffer(y, dtype).astype(float)
-                u, v = u / np.abs(u).max(), v / np.abs(v).max()
-                if u @ v / np.sqrt((u @ u) * (v @ v)) >= cosine:
-                    good.append(i)
-            picked = pa.array(good, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(picked), batch.column(1).take(picked)], names=["a", "b"])
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                x, y = (part.column(i).to_pylist() for i in (2, 3))
+                sizes, good = np.array([len(v) for v in x]), []
+                for size in np.unique(sizes):  # the two of a pair have one length
+                    which = np.flatnonzero(sizes == size)
+                    u, v = (np.frombuffer(b"".join([z[i] for i in which]), dtype).reshape(len(which), -1).astype(float) for z in (x, y))
+                    u, v = (z / np.abs(z).max(axis=1, keepdims=True) for z in (u, v))  # no overflow in the products
+                    cos = (u * v).sum(axis=1) / np.sqrt((u * u).sum(axis=1) * (v * v).sum(axis=1))
+                    good.append(which[cos >= cosine])
+                picked = pa.array(np.concatenate(good) if good else [], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(picked), part.column(1).take(picked)], names=["a", "b"])
 
     linked = cut(held.mapInArrow(verify, "a long, b long"))
     sizes = classes.select("cid", "n", "least_id")

@@ -1,10 +1,12 @@
 """Near-duplicates by true similarity of word shingles, five words wide.
 
-A text is the set of its shingles. MinHash bands propose pairs, and a pair is linked only
-if the Jaccard similarity of the two whole sets, counted exactly, reaches the limit. A
-pair at similarity s shares a band with probability 1 - (1 - s^ROWS)^BANDS: 0.9999 at
-0.8, more above. SimHash can't propose these pairs: at 0.8 two 64-bit fingerprints differ
-in 10 bits on average, far beyond what selective keys reach.
+A text is the set of its shingles. Two sorts of keys propose pairs: the Golay keys of the
+sets' SimHash fingerprints (module simhash), which miss no pair within three bits, and
+MinHash bands for the pairs beyond. A pair is linked only if the Jaccard similarity of the
+two whole sets, counted exactly, reaches the limit. A pair at similarity s shares a band
+with probability 1 - (1 - s^ROWS)^BANDS: 0.9999 at 0.8, more above. Fingerprints alone
+can't propose them all: at 0.8 two of 64 bits differ in 10 on average, beyond what
+selective keys reach.
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import components, cut
+from loomcast.llm import simhash
+from loomcast.llm.common import components, cut, stay
 
 BANDS, ROWS = 24, 5
 SHINGLES_AT_ONCE = 1 << 12
@@ -40,6 +43,15 @@ def shingles(text: bytes, width: int = 5, seed: int = 42) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], seed) for a, b in spans), dtype=np.uint64, count=len(words) - width + 1))
 
 
+def fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of a set: a bit is set if it is set in over half the hashes."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), SHINGLES_AT_ONCE):
+        part = hashes[at : at + SHINGLES_AT_ONCE].astype("<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return sum(1 << i for i in np.flatnonzero(2 * counts > len(hashes)).tolist())
+
+
 def bands(hashes: np.ndarray) -> np.ndarray:
     """A key for each band of a set's MinHash values; none for the empty set."""
     import xxhash
@@ -68,15 +80,16 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, width: int) -> Iterat
 
 
 def _classes_of(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, cls, bands) of each row; rows of equal shingle sets share cls."""
+    """(id, cls, fp, bands) of each row; rows of equal shingle sets share cls."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets, digests in _texts(batches, 1, width):
             keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests), keys], names=[id_col, "cls", "bands"])
+            prints = np.array([fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests), pa.array(prints), keys], names=["id", "cls", "fp", "bands"])
 
-    return docs.select(id_col, F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, f"`{id_col}` {kind}, cls long, bands array<long>")
+    return docs.select(id_col, F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, f"id {kind}, cls long, fp long, bands array<long>")
 
 
 def _sets_of(docs: DataFrame, text_col: str, width: int) -> DataFrame:
@@ -108,21 +121,21 @@ def _prefixes(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]
     return first(2 * similarity / (1 + similarity)), first(similarity)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, component_id): one row per row of docs; component_id is the smallest id reachable over linked pairs.
-
-    Each bucket's rows are first compared with its least one. Rows of buckets that then
-    still hold several components are compared once more, by keys that miss no pair
-    (_prefixes): first with a head for each key, then between components only, as other
-    pairs can't change the result. So a large group of near copies isn't compared pair
-    by pair, whether its members are similar enough or not.
-    """
+def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
+    """(id, cls, grp, least), one row per row of docs: its class, its group's least class and its group's smallest id."""
     rows = cut(_classes_of(docs, id_col, text_col, width))
-    classes = cut(rows.groupBy("cls").agg(F.min(id_col).alias("least_id"), F.first("bands").alias("bands")))
+    classes = cut(rows.groupBy("cls").agg(F.min("id").alias("least_id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
     keys = classes.select("cls", F.explode("bands").alias("key"))
     heads = keys.groupBy("key").agg(F.min("cls").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     keys = cut(keys.join(heads, "key"))
-    ids = rows.select(id_col, "cls").join(keys.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min(id_col).alias(id_col))
+    prints = cut(classes.where(F.size("bands") > 0).groupBy("fp").agg(F.min("cls").alias("head")))
+    near = simhash.links(prints).join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    alike = classes.join(prints, "fp").where("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b"))
+    proposed = keys.where("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).unionByName(near).unionByName(alike)
+    proposed = cut(proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    met = proposed.select(F.col("a").alias("cls")).unionByName(proposed.select(F.col("b").alias("cls"))).distinct()
+    # One row of each class that was met brings its text: by id where it has one.
+    ids = rows.join(met, "cls", "left_semi").groupBy("cls").agg(F.min("id").alias(id_col))
     asked = docs.select(id_col, text_col)
     some = asked.join(ids.where(F.col(id_col).isNotNull()).select(id_col).distinct(), id_col, "left_semi").unionByName(asked.where(F.col(id_col).isNull()))
     sets = cut(_sets_of(some, text_col, width))
@@ -132,11 +145,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         shared = F.size(F.array_intersect("x", "y"))
         return cut(both.where(shared / (F.size("x") + F.size("y") - shared) >= similarity).select("a", "b"))
 
-    first = similar(keys.where("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct())
-    found = components(first).withColumnRenamed("node", "cls")
-    held = keys.join(found, "cls", "left").select("key", "cls", F.coalesce("component", "cls").alias("of"))
-    mixed = held.groupBy("key").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo <> hi").select("key")
-    some = held.join(mixed, "key", "left_semi").select("cls").distinct()
+    first = similar(proposed)
+    # Buckets with a row that isn't linked to their head itself.
+    loose = keys.where("cls <> head").select("key", F.least("head", "cls").alias("a"), F.greatest("head", "cls").alias("b")).join(first, ["a", "b"], "left_anti")
+    some = keys.join(loose.select("key").distinct(), "key", "left_semi").select("cls").distinct()
     index, probe = _prefixes(sets.join(some, "cls", "left_semi"), similarity)
     heads = index.groupBy("key").agg(F.min(F.struct("n", "cls")).alias("h"))
     second = similar(probe.join(heads, "key").where(F.struct("n", "cls") > F.col("h")).select(F.col("h.cls").alias("a"), F.col("cls").alias("b")).distinct())
@@ -146,15 +158,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other = probe.select("key", F.col("r").alias("q"), F.col("of").alias("of_q"))
     rest = index.join(mixed, "key", "left_semi").join(other, "key").where("r < q and of <> of_q").select(F.col("r.cls").alias("a"), F.col("q.cls").alias("b")).distinct()
     linked = components(first.unionByName(second).unionByName(similar(rest))).withColumnRenamed("node", "cls")
-    groups = linked.join(classes, "cls")
-    least = groups.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of = groups.select("cls", "component").join(least, "component").select("cls", "component_id")
-    of = classes.join(of, "cls", "left").select("cls", F.coalesce("component_id", "least_id").alias("component_id"))
-    return rows.join(of, "cls").select(id_col, "component_id")
+    of = classes.join(linked, "cls", "left").select("cls", "least_id", F.coalesce("component", "cls").alias("grp"))
+    least = of.groupBy("grp").agg(F.min("least_id").alias("least"))
+    return rows.select("id", "cls").join(of.select("cls", "grp").join(least, "grp"), "cls").select("id", "cls", "grp", "least")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component_id): one row per row of docs; component_id is the smallest id reachable over linked pairs.
+
+    Each bucket's rows are first compared with its least one. Rows of buckets in which that
+    doesn't link all are compared once more, by keys that miss no pair (_prefixes): first
+    with a head for each key, then between components only, as other pairs can't change
+    the result. So a large group of near copies isn't compared pair
+    by pair, whether its members are similar enough or not.
+
+    A null text is empty; texts without words are alike and similar to no other; a text of
+    fewer words than width is one shingle. A row with a null id gets its group's component,
+    null if no row of the group has an id. Repeated rows and ids stay separate rows. Very
+    long texts count whole. An empty table gives an empty result; other columns are
+    ignored, whatever their names.
+    """
+    found = _groups(docs, id_col, text_col, width, similarity)
+    return found.select(F.col("id").alias(id_col), F.col("least").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of docs whose id is the smallest of their near-duplicate group; rows without an id stay."""
-    keep = near_duplicates(docs, id_col, text_col, width, similarity).where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
-    return named.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    """One row of docs for each near-duplicate group, with all its columns: a row of the group's smallest id.
+
+    Of a group's rows that share that id one stays, of a group without any id one too.
+    """
+    def class_of(rows: DataFrame, name: str) -> DataFrame:
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        at = rows.columns.index(text_col)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, _, digests in _texts(batches, at, width):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digests)], names=[*part.schema.names, name])
+
+        return rows.mapInArrow(run, f"{kinds}, `{name}` long")
+
+    return stay(docs, id_col, _groups(docs, id_col, text_col, width, similarity), class_of)

@@ -11,7 +11,8 @@ each, dual-feasible functions bound the number of bins from below. A partition t
 meets its bound is certified; its closed bins stay. Partitions with a gap give up the
 documents of their open bins and certified ones the emptiest quarter of theirs; these are dealt out
 anew into fewer partitions and packed again, and the new packing is taken if it has
-fewer bins, until nothing is left to gain.
+fewer bins, until a round gains nothing or MAX_ROUNDS are done; then the last packing
+stands, whole and valid, with its gap to the bound.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import cut
+from loomcast.llm.common import cut, free_name
 
 CAPACITY, PARTITION_PIECES, MAX_ROUNDS = 2048, 20_000, 4
 #: Of a certified partition's bins, one in so many is exchanged, the emptiest first.
@@ -112,8 +113,10 @@ def worker_tokenizer(path: str) -> ChunkTokenizer:
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]): each whole text's ids, then end_id, cut at capacity.
 
-    A null text is empty and gives one piece of end_id alone. ids are little-endian
-    unsigned 32-bit integers. Repeated rows give repeated pieces.
+    A null text is empty and gives one piece of end_id alone; a very long one gives as many
+    pieces as it takes. ids are little-endian unsigned 32-bit integers. Repeated rows give
+    repeated pieces, null ids stay null, an empty table gives no pieces; other columns are
+    ignored, whatever their names.
     """
     fields = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
 
@@ -179,12 +182,13 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets, fill
 
 
-def _pack_partitions(rows: DataFrame, capacity: int, parts: int, turn: int, id_col: str) -> DataFrame:
-    """Deals rows into `parts` and packs each; adds sequence_id, offset and open."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", part long, sequence_id long, offset long, open boolean"
+def _pack_partitions(rows: DataFrame, capacity: int, parts: int, turn: int, names: dict[str, str]) -> DataFrame:
+    """Deals rows into `parts` by their number and packs each; adds the columns bin, place and open as named."""
+    row, part, bin_, place, open_ = (names[k] for k in ("row", "part", "bin", "place", "open"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + f", `{part}` long, `{bin_}` long, `{place}` long, `{open_}` boolean"
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", id_col, "piece", "start"], ascending=[False, True, True, True], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(["length", row], ascending=[False, True], kind="stable", ignore_index=True)
         lengths = pdf["length"].to_numpy(np.int64)
         bins, offsets, fill = best_fit_decreasing(lengths, capacity)
         filled = np.array(fill)
@@ -193,35 +197,41 @@ def _pack_partitions(rows: DataFrame, capacity: int, parts: int, turn: int, id_c
             rank = np.empty(len(fill), np.int64)
             rank[np.argsort(filled, kind="stable")] = np.arange(len(fill))
             loose &= rank < max(1, len(fill) // EMPTIEST)
-        return pdf.assign(sequence_id=(turn << 56) + (pdf["part"].to_numpy(np.int64) << 24) + bins, offset=offsets, open=loose[bins])
+        return pdf.assign(**{bin_: (turn << 56) + (pdf[part].to_numpy(np.int64) << 24) + bins, place: offsets, open_: loose[bins]})
 
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64(id_col, "piece", F.lit(turn)), F.lit(parts)))
-    return dealt.groupBy("part").applyInPandas(pack, schema).drop("part")
+    dealt = rows.withColumn(part, F.pmod(F.xxhash64(row, F.lit(turn)), F.lit(parts)).cast("long"))
+    return dealt.groupBy(part).applyInPandas(pack, schema).drop(part)
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", partition_pieces: int = PARTITION_PIECES) -> DataFrame:
-    """items with columns (id, piece, start, length, ...) gain sequence_id and offset.
+def pack(items: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PARTITION_PIECES) -> DataFrame:
+    """items with a column length, 1 to capacity, gain sequence_id and offset; all other columns are kept.
 
-    Every length is 1 to capacity. Partitions hold about partition_pieces pieces at any
-    size of the input; only counts reach the driver. An empty table stays empty.
+    Rows are numbered and dealt by number, so that repeated or null ids make no partition
+    larger. Partitions hold about partition_pieces pieces at any size of the input; only
+    counts reach the driver. Columns of items named sequence_id or offset are replaced.
+    Pieces of equal length may be packed in any order. An empty table stays empty.
     """
+    items = items.drop("sequence_id", "offset")
+    names = {k: free_name(k, items.columns) for k in ("row", "part", "bin", "place", "open")}
+    items = cut(items.withColumn(names["row"], F.monotonically_increasing_id()))
+
     def bins(df: DataFrame) -> int:
-        return df.where("offset = 0").count()
+        return df.where(F.col(names["place"]) == 0).count()
 
     n = items.count()
-    packed = cut(_pack_partitions(items, capacity, max(1, -(-n // partition_pieces)), 0, id_col))
+    packed = cut(_pack_partitions(items, capacity, max(1, -(-n // partition_pieces)), 0, names))
     done: DataFrame | None = None
-    columns = [*items.columns, "sequence_id", "offset"]
     for turn in range(1, MAX_ROUNDS + 1):
-        loose = packed.where("open")
+        loose = packed.where(F.col(names["open"]))
         left = loose.count()
         had = bins(loose)
         if had < 2:
             break
-        again = cut(_pack_partitions(loose.select(items.columns), capacity, max(1, -(-left // partition_pieces)), turn, id_col))
+        again = cut(_pack_partitions(loose.select(items.columns), capacity, max(1, -(-left // partition_pieces)), turn, names))
         if bins(again) >= had:
             break
-        closed = packed.where("not open")
+        closed = packed.where(~F.col(names["open"]))
         done = closed if done is None else done.unionByName(closed)
         packed = again
-    return (packed if done is None else done.unionByName(packed)).select(columns)
+    whole = packed if done is None else done.unionByName(packed)
+    return whole.withColumns({"sequence_id": F.col(names["bin"]), "offset": F.col(names["place"])}).drop(*names.values())

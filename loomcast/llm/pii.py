@@ -4,7 +4,8 @@ Each value found is validated (check digits, calendar, octets), then permuted wi
 format by a keyed alternating Feistel network over mixed radices: a bijection of the
 values of that format, so equal values get equal pseudonyms in every document, different
 ones stay different, and the holder of the key can undo it. Check digits are computed
-anew, dates stay dates, separators stay in place.
+anew, dates stay dates, separators stay in place. A date is the same day in every
+spelling, and a phone number the same with and without its country code.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import secrets
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 10
@@ -25,6 +28,22 @@ HEX = "0123456789abcdef"
 #: Dates are permuted among the days of these years; others are left alone.
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
+#: Letters permuted at once; longer values go block by block, each with the one before it as part of its tweak.
+BLOCK = 128
+#: The session's configuration of the key.
+KEY_SETTING = "spark.loomcast.pii.key"
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session's configuration holds under KEY_SETTING.
+
+    Where none is set, a random one is made for this session and kept in it: equal values
+    stay linked within the session, and nobody can undo them afterwards.
+    """
+    if not spark.conf.get(KEY_SETTING, None):
+        spark.conf.set(KEY_SETTING, secrets.token_hex(32))
+    return spark.conf.get(KEY_SETTING).encode()
+
 
 class Feistel:
     """Keyed permutation of sequences whose i-th number is below radices[i]."""
@@ -67,10 +86,17 @@ class Feistel:
         """Permutes the characters that have an alphabet; the others stay and are part of the format."""
         at = [i for i, a in enumerate(alphabets) if a]
         shape = "".join("*" if a else c for a, c in zip(alphabets, value, strict=True))
-        new = self.permute([alphabets[i].index(value[i]) for i in at], [len(alphabets[i]) for i in at], f"{tweak}|{shape}", undo)
-        out = list(value)
-        for i, x in zip(at, new, strict=True):
-            out[i] = alphabets[i][x]
+        if len(shape) > BLOCK:
+            shape = hashlib.blake2b(shape.encode(), digest_size=16).hexdigest()
+        out, before = list(value), ""
+        for start in range(0, len(at), BLOCK):
+            part = at[start : start + BLOCK]
+            sizes = [len(alphabets[i]) for i in part]
+            old = [alphabets[i].index(value[i]) for i in part]
+            new = self.permute(old, sizes, f"{tweak}|{shape}{before}", undo)
+            for i, x in zip(part, new, strict=True):
+                out[i] = alphabets[i][x]
+            before = f"|{start}|{old if undo else new}"
         return "".join(out)
 
 
@@ -107,17 +133,20 @@ class Pseudonyms:
         return self._text(local, [alphabet_of(c) for c in local], "email@" + domain.lower()) + "@" + domain if any(map(alphabet_of, local)) else None
 
     def secret(self, m: re.Match) -> str | None:
-        value = m["aws"] or m["value"]
-        before, after = m[0][: -len(value)] if m["aws"] else m[0][: m.start("value") - m.start()], "" if m["aws"] else m[0][m.end("value") - m.start() :]
-        if m["aws"]:
-            before, value = value[:4], value[4:]
-            new = self._text(value, [UPPER + DIGITS] * len(value), "aws")
+        kind = next(k for k in ("aws", "token", "pem", "value") if m[k])
+        value, at = m[kind], m.start(kind) - m.start()
+        if kind == "value" and (known := re.fullmatch(f"(?:(?P<t>{TOKEN})|(?P<a>{AWS}))(?P<rest>.*)", value)) and len(known["rest"]) >= 16:  # a token behind its name
+            kind = "token" if known["t"] else "aws"
+            at, value = at + known.start("rest"), known["rest"]
+        if kind == "aws" and set(value) <= set(UPPER + DIGITS):
+            alphabets = [UPPER + DIGITS] * len(value)
+        elif kind == "value" and set(value) <= set(HEX):
+            alphabets = [HEX] * len(value)
         else:
-            alphabets = [HEX] * len(value) if set(value) <= set(HEX) else [alphabet_of(c) for c in value]
+            alphabets = [alphabet_of(c) for c in value]
             if not any(alphabets):
                 return None
-            new = self._text(value, alphabets, "secret")
-        return before + new + after
+        return m[0][:at] + self._text(value, alphabets, "secret" if kind == "value" else kind) + m[0][at + len(value) :]
 
     def iban(self, m: re.Match) -> str | None:
         plain = m[0].replace(" ", "")
@@ -141,10 +170,10 @@ class Pseudonyms:
             return None
         swapped = not m["y1"] and month is first  # month first: only days past 12 read so
         number = ordinal - FIRST_DAY
-        while True:  # walk the cycle to the next date that reads back in the same format
-            number = self._walk(number, LAST_DAY - FIRST_DAY + 1, "date" + "m" * swapped)
+        while True:  # walk the cycle to the next date that reads back in every spelling: days past 12 go to such days
+            number = self._walk(number, LAST_DAY - FIRST_DAY + 1, "date")
             new = datetime.date.fromordinal(number + FIRST_DAY)
-            if not swapped or new.day > 12:
+            if (new.day > 12) == (int(day) > 12):
                 break
         y, mo, d = f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"
         if m["y1"]:
@@ -189,17 +218,24 @@ class Pseudonyms:
         if not 10 <= len(digits) <= 15:
             return None
         keep = len(digits) - 10 if m[0].startswith("+") else 0  # the country code and what lies before ten digits
-        places = [DIGITS if i >= keep else None for i in range(len(digits))]
-        for i in (keep, keep + 3):
-            if digits[i] in "23456789" and len(digits) - keep == 10:
-                places[i] = "23456789"
-        return _respell(m[0], self._text(digits, places, "phone"))
+        own = digits[keep:]  # the same with and without a country code
+        places = [DIGITS] * len(own)
+        for i in (0, 3):
+            if len(own) == 10:
+                places[i] = "01" if own[i] in "01" else "23456789"
+        shape = "".join(str(len(p)) for p in places)
+        return _respell(m[0], digits[:keep] + self._text(own, places, "phone" + shape))
+
 
+#: How tokens of well-known services start.
+TOKEN, AWS = r"gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk-(?:proj-|ant-)?|[rs]k_(?:live|test)_|AIza|hf_", "A(?:KI|SI)A"
 
 PATTERNS: dict[str, re.Pattern] = {
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![A-Za-z0-9-])"),
     "secret": re.compile(
-        r"(?<![A-Za-z0-9])(?:(?P<aws>A(?:KI|SI)A[A-Z0-9]{16})(?![A-Za-z0-9])"
+        r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----(?P<pem>[A-Za-z0-9+/=\s\\:,-]{20,20000}?)-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----"
+        rf"|(?<![A-Za-z0-9])(?:{AWS}(?P<aws>[A-Z0-9]{{16}})(?![A-Za-z0-9])"
+        rf"|(?:{TOKEN})(?P<token>[A-Za-z0-9_-]{{20,}}(?<![_-]))(?![A-Za-z0-9])"
         r"|(?:[Pp]ass(?:word|wd|phrase)|PASSWORD|[Pp]wd|[Tt]oken|TOKEN|[Ss]ecret|SECRET|[Aa]pi[_-]?[Kk]ey|API[_-]?KEY)\s{0,3}[=:]\s{0,3}[\"']?(?P<value>[A-Za-z0-9+/_.~-]{7,}[A-Za-z0-9+/_~-]))"
     ),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
@@ -210,24 +246,37 @@ PATTERNS: dict[str, re.Pattern] = {
     "phone": re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w-]|\.\d)|(?<![\w.+-])\+\d{1,3}(?:[ .-]?\d{2,4}){3,5}(?![\w-]|\.\d)"),
 }
 _DIGIT = re.compile("[0-9]")
+#: What a text needs to hold for a kind to be looked for.
+_NEEDS = {"email": "@", "ip": "."}
 
 
 def pseudonymise(text: str, with_: Pseudonyms) -> tuple[str, dict[str, int]]:
-    """The text with each valid value replaced, and how many of each kind; earlier kinds win overlaps."""
-    if not _DIGIT.search(text) and "@" not in text and "=" not in text and ":" not in text:
+    """The text with each valid value replaced, and how many of each kind; earlier kinds win overlaps.
+
+    Matches of a kind come in order and are held against the sorted spans of the kinds
+    before it, so the work grows with the text and with the values by n log n.
+    """
+    if not _DIGIT.search(text) and "@" not in text and "=" not in text and ":" not in text and "-----BEGIN" not in text:
         return text, {}
     spans: list[tuple[int, int, str, str]] = []
+    starts: list[int] = []
     for kind in KINDS:
-        if kind == "email" and "@" not in text or kind == "ip" and "." not in text:
+        if _NEEDS.get(kind, "") not in text:
             continue
         make: Callable = getattr(with_, kind)
+        new_spans = []
         for m in PATTERNS[kind].finditer(text):
-            if not any(m.start() < b and a < m.end() for a, b, *_ in spans) and (new := make(m)) is not None:
-                spans.append((m.start(), m.end(), new, kind))
+            i = bisect_right(starts, m.start())
+            free = (i == 0 or spans[i - 1][1] <= m.start()) and (i == len(spans) or spans[i][0] >= m.end())
+            if free and (new := make(m)) is not None:
+                new_spans.append((m.start(), m.end(), new, kind))
+        if new_spans:
+            spans = sorted(spans + new_spans)
+            starts = [s[0] for s in spans]
     if not spans:
         return text, {}
     out, at, counts = [], 0, {}
-    for a, b, new, kind in sorted(spans):
+    for a, b, new, kind in spans:
         out += [text[at:a], new]
         at = b
         counts[kind] = counts.get(kind, 0) + 1
@@ -237,9 +286,11 @@ def pseudonymise(text: str, with_: Pseudonyms) -> tuple[str, dict[str, int]]:
 def protect(docs: DataFrame, key: bytes, text_col: str = "text", counts_col: str | None = "pii_counts", undo: bool = False) -> DataFrame:
     """docs with text_col pseudonymised and, unless counts_col is None, a map of counts by kind.
 
-    All other columns are kept as they are. A null text stays null; repeated rows are
-    treated alike; an empty table gives an empty result. An existing column of the name
-    counts_col is replaced. key is a secret of the caller's; undo restores the values.
+    All other columns are kept as they are. A null text stays null and an empty one empty;
+    repeated rows are treated alike; very long texts are scanned whole, in time that grows
+    with them and their values; an empty table gives an empty result. An existing column of
+    the name counts_col is replaced. key is a secret of the caller's; undo restores the
+    values.
     """
     if counts_col is not None:
         docs = docs.drop(counts_col)

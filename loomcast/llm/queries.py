@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.llm import bpe, chat, exact_dedup, html_text, lattice, packing, pii, quality, simhash, url_filter
-from loomcast.llm.common import cut, documents, table, tokenizer_file
+from loomcast.llm.common import documents, table, tokenizer_file
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,16 +17,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = packing.pieces(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
-    return packing.pack(cut(items))
-
-
-#: The queries' key; a corpus has a secret one of its own.
-PII_KEY = b"loomcast example key"
+    return packing.pack(packing.pieces(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json")))
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    safe = pii.protect(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+    safe = pii.protect(documents(spark, sf_dir).select("doc_id", "text"), pii.session_key(spark))
     return safe.select("doc_id", "text", pii.total().cast("long").alias("n_replaced"))
 
 
@@ -108,8 +103,11 @@ p AS (
          regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM u
 ), l AS (SELECT doc_id, bool_or(coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1) AS bad FROM labels GROUP BY 1),
 o AS (SELECT host, bad FROM p JOIN l ON l.doc_id = TRY_CAST(regexp_extract(path, '^/[a-z]+/([0-9]+)', 1) AS BIGINT)),
-h AS (SELECT host, split_part(host, '.', -1) AS suffix, CASE WHEN strpos(host, '.') > 0 THEN split_part(host, '.', -2) || '.' || split_part(host, '.', -1) ELSE host END AS domain,
-             count(*)::DOUBLE AS n, sum(bad::INT)::DOUBLE AS y FROM o GROUP BY 1, 2, 3),
+parts AS (SELECT DISTINCT host, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS a FROM p),
+own AS (SELECT host, CASE WHEN regexp_matches(host, '^[0-9.]+(:[0-9]*)?$|^\[') THEN 0
+          WHEN len(a) > 2 AND length(a[-1]) = 2 AND a[-2] IN ('ac', 'co', 'com', 'edu', 'gob', 'gov', 'govt', 'ltd', 'mil', 'ne', 'net', 'nom', 'or', 'org', 'plc', 'sch') THEN 2 ELSE 1 END AS k, a FROM parts),
+names AS (SELECT host, array_to_string(CASE WHEN k = 0 THEN a ELSE a[greatest(1, len(a) - k + 1):] END, '.') AS suffix, array_to_string(CASE WHEN k = 0 THEN a ELSE a[greatest(1, len(a) - k):] END, '.') AS domain FROM own),
+h AS (SELECT host, suffix, domain, count(*)::DOUBLE AS n, sum(bad::INT)::DOUBLE AS y FROM o JOIN names USING (host) GROUP BY 1, 2, 3),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(y) AS y FROM h GROUP BY 1, 2),
 s AS (SELECT suffix, sum(n) AS n, sum(y) AS y FROM d GROUP BY 1),
 g AS (SELECT 'h' AS lev, n, y FROM h UNION ALL SELECT 'd', n, y FROM d UNION ALL SELECT 's', n, y FROM s),
@@ -119,7 +117,10 @@ m AS (SELECT lev, p, greatest(1.0, least(1e4, CASE WHEN k > 1 AND spread - p * (
         THEN (p * (1 - p) - spread) / (spread - p * (1 - p) * inv / k) ELSE 1e4 END)) AS m FROM b),
 sr AS (SELECT suffix, (y + m.m * m.p) / (n + m.m) AS r FROM s, m WHERE lev = 's'),
 dr AS (SELECT domain, (y + m.m * sr.r) / (n + m.m) AS r FROM d JOIN sr USING (suffix), m WHERE lev = 'd'),
-hr AS (SELECT host, n, (y + m.m * dr.r) / (n + m.m) AS r, n + m.m AS w FROM h JOIN dr USING (domain), m WHERE lev = 'h'),
+al AS (SELECT coalesce(y / n, 0) AS r FROM (SELECT sum(n) AS n, sum(y) AS y FROM h)), hm AS (SELECT coalesce(max(m), 1e4) AS m FROM m WHERE lev = 'h'),
+pr AS (SELECT names.host, coalesce(h.n, 0) AS n, coalesce(h.y, 0) AS y, hm.m, coalesce(dr.r, sr.r, al.r) AS prior
+       FROM names LEFT JOIN h USING (host) LEFT JOIN dr ON dr.domain = names.domain LEFT JOIN sr ON sr.suffix = names.suffix, al, hm),
+hr AS (SELECT host, n, (y + m * prior) / (n + m) AS r, n + m AS w FROM pr),
 ru(action, rule) AS (VALUES ('block', 'com/en/'), ('allow', 'example.com/en/7'), ('allow', 'net/de/'), ('block', 'example.net/de/8'), ('block', 'org/es/')),
 f AS (
   SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action FROM p JOIN ru

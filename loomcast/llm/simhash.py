@@ -173,8 +173,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     max_bits apart are linked, and component_id is the smallest id reachable. Texts
     without words have fingerprint 0 and are linked like any other. A row whose id is
     null gets its class's component (null if no row reachable has an id). Repeated rows
-    and repeated ids stay separate rows; an empty table gives an empty result. Other
-    columns are ignored, whatever their names.
+    and repeated ids stay separate rows; very long texts are hashed whole, part by part; an
+    empty table gives an empty result. Other columns are ignored, whatever their names.
     """
     rows = cut(fingerprints(docs, id_col, text_col))
     classes = cut(rows.groupBy("fp").agg(F.min(id_col).alias("least_id")))
@@ -188,10 +188,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def fingerprint_hex(col: str = "fp") -> F.Column:
     return F.lower(F.lpad(F.hex(F.col(col)), 16, "0"))
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of their near-duplicate group; rows without an id stay."""
-    keep = near_duplicates(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
-    return named.select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

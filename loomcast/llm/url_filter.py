@@ -1,11 +1,11 @@
 """URL filtering by rules and by empirical-Bayes host reputation, DataFrame operations only.
 
-Labelled page outcomes (bad or not) are counted by host, registered domain (the last
-two labels of the host) and suffix (the last label). Each level's bad rate is shrunk to
-its parent's: the suffixes to the overall rate, domains to their suffix, hosts to their
-domain. A level's prior strength is fitted over its groups by moments of the
-beta-binomial. A page is blocked if the lower bound of its host's posterior bad rate
-reaches a threshold.
+Labelled page outcomes (bad or not) are counted by host, registered domain and suffix.
+Each level's bad rate is shrunk to its parent's: the suffixes to the overall rate, domains
+to their suffix, hosts to their domain. A level's prior strength is fitted over its groups
+by moments of the beta-binomial. A page is blocked if the lower bound of its host's
+posterior bad rate reaches a threshold; a host without outcomes has its domain's rate,
+else its suffix's, else the overall one as its prior.
 """
 
 from __future__ import annotations
@@ -15,9 +15,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomcast.llm.common import cut, free_name
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rules given as a list are written into the expression; longer lists belong in a table.
+#: Rules in a list of up to so many are written into the expression; more become a table.
 MAX_INLINE = 2000
+#: Second labels under which a country's suffix registers domains (co.uk, com.au).
+REGISTRY_LABELS = ("ac", "co", "com", "edu", "gob", "gov", "govt", "ltd", "mil", "ne", "net", "nom", "or", "org", "plc", "sch")
 #: Bounds of a fitted prior strength, in pages.
 STRENGTH = (1.0, 1.0e4)
 
@@ -33,20 +37,35 @@ def split_url(df: DataFrame, url_col: str, host: str = "host", path: str = "path
     })
 
 
+def domain_of(host: Column) -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host: a suffix is the last label, or the last two where a country has registry labels.
+
+    Ports don't count; an address of numbers is its own domain and suffix.
+    """
+    bare = F.regexp_replace(host, ":[0-9]*$", "")
+    last, second = F.substring_index(bare, ".", -1), F.substring_index(F.substring_index(bare, ".", -2), ".", 1)
+    deep = (F.length(last) == 2) & second.isin(*REGISTRY_LABELS) & (bare != F.substring_index(bare, ".", -2))
+    numbers = bare.rlike(r"^[0-9.]+$|^\[")
+    domain = F.when(numbers, bare).when(deep, F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
+    return domain, F.when(numbers, bare).when(deep, F.substring_index(bare, ".", -2)).otherwise(last)
+
+
 def parse_rule(rule: str) -> tuple[str, str, str]:
     """'example.com/en/7' as (host, path, rule); no path means every path."""
     host, slash, path = rule.partition("/")
     return host.translate(str.maketrans(UPPER, LOWER)), slash + path, rule
 
 
-def match_rules(df: DataFrame, rules: Sequence[tuple[str, str]], host: str = "host", path: str = "path") -> DataFrame:
+def match_rules(df: DataFrame, rules: Sequence[tuple[str, str]] | DataFrame, host: str = "host", path: str = "path") -> DataFrame:
     """Adds rule and rule_action of the longest rule that fits (ties: the least rule); null if none.
 
-    rules: (action, rule). A rule fits its host and all subdomains if the path starts
-    with the rule's.
+    rules: (action, rule), a list or a table of any size. A rule fits its host and all
+    subdomains if the path starts with the rule's.
     """
-    if len(rules) > MAX_INLINE:
-        raise ValueError("pass a table of rules to match_rule_table")
+    if not isinstance(rules, DataFrame) and len(rules) > MAX_INLINE:
+        rules = df.sparkSession.createDataFrame(list(rules), "action string, rule string")
+    if isinstance(rules, DataFrame):
+        return match_rule_table(df, rules, host, path)
     if not rules:
         return df.withColumns({"rule": F.lit(None).cast("string"), "rule_action": F.lit(None).cast("string")})
     fitting = []
@@ -55,18 +74,20 @@ def match_rules(df: DataFrame, rules: Sequence[tuple[str, str]], host: str = "ho
         fits = ((F.col(host) == h) | F.endswith(F.col(host), F.lit("." + h))) & F.startswith(F.col(path), F.lit(p))
         fitting.append(F.when(fits, F.struct(F.lit(-len(text)).alias("size"), F.lit(text).alias("rule"), F.lit(action).alias("action"))))
     best = F.array_min(F.filter(F.array(*fitting), lambda r: r.isNotNull()))
-    return df.withColumn("__best", best).withColumns({"rule": F.col("__best.rule"), "rule_action": F.col("__best.action")}).drop("__best")
+    name = free_name("best", df.columns)
+    return df.withColumn(name, best).withColumns({"rule": F.col(f"{name}.rule"), "rule_action": F.col(f"{name}.action")}).drop(name)
 
 
-def match_rule_table(df: DataFrame, rules: DataFrame, key: str, host: str = "host", path: str = "path") -> DataFrame:
-    """match_rules for a table (action, rule) of any size: joins on each suffix of the host."""
+def match_rule_table(df: DataFrame, rules: DataFrame, host: str = "host", path: str = "path") -> DataFrame:
+    """match_rules for a table (action, rule): distinct (host, path) are joined on each suffix of the host."""
     parsed = rules.select("action", "rule", F.translate(F.substring_index("rule", "/", 1), UPPER, LOWER).alias("rule_host"), F.regexp_extract("rule", r"(/.*)$", 1).alias("rule_path"))
-    labels = F.split(F.col(host), r"\.")
+    labels = F.split("h", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    tried = df.select(key, path, F.explode(suffixes).alias("rule_host"))
-    fits = tried.join(parsed, "rule_host").where(F.startswith(F.col(path), F.col("rule_path")))
-    best = fits.groupBy(key).agg(F.min(F.struct((-F.length("rule")).alias("size"), "rule", "action")).alias("b"))
-    return df.join(best.select(key, F.col("b.rule").alias("rule"), F.col("b.action").alias("rule_action")), key, "left")
+    tried = df.select(F.col(host).alias("h"), F.col(path).alias("p")).distinct().select("h", "p", F.explode(suffixes).alias("rule_host"))
+    fits = tried.join(parsed, "rule_host").where(F.startswith(F.col("p"), F.col("rule_path")))
+    best = fits.groupBy("h", "p").agg(F.min(F.struct((-F.length("rule")).alias("size"), "rule", "action")).alias("b"))
+    best = best.select(F.col("h").alias("__h"), F.col("p").alias("__p"), F.col("b.rule").alias("rule"), F.col("b.action").alias("rule_action"))
+    return df.join(best, (F.col(host) == F.col("__h")) & (F.col(path) == F.col("__p")), "left").drop("__h", "__p")
 
 
 def _strength(groups: DataFrame) -> DataFrame:
@@ -89,8 +110,9 @@ def _posterior(n: Column, bad: Column, prior: Column, m: Column, z: float) -> di
 
 def _levels(outcomes: DataFrame, host: str, bad: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """hosts (host, domain, suffix, n, bad); domains (domain, domain_rate); suffixes (suffix, suffix_rate); one row (m, p): the hosts' strength and the overall rate."""
+    domain, suffix = domain_of(F.col("host"))
     hosts = outcomes.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(bad).cast("long")).alias("bad"))
-    hosts = hosts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
+    hosts = cut(hosts.withColumns({"domain": domain, "suffix": suffix}))  # a row a host: the levels below start from it
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
@@ -116,27 +138,29 @@ def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad", z: fl
     return h.select("host", F.col("n").alias("n_labelled"), *(c.alias(k) for k, c in found.items()))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]], url_col: str = "url", threshold: float = 0.5, z: float = 1.645) -> DataFrame:
-    """pages with host, path, rule, verdict, bad_rate, n_labelled.
+def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]] | DataFrame, url_col: str = "url", threshold: float = 0.5, z: float = 1.645) -> DataFrame:
+    """pages with host, path, rule, n_labelled, bad_rate, bad_low, verdict.
 
-    outcomes: (url_col, bad boolean), one row per labelled page. verdict is the longest
-    fitting rule's action, else block where the host's posterior lower bound reaches
-    threshold, else allow; a host without outcomes has its domain's rate as its prior, else
-    its suffix's, else the overall one, and the bound of that prior counts. A null or odd url has an
-    empty host and path and is judged like any other host; rows with a null bad are
-    ignored. Repeated rows are judged alike; an empty table gives an empty result.
+    outcomes: (url_col, bad boolean), one row per labelled page; rows with a null bad are
+    ignored. verdict is the longest fitting rule's action, else block where the host's
+    posterior lower bound reaches threshold, else allow; a host without outcomes has its
+    domain's rate as its prior, else its suffix's, else the overall one, and the bound of
+    that prior counts. A null or odd url has an empty host and path and is judged like any
+    other host; very long ones are judged whole. Repeated rows are judged alike; an empty
+    table gives an empty result. Columns of pages with the names of those added are
+    replaced; all others are kept.
     """
     known = split_url(outcomes.where(F.col("bad").isNotNull()).select(F.col(url_col).alias("url"), "bad"), "url").select("host", "bad")
     hosts, domains, suffixes, whole = _levels(known, "host", "bad")
     counts = hosts.select(F.col("host").alias("__host"), F.col("n").alias("__n"), F.col("bad").alias("__bad"))
-    domains, suffixes = domains.select(F.col("domain").alias("__domain"), "domain_rate"), suffixes.select(F.col("suffix").alias("__suffix"), "suffix_rate")
-    parts = match_rules(split_url(pages.drop("host", "path", "rule", "verdict", "rule_action", "bad_rate", "bad_low", "n_labelled"), url_col), rules)
-    kept, unseen = parts.columns, F.lit(0).cast("long")
-    out = parts.join(counts, F.col("host") == F.col("__host"), "left")
-    out = out.join(domains, F.substring_index("host", ".", -2) == F.col("__domain"), "left").join(suffixes, F.substring_index("host", ".", -1) == F.col("__suffix"), "left")
-    out = out.crossJoin(F.broadcast(whole.select(F.col("m").alias("__m"), F.col("p").alias("__p"))))
-    n, prior = F.coalesce("__n", unseen), F.coalesce("domain_rate", "suffix_rate", "__p")
+    domains, suffixes = domains.select(F.col("domain").alias("__domain"), F.col("domain_rate").alias("__dr")), suffixes.select(F.col("suffix").alias("__suffix"), F.col("suffix_rate").alias("__sr"))
+    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "rule_action", "bad_rate", "bad_low", "n_labelled")]
+    parts = match_rules(split_url(pages.select(*kept), url_col), rules)
+    unseen, (domain, suffix) = F.lit(0).cast("long"), domain_of(F.col("host"))
+    out = parts.join(counts, F.col("host") == F.col("__host"), "left").join(domains, domain == F.col("__domain"), "left").join(suffixes, suffix == F.col("__suffix"), "left")
+    out = out.crossJoin(F.broadcast(whole.select(F.col("m").alias("__m"), F.col("p").alias("__all"))))
+    n, prior = F.coalesce("__n", unseen), F.coalesce("__dr", "__sr", "__all")
     found = _posterior(n, F.coalesce("__bad", unseen), prior, F.col("__m"), z)
-    out = out.select(*kept, n.alias("n_labelled"), *(c.alias(k) for k, c in found.items()))
+    out = out.select(*parts.columns, n.alias("n_labelled"), *(c.alias(k) for k, c in found.items()))
     verdict = F.coalesce("rule_action", F.when(F.col("bad_low") >= threshold, "block").otherwise("allow"))
     return out.withColumn("verdict", verdict).drop("rule_action")

@@ -4,6 +4,7 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from loomcast.llm import bpe as B
 
@@ -43,12 +44,15 @@ def test_matches_the_library_and_decodes(spark, tmp_path):
         assert np.frombuffer(r.ids, "<u4").tolist() == lib().encode_ordinary(want[r.doc_id])
         assert bytes(r.decoded) == want[r.doc_id].encode()
     assert B.encode(docs.limit(0), PATH, PATTERN).count() == 0
+    shuffled = B.encode(docs.repartition(5, "doc_id").orderBy(F.rand()).repartition(4, "doc_id"), PATH, PATTERN, block_chars=300)
+    for r in B.decode(shuffled.withColumn("decoded", F.lit("old")), PATH).select("doc_id", "decoded").collect():
+        assert bytes(r.decoded) == want[r.doc_id].encode()
 
 
 def test_differing_readings_are_an_error(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     other = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     whole = B.word_positions
-    monkeypatch.setattr(B, "word_positions", lambda d, i, t, n: whole(other, i, t, n))
+    monkeypatch.setattr(B, "word_positions", lambda d, i, t, n: whole(other.toDF("id", "text"), i, t, n))
     with pytest.raises(Exception, match="two readings differ"):
         B.encode(docs, PATH, PATTERN).collect()

@@ -25,6 +25,14 @@ def test_kept_rows_keep_their_columns(spark):
     assert got.columns == docs.columns and {r.doc_id for r in got.collect()} == {1, 3}
 
 
+def test_repeated_and_null_ids_leave_one_row_a_text(spark):
+    rows = [(3, "y"), (5, "x"), (5, "y"), (5, "x"), (None, "y"), (None, "z"), (None, "z "), (None, None), (7, "w"), (7, "v")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, cls int")
+    got = X.deduplicated(docs).collect()
+    assert sorted((r.doc_id or 0, (r.text or "").strip()) for r in got) == [(0, ""), (0, "z"), (0, "z"), (3, "y"), (5, "x"), (7, "v"), (7, "w")]
+    assert X.deduplicated(docs.limit(0)).count() == 0
+
+
 def test_digest_clash_is_settled_by_content(spark, monkeypatch):
     """A digest of one value for all texts: content alone must tell them apart."""
     from pyspark.sql import functions as F

@@ -1,4 +1,9 @@
 import random
+import re
+import time
+from os.path import commonprefix
+
+from pyspark.sql import functions as F
 
 from loomcast.llm import html_text as H
 
@@ -34,46 +39,92 @@ y</pre><p>5 &lt; 6 &amp; 7 &#x41;&#66; &amp</p><form>f <input value="v"></form><
 TEXT = 'Title "x" <3 © é\n\nFirst line.\n\na b c d italic\n\none\n\ntwo\n\nx y\n\n5 < 6 & 7 AB &'
 
 
+def lines_of(page):
+    return [x for x, _ in H.page_lines(page)]
+
+
 def test_structure():
-    assert "\n\n".join(H.main_lines(H.page_lines(PAGE), None)) == TEXT
+    assert "\n\n".join(lines_of(PAGE)) == TEXT
     for odd in ("", "<", "<p", "text", "<p>a<!-- open", "<script>never closed", '<a href="unclosed>x', "</p></div>", "a < b", "<article>" * 3000 + "deep"):
         H.page_lines(odd)
-    assert H.main_lines(H.page_lines("a < b <p>c"), None) == ["a < b", "c"]
-
-
-def test_differences_between_near_urls(spark):
-    page = "<div>Welcome to the site</div><div>All about {0}</div><p>Body of {0}</p><p>Same words</p><div>Bottom line</div>"
-    art = "<div>Welcome to the site</div><article><p>Same words</p><p>Art {0}</p></article>"
-    rows = [(i, f"http://h.com/a/{i}", page.format(i)) for i in range(4)] + [(10 + i, f"http://g.com/{i}", art.format(i)) for i in range(3)]
-    rows += [(20, None, None), (21, "http://lone.com/", page.format("lone")), (22, "http://lone.com/", page.format("lone")), (23, "x", "")]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", __import__("pyspark").sql.functions.lit(0))
-    got = {r.page_id: r for r in H.extract(df.coalesce(1)).collect()}
-    lone = "Welcome to the site\n\nAll about lone\n\nBody of lone\n\nSame words\n\nBottom line"
-    want = {i: f"All about {i}\n\nBody of {i}" for i in range(4)} | {10 + i: f"Same words\n\nArt {i}" for i in range(3)} | {20: "", 21: lone, 22: lone, 23: ""}
-    assert len(got) == len(rows)
-    for i, text in want.items():
-        # a range boundary may leave a page of the first kind without a pair
-        assert got[i].text == text or i < 4 and got[i].text == page_text(i), i
-        assert got[i].n_chars == len(got[i].text)
-    assert H.extract(df.limit(0)).count() == 0
-
-
-def page_text(i):
-    return f"Welcome to the site\n\nAll about {i}\n\nBody of {i}\n\nSame words\n\nBottom line"
-
-
-def test_pairs_in_one_partition(spark):
-    page = "<div>Menu</div><p>Body {0}</p>"
-    rows = [(i, f"http://h.com/{i}", page.format(i)) for i in range(6)]
+    assert lines_of("a < b <p>c") == ["a < b", "c"]
+
+
+def test_an_article_keeps_its_own_headers_and_paragraphs():
+    page = """<nav>m</nav><article><div class="article-header"><h1>Title</h1></div><p id="share-price">Shares rose</p><header><h2>T2</h2></header><p>b</p>
+    <div class="share">Share me</div><p class="comments">c1</p><footer>f</footer><div id="related">r</div><nav>n</nav></article><div class="share-buttons">s</div><div class="site-header">h</div>"""
+    assert lines_of(page) == ["Title", "Shares rose", "T2", "b"]
+    loose = '<div class="article-header"><h1>Title</h1></div><p id="share-price">p</p><div class="main-nav">n</div><ul id="social_links"><li>x</ul><div class="page-banner">b</div>'
+    assert lines_of(loose) == ["Title", "p"]
+
+
+def test_odd_pages_take_time_in_proportion():
+    def seconds(page):
+        start = time.perf_counter()
+        H.page_lines(page)
+        return time.perf_counter() - start
+
+    for page in ("<div>" * 60000 + "</span>" * 60000, "<title>x" * 60000, "<p>x" * 60000, "<svg>" * 60000):
+        assert seconds(page) < 3, page[:8]
+    a = [f"l{i % 997}" for i in range(6000)]
+    start = time.perf_counter()
+    assert len(H.shared_lines(a, a[5:] + a[:5])) >= 5995
+    assert time.perf_counter() - start < 5
+
+
+def brute_extract(rows):
+    """Each page's text, with pairs chosen over one sorted list of urls."""
+    parsed = [(i, u, H.page_lines(h or "")) for i, u, h in rows]
+    def split(u):
+        m = re.match(r"^.*?://([^/?#]*)([^?#]*)", u or "", re.S)
+        return (m[1].lower(), m[2]) if m else ("", "")
+
+    able = {}
+    for i, u, lines in parsed:
+        loose = [x for x, inside in lines if not inside]
+        if loose and split(u)[0]:
+            able.setdefault((*split(u), u), []).append((i is None, i or 0, loose))
+    order = sorted(able)
+    out = []
+    for i, u, lines in parsed:
+        key, pair = (*split(u), u), None
+        if key in able and any(not inside for _, inside in lines):
+            at = order.index(key)
+            near = [k for k in order[max(0, at - 1) : at] + order[at + 1 : at + 2] if k[0] == key[0]]
+            if near:
+                best = max(near, key=lambda k: len(commonprefix([k[1], key[1]])))
+                pair = min(able[best])[2]
+        out.append((i, u, "\n\n".join(H.kept_lines([x for x, _ in lines], [n for n, (_, inside) in enumerate(lines) if not inside], pair))))
+    return sorted(out, key=str)
+
+
+def test_matches_brute_force_at_any_number_of_partitions(spark):
+    rng = random.Random(4)
+    page = "<div>Welcome to {h}</div><div>Topic {t}</div><p>Body of {i}</p><p>Words {w}</p><div>Bottom of {h}</div>"
+    rows = []
+    for i in range(64):
+        rows.append((i, f"http://one.com/a/{rng.randint(0, 40)}", page.format(h="one", t=i % 3, i=i, w=i % 5)))
+    for i in range(64, 120):
+        h = f"h{rng.randint(0, 9)}.org"
+        rows.append((i, f"http://{h}/{rng.choice('ab')}/{rng.randint(0, 9)}?q={rng.randint(0, 2)}", page.format(h=h, t=i % 3, i=i, w=i % 5) if i % 4 else f"<article><p>Art {i}</p></article>"))
+    rows += [(200, None, rows[0][2]), (201, "no scheme", rows[0][2]), (202, "http://lone.com/", rows[0][2]), (202, "http://lone.com/", rows[0][2]), (203, "x", None), (None, "http://one.com/a/z", rows[5][2])]
+    rows.append((204, "http://one.com/a/long", "<div>Welcome to one</div>" + "".join(f"<p>line {i}</p>" for i in range(20000))))
+    want = brute_extract(rows)
+    assert sum("Welcome to one" in t for i, u, t in want if u and u.startswith("http://one.com")) == 0
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(0)).withColumn("host", F.lit("h"))
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
-        got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        for parts in (1, 4, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            got = H.extract(df.repartition(parts)).collect()
+            assert sorted(((r.page_id, r.url, r.text) for r in got), key=str) == want, parts
+            assert all(r.n_chars == len(r.text) for r in got)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert got == {i: f"Body {i}" for i in range(6)}
+    assert H.extract(df.limit(0)).count() == 0
 
 
-def test_differencing_decides_outside_an_article():
-    page, near = (H.page_lines(f"<div>Menu</div><p>Headline {i}</p><article><p>Shared</p><p>Body {i}</p></article><p>Note {i}</p><p>Bottom</p>") for i in range(2))
-    assert H.main_lines(page, near) == ["Headline 0", "Shared", "Body 0", "Note 0"]
+def test_differencing_decides_outside_an_article(spark):
+    page = "<div>Menu</div><p>Headline {0}</p><article><p>Shared</p><p>Body {0}</p></article><p>Note {0}</p><p>Bottom</p>"
+    df = spark.createDataFrame([(i, f"http://h.com/{i}", page.format(i)) for i in range(5)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.extract(df).collect()} == {i: f"Headline {i}\n\nShared\n\nBody {i}\n\nNote {i}" for i in range(5)}

@@ -63,9 +63,22 @@ def test_recall_at_the_threshold():
         b = rng.normal(size=64)
         b -= a * (a @ b)
         b = 0.98 * a + np.sqrt(1 - 0.98**2) * b / np.linalg.norm(b)
-        row, tab, cell = lat.keys(a[None], True)
-        _, tab2, cell2 = lat.keys(b[None], False)
+        found = [set(zip(*lat.keys(v[None], probing)[1:], strict=True)) for v in (a, b) for probing in (True, False)]
         x, y = (lat.signs(v[None])[0] for v in (a, b))
         assert sum(((int(p) ^ int(q)) & (2**64 - 1)).bit_count() for p, q in zip(x, y, strict=True)) <= L.most_signs(0.98)
-        missed += not set(zip(tab, cell, strict=True)) & set(zip(tab2, cell2, strict=True))
+        missed += not found[0] & found[3] and not found[2] & found[1]
     assert missed == 0
+
+
+def test_candidates_grow_with_the_rows():
+    """Unrelated vectors of one label: pairs that share a key, and pass the signs, stay far below one a vector."""
+    rng = np.random.default_rng(8)
+    for n in (2000, 4000):
+        unit = rng.normal(size=(n, 64))
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        lat = L.Lattice(64, 0.98)
+        held = {}
+        for row, table, key in zip(*lat.keys(unit, False), strict=True):
+            held.setdefault((table, key), []).append(row)
+        pairs = {(min(row, x), max(row, x)) for row, table, key in zip(*lat.keys(unit, True), strict=True) for x in held.get((table, key), []) if x != row}
+        assert len(pairs) <= n // 100

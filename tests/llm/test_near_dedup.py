@@ -53,8 +53,16 @@ def test_groups_match_true_similarity(spark):
 
 def test_rows_without_id_or_similarity_stay(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, "f e d c b a"), (3, "x")], "doc_id long, text string")
-    assert sorted((r.doc_id or 0, r.text) for r in N.one_of_each(docs).collect()) == [(0, "a b c d e f"), (1, "a b c d e f"), (3, "f e d c b a"), (3, "x")]
+    assert sorted((r.doc_id or 0, r.text) for r in N.one_of_each(docs).collect()) == [(1, "a b c d e f"), (3, "f e d c b a"), (3, "x")]
     assert N.one_of_each(docs.limit(0)).count() == 0
+    rows = [(3, "y y"), (5, "x x"), (5, "Y  y"), (5, "x x"), (None, "z z"), (None, "Z z"), (None, None), (8, ""), (8, " ")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, cls int")
+    got = N.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, (r.text or "").strip().lower()) for r in got.collect()) == [(0, "z z"), (3, "y y"), (5, "x x"), (8, "")]
+    long = " ".join(f"w{i}" for i in range(200000))
+    docs = spark.createDataFrame([(1, long), (2, long + " more"), (3, "w1 " + long)], "doc_id long, text string")
+    assert [r.doc_id for r in N.one_of_each(docs).collect()] == [1]
 
 
 def test_prefix_keys_miss_no_similar_pair(spark):

@@ -85,3 +85,24 @@ def test_exchange_reaches_the_bound(spark):
     assert sorted(r.doc_id for r in got) == list(range(4000))
     bound = P.lower_bound(np.array([r[3] for r in rows]), 2048)
     assert bound <= check_sequences(got, 2048) <= bound + 2  # 27 partitions alone would need up to 26 more
+
+
+def test_one_id_for_all_rows_and_clashing_columns(spark):
+    rng = random.Random(3)
+    rows = [(None, rng.randint(1, 900), "p", i, None, True) for i in range(10000)]
+    items = spark.createDataFrame(rows, "doc_id long, length long, part string, sequence_id long, offset long, open boolean").withColumn("row", items_row())
+    got = P.pack(items, partition_pieces=500)
+    assert set(got.columns) == set(items.columns)
+    rows = got.collect()
+    assert len(rows) == 10000 and {r.part for r in rows} == {"p"}
+    used, bound = check_sequences(rows, 2048), P.lower_bound(np.array([r.length for r in rows]), 2048)
+    assert bound <= used <= bound + 3
+    dealt = P._pack_partitions(items.withColumn("n", items_row()), 2048, 20, 0, {"row": "n", "part": "_p", "bin": "_b", "place": "_o", "open": "_x"})
+    most = dealt.withColumn("b", dealt["_b"].bitwiseAND((1 << 56) - 1)).selectExpr("shiftright(b, 24) AS p").groupBy("p").count().agg({"count": "max"}).first()[0]
+    assert most < 1000
+
+
+def items_row():
+    from pyspark.sql import functions as F
+
+    return F.monotonically_increasing_id()

@@ -41,9 +41,22 @@ def test_splits_and_rules(spark):
         rule, action = brute_rule(host, path)
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule, action or "allow"), u
     table = spark.createDataFrame(RULES, "action string, rule string")
-    joined = {r.page_id: (r.rule, r.rule_action) for r in U.match_rule_table(U.split_url(df.drop("host"), "url"), table, "page_id").collect()}
+    joined = {r.page_id: (r.rule, r.rule_action) for r in U.match_rule_table(U.split_url(df.drop("host"), "url"), table).collect()}
     assert joined == {i: brute_rule(*brute_split(u)) for i, u in enumerate(URLS)}
     assert U.judge(df.limit(0), outcomes, RULES).count() == 0
+    many = RULES + [("block", f"h{i}.zz/") for i in range(2100)]
+    for rules in (table, many):
+        assert {r.page_id: (r.rule, r.verdict) for r in U.judge(df, outcomes, rules).collect()} == {i: (r.rule, r.verdict) for i, r in got.items()}
+
+
+def test_domains(spark):
+    want = {
+        "a.b.example.com": ("example.com", "com"), "x.example.co.uk": ("example.co.uk", "co.uk"), "example.co.uk": ("example.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"),
+        "www.com.au:8080": ("www.com.au", "com.au"), "t.co": ("t.co", "co"), "localhost": ("localhost", "localhost"), "10.1.2.3": ("10.1.2.3", "10.1.2.3"), "": ("", ""), "a.com.example.net": ("example.net", "net"),
+    }
+    df = spark.createDataFrame([(h,) for h in want], "host string")
+    domain, suffix = U.domain_of(df.host)
+    assert {r.host: (r.d, r.s) for r in df.select("host", domain.alias("d"), suffix.alias("s")).collect()} == want
 
 
 def test_shrinks_little_evidence_and_blocks_much(spark):
