@@ -5,8 +5,10 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,18 +26,23 @@ def clean_artifacts_text(text: str | None) -> str | None:
 
 
 def cap_ngram_runs_text(text: str | None, most_words: int = 6, repeats: int = 2) -> str | None:
-    """Greedy from long n-grams to pairs: at most `repeats` copies of an n-gram in a row."""
+    """Greedy from long n-grams to pairs: at most `repeats` copies of an n-gram in a row.
+
+    For each n the words that equal the one n places on are counted backwards, which gives
+    the length of every run in one pass.
+    """
     if text is None:
         return None
     words = text.split()
     for n in range(min(most_words, len(words) // 2), 1, -1):
+        alike = [0] * (len(words) + 1)  # how many places in a row equal the place n on
+        for i in range(len(words) - n - 1, -1, -1):
+            alike[i] = alike[i + 1] + 1 if words[i] == words[i + n] else 0
         out, i = [], 0
         while i < len(words):
-            gram, k = words[i : i + n], 1
-            while len(gram) == n and words[i + k * n : i + (k + 1) * n] == gram:
-                k += 1
-            if k > repeats:
-                out += gram * repeats
+            k = alike[i] // n + 1
+            if k > repeats and i + n <= len(words):
+                out += words[i : i + n] * repeats
                 i += k * n
             else:
                 out.append(words[i])
@@ -44,9 +51,12 @@ def cap_ngram_runs_text(text: str | None, most_words: int = 6, repeats: int = 2)
     return " ".join(words)
 
 
-def title_ratio(a: str | None, b: str | None) -> float | None:
-    """difflib's ratio of two titles, without regard to case."""
-    return None if a is None or b is None else difflib.SequenceMatcher(None, a.lower(), b.lower()).ratio()
+def title_ratio(a: str | None, b: str | None, least: float = 0.0) -> float | None:
+    """difflib's ratio of two titles, without regard to case; 0 where its cheap upper bounds are below least."""
+    if a is None or b is None:
+        return None
+    match = difflib.SequenceMatcher(None, a.lower(), b.lower())
+    return match.ratio() if match.real_quick_ratio() >= least and match.quick_ratio() >= least else 0.0
 
 
 @F.pandas_udf(T.StringType())
@@ -59,43 +69,57 @@ def cap_ngram_runs(texts: pd.Series) -> pd.Series:
     return texts.map(cap_ngram_runs_text)
 
 
-@F.pandas_udf(T.DoubleType())
-def title_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([title_ratio(x, y) for x, y in zip(a, b, strict=True)])
+def title_similarity(a, b, least: float = 0.0):
+    @F.pandas_udf(T.DoubleType())
+    def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([title_ratio(v, w, least) for v, w in zip(x, y, strict=True)], dtype=float)
+
+    return ratio(a, b)
+
+
+def hashed_vector_of(text: str | None, dim: int = 64) -> np.ndarray:
+    """Each word adds 1 or -1 to a place that its hash names; unit length. No model, no claim of meaning."""
+    v = np.zeros(dim)
+    for w in re.findall(r"\w+", (text or "").lower()):
+        h = zlib.crc32(w.encode())
+        v[h % dim] += 1.0 if h >> 31 else -1.0
+    return v / max(float(np.linalg.norm(v)), 1e-12)
 
 
-def sentence_chunks(limit: int, target: int):
-    """A function for mapInPandas over (id, text): segments of whole sentences near target words, never over limit.
+def segment_ends(counts: Sequence[int], vecs: np.ndarray, target: int, limit: int, ahead: int = 3, coherence: float = 0.5) -> list[int]:
+    """Where segments of sentences end (exclusive): at limit words, or from target on where the next sentences cohere no more.
 
-    Sentences longer than the limit are cut at it. Yields (id, segment, text, words).
+    Coherence is the mean product of the segment's mean vector with the next `ahead` sentences' vectors.
     """
+    ends, start, held = [], 0, 0
+    for i, n in enumerate(counts):
+        held += n
+        cut = held >= limit
+        if not cut and held >= target:
+            following = vecs[i + 1 : i + 1 + ahead]
+            cut = not len(following) or float((following @ vecs[start : i + 1].mean(axis=0)).mean()) < coherence
+        if cut:
+            ends.append(i + 1)
+            start, held = i + 1, 0
+    if start < len(counts):
+        ends.append(len(counts))
+    return ends
+
+
+def coherent_segments(target: int = 250, limit: int = 350, ahead: int = 3, coherence: float = 0.5, embed: Callable[[str], np.ndarray] = hashed_vector_of):
+    """A function for mapInPandas over (id, text) that yields (id, segment, text, words): whole sentences, cut by segment_ends."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for i, text in zip(frame["id"], frame["text"], strict=True):
-                held: list[str] = []
-                number = 0
-
-                def close(i=i):
-                    nonlocal number
-                    if held:
-                        rows.append((i, number, " ".join(held), len(held)))
-                        number += 1
-                        held.clear()
-
-                for sentence in re.split(r"(?<=[.!?])\s+", text or ""):
-                    words = sentence.split()
-                    if len(held) + len(words) > limit:
-                        close()
-                    while len(words) > limit:
-                        held.extend(words[:limit])
-                        close()
-                        words = words[limit:]
-                    held.extend(words)
-                    if len(held) >= target:
-                        close()
-                close()
+                sentences = [s for s in re.split(r"(?<=[.!?])\s+", text or "") if s.strip()]
+                counts = [len(s.split()) for s in sentences]
+                vecs = np.array([embed(s) for s in sentences]) if sum(counts) >= target else np.zeros((len(counts), 1))
+                at = 0
+                for number, end in enumerate(segment_ends(counts, vecs, target, limit, ahead, coherence)):
+                    rows.append((i, number, " ".join(" ".join(sentences[at:end]).split()), sum(counts[at:end])))
+                    at = end
             yield pd.DataFrame(rows, columns=["id", "segment", "text", "words"])
 
     return run

@@ -15,22 +15,46 @@ from loomcast.operators.reliable import cut as reliable
 from loomcast.operators.windows import top_per_group
 
 
+#: Rows of a block of vectors that one task compares with another block.
+BLOCK_ROWS = 1024
+
+
 def neighbours(vectors: DataFrame, k: int, threshold: float, vec_id: str = "vec_id", vector: str = "e", block: str | None = None, queries: Column | None = None) -> DataFrame:
     """(a, b, sim): the k nearest rows above threshold of each row (of those that queries picks).
 
-    block names columns that both rows must share: an equi-join on it; without one the
-    query set, which is stated and counted, meets all rows in blocks.
+    block names a column that both rows must share. The rows of one value are dealt into
+    parts of about BLOCK_ROWS by a hash of their ids; two parts meet in a task, which
+    compares them as matrices and keeps k rows for each; so a large value spreads over
+    tasks of bounded size, and the result is exact. Without block the query set, which is
+    stated and counted, meets all rows in blocks.
     """
     from loomcast.operators.search import scored
 
     asked = vectors if queries is None else vectors.where(queries)
-    if block:
-        left = asked.select(F.col(vec_id).alias("a"), normalised(F.col(vector)).alias("__x"), block)
-        right = vectors.select(F.col(vec_id).alias("b"), normalised(F.col(vector)).alias("__y"), block)
-        hits = left.join(right, block).select("a", "b", F.round(dot(F.col("__x"), F.col("__y")), 6).alias("sim"))
-    else:
+    if not block:
         hits = scored(vectors, asked.select(F.col(vec_id).alias("query_id"), F.col(vector).alias("qe")), vec_id, vector).select(F.col("query_id").alias("a"), F.col(vec_id).alias("b"), "sim")
-    return top_per_group(hits.where((F.col("a") != F.col("b")) & (F.col("sim") >= threshold)), ["a"], [F.col("sim").desc(), F.col("b")], k)
+        return top_per_group(hits.where((F.col("a") != F.col("b")) & (F.col("sim") >= threshold)), ["a"], [F.col("sim").desc(), F.col("b")], k)
+    rows = vectors.where(F.col(vector).isNotNull()).select(F.col(vec_id).alias("id"), normalised(F.col(vector)).alias("x"), F.col(block).alias("blk"), (F.lit(True) if queries is None else queries).alias("asks"))
+    parts = rows.where("blk IS NOT NULL").groupBy("blk").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
+    dealt = rows.join(parts, "blk").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    left = dealt.where("asks").select("blk", F.col("own").alias("i"), others.alias("j"), "id", "x")
+    right = dealt.select(F.col("blk").alias("rblk"), others.alias("ri"), F.col("own").alias("rj"), F.col("id").alias("rid"), F.col("x").alias("rx"))
+    kind = vectors.schema[vec_id].dataType.simpleString()
+
+    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"a": a["id"][:0], "b": a["id"][:0], "sim": np.zeros(0)})
+        b = b.sort_values("rid", ignore_index=True)
+        sims = np.round(np.stack(a["x"].to_numpy()) @ np.stack(b["rx"].to_numpy()).T, 6)
+        sims[a["id"].to_numpy()[:, None] == b["rid"].to_numpy()[None]] = -np.inf
+        order = np.argsort(-sims, axis=1, kind="stable")[:, :k]  # equal similarities by id
+        top = np.take_along_axis(sims, order, axis=1)
+        row, col = np.nonzero(top >= threshold)
+        return pd.DataFrame({"a": a["id"].to_numpy()[row], "b": b["rid"].to_numpy()[order[row, col]], "sim": top[row, col]})
+
+    found = left.groupBy("blk", "i", "j").cogroup(right.groupBy("rblk", "ri", "rj")).applyInPandas(best, f"a {kind}, b {kind}, sim double")
+    return top_per_group(found, ["a"], [F.col("sim").desc(), F.col("b")], k)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -86,8 +110,9 @@ def k_means(vectors: DataFrame, ks: Sequence[int], components: int | None = None
     from pyspark.ml.functions import array_to_vector
 
     data = vectors.withColumn("features", array_to_vector(F.col(vector)))
-    if components:
-        data = PCA(k=components, inputCol="features", outputCol="__pca").fit(data).transform(data).drop("features").withColumnRenamed("__pca", "features")
+    first = vectors.where(F.col(vector).isNotNull()).select(F.size(vector)).first()
+    if components and first:
+        data = PCA(k=min(components, first[0]), inputCol="features", outputCol="__pca").fit(data).transform(data).drop("features").withColumnRenamed("__pca", "features")
     data, best = reliable(data), None
     report: dict = {"k": 1, "silhouette": None}
     for k in ks:
@@ -103,7 +128,7 @@ def k_means(vectors: DataFrame, ks: Sequence[int], components: int | None = None
 
 
 def align(vectors_by_group: DataFrame, threshold: float = 0.8, group: str = "grp", theme: str = "theme", vector: str = "e") -> DataFrame:
-    """(group, theme, aligned): themes of different groups, greedily put together at cosine threshold.
+    """(group, theme, aligned): themes of different groups, greedily put together at cosine threshold; a lone theme's aligned is null.
 
     Themes are centroids, a bounded few a group; they meet in one task.
     """
@@ -122,7 +147,9 @@ def align(vectors_by_group: DataFrame, threshold: float = 0.8, group: str = "grp
                     if aligned[j] < 0 and pdf[group][j] not in seen and vecs[j] @ vecs[i] >= threshold:
                         aligned[j] = aligned[i]
                         seen.add(pdf[group][j])
-        return pdf[[group, theme]].assign(aligned=aligned)
+        size = np.bincount(aligned, minlength=1)
+        number = np.cumsum(size > 1) - 1  # groups of two and more, numbered anew
+        return pdf[[group, theme]].assign(aligned=pd.array([number[x] if size[x] > 1 else None for x in aligned], "Int32"))
 
     return vectors_by_group.select(group, theme, vector).groupBy(F.lit(0).alias("__all")).applyInPandas(run, f"`{group}` {kinds[group]}, `{theme}` {kinds[theme]}, aligned int")
 
@@ -148,51 +175,109 @@ def dense_core(vectors: DataFrame, key: str, row_id: str, vector: str, least: fl
     return vectors.groupBy(key).applyInPandas(run, schema)
 
 
+class Canopy:
+    """A cluster that grows around an anchor: its members, prototype, sentinels and the gates that a candidate must pass.
 
-
-def gates(prototype: float = 0.68, density: float = 0.82, sentinel: float = 0.65):
-    """A test (candidate, members, anchor, names) of the four gates of canopy growth.
-
-    The candidate must be near the members' mean, near the anchor, near enough to a
-    share of the members, and must not carry another name than theirs.
+    The prototype is the unit mean of the `core` members nearest to it, the sentinels are
+    up to five members far from each other; both are renewed after every `refresh` members.
     """
 
-    def passes(x: np.ndarray, members: np.ndarray, anchor: np.ndarray, name: str | None, names: set[str]) -> bool:
-        mean = members.mean(axis=0)
-        near = members @ x
-        return bool(
-            x @ mean / max(float(np.linalg.norm(mean)), 1e-12) >= prototype and x @ anchor >= sentinel
-            and (near >= sentinel).mean() >= density and (name is None or not names or name in names)
-        )
-
-    return passes
-
-
-def canopies(vectors: DataFrame, key: str, row_id: str, vector: str, quality: str, name: str, least_size: int = 1, **thresholds: float) -> DataFrame:
+    def __init__(self, anchor: int, vecs: np.ndarray, name: str | None, density: float, prototype: float = 0.68, beta: float = 0.82, sentinel: float = 0.65, core: int = 32, refresh: int = 16) -> None:
+        self.vecs, self.name, self.density = vecs, name, density
+        self.limits, self.core, self.refresh = (prototype, beta, sentinel), core, refresh
+        self.members, self.sentinels, self.new = [anchor], [anchor], 0
+        self.prototype = vecs[anchor]
+
+    def verdict(self, i: int, name: str | None) -> str:
+        """Which gate turns a candidate away, or `passed`: prototype, density, sentinel, name."""
+        least, beta, sentinel = self.limits
+        near = float(self.vecs[i] @ self.prototype)
+        if near < least:
+            return "prototype"
+        if near < beta * self.density:
+            return "density"
+        if len(self.sentinels) >= 3:
+            passing = int((self.vecs[self.sentinels] @ self.vecs[i] >= sentinel).sum())
+            if passing < min(2, max(1, len(self.sentinels) // 2)):
+                return "sentinel"
+        return "name" if name is not None and name != self.name else "passed"
+
+    def add(self, i: int) -> None:
+        self.members.append(i)
+        self.new += 1
+        if self.new < self.refresh:
+            return
+        self.new = 0
+        core = self.members
+        if len(core) > self.core:
+            near = self.vecs[core] @ self.prototype
+            core = [core[j] for j in np.argsort(-near, kind="stable")[: self.core]]
+        mean = self.vecs[core].mean(axis=0)
+        self.prototype = mean / max(float(np.linalg.norm(mean)), 1e-12)
+        self.sentinels = self.members[:1] if len(self.members) > 5 else list(self.members)
+        while len(self.sentinels) < min(5, len(self.members)):  # the member whose least similarity to the sentinels is greatest
+            free = [m for m in self.members if m not in self.sentinels]
+            least = (self.vecs[free] @ self.vecs[self.sentinels].T).min(axis=1)
+            self.sentinels.append(free[int(np.argmax(least))])
+
+
+def grow_canopies(vecs: np.ndarray, names: list[str | None], order: list[int], k: int = 10, frontier: float = 0.0, **limits: float) -> np.ndarray:
+    """Canopy number of each unit vector, -1 for none: anchors in the given order, each grown over its nearest neighbours' neighbours."""
+    sims = vecs @ vecs.T
+    near = np.argsort(-sims, axis=1, kind="stable")[:, : k + 1]  # itself first
+    canopy, found = np.full(len(vecs), -1), 0
+    for anchor in order:
+        if canopy[anchor] >= 0:
+            continue
+        density = float(sims[anchor, near[anchor][1:]].mean()) if len(vecs) > 1 else 0.0
+        grown = Canopy(anchor, vecs, names[anchor], density, **limits)
+        canopy[anchor] = found
+        waiting = {int(j) for j in near[anchor] if canopy[j] < 0 and sims[anchor, j] >= frontier}
+        while waiting:
+            i = min(waiting, key=lambda j: (-float(vecs[j] @ grown.prototype), j))
+            waiting.remove(i)
+            if grown.verdict(i, names[i]) == "passed":
+                grown.add(i)
+                canopy[i] = found
+                waiting |= {int(j) for j in near[i] if canopy[j] < 0}
+        found += 1
+    return canopy
+
+
+def canopies(vectors: DataFrame, key: str, row_id: str, vector: str, quality: str, name: str, least_size: int = 1, **limits: float) -> DataFrame:
     """(key, row_id, canopy): clusters grown from the best free row by the gates, within each key.
 
-    Claims depend on their order, so a key is one task; key should be a bounded unit such
-    as one project's unresolved speakers. Canopies under least_size are left out.
+    Claims are made in order, over all rows of a key, so a key is one task; it should be a
+    bounded unit such as one project's unresolved speakers. Canopies under least_size are
+    left out.
     """
     kinds = {f.name: f.dataType.simpleString() for f in vectors.schema.fields}
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([quality, row_id], ascending=[False, True], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(row_id, kind="stable", ignore_index=True)
         vecs = np.array(pdf[vector].tolist(), float)
         vecs /= np.maximum(np.linalg.norm(vecs, axis=1, keepdims=True), 1e-12)
-        names = [None if pd.isna(x) else x for x in pdf[name]]
-        passes, canopy, found = gates(**thresholds), np.full(len(pdf), -1), 0
-        for i in range(len(pdf)):
-            if canopy[i] >= 0:
-                continue
-            members, held = [i], {names[i]} - {None}
-            for j in np.argsort(-(vecs @ vecs[i]), kind="stable").tolist():
-                if j != i and canopy[j] < 0 and passes(vecs[j], vecs[members], vecs[i], names[j], held):
-                    members.append(j)
-                    held |= {names[j]} - {None}
-            if len(members) >= least_size:
-                canopy[members] = found
-                found += 1
-        return pdf[[key, row_id]].assign(canopy=canopy)[canopy >= 0]
+        order = pdf.sort_values([quality, row_id], ascending=[False, True], kind="stable").index.tolist()
+        canopy = grow_canopies(vecs, [None if pd.isna(x) else x for x in pdf[name]], order, **limits)
+        size = np.bincount(canopy[canopy >= 0], minlength=1)
+        return pdf[[key, row_id]].assign(canopy=canopy)[(canopy >= 0) & (size[canopy] >= least_size)]
 
     return vectors.select(key, row_id, vector, quality, name).groupBy(key).applyInPandas(run, f"`{key}` {kinds[key]}, `{row_id}` {kinds[row_id]}, canopy int")
+
+
+def gate_verdicts(vectors: DataFrame, key: str, row_id: str, vector: str, quality: str, name: str, k: int = 10, **limits: float) -> DataFrame:
+    """(key, row_id, verdict): each row of a key at the gates of a canopy that is its key's best row alone.
+
+    The anchor's density comes from its k nearest rows of the key; the anchor itself is `anchor`.
+    """
+    unit = vectors.select(key, row_id, name, normalised(F.col(vector)).alias("__x"), F.col(quality).alias("__q"))
+    best = unit.groupBy(key).agg(F.max_by(F.struct(row_id, "__x", name), F.struct("__q", -F.col(row_id))).alias("__a"))
+    near = unit.join(best, key).withColumn("sim", dot(F.col("__x"), F.col("__a.__x")))
+    others = top_per_group(near.where(F.col(row_id) != F.col(f"__a.{row_id}")), [key], [F.col("sim").desc(), F.col(row_id)], k)
+    density = others.groupBy(key).agg(F.avg("sim").alias("__d"))
+    limit = {"prototype": 0.68, "beta": 0.82, **limits}
+    verdict = (
+        F.when(F.col(row_id) == F.col(f"__a.{row_id}"), "anchor").when(F.col("sim") < limit["prototype"], "prototype").when(F.col("sim") < limit["beta"] * F.col("__d"), "density")
+        .when(F.col(name).isNotNull() & ~F.col(name).eqNullSafe(F.col(f"__a.{name}")), "name").otherwise("passed")
+    )
+    return near.join(density, key, "left").select(key, row_id, verdict.alias("verdict"))

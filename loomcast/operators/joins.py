@@ -114,14 +114,27 @@ def expand_by(spans: DataFrame, others: DataFrame, key: str, span_id: str, a: tu
     }).drop("__s", "__e")
 
 
-def remap_times(points: DataFrame, mapping: DataFrame, key: str, at: str, out: str = "mapped") -> DataFrame:
-    """points with out: the time moved by the last interval (from_start, from_end, to_start, ordinal) that holds it, else as it is."""
-    p = points.withColumn("__row", F.struct(*points.columns))
-    hit = p.select(key, at).distinct().join(mapping, key).where((F.col(at) >= F.col("from_start")) & (F.col(at) <= F.col("from_end")))
+def remap_times(points: DataFrame, mapping: DataFrame, key: str, at: str, out: str = "mapped", width: float = 60.0) -> DataFrame:
+    """points with out: the time moved by the last interval (from_start, from_end, to_start, ordinal) that holds it, else as it is.
+
+    Points meet the intervals of their own bucket of time only.
+    """
+    held = _in_buckets(mapping, "from_start", "from_end", width)
+    tried = points.select(key, at).distinct().withColumn("__bucket", F.floor(F.col(at) / width))
+    hit = tried.join(held, [key, "__bucket"]).where((F.col(at) >= F.col("from_start")) & (F.col(at) <= F.col("from_end")))
     moved = hit.groupBy(key, at).agg(F.max_by(F.col("to_start") + F.col(at) - F.col("from_start"), "ordinal").alias("__m"))
     return points.join(moved, [key, at], "left").withColumn(out, F.coalesce("__m", at)).drop("__m")
 
 
+def concatenated(spans: DataFrame, key: str, start: str, end: str, ordinal: str) -> DataFrame:
+    """The mapping for remap_times from the times of a key's spans laid end to end, in order, back to their own."""
+    from pyspark.sql import Window
+
+    before = Window.partitionBy(key).orderBy(start, ordinal).rowsBetween(Window.unboundedPreceding, -1)
+    placed = spans.withColumn("from_start", F.coalesce(F.sum(F.col(end) - F.col(start)).over(before), F.lit(0.0)))
+    return placed.select(key, "from_start", (F.col("from_start") + F.col(end) - F.col(start)).alias("from_end"), F.col(start).alias("to_start"), F.col("from_start").alias("ordinal"))
+
+
 def day_window(left: DataFrame, right: DataFrame, left_at: str, right_at: str, days: int, extra: Column) -> DataFrame:
     """Inner join of rows within `days` of each other and extra holding, as an equi-join on days."""
     l = left.withColumn("__day", F.explode(F.sequence(F.date_sub(F.to_date(left_at), days), F.date_add(F.to_date(left_at), days))))  # noqa: E741

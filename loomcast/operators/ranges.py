@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator, Sequence
 
@@ -43,8 +44,8 @@ def chunk_plan(total: Column, size: float, overlap: float, tail: float = 5.0) ->
     return F.when(total > 0, spots).otherwise(F.array().cast("array<struct<start:double,end:double>>"))
 
 
-def scan_groups(df: DataFrame, key: str, order: Sequence[Column | str], columns: Sequence[str], judge: Callable[[], Callable[..., bool]]) -> DataFrame:
-    """The rows that a rule keeps which looks at a group's rows in order.
+def scan_groups(df: DataFrame, key: str, order: Sequence[Column | str], columns: Sequence[str], judge: Callable[[], Callable[..., bool | int]], out: str | None = None) -> DataFrame:
+    """The rows that a rule keeps which looks at a group's rows in order; with out, all rows and the rule's number in that column.
 
     judge() starts a group and returns a function of the row's columns. Groups are laid
     side by side in sorted partitions and judged as a stream, so that small groups cost
@@ -55,33 +56,57 @@ def scan_groups(df: DataFrame, key: str, order: Sequence[Column | str], columns:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rule = object(), None
         for batch in batches:
-            keep = []
+            said = []
             for k, *row in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names], strict=True):
                 if k != now:
                     now, rule = k, judge()
-                keep.append(rule(*row))
-            yield batch.filter(pa.array(keep, pa.bool_()))
+                said.append(rule(*row))
+            if out is None:
+                yield batch.filter(pa.array(said, pa.bool_()))
+            else:
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, pa.int64())], names=[*batch.schema.names, out])
 
-    return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, df.schema)
+    schema = df.schema if out is None else df.schema.add(out, "long")
+    return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, schema)
+
+
+class _Spans:
+    """Spans found again by time: each lies in one or two slots of a grid as wide as its own length's power of two."""
+
+    def __init__(self) -> None:
+        self.grids: dict[float, dict[int, list[tuple[float, float]]]] = {}
+
+    def add(self, a: float, b: float) -> None:
+        width = 2.0 ** math.ceil(math.log2(max(b - a, 2.0**-10)))
+        grid = self.grids.setdefault(width, {})
+        for slot in {math.floor(a / width), math.floor(b / width)}:
+            grid.setdefault(slot, []).append((a, b))
+
+    def near(self, a: float, b: float) -> Iterator[tuple[float, float]]:
+        """Every span that shares time with [a, b], and some others."""
+        for width, grid in self.grids.items():
+            low, high = math.floor(a / width), math.floor(b / width)
+            for slot in range(low, high + 1) if high - low < len(grid) else [k for k in grid if low <= k <= high]:
+                yield from grid.get(slot, ())
 
 
 def drop_timing_copies(df: DataFrame, key: str, near: float = 0.05, share: float = 0.8) -> DataFrame:
     """Words (key, seg, idx, word, start, end) without copies: the same word with start and end near, or overlapping by share.
 
-    Greedy in the order of (seg, idx) within a key; kept words are compared only with
-    those of the same normalised word.
+    Greedy in the order of (seg, idx) within a key; a word is compared with the kept ones
+    of the same normalised word that lie near it in time.
     """
 
     def judge():
-        held: dict[str, list[tuple[float, float]]] = {}
+        held: dict[str, _Spans] = {}
 
         def fine(word: str, a: float, b: float) -> bool:
-            spans = held.setdefault(re.sub(r"[^\w]", "", (word or "").lower()), [])
-            for x, y in spans:
+            spans = held.setdefault(re.sub(r"[^\w]", "", (word or "").lower()), _Spans())
+            for x, y in spans.near(min(a, b) - near, max(a, b) + near):
                 common = min(b, y) - max(a, x)
                 if abs(a - x) <= near and abs(b - y) <= near or common > 0 and common >= share * max(1e-9, min(b - a, y - x)):
                     return False
-            spans.append((a, b))
+            spans.add(a, b)
             return True
 
         return fine
@@ -92,13 +117,15 @@ def drop_timing_copies(df: DataFrame, key: str, near: float = 0.05, share: float
 def drop_overlaps(df: DataFrame, key: str, share: float = 0.3) -> DataFrame:
     """Segments (key, start, end, ...) in order of start, without those that overlap a kept one by over share of their length.
 
-    The first kept segment that a segment meets decides.
+    The first kept segment that a segment meets decides. Kept ones that ended before the
+    last start are forgotten: starts only grow, so nothing meets them again.
     """
 
     def judge():
         kept: list[tuple[float, float]] = []
 
         def fine(a: float, b: float) -> bool:
+            kept[:] = [s for s in kept if s[1] > a]
             hit = next((min(b, y) - max(a, x) for x, y in kept if min(b, y) > max(a, x)), 0.0)
             if hit > share * (b - a):
                 return False
@@ -110,6 +137,26 @@ def drop_overlaps(df: DataFrame, key: str, share: float = 0.3) -> DataFrame:
     return scan_groups(df, key, ["start", "end"], ["start", "end"], judge)
 
 
+def capped_groups(df: DataFrame, key: str, start: str, end: str, gap: float, most: float, out: str = "grp") -> DataFrame:
+    """Adds out: 1, 2, ... within each key; a new group where the gap to the end before is at least gap or the group would last over most."""
+
+    def judge():
+        state: list[float] = []
+
+        def number(a: float, b: float) -> int:
+            if not state:
+                state[:] = [1, a, b]
+            elif a - state[2] >= gap or b - state[1] > most:
+                state[:] = [state[0] + 1, a, b]
+            else:
+                state[2] = b
+            return int(state[0])
+
+        return number
+
+    return scan_groups(df, key, [start, end], [start, end], judge, out)
+
+
 def best_in_windows(df: DataFrame, key: str, at: str, score: str, width: float = 0.5) -> DataFrame:
     """The best row of each window (ties: the first); a window starts at the first row after the one before ended."""
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +26,8 @@ def scored(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vecto
     blocks = -(-queries.count() // QUERY_BLOCK) or 1
     part = F.pmod(F.xxhash64(query_id), F.lit(blocks))
     rows = vectors.where(F.col(vector).isNotNull()).withColumn("__unit", normalised(F.col(vector)))  # lengths once a row, not once a pair
+    if blocks > 1:  # each block of queries is a pass over the rows
+        rows = reliable(rows)
     asked = queries.select(query_id, normalised(F.col(query_vector)).alias("__asked"))
     passes = [rows.crossJoin(F.broadcast(asked.where(part == i))) for i in range(blocks)]
     whole = reduce(DataFrame.unionByName, passes)
@@ -63,22 +63,23 @@ def select_top(df: DataFrame, score: str, row_id: str, n: int) -> DataFrame:
     return top(df, [F.col(score).desc(), F.col(row_id)], n)
 
 
-def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight: float = 0.5, keys: Sequence[str] = ()) -> DataFrame:
+def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight: float = 0.5, keys: Sequence[str] = (), small_whole: bool = True) -> DataFrame:
     """Greedy: the best static score first, then static score + weight * (1 - largest dot product with the chosen).
 
     All rows are candidates. A pass for each place takes every group's best row and
     updates the largest dot products, so that no task holds a group; each ends in a
     reliable checkpoint. Groups of at most n rows come back whole, rows without a vector
-    too. Adds picked, the place in the choice, from 1.
+    too, unless small_whole is false. Adds picked, the place in the choice, from 1.
     """
     group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     rows = df.withColumn("__group", F.to_json(group, {"ignoreNullFields": "false"}))
     sizes = rows.groupBy("__group").agg(F.count(F.lit(1)).alias("__size"))
     rows = reliable(rows.join(sizes, "__group"))
-    small = rows.where(F.col("__size") <= n)
+    whole = (F.col("__size") <= n) if small_whole else F.lit(False)
+    small = rows.where(whole)
     place = F.row_number().over(Window.partitionBy("__group").orderBy(F.col(score).desc(), F.col(row_id)))
     parts = [small.withColumn("picked", place).select(*df.columns, "picked")]
-    left = rows.where((F.col("__size") > n) & F.col(vector).isNotNull()).withColumn("__uid", F.monotonically_increasing_id()).withColumn("__nearest", F.lit(None).cast("double"))
+    left = rows.where(~whole & F.col(vector).isNotNull()).withColumn("__uid", F.monotonically_increasing_id()).withColumn("__nearest", F.lit(None).cast("double"))
     left = reliable(left)
     for at in range(1, n + 1):
         gain = F.col(score).cast("double") + F.coalesce(weight * (1 - F.col("__nearest")), F.lit(0.0))
@@ -96,18 +97,5 @@ def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight:
 
 def farthest_points(df: DataFrame, vector: str, row_id: str, n: int, keys: Sequence[str]) -> DataFrame:
     """Per group, n rows each least similar to those chosen before; starts at the least id. Adds picked."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", picked int"
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(row_id, kind="stable", ignore_index=True)
-        vecs = np.array(pdf[vector].tolist(), float)
-        vecs /= np.maximum(np.linalg.norm(vecs, axis=1, keepdims=True), 1e-12)
-        chosen, nearest = [0], vecs @ vecs[0]
-        while len(chosen) < min(n, len(pdf)):
-            nearest[chosen] = np.inf
-            best = int(np.argmin(nearest))
-            chosen.append(best)
-            nearest = np.maximum(nearest, vecs @ vecs[best])
-        return pdf.iloc[chosen].assign(picked=range(1, len(chosen) + 1))
-
-    return df.groupBy(*keys).applyInPandas(pick, schema)
+    flat = df.withColumns({"__unit": normalised(F.col(vector)), "__same": F.lit(0.0)})
+    return diverse(flat, "__same", "__unit", row_id, n, 1.0, keys, small_whole=False).drop("__unit", "__same")

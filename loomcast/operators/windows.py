@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomcast.operators.reliable import cut
+
 
 def top_per_group(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column], k: int = 1) -> DataFrame:
     """The first k rows of each group; Spark keeps k rows a group and task before it shuffles."""
@@ -21,10 +23,18 @@ def top(df: DataFrame, order: Sequence[Column], k: int, offset: int = 0) -> Data
 
 
 def competition_rank(df: DataFrame, score: str, out: str = "rank") -> DataFrame:
-    """1 + the number of rows with a higher score: counted by distinct score, so that no task sorts all rows."""
-    steps = df.groupBy(score).agg(F.count(F.lit(1)).alias("__n")).where(F.col(score).isNotNull())
-    above = steps.withColumn("__above", F.coalesce(F.sum("__n").over(Window.orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return df.join(above.select(score, (F.col("__above") + 1).alias(out)), score, "left")
+    """1 + the number of rows with a higher score.
+
+    Distinct scores are counted and range-partitioned; a rank is what the partitions above
+    hold, one number each, and what lies above inside the partition. So no task sorts all.
+    """
+    steps = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("__score")).agg(F.count(F.lit(1)).alias("__n"))
+    ranged = cut(steps.repartitionByRange(F.col("__score").desc()).withColumn("__part", F.spark_partition_id()))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    base = ranged.groupBy("__part").agg(F.sum("__n").alias("__all")).select("__part", F.coalesce(F.sum("__all").over(before), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("__part").orderBy(F.col("__score").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = ranged.withColumn("__inside", F.coalesce(F.sum("__n").over(inside), F.lit(0))).join(base, "__part")
+    return df.join(above.select("__score", (F.col("__base") + F.col("__inside") + 1).alias(out)), F.col(score) == F.col("__score"), "left").drop("__score")
 
 
 def runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "run") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomcast.functions import scores as S
 from loomcast.operators import aggregates as A
 from loomcast.operators import windows as Wn
-from loomcast.operators.windows import top
+from loomcast.operators.windows import top, top_per_group
 from loomcast.plans.registry import Tables, query
 
 
@@ -118,13 +118,14 @@ def channel_stats(spark: SparkSession, d: str) -> DataFrame:
     return Tables(spark, d).content.groupBy("channel_id").agg(n(), F.date_format(F.min("publish_date"), "yyyy-MM-dd").alias("a"), F.date_format(F.max("publish_date"), "yyyy-MM-dd").alias("b"))
 
 
-@query("AGG-18", """, c AS (SELECT s.speaker_id, count(DISTINCT s.content_id) AS episodes FROM segments s JOIN content c USING (content_id) WHERE c.channel_id % 100 = 1 GROUP BY 1 HAVING count(DISTINCT s.content_id) >= 2)
-SELECT * FROM c ORDER BY episodes DESC, speaker_id LIMIT 8""")
+@query("AGG-18", """, c AS (SELECT c.channel_id, s.speaker_id, count(DISTINCT s.content_id) AS episodes FROM segments s JOIN content c USING (content_id) GROUP BY 1, 2 HAVING count(DISTINCT s.content_id) >= 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY episodes DESC, speaker_id) AS rk FROM c) SELECT channel_id, speaker_id, episodes FROM k WHERE rk <= 8""")
 def regular_speakers(spark: SparkSession, d: str) -> DataFrame:
+    """Of each channel the eight speakers of most episodes, two at least."""
     t = Tables(spark, d)
-    kept = t.segments.join(t.content.where("channel_id % 100 = 1"), "content_id", "left_semi")
-    counts = kept.groupBy("speaker_id").agg(F.count_distinct("content_id").alias("episodes")).where("episodes >= 2")
-    return top(counts, [F.col("episodes").desc(), F.col("speaker_id")], 8)
+    heard = t.segments.join(t.content.select("content_id", "channel_id"), "content_id")
+    counts = heard.groupBy("channel_id", "speaker_id").agg(F.count_distinct("content_id").alias("episodes")).where("episodes >= 2")
+    return top_per_group(counts, ["channel_id"], [F.col("episodes").desc(), F.col("speaker_id")], 8)
 
 
 @query("AGG-19", """SELECT channel_id, rank() OVER (ORDER BY score DESC) AS rank, CASE WHEN score >= 8000 THEN 'A' WHEN score >= 3000 THEN 'B' ELSE 'C' END AS tier FROM channels""")

@@ -289,10 +289,15 @@ def chart_scrape(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("SRC-17", "SELECT event_id, d.source FROM ev JOIN documents d ON d.doc_id = ev.k WHERE event_type = 'view'")
+@query("SRC-17", """, asked AS (SELECT event_id, k AS doc_id, 'm' || (event_id % 2) AS model FROM ev WHERE event_type = 'view'), held AS (SELECT doc_id, md5(text) AS h, 'm1' AS model, source AS answer FROM documents WHERE doc_id % 3 <> 0)
+SELECT event_id, answer FROM asked JOIN documents d USING (doc_id) LEFT JOIN held ON held.doc_id = d.doc_id AND held.h = md5(d.text) AND held.model = asked.model""")
 def cached_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Answers cached by (segment, hash of its text, model); null where none is held."""
     t = Tables(spark, d)
-    return t.events.where("event_type = 'view'").join(t.documents.select(F.col("doc_id").alias("k"), "source"), "k").select("event_id", "source")
+    held = t.documents.where("doc_id % 3 <> 0").select("doc_id", F.md5("text").alias("text_hash"), F.lit("m1").alias("model"), F.col("source").alias("answer"))
+    asked = t.events.where("event_type = 'view'").select("event_id", F.col("k").alias("doc_id"), F.concat(F.lit("m"), F.col("event_id") % 2).alias("model"))
+    texts = t.documents.select("doc_id", F.md5("text").alias("text_hash"))
+    return asked.join(texts, "doc_id").join(held, ["doc_id", "text_hash", "model"], "left").select("event_id", "answer")
 
 
 @query("WIN-1", """, r AS (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY publish_date DESC, content_id) AS rn FROM content)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomcast.functions.vectors import cosine
 from loomcast.operators import aggregates as A
 from loomcast.operators import joins as J
+from loomcast.operators.search import scored
 from loomcast.operators.windows import top_per_group
 from loomcast.plans.registry import Tables, query
 
@@ -92,10 +94,10 @@ def anti_json(spark: SparkSession, d: str) -> DataFrame:
     return J.anti(t.documents.select("doc_id"), t.events.select(F.col("k").alias("doc_id")), "doc_id")
 
 
-@query("JON-11", "SELECT h.channel_id FROM channels h LEFT JOIN content c USING (channel_id) WHERE c.content_id IS NULL")
+@query("JON-11", "SELECT h.channel_id FROM channels h LEFT JOIN content c ON c.channel_id = h.channel_id AND c.state = 'P' WHERE c.content_id IS NULL")
 def anti_left_null(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return J.anti(t.channels, t.content, "channel_id").select("channel_id")
+    return J.anti(t.channels, t.content.where("state = 'P'"), "channel_id").select("channel_id")
 
 
 CO = """, m AS (SELECT DISTINCT content_id, speaker_id FROM segments)
@@ -258,11 +260,13 @@ def scalar_subquery(spark: SparkSession, d: str) -> DataFrame:
     return t.content.join(second, "content_id", "left").select("content_id", F.coalesce("l", F.lit(300.0)).alias("chunk"))
 
 
-@query("JON-32", "SELECT DISTINCT least(a.label, b.label) AS x, greatest(a.label, b.label) AS y FROM vec a JOIN vec b ON a.vec_id % 20 = 0 AND a.label <> b.label AND list_cosine_similarity(a.e, b.e) > 0.3")
+@query("JON-32", "SELECT DISTINCT least(a.label, b.label) AS x, greatest(a.label, b.label) AS y FROM vec a JOIN vec b ON a.vec_id % 20 = 0 AND a.label <> b.label AND round(list_cosine_similarity(a.e, b.e), 6) > 0.3")
 def conflict_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of a stated query set against all rows, in counted blocks."""
     v = Tables(spark, d).vectors
-    asked = v.where("vec_id % 20 = 0").select(F.col("label").alias("l"), F.col("e").alias("f"))
-    pairs = asked.join(v, (F.col("l") != F.col("label")) & (cosine(F.col("e"), F.col("f"), 0.0) > 0.3))
+    asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("qe"))
+    label = asked.select("query_id").join(v.select(F.col("vec_id").alias("query_id"), F.col("label").alias("l")), "query_id")
+    pairs = scored(v, asked).where("sim > 0.3").select("query_id", "label").distinct().join(label, "query_id").where("l <> label")
     return pairs.select(F.least("l", "label").alias("x"), F.greatest("l", "label").alias("y")).distinct()
 
 
@@ -276,14 +280,17 @@ def coverage(spark: SparkSession, d: str) -> DataFrame:
     return J.coverage(words(t), spans(t), "content_id", "segment_id", ("ws", "we"), ("ss", "se")).where("ratio < 0.5").select("segment_id", F.round("covered", 4).alias("covered"))
 
 
-@query("JON-34", COVER + "SELECT count(*) AS n, round(sum(coalesce(c, 0)), 2) AS covered FROM w LEFT JOIN s USING (segment_id)")
-def coverage_total(spark: SparkSession, d: str) -> DataFrame:
-    """As JON-33 on times moved by a constant: coverage doesn't change."""
+@query("JON-34", SPANS_SQL + """, cs AS (SELECT *, coalesce(sum(se - ss) OVER (PARTITION BY content_id ORDER BY ss, span_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cs FROM sp),
+x AS (SELECT content_id, segment_id, we - ws AS l, ws AS t FROM w), m AS (SELECT x.content_id, segment_id, l, coalesce(arg_max(ss + t - cs, cs), any_value(t)) AS s FROM x LEFT JOIN cs ON cs.content_id = x.content_id AND t BETWEEN cs AND cs + se - ss GROUP BY 1, 2, 3),
+c AS (SELECT m.segment_id, sum(greatest(0, least(s + l, se) - greatest(s, ss))) AS c FROM m JOIN sp USING (content_id) GROUP BY 1)
+SELECT m.segment_id, round(coalesce(c, 0), 4) AS covered, coalesce(c, 0) / l < 0.5 AS low FROM m LEFT JOIN c USING (segment_id)""")
+def coverage_concatenated(spark: SparkSession, d: str) -> DataFrame:
+    """Words timed on an episode's spans laid end to end: moved back to the episode's own times, then held against the spans."""
     t = Tables(spark, d)
-    moved_w = words(t).withColumns({"ws": F.col("ws") + 500, "we": F.col("we") + 500})
-    moved_s = spans(t).withColumns({"ss": F.col("ss") + 500, "se": F.col("se") + 500})
-    out = J.coverage(moved_w, moved_s, "content_id", "segment_id", ("ws", "we"), ("ss", "se"))
-    return out.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("covered"), 2).alias("covered"))
+    back = J.concatenated(spans(t), "content_id", "ss", "se", "span_id")
+    placed = J.remap_times(words(t).withColumn("l", F.col("we") - F.col("ws")), back, "content_id", "ws", "s").withColumn("e", F.col("s") + F.col("l"))
+    out = J.coverage(placed.select("content_id", "segment_id", "s", "e"), spans(t), "content_id", "segment_id", ("s", "e"), ("ss", "se"))
+    return out.select("segment_id", F.round("covered", 4).alias("covered"), (F.col("ratio") < 0.5).alias("low"))
 
 
 @query("JON-35", SPANS_SQL + """, x AS (SELECT w.segment_id, min(ss) AS s, max(se) AS e FROM w JOIN sp ON w.content_id = sp.content_id AND least(we, se) > greatest(ws, ss) GROUP BY 1)
@@ -303,7 +310,7 @@ def remapped(spark: SparkSession, d: str) -> DataFrame:
     return J.remap_times(words(t), mapping, "content_id", "ws").select("segment_id", F.round("mapped", 4).alias("mapped"))
 
 
-@query("JON-37", """, a AS (SELECT DISTINCT speaker_id AS x, content_id % 50 AS m FROM segments WHERE speaker_id <= 20), b AS (SELECT DISTINCT channel_id % 10 AS y, content_id % 50 AS m FROM content WHERE channel_id % 3 = 0),
+@query("JON-37", """, a AS (SELECT DISTINCT speaker_id AS x, content_id % 50 AS m FROM segments), b AS (SELECT DISTINCT channel_id % 10 AS y, content_id % 50 AS m FROM content),
 na AS (SELECT x, count(*) AS n FROM a GROUP BY 1), nb AS (SELECT y, count(*) AS n FROM b GROUP BY 1),
 j AS (SELECT x, y, count(*) AS shared FROM a JOIN b USING (m) GROUP BY 1, 2),
 r AS (SELECT j.x, j.y, shared, shared / na.n AS o, shared / nb.n AS c FROM j JOIN na USING (x) JOIN nb USING (y)),
@@ -311,21 +318,31 @@ k AS (SELECT *, row_number() OVER (PARTITION BY x ORDER BY o DESC, y) AS rk FROM
 SELECT x, y, shared, CASE WHEN o >= 0.9 AND c >= 0.4 THEN 'auto' WHEN o >= 0.7 THEN 'review' ELSE 'none' END AS band FROM k WHERE rk = 1""")
 def set_match(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    a = t.segments.where("speaker_id <= 20").select(F.col("speaker_id").alias("x"), (F.col("content_id") % 50).alias("m"))
-    b = t.content.where("channel_id % 3 = 0").select((F.col("channel_id") % 10).alias("y"), (F.col("content_id") % 50).alias("m"))
+    a = t.segments.select(F.col("speaker_id").alias("x"), (F.col("content_id") % 50).alias("m"))
+    b = t.content.select((F.col("channel_id") % 10).alias("y"), (F.col("content_id") % 50).alias("m"))
     best = top_per_group(J.set_match(a, b, "x", "y", "m"), ["x"], [F.col("overlap").desc(), F.col("y")])
     band = F.when((F.col("overlap") >= 0.9) & (F.col("coverage") >= 0.4), "auto").when(F.col("overlap") >= 0.7, "review").otherwise("none")
     return best.select("x", "y", "shared", band.alias("band"))
 
 
+#: Titles that match by 0.75 have lengths within a factor of 5/3, so they lie in buckets at most one apart.
+RATIO, STEP = 0.75, math.log(5 / 3)
+
+
 @query("JON-27")
 def fuzzy_match(spark: SparkSession, d: str) -> DataFrame:
-    """Turns of one conversation and role whose titles match by 0.5 or more, with bonuses for near places and lengths."""
+    """Turns of one conversation and role whose texts match by 0.75 or more, with bonuses for near places and lengths; the best match of each.
+
+    Turns meet only in neighbouring buckets of length; cheap upper bounds of the ratio come first.
+    """
     from loomcast.functions.text_udfs import title_similarity
 
-    t = Tables(spark, d).turns.select("conv_id", "role", "turn", F.substring("text", 1, 60).alias("title"), F.length("text").alias("n"))
-    other = t.toDF("conv_id", "role", "other_turn", "other_title", "other_n")
-    pairs = t.join(other, ["conv_id", "role"]).where("turn < other_turn").withColumn("ratio", title_similarity("title", "other_title")).where("ratio >= 0.5")
+    t = Tables(spark, d).turns.where("length(text) > 0").select("conv_id", "role", "turn", F.lower("text").alias("title"), F.length(F.lower("text")).alias("n"))
+    bucket = F.floor(F.log(F.col("n")) / STEP)
+    own = t.withColumn("bucket", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
+    other = t.withColumn("bucket", bucket).toDF("conv_id", "role", "other_turn", "other_title", "other_n", "bucket")
+    pairs = own.join(other, ["conv_id", "role", "bucket"]).where("turn < other_turn").where(2 * F.least("n", "other_n") >= RATIO * (F.col("n") + F.col("other_n")))
+    pairs = pairs.withColumn("ratio", title_similarity("title", "other_title", RATIO)).where(F.col("ratio") >= RATIO)
     bonus = F.when(F.col("other_turn") - F.col("turn") <= 2, 0.1).otherwise(0.0) + F.when(F.abs(F.col("n") - F.col("other_n")) <= 30, 0.1).otherwise(0.0)
-    scored = pairs.withColumn("score", F.round(F.col("ratio") + bonus, 6))
-    return top_per_group(scored, ["conv_id", "role", "turn"], [F.col("score").desc(), F.col("other_turn")]).select("conv_id", "role", "turn", "other_turn", "score")
+    scored_pairs = pairs.withColumn("score", F.round(F.col("ratio") + bonus, 6))
+    return top_per_group(scored_pairs, ["conv_id", "role", "turn"], [F.col("score").desc(), F.col("other_turn")]).select("conv_id", "role", "turn", "other_turn", "score")

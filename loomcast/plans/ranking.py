@@ -11,6 +11,7 @@ from loomcast.functions import text as X
 from loomcast.functions import vectors as V
 from loomcast.operators import sets as Sets
 from loomcast.operators import windows as Wn
+from loomcast.operators.ranges import capped_groups
 from loomcast.operators.windows import top, top_per_group
 from loomcast.plans.filters import ORDERS_NOW
 from loomcast.plans.registry import Tables, query
@@ -130,13 +131,16 @@ def centred(spark: SparkSession, d: str) -> DataFrame:
     return e.crossJoin(F.broadcast(e.agg(F.avg("value").alias("m")))).select("event_id", F.round(F.col("value") - F.col("m"), 4).alias("centred"))
 
 
-@query("WIN-18", """, s AS (SELECT content_id, segment_id, start_time % 1000 AS a, start_time % 1000 + length AS b FROM segments),
-m AS (SELECT *, max(b) OVER (PARTITION BY content_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM s),
-g AS (SELECT *, sum(CASE WHEN seen IS NULL OR a - seen >= 50 THEN 1 ELSE 0 END) OVER (PARTITION BY content_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS grp FROM m)
-SELECT content_id, grp::BIGINT AS grp, round(min(a), 4) AS a, round(max(b), 4) AS b, count(*) AS n FROM g GROUP BY 1, 2""")
+@query("WIN-18", """, s AS (SELECT content_id, segment_id, start_time % 1000 AS a, start_time % 1000 + length AS b FROM segments), n AS (SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY a, b, segment_id) AS i FROM s),
+r(content_id, i, grp, a0, b) AS (SELECT content_id, i, 1::BIGINT, a, b FROM n WHERE i = 1 UNION ALL
+  SELECT n.content_id, n.i, r.grp + (n.a - r.b >= 300 OR n.b - r.a0 > 400)::INT, CASE WHEN n.a - r.b >= 300 OR n.b - r.a0 > 400 THEN n.a ELSE r.a0 END, n.b FROM r JOIN n ON n.content_id = r.content_id AND n.i = r.i + 1)
+SELECT content_id, grp, round(min(a0), 4) AS a, round(arg_max(b, i), 4) AS b, count(*) AS n FROM r GROUP BY 1, 2""")
 def gap_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Segments under 300 apart are one group, as long as it lasts no more than 400."""
     s = Tables(spark, d).segments.select("content_id", "segment_id", (F.col("start_time") % 1000).alias("a"), (F.col("start_time") % 1000 + F.col("length")).alias("b"))
-    return Wn.gap_groups(s, ["content_id"], "a", "b", 50).groupBy("content_id", "grp").agg(F.round(F.min("a"), 4).alias("a"), F.round(F.max("b"), 4).alias("b"), F.count(F.lit(1)).alias("n"))
+    grouped = capped_groups(s, "content_id", "a", "b", 300, 400)
+    last = F.max_by("b", F.struct("a", "b", "segment_id"))
+    return grouped.groupBy("content_id", "grp").agg(F.round(F.min("a"), 4).alias("a"), F.round(last, 4).alias("b"), F.count(F.lit(1)).alias("n"))
 
 
 @query("WIN-19", "SELECT event_id, floor((row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) / 8)::BIGINT AS batch FROM ev")
@@ -144,12 +148,14 @@ def batched(spark: SparkSession, d: str) -> DataFrame:
     return Wn.batches(Tables(spark, d).events, ["user_id"], ["ts", "event_id"], 8).select("event_id", "batch")
 
 
-@query("WIN-20", r"""SELECT conv_id, turn FROM (SELECT *, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations)
-WHERE len(regexp_split_to_array(trim(text), '\s+')) <= 60 AND NOT regexp_matches(text, '[.!?]\s*$') IS TRUE AND nxt IS NOT NULL OR (nxt IS NOT NULL AND regexp_matches(nxt, '^[a-z]'))""")
+@query("WIN-20", r""", l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents), n AS (SELECT *, lead(t) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM l)
+SELECT doc_id, i FROM n WHERE nxt IS NOT NULL AND (CASE WHEN trim(t) = '' THEN 0 ELSE len(regexp_split_to_array(trim(t), '[ \t\n\v\f\r]+')) END <= 60 AND NOT regexp_matches(t, '[.!?]\s*$') OR regexp_matches(nxt, '^[a-z]'))""")
 def orphan_turns(spark: SparkSession, d: str) -> DataFrame:
-    t = Tables(spark, d).turns.withColumn("nxt", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn")))
-    short = (X.word_count(F.col("text")) <= 60) & ~X.ends_sentence(F.col("text"))
-    return t.where(F.col("nxt").isNotNull() & (short | F.col("nxt").rlike("^[a-z]"))).select("conv_id", "turn")
+    """Lines of a text as turns: short ones without an end of sentence, and those that the next goes on from."""
+    lines = Tables(spark, d).documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "t"))
+    t = lines.withColumn("nxt", F.lead("t").over(Window.partitionBy("doc_id").orderBy("i")))
+    short = (X.word_count(F.col("t")) <= 60) & ~X.ends_sentence(F.col("t"))
+    return t.where(F.col("nxt").isNotNull() & (short | F.col("nxt").rlike("^[a-z]"))).select("doc_id", (F.col("i") + 1).cast("long").alias("i"))
 
 
 @query("WIN-21", """, n AS (SELECT content_id, speaker_id, count(*) AS n FROM segments WHERE emotion <> 'N' GROUP BY 1, 2), t AS (SELECT content_id, sum(n) AS total FROM n GROUP BY 1),
@@ -315,3 +321,21 @@ SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY hd, pr) AS at,
 def contractions(spark: SparkSession, d: str) -> DataFrame:
     words = Tables(spark, d).events.select("user_id", "ts", "event_id", F.when(F.col("k") % 3 == 0, "'s").otherwise(F.col("event_type")).alias("word"))
     return Wn.merge_contractions(words, ["user_id"], ["ts", "event_id"], "word")
+
+
+@query("WIN-17", """SELECT user_id, event_id, rank() OVER w AS rk, dense_rank() OVER w AS dr, ntile(4) OVER (PARTITION BY user_id ORDER BY k, event_id) AS nt,
+lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before, lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS after FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY k)""")
+def window_functions(spark: SparkSession, d: str) -> DataFrame:
+    by_k, by_time = Window.partitionBy("user_id").orderBy("k"), Window.partitionBy("user_id").orderBy("ts", "event_id")
+    tiles = F.ntile(4).over(Window.partitionBy("user_id").orderBy("k", "event_id"))
+    return Tables(spark, d).events.select("user_id", "event_id", F.rank().over(by_k).alias("rk"), F.dense_rank().over(by_k).alias("dr"), tiles.alias("nt"), F.lag("event_id").over(by_time).alias("before"), F.lead("event_id").over(by_time).alias("after"))
+
+
+@query("SET-8", """, a AS (SELECT DISTINCT user_id FROM ev WHERE event_type = 'purchase'), b AS (SELECT DISTINCT user_id FROM ev WHERE event_type = 'error' AND k < 20)
+SELECT 'both' AS part, user_id FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT 'first only', user_id FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'any', user_id FROM (SELECT * FROM a UNION SELECT * FROM b)""")
+def set_algebra(spark: SparkSession, d: str) -> DataFrame:
+    e = Tables(spark, d).events
+    a, b = e.where("event_type = 'purchase'").select("user_id"), e.where("event_type = 'error' AND k < 20").select("user_id")
+    parts = {"both": a.intersect(b), "first only": a.subtract(b), "any": a.union(b).distinct()}
+    tagged = [f.select(F.lit(name).alias("part"), "user_id") for name, f in parts.items()]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])

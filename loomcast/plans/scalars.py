@@ -24,9 +24,10 @@ def dedup_text(spark: SparkSession, d: str) -> DataFrame:
     return Tables(spark, d).documents.select("doc_id", X.normalise_for_dedup(F.col("text"), REMOVALS, STOP).alias("t"))
 
 
-@query("FUN-2", r"SELECT doc_id, regexp_replace(lower(split_part(text, ' ', 1)), '[^\p{L}\p{N}_]', '', 'g') AS word FROM documents")
+@query("FUN-2", r"""SELECT word, count(*) AS n FROM (SELECT regexp_replace(lower(w), '[^\p{L}\p{N}_]', '', 'g') AS word FROM (SELECT unnest(string_split(text, ' ')) AS w FROM documents)) GROUP BY 1""")
 def word(spark: SparkSession, d: str) -> DataFrame:
-    return Tables(spark, d).documents.select("doc_id", X.normalise_word(F.substring_index("text", " ", 1)).alias("word"))
+    words = Tables(spark, d).documents.select(F.explode(F.split("text", " ")).alias("w"))
+    return words.groupBy(X.normalise_word(F.col("w")).alias("word")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("FUN-3")
@@ -50,9 +51,10 @@ def ngram_runs(spark: SparkSession, d: str) -> DataFrame:
     return Tables(spark, d).documents.select("doc_id", U.cap_ngram_runs("text").alias("t"))
 
 
-@query("FUN-7", r"SELECT doc_id, length(trim(split_part(text, ' ', 2))) <= 2 OR NOT regexp_matches(split_part(text, ' ', 2), '[\p{L}\p{N}_]') AS empty FROM documents")
+@query("FUN-7", r"SELECT doc_id, count(*) FILTER (length(trim(w)) <= 2 OR NOT regexp_matches(w, '[\p{L}\p{N}_]')) AS n FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY 1")
 def contentless(spark: SparkSession, d: str) -> DataFrame:
-    return Tables(spark, d).documents.select("doc_id", X.is_contentless(F.split_part(F.col("text"), F.lit(" "), F.lit(2))).alias("empty"))
+    empty = F.filter(F.split("text", " "), X.is_contentless)
+    return Tables(spark, d).documents.select("doc_id", F.size(empty).cast("long").alias("n"))
 
 
 def timed_words(t: Tables) -> DataFrame:
@@ -60,17 +62,37 @@ def timed_words(t: Tables) -> DataFrame:
     return t.segments.select(F.col("content_id").alias("key"), F.col("idx").alias("seg"), F.col("segment_id").alias("idx"), F.col("emotion").alias("word"), at.alias("start"), (at + F.col("length")).alias("end"))
 
 
-@query("FUN-8")
+#: Sequential rules as recursion over a key's rows in order: the state is what was kept.
+TIMED = ", o AS (SELECT content_id AS key, idx AS seg, segment_id AS idx, emotion AS word, start_time % 100 AS a, start_time % 100 + length AS b FROM segments)"
+
+
+@query("FUN-8", TIMED + """, n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seg, idx) AS i FROM o),
+r(key, i, fine, kept) AS (
+  SELECT key, 0::BIGINT, false, []::STRUCT(w VARCHAR, a DOUBLE, b DOUBLE)[] FROM n WHERE i = 1
+  UNION ALL SELECT t.key, t.i, NOT t.hit, CASE WHEN t.hit THEN t.kept ELSE list_append(t.kept, {'w': t.word, 'a': t.a, 'b': t.b}) END FROM (
+    SELECT n.key, n.i, n.word, n.a, n.b, r.kept, len(list_filter(r.kept, lambda x: x.w = n.word AND (abs(n.a - x.a) <= 0.05 AND abs(n.b - x.b) <= 0.05
+      OR least(n.b, x.b) - greatest(n.a, x.a) > 0 AND least(n.b, x.b) - greatest(n.a, x.a) >= 0.8 * greatest(1e-9, least(n.b - n.a, x.b - x.a))))) > 0 AS hit
+    FROM r JOIN n ON n.key = r.key AND n.i = r.i + 1) t)
+SELECT n.key, n.seg, n.idx, n.word, n.a AS start, n.b AS "end" FROM n JOIN r USING (key, i) WHERE r.fine""")
 def timing_copies(spark: SparkSession, d: str) -> DataFrame:
     return R.drop_timing_copies(timed_words(Tables(spark, d)), "key")
 
 
-@query("FUN-9")
+@query("FUN-9", TIMED + """, n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY a, b, idx) AS i FROM o),
+r(key, i, fine, kept) AS (
+  SELECT key, 0::BIGINT, false, []::STRUCT(a DOUBLE, b DOUBLE)[] FROM n WHERE i = 1
+  UNION ALL SELECT t.key, t.i, NOT t.hit, CASE WHEN t.hit THEN t.kept ELSE list_append(t.kept, {'a': t.a, 'b': t.b}) END FROM (
+    SELECT n.key, n.i, n.a, n.b, r.kept, coalesce(list_transform(list_filter(r.kept, lambda x: least(n.b, x.b) > greatest(n.a, x.a)), lambda x: least(n.b, x.b) - greatest(n.a, x.a))[1], 0) > 0.3 * (n.b - n.a) AS hit
+    FROM r JOIN n ON n.key = r.key AND n.i = r.i + 1) t)
+SELECT n.key, n.seg, n.idx, n.word, n.a AS start, n.b AS "end" FROM n JOIN r USING (key, i) WHERE r.fine""")
 def overlap_removal(spark: SparkSession, d: str) -> DataFrame:
     return R.drop_overlaps(timed_words(Tables(spark, d)), "key")
 
 
-@query("FUN-10")
+@query("FUN-10", TIMED + """, n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY a, idx) AS i FROM o),
+r(key, i, w) AS (SELECT key, i, a FROM n WHERE i = 1 UNION ALL SELECT n.key, n.i, CASE WHEN n.a < r.w + 20 THEN r.w ELSE n.a END FROM r JOIN n ON n.key = r.key AND n.i = r.i + 1),
+k AS (SELECT n.*, row_number() OVER (PARTITION BY n.key, r.w ORDER BY n.b DESC, n.a) AS rk FROM n JOIN r USING (key, i))
+SELECT key, seg, idx, word, a AS start, b AS "end" FROM k WHERE rk = 1""")
 def tumbling_best(spark: SparkSession, d: str) -> DataFrame:
     return R.best_in_windows(timed_words(Tables(spark, d)), "key", "start", "end", 20.0)
 
@@ -81,11 +103,10 @@ def segment_quality(spark: SparkSession, d: str) -> DataFrame:
     return Tables(spark, d).segments.select("segment_id", F.round(score, 7).alias("quality"))
 
 
-@query("FUN-12", r"SELECT doc_id, regexp_replace(array_to_string(regexp_split_to_array(regexp_replace(text, '([.,])', ' \1', 'g'), ' +'), ' '), ' +([.,!?;:%)\]}])', '\1', 'g') AS t FROM documents WHERE text NOT LIKE '%(%' AND text NOT LIKE '%[%' AND text NOT LIKE '%{%'")
+@query("FUN-12", r"SELECT doc_id, regexp_replace(regexp_replace(array_to_string(regexp_split_to_array(regexp_replace(text, '([.,()])', ' \1 ', 'g'), ' +'), ' '), ' +([.,!?;:%)\]}])', '\1', 'g'), '([(\[{]) +', '\1', 'g') AS t FROM documents")
 def joined_tokens(spark: SparkSession, d: str) -> DataFrame:
-    docs = Tables(spark, d).documents.where("text NOT LIKE '%(%' AND text NOT LIKE '%[%' AND text NOT LIKE '%{%'")
-    tokens = F.split(F.regexp_replace("text", r"([.,])", " $1"), " +")
-    return docs.select("doc_id", X.join_tokens(tokens).alias("t"))
+    tokens = F.split(F.regexp_replace("text", r"([.,()])", " $1 "), " +")
+    return Tables(spark, d).documents.select("doc_id", X.join_tokens(tokens).alias("t"))
 
 
 @query("FUN-13", """, f AS (SELECT *, CASE WHEN role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn) THEN 1 ELSE 0 END AS new FROM conversations),
@@ -128,16 +149,16 @@ def range_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("FUN-17", """, c AS (SELECT content_id, duration, greatest(1, ceil((duration - 2) / 298))::INT AS n FROM content), l AS (SELECT *, CASE WHEN n > 1 AND duration - (n - 1) * 298 < 5 THEN n - 1 ELSE n END AS m FROM c)
-SELECT content_id, i AS chunk, (i * 298)::DOUBLE AS a, CASE WHEN i = m - 1 THEN duration ELSE least(duration, i * 298 + 300) END AS b FROM l, range(0, m) t(i) WHERE content_id % 50 = 0""")
+SELECT content_id, i AS chunk, (i * 298)::DOUBLE AS a, CASE WHEN i = m - 1 THEN duration ELSE least(duration, i * 298 + 300) END AS b FROM l, range(0, m) t(i)""")
 def chunks(spark: SparkSession, d: str) -> DataFrame:
-    c = Tables(spark, d).content.where("content_id % 50 = 0")
+    c = Tables(spark, d).content
     return c.select("content_id", F.posexplode(R.chunk_plan(F.col("duration"), 300.0, 2.0)).alias("chunk", "x")).select("content_id", F.col("chunk").cast("long").alias("chunk"), F.col("x.start").alias("a"), F.col("x.end").alias("b"))
 
 
 @query("FUN-18")
 def segmented(spark: SparkSession, d: str) -> DataFrame:
     docs = Tables(spark, d).documents.select(F.col("doc_id").alias("id"), "text")
-    return docs.mapInPandas(U.sentence_chunks(limit=120, target=80), "id long, segment int, text string, words int")
+    return docs.mapInPandas(U.coherent_segments(target=80, limit=120), "id long, segment int, text string, words int")
 
 
 @query("FUN-19", r"SELECT doc_id, CASE WHEN trim(text) = '' THEN 0 ELSE len(regexp_split_to_array(trim(text), '[ \t\n\v\f\r]+')) END AS n FROM documents")
@@ -240,8 +261,9 @@ def name_scores(spark: SparkSession, d: str) -> DataFrame:
 
 @query("FUN-35")
 def title_similarities(spark: SparkSession, d: str) -> DataFrame:
-    t = Tables(spark, d).turns.where("role = 'user'").select("conv_id", F.substring("text", 1, 60).alias("title"), F.lead(F.substring("text", 1, 60)).over(Window.partitionBy("conv_id").orderBy("turn")).alias("other"))
-    return t.where("other IS NOT NULL").select("conv_id", "title", F.round(U.title_similarity("title", "other"), 6).alias("ratio"))
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    t = Tables(spark, d).turns.where("role = 'user'").select("conv_id", "turn", "text", F.lead("text").over(w).alias("other"))
+    return t.where("other IS NOT NULL").select("conv_id", "turn", F.round(U.title_similarity("text", "other"), 6).alias("ratio"))
 
 
 @query("FUN-36", r"""SELECT s_suppkey, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower('Dr. ' || s_name || ' (host), Jr.'), '\([^)]*\)', ' ', 'g'), '[^\p{L}\p{N}_\s]', '', 'g'), '\b(dr|mr|mrs|ms|prof|jr|sr|ii|iii|iv)\b', ' ', 'g'), '\s+', ' ', 'g')) AS name FROM supplier""")
@@ -255,7 +277,7 @@ def duplicate_confidence(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("conv_id", "role").orderBy("turn")
     t = Tables(spark, d).turns.withColumns({"other": F.lead("text").over(w), "gap": F.lead("turn").over(w) - F.col("turn")}).where("other IS NOT NULL")
     near = F.when(F.abs(F.length("text") - F.length("other")) <= 30, 0.3).otherwise(0.0) + F.when(F.col("gap") <= 2, 0.3).otherwise(0.0)
-    return t.select("conv_id", "turn", F.round(0.4 * U.title_similarity(F.substring("text", 1, 80), F.substring("other", 1, 80)) + near, 6).alias("confidence"))
+    return t.select("conv_id", "turn", F.round(0.4 * U.title_similarity("text", "other") + near, 6).alias("confidence"))
 
 
 FLAGS = (("downloaded", "DOWNLOADED"), ("converted", "CONVERTED"), ("transcribed", "TRANSCRIBED"), ("embedded", "EMBEDDED"))

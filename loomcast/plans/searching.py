@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 from loomcast.functions import predicates as P
 from loomcast.functions import scores as S
 from loomcast.functions import vectors as V
+from loomcast.operators import ann as N
 from loomcast.operators import cluster as C
 from loomcast.operators import search as Q
 from loomcast.operators.windows import top, top_per_group
 from loomcast.plans.registry import Tables, query
 
-QS = ", q AS (SELECT vec_id AS query_id, e AS qe FROM vec WHERE vec_id % 100 = 0), r AS (SELECT query_id, vec_id, label, round(list_cosine_similarity(e, qe), 6) AS sim FROM vec, q)\n"
+QS = ", q AS (SELECT vec_id AS query_id, e AS qe FROM vec WHERE vec_id % 20 = 0), r AS (SELECT query_id, vec_id, label, round(list_cosine_similarity(e, qe), 6) AS sim FROM vec, q)\n"
 
 
 def queries(t: Tables) -> DataFrame:
-    return t.vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("qe"))
+    return t.vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("qe"))
 
 
 @query("VEC-1", QS + ", k AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY sim DESC, vec_id) AS rn FROM r), b AS (SELECT vec_id, max(sim) AS sim FROM k WHERE rn <= 5 AND sim >= 0.1 GROUP BY 1) SELECT vec_id, sim FROM b")
@@ -116,11 +117,23 @@ def reranked(spark: SparkSession, d: str) -> DataFrame:
     return out.select("vec_id", "final_score")
 
 
+def greedy_sql(base: str, n: int, weight: float, small_whole: bool = True) -> str:
+    """The greedy choice of n rows a group, a table for each place; base gives (g, vec_id, static, e)."""
+    out = f", base AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY g) AS size FROM ({base})), s0 AS MATERIALIZED (SELECT g, vec_id, static, e, NULL::DOUBLE AS near FROM base WHERE e IS NOT NULL{f' AND size > {n}' if small_whole else ''})\n"
+    for i in range(1, n + 1):
+        gain = f"coalesce({weight} * (1 - near), 0) + static"
+        out += f", p{i} AS MATERIALIZED (SELECT g, arg_min(vec_id, (-({gain}), -static, vec_id)) AS vec_id FROM s{i - 1} GROUP BY 1), c{i} AS MATERIALIZED (SELECT p.g, p.vec_id, s.e FROM p{i} p JOIN s{i - 1} s ON s.g = p.g AND s.vec_id = p.vec_id)\n"
+        out += f", s{i} AS MATERIALIZED (SELECT s.g, s.vec_id, s.static, s.e, greatest(s.near, list_dot_product(s.e, c.e)) AS near FROM s{i - 1} s JOIN c{i} c ON c.g = s.g AND c.vec_id <> s.vec_id)\n"
+    picks = " UNION ALL ".join(f"SELECT g, vec_id, {i} AS picked FROM c{i}" for i in range(1, n + 1))
+    small = f" UNION ALL SELECT g, vec_id, row_number() OVER (PARTITION BY g ORDER BY static DESC, vec_id) FROM base WHERE size <= {n}" if small_whole else ""
+    return out + f", picks AS ({picks}{small}) "
+
+
 def candidates(t: Tables) -> DataFrame:
     return t.vectors.select("vec_id", "label", "e", (F.col("vec_id") % 11 / 11).alias("static"))
 
 
-@query("VEC-13")
+@query("VEC-13", greedy_sql("SELECT 0 AS g, vec_id, vec_id % 11 / 11 AS static, e FROM vec", 20, 0.5) + "SELECT vec_id, picked FROM picks")
 def diverse(spark: SparkSession, d: str) -> DataFrame:
     return Q.diverse(candidates(Tables(spark, d)), "static", "e", "vec_id", 20, 0.5).select("vec_id", "picked")
 
@@ -130,7 +143,7 @@ def rank_only(spark: SparkSession, d: str) -> DataFrame:
     return Q.select_top(candidates(Tables(spark, d)), "static", "vec_id", 20).select("vec_id", F.round("static", 6).alias("static"))
 
 
-@query("VEC-15")
+@query("VEC-15", greedy_sql("SELECT label AS g, vec_id, vec_id % 11 / 11 AS static, e FROM vec", 5, 0.5) + "SELECT g AS label, vec_id, picked FROM picks")
 def balanced(spark: SparkSession, d: str) -> DataFrame:
     return Q.diverse(candidates(Tables(spark, d)), "static", "e", "vec_id", 5, 0.5, keys=["label"]).select("label", "vec_id", "picked")
 
@@ -144,11 +157,19 @@ def semantic_cache(spark: SparkSession, d: str) -> DataFrame:
     return q.select("query_id").join(hit, "query_id", "left")
 
 
-@query("VEC-17")
+@query("VEC-17", greedy_sql("SELECT label AS g, vec_id, 0.0::DOUBLE AS static, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM vec", 5, 1.0, False) + "SELECT g AS label, vec_id, picked FROM picks")
 def farthest(spark: SparkSession, d: str) -> DataFrame:
     return Q.farthest_points(Tables(spark, d).vectors, "e", "vec_id", 5, ["label"]).select("label", "vec_id", "picked")
 
 
+@query("VEC-1-ANN")
+def indexed(spark: SparkSession, d: str) -> DataFrame:
+    """VEC-1's search over an inverted-file index: ten nearest rows of each query, recall of 0.9 and more against the exact search."""
+    t = Tables(spark, d)
+    cells = N.fit_cells(t.vectors)
+    return N.search(N.build(t.vectors, cells), queries(t), cells, 10, visit=32).select("query_id", F.col("id").alias("vec_id"), "sim")
+
+
 @query("CLU-1")
 def themes(spark: SparkSession, d: str) -> DataFrame:
     out, _ = C.k_means(Tables(spark, d).vectors, [5], components=8)
@@ -157,7 +178,7 @@ def themes(spark: SparkSession, d: str) -> DataFrame:
 
 @query("CLU-2")
 def forced_split(spark: SparkSession, d: str) -> DataFrame:
-    out, report = C.k_means(Tables(spark, d).vectors.where("label = 1"), [2, 3, 4])
+    out, report = C.k_means(Tables(spark, d).vectors, [2, 3, 4])
     return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(report["k"]))
 
 
@@ -182,9 +203,9 @@ def aligned(spark: SparkSession, d: str) -> DataFrame:
 
 @query("CLU-6")
 def subthemes(spark: SparkSession, d: str) -> DataFrame:
-    v = Tables(spark, d).vectors
-    parts = None
-    for label in (1, 2):  # a few themes, named by the caller
+    """The labels are themes, few by their nature; each is split by itself."""
+    v, parts = Tables(spark, d).vectors, None
+    for (label,) in v.where("label IS NOT NULL").select("label").distinct().orderBy("label").collect():
         out, report = C.k_means(v.where(F.col("label") == label), [2, 3])
         part = out.groupBy("label", "cluster").agg(F.count(F.lit(1)).alias("n"))
         parts = part if parts is None else parts.unionByName(part)
@@ -357,7 +378,7 @@ def cluster_splits(spark: SparkSession, d: str) -> DataFrame:
 @query("CLU-23")
 def canopy_growth(spark: SparkSession, d: str) -> DataFrame:
     v = Tables(spark, d).vectors.select("vec_id", "label", "e", (F.col("vec_id") % 13).alias("quality"), F.when(F.col("vec_id") % 9 == 0, F.concat(F.lit("n"), F.col("vec_id") % 4)).alias("name"))
-    return C.canopies(v, "label", "vec_id", "e", "quality", "name", prototype=0.3, density=0.6, sentinel=0.15)
+    return C.canopies(v, "label", "vec_id", "e", "quality", "name", prototype=0.3, beta=0.6, sentinel=0.15)
 
 
 @query("CLU-29")
@@ -367,3 +388,13 @@ def quick_check(spark: SparkSession, d: str) -> DataFrame:
     few = v.limit(30).count() < 30
     _, report = ({}, {"k": 1}) if few else C.k_means(v, range(2, 5), components=32, least_size=10, least_silhouette=0.15)
     return spark.range(1).select(F.lit(report["k"]).alias("k"), F.lit(few).alias("too_few"))
+
+
+@query("CLU-24", """, n AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e, vec_id % 13 AS q, CASE WHEN vec_id % 9 = 0 THEN 'n' || (vec_id % 4) END AS name FROM vec),
+a AS (SELECT label, arg_max(vec_id, (q, -vec_id)) AS anchor FROM n GROUP BY 1), s AS (SELECT n.*, anchor, x.name AS an, list_dot_product(n.e, x.e) AS sim FROM n JOIN a USING (label) JOIN n x ON x.vec_id = anchor),
+r AS (SELECT label, sim, row_number() OVER (PARTITION BY label ORDER BY sim DESC, vec_id) AS rk FROM s WHERE vec_id <> anchor), dn AS (SELECT label, avg(sim) AS d FROM r WHERE rk <= 10 GROUP BY 1)
+SELECT label, vec_id, CASE WHEN vec_id = anchor THEN 'anchor' WHEN sim < 0.2 THEN 'prototype' WHEN sim < 0.6 * d THEN 'density' WHEN name IS NOT NULL AND name IS DISTINCT FROM an THEN 'name' ELSE 'passed' END AS verdict FROM s LEFT JOIN dn USING (label)""")
+def gate_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    """How each row of a label fares at the gates of the canopy around the label's best row."""
+    v = Tables(spark, d).vectors.select("vec_id", "label", "e", (F.col("vec_id") % 13).alias("quality"), F.when(F.col("vec_id") % 9 == 0, F.concat(F.lit("n"), F.col("vec_id") % 4)).alias("name"))
+    return C.gate_verdicts(v, "label", "vec_id", "e", "quality", "name", prototype=0.2, beta=0.6, sentinel=0.15)

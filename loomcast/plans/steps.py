@@ -8,13 +8,11 @@ functions that the caller registers, with deterministic defaults.
 from __future__ import annotations
 
 import json
-import re
-import zlib
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from typing import Any
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +21,12 @@ from pyspark.sql import types as T
 from loomcast.functions import predicates as P
 from loomcast.functions import scores as S
 from loomcast.functions import text as X
+from loomcast.functions.text_udfs import hashed_vector_of
 from loomcast.operators import cluster as C
 from loomcast.operators import search as Q
 from loomcast.operators.windows import top_per_group
 from loomcast.plans.registry import Tables, query
+from loomcast.plans.searching import greedy_sql
 
 
 @dataclass(frozen=True)
@@ -89,39 +89,49 @@ class Chain:
     def from_json(cls, text: str) -> Chain:
         return cls([(s["step"], s.get("params", {})) for s in json.loads(text)])
 
-    def run(self, context: Context) -> Context:
+    def stream(self, context: Context) -> Iterator[tuple[str, Context]]:
+        """(step, context) as each step is done, so that a caller can show what there is so far."""
         for name, params in self.steps:
             context = STEPS[name].run(context, params)
+            yield name, context
+
+    def run(self, context: Context) -> Context:
+        for _, context in self.stream(context):  # noqa: B007
+            pass
         return context
 
 
 def hashed_vector(text, dim: int = 64):
-    """Default embedding: each word adds 1 or -1 to a place that its hash names; unit length. No model, no claim of meaning."""
+    """Default embedding of a column of texts: hashed_vector_of each."""
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def embed(texts: pd.Series) -> pd.Series:
-        def one(value: str | None) -> list[float]:
-            v = np.zeros(dim)
-            for w in re.findall(r"\w+", (value or "").lower()):
-                h = zlib.crc32(w.encode())
-                v[h % dim] += 1.0 if h >> 31 else -1.0
-            return (v / max(float(np.linalg.norm(v)), 1e-12)).tolist()
-
-        return texts.map(one)
+        return texts.map(lambda value: hashed_vector_of(value, dim).tolist())
 
     return embed(text)
 
 
-def default_expand(question: str, n: int) -> list[str]:
-    return [question, *[f"{question} ({i})" for i in range(1, n)]]
+#: What the default expansion asks, by strategy; {q} is the question.
+ASKED = {
+    "multi_query": ("{q}", "what is said about {q}", "views on {q}", "debate about {q}", "news of {q}", "que dit-on de {q}", "opinions sur {q}", "débat sur {q}", "nouvelles de {q}", "analyse de {q}"),
+    "theme_queries": ("{q}", "arguments for {q}", "arguments against {q}", "causes of {q}", "effects of {q}", "people in {q}", "history of {q}", "politics of {q}", "economy of {q}", "future of {q}"),
+    "query2doc": ("{q} A passage on {q} would say what it is, who speaks of it and why it matters.",),
+    "stance_variation": ("Someone in favour says of {q} that it helps.", "Someone against says of {q} that it harms.", "Someone neutral says of {q} that it depends.", "Someone concerned asks who pays for {q}.", "Someone hopeful expects much of {q}."),
+}
+
+
+def default_expand(question: str, strategy: str, n: int) -> list[str]:
+    """Deterministic expansions: ten queries, one document or n stances; no model."""
+    texts = ASKED[strategy][:n] if strategy == "stance_variation" else ASKED[strategy]
+    return [t.replace("{q}", question) for t in texts]
 
 
 @step("expand_query", strategy="multi_query", n_stances=3)
 def expand_query(c: Context, p: Mapping[str, Any]) -> Context:
-    """frames.queries: (query_idx, text, qe). Plug-ins: expand(question, n) and embed(column)."""
-    if p["strategy"] not in ("multi_query", "query2doc", "theme_queries", "stance_variation"):
+    """frames.queries: (query_idx, text, qe). Plug-ins: expand(question, strategy, n) and embed(column)."""
+    if p["strategy"] not in ASKED:
         raise ValueError(f"no strategy {p['strategy']}")
-    texts = c.plugins.get("expand", default_expand)(c.question, p["n_stances"])
+    texts = c.plugins.get("expand", default_expand)(c.question, p["strategy"], p["n_stances"])
     rows = c.segments.sparkSession.createDataFrame([(i, t) for i, t in enumerate(texts)], "query_idx int, text string")
     return c.put(queries=rows.withColumn("qe", c.plugins.get("embed", hashed_vector)(F.col("text"))))
 
@@ -246,9 +256,14 @@ def quantitative_analysis(c: Context, p: Mapping[str, Any]) -> Context:
 
 @step("generate_summary", template="rag_answer", level="theme", model=None, backend=None, temperature=0.3, max_tokens=400, max_concurrent=20, include_subtheme_summaries=False, include_theme_summaries=False, include_all_theme_summaries=False)
 def generate_summary(c: Context, p: Mapping[str, Any]) -> Context:
-    """frames.summaries: (group, prompt, summary). Plug-in: generate(column); the default is the first max_tokens words of the texts."""
+    """frames.summaries: (group, prompt, summary). Plug-in: generate(column); the default is the first max_tokens words of the prompt.
+
+    The default needs no more than max_tokens texts with words of each group, so it takes no more to one row.
+    """
     rows = c.current()
     key = F.col("cluster").cast("string") if p["level"] == "theme" and "cluster" in rows.columns else F.lit("all")
+    if "generate" not in c.plugins:
+        rows = top_per_group(rows.where(F.col("text").rlike(r"\S")), [key], [F.col("segment_id"), F.col("text")], p["max_tokens"])
     texts = rows.groupBy(key.alias("group")).agg(F.array_sort(F.collect_list(F.struct("segment_id", "text"))).alias("t"))
     prompt = F.concat(F.lit(TEMPLATES[p["template"]].format(question=c.question)), F.array_join("t.text", "\n"))
     first = lambda col: F.array_join(F.slice(F.split(col, r"\s+"), 1, p["max_tokens"]), " ")
@@ -327,9 +342,19 @@ def context(spark: SparkSession, d: str, question: str = "the and thing") -> Con
 CORPUS = ", cp AS (SELECT doc_id, source, lang, n_chars, doc_id // 3 AS content_id, doc_id % 40 AS age FROM documents) "
 
 
-@query("STP-1")
+def _expansions() -> str:
+    rows = [(s, i, t) for s in sorted(ASKED) for i, t in enumerate(default_expand("the and thing", s, 3))]
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{s}', {i}, '{t}', 64)" for s, i, t in rows) + ") v(strategy, query_idx, text, dim)"
+
+
+@query("STP-1", _expansions())
 def stp_expand(spark: SparkSession, d: str) -> DataFrame:
-    return Chain().then("expand_query").run(context(spark, d)).frames["queries"].select("query_idx", "text", F.size("qe").alias("dim"))
+    """What each strategy asks of one question."""
+    c, parts = context(spark, d), []
+    for strategy in sorted(ASKED):
+        found = Chain().then("expand_query", strategy=strategy).run(c).frames["queries"]
+        parts.append(found.select(F.lit(strategy).alias("strategy"), "query_idx", "text", F.size("qe").alias("dim")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("STP-2")
@@ -375,7 +400,7 @@ def stp_sub(spark: SparkSession, d: str) -> DataFrame:
     return chain.run(context(spark, d)).frames["subthemed"].groupBy("cluster", "subtheme").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("STP-10")
+@query("STP-10", CORPUS + greedy_sql("SELECT source AS g, doc_id AS vec_id, 0.0::DOUBLE AS static, e FROM cp JOIN vec ON vec_id = doc_id WHERE age <= 30", 3, 0.5) + "SELECT g AS channel, vec_id AS segment_id, picked FROM picks")
 def stp_select(spark: SparkSession, d: str) -> DataFrame:
     return Chain().then("retrieve_all_segments").then("select_segments", n=3).run(context(spark, d)).frames["selected"].select("channel", "segment_id", "picked")
 
@@ -387,7 +412,7 @@ def stp_rerank(spark: SparkSession, d: str) -> DataFrame:
     return Chain().then("retrieve_segments").then("rerank_segments", max_per_channel=4).run(context(spark, d)).frames["retrieved"].select("segment_id", "final_score")
 
 
-@query("STP-12")
+@query("STP-12", CORPUS + r"""SELECT 'all' AS "group", array_to_string(regexp_split_to_array('Answer from the passages: the and thing' || chr(10) || string_agg(text, chr(10) ORDER BY doc_id), '[ \t\n\v\f\r]+')[1:50], ' ') AS summary FROM cp JOIN documents USING (doc_id) WHERE age <= 30 AND text ILIKE '%licensed%'""")
 def stp_summaries(spark: SparkSession, d: str) -> DataFrame:
     return Chain().then("retrieve_segments", must_contain=["licensed"]).then("generate_summaries", level="corpus", max_tokens=50).run(context(spark, d)).frames["summaries"].select("group", "summary")
 

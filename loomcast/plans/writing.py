@@ -100,7 +100,11 @@ def cascade(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SNK-12", "SELECT speaker_id, count(*) AS n, round(sum(length), 2) AS total FROM segments GROUP BY 1")
 def maintained(spark: SparkSession, d: str) -> DataFrame:
-    return Tables(spark, d).segments.groupBy("speaker_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("length"), 2).alias("total"))
+    """Aggregates kept up: what was counted before a date, and what came after it added on."""
+    s, date = Tables(spark, d).segments, F.lit("1998-01-01").cast("timestamp")
+    per = lambda rows: rows.groupBy("speaker_id").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("total"))
+    kept = K.upsert(per(s.where(F.col("segment_date") < date)), per(s.where(F.col("segment_date") >= date)), ["speaker_id"], counters=["n", "total"])
+    return kept.select("speaker_id", "n", F.round("total", 2).alias("total"))
 
 
 @query("SNK-13", "SELECT speaker_id, arg_max(content_id, (segment_date, segment_id)) AS last_content, count(DISTINCT content_id) AS episodes FROM segments GROUP BY 1")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ def feed_items(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """(content_id, chunk_index, start, end, text) of JSON transcripts, plain or gzip, one document a file or a line."""
+    """(content_id, chunk_index, start, end, text) of JSON transcripts, plain or gzip, one document a file."""
     rows = spark.read.schema(TRANSCRIPT).option("multiLine", True).json(path)
     return rows.select("content_id", "chunk_index", F.inline("segments"))
 
@@ -90,3 +91,18 @@ def keep(df: DataFrame, path: str) -> DataFrame:
     """df materialised as Parquet under path, read back: a cache that outlives the session."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def cached(spark: SparkSession, path: str, key: str, build: Callable[[], DataFrame], as_of: float, ttl_s: float) -> DataFrame:
+    """The table kept under key, if one was built within ttl_s before as_of (in seconds); else build()'s, which is kept.
+
+    Each build is a folder of its own, named by its time, so that readers of the one before are left alone.
+    """
+    place = f"{path}/{hashlib.blake2b(key.encode(), digest_size=8).hexdigest()}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    times = [float(f.getPath().getName().removeprefix("at=")) for f in system.listStatus(where)] if system.exists(where) else []
+    young = [t for t in times if as_of - ttl_s <= t <= as_of]
+    if young:
+        return spark.read.parquet(f"{place}/at={max(young)}")
+    return keep(build(), f"{place}/at={as_of}")

@@ -82,3 +82,31 @@ def nested_document(df: DataFrame, group: str, members: Sequence[str]) -> DataFr
     """(group, document): each group's rows as one JSON text, in the order of members."""
     rows = F.sort_array(F.collect_list(F.struct(*members)))
     return df.groupBy(group).agg(F.to_json(F.struct(F.count(F.lit(1)).alias("n"), rows.alias("rows"))).alias("document"))
+
+
+def theme_dictionary(themes: DataFrame, theme_id: str, document: str) -> DataFrame:
+    """(theme_id, theme, subtheme_id, subtheme) of nested theme documents {"name", "subthemes": {id: name}}; a theme without any has one row."""
+    t = themes.select(F.col(theme_id).alias("theme_id"), F.from_json(document, "name string, subthemes map<string,string>").alias("d"))
+    return t.select("theme_id", F.col("d.name").alias("theme"), F.explode_outer("d.subthemes").alias("subtheme_id", "subtheme"))
+
+
+def write_yaml(df: DataFrame, path: str, name: str, values: str) -> None:
+    """A YAML mapping of names to lists, as readers.aliases reads it: a few rows for people to look through."""
+    quoted = F.transform(F.col(values).cast("array<string>"), lambda v: F.concat(F.lit("  - '"), F.replace(v, F.lit("'"), F.lit("''")), F.lit("'")))
+    entry = F.concat_ws("\n", F.concat(F.col(name), F.lit(":")), F.array_join(quoted, "\n"))
+    df.select(entry.alias("value")).write.mode("overwrite").text(path)
+
+
+def event_text(df: DataFrame, kind: str) -> Column:
+    """A server-sent event of each row: its kind and its other columns as JSON, with null for numbers that JSON lacks."""
+    def plain(c: str) -> Column:
+        number = df.schema[c].dataType.simpleString() in ("double", "float")
+        lacking = F.isnan(c) | (F.abs(F.col(c)) == float("inf"))
+        return (F.when(~lacking, F.col(c)) if number else F.col(c)).alias(c)
+
+    data = F.to_json(F.struct(*[plain(c) for c in df.columns if c != kind]), {"ignoreNullFields": "false"})
+    return F.concat(F.lit("event: "), F.col(kind), F.lit("\ndata: "), data)
+
+
+def write_events(df: DataFrame, path: str, kind: str) -> None:
+    df.select(event_text(df, kind).alias("value")).write.mode("overwrite").option("lineSep", "\n\n").text(path)

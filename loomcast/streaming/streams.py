@@ -47,14 +47,15 @@ def joined(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at:
 def window_table_sink(path: str, key: str, at: str, days: int, as_of: Callable[[], str]) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that keeps a rolling window table: new rows in, aged rows out, each state in a folder of its own.
 
-    The folder `current` holds the number of the newest state; a batch that is run again
-    writes the same state again, so the sink is idempotent.
+    State n is the table after batch n: readers take the largest. A batch that is run again
+    writes the same state again, so the sink is idempotent; rows of one key and time are
+    ordered by their columns. The table is a window's worth of rows, written whole.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        spark, rest = batch.sparkSession, [F.to_json(F.struct(*batch.columns))]
         start = F.lit(as_of()).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS")
-        fresh = top_per_group(batch.where(F.col(at) >= start), [key], [F.col(at).desc()])
+        fresh = top_per_group(batch.where(F.col(at) >= start), [key], [F.col(at).desc(), *rest])
         if number:
             old = spark.read.parquet(f"{path}/state={number - 1}").where(F.col(at) >= start)
             fresh = old.join(fresh, key, "left_anti").unionByName(fresh)

@@ -98,8 +98,6 @@ def test_text(spark):
     assert value(X.is_contentless(F.lit("...!?"))) and not value(X.is_contentless(F.lit("été")))
     assert U.cap_ngram_runs_text("a b a b a b c c c c") == "a b a b c c c c"
     assert U.clean_artifacts_text("“ﬁne”…  ああああ") == '"fine"... あ' and U.title_ratio("Abc", "aBC") == 1.0
-    out = next(U.sentence_chunks(4, 3)(iter([__import__("pandas").DataFrame({"id": [1], "text": ["One two. Three four five six seven. Eight."]})])))
-    assert out["words"].tolist() == [2, 4, 2]
 
 
 def test_ranges(spark):
