@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomcast.functions import text as X
 from loomcast.operators import windows as Wn
 from loomcast.operators.windows import top, top_per_group
+from loomcast.plans.files import folder
 from loomcast.plans.registry import Tables, query
 from loomcast.sources import sinks as K
 from loomcast.streaming import streams as St
@@ -174,6 +175,34 @@ def hourly(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "n", "total")
 
 
+def event_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The events table as a stream of its files."""
+    schema = Tables(spark, d).raw("events").schema
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d) if not _is_folder(spark, f"{d}/events.parquet") else St.read_files(spark, f"{d}/events.parquet", schema)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
+
+
+@query("STR-4-STREAM", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS hour, event_type, count(*) AS n, round(sum(value), 4) AS total FROM ev GROUP BY 1, 2")
+def hourly_stream(spark: SparkSession, d: str) -> DataFrame:
+    """STR-4 as a stream, a backfill: no row is too late."""
+    counts = St.tumbling_counts(event_stream(spark, d), "ts", "event_type", "1 hour", "3650 days")
+    out = St.run_updates(counts, folder(spark), ["start", "event_type"])
+    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("STR-12-STREAM", "SELECT strftime(s, '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 6 HOURS, ts), time_bucket(INTERVAL 6 HOURS, ts) - INTERVAL 6 HOURS]) AS s FROM ev) GROUP BY 1, 2")
+def sliding_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Windows of twelve hours, a new one every six."""
+    counts = St.sliding_counts(event_stream(spark, d), "ts", "event_type", "12 hours", "6 hours", "3650 days")
+    out = St.run_updates(counts, folder(spark), ["start", "event_type"])
+    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+
+
 @query("STR-5", """, f AS (SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w THEN 1 ELSE 0 END AS new FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM f) SELECT user_id, run::BIGINT AS run, any_value(event_type) AS event_type, count(*) AS n FROM g GROUP BY 1, 2""")
 def sessionised(spark: SparkSession, d: str) -> DataFrame:

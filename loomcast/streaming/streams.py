@@ -137,3 +137,20 @@ def run_once(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFr
     q = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.table(name)
+
+
+def run_updates(stream: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Runs a stream in update mode over all that is there; the newest row of each of keys.
+
+    Each batch's updates go to a folder of its own under path, a shared one, so that a
+    batch that is run again writes the same rows again; the stream's checkpoint lies beside them.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+
+    write(spark.createDataFrame([], stream.schema), -1)
+    q = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return top_per_group(spark.read.parquet(f"{path}/rows"), keys, [F.col("batch").desc()]).drop("batch")

@@ -193,6 +193,23 @@ def test_streams(spark, tmp_path):
     assert rows(spark.read.parquet(f"{p}/win/state=1"), "k", "s") == [(1, 4100), (2, 5)]
 
 
+def test_stream_windows_and_joins(spark, tmp_path):
+    p = str(tmp_path)
+    schema = "k long, s long, value double"
+    at = F.timestamp_seconds(F.lit(1_700_000_000 // 3600 * 3600) + F.col("s"))
+    left = spark.createDataFrame([(1, 0, 1.0), (1, 600, 1.0), (1, 4000, 1.0), (2, 30000, 1.0), (9, 900000, 0.0)], schema).withColumn("ts", at)
+    left.coalesce(1).write.parquet(f"{p}/a")
+    spark.createDataFrame([(1, 700, 2.0), (1, 9000, 3.0), (2, 29000, 4.0)], schema).withColumn("ts", at).coalesce(1).write.parquet(f"{p}/b")
+    read = lambda x: streams.read_files(spark, f"{p}/{x}", left.schema)
+    slide = streams.run_updates(streams.sliding_counts(read("a").where("k < 9"), "ts", "k", "2 hours", "1 hour", "1 day"), f"{p}/u1", ["start", "k"])
+    assert sorted((r.k, r.n) for r in slide.collect()) == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 1)]
+    held = streams.run_once(streams.sessions(read("a"), "ts", "k", "20 minutes", "1 minute"), "held", "append", f"{p}/c1")
+    assert sorted((r.k, r.n) for r in held.collect()) == [(1, 1), (1, 2), (2, 1)]  # the last row's session is still open
+    right = read("b").select("k", F.col("ts").alias("ts2"), F.col("value").alias("v2"))
+    both = streams.joined(read("a").select("k", "ts", "value"), right, "k", "ts", "ts2", "1 hour", "1 day").select("a.k", F.col("v2"))
+    assert sorted((r.k, r.v2) for r in streams.run_once(both, "both", "append", f"{p}/c2").collect()) == [(1, 2.0), (1, 2.0)]
+
+
 def test_diverse_considers_every_row(spark):
     """Over 1,200 rows of one static score in two groups; the far ones have the largest ids."""
     import numpy as np
