@@ -14,7 +14,8 @@ reassembled by position, and decoded against the table of token bytes, which has
 per token of the vocabulary.
 
 Both readings of a partition sort it by id and text first, so that a block holds the same
-rows each time, in whatever order a shuffle brings them; a digest of the block's content in
+rows each time, in whatever order a shuffle brings them (files and checkpoints, which come
+in one order, need no sort); a digest of the block's content in
 its key makes other rows an error instead of a wrong result. Blocks, buckets and the
 partitions of both shuffles are as many as the input's characters ask for.
 """
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 6_000_000
 #: Characters of input for each bucket of words and each partition of blocks.
 PART_CHARS = 64_000_000
 DIFFERENT = "a block's two readings differ: the input must give the same rows each time"
@@ -177,7 +178,7 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return flat[np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, buckets: int | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, buckets: int | None = None, in_order: bool = False) -> DataFrame:
     """(id, ids): one row per row of docs; ids are little-endian unsigned 32-bit integers.
 
     Equal to encoding each match of pattern in the whole text, without special tokens;
@@ -185,13 +186,14 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     ids; a very long one is a block of its own. Repeated rows stay; an empty table gives an
     empty result; other columns are ignored, whatever their names. buckets bounds the
     words that a task remembers, a bucket's share of all distinct words; by default there
-    is one for each PART_CHARS characters, and at least one a shuffle partition.
+    is one for each PART_CHARS characters, and at least one a shuffle partition. in_order
+    says that docs come from files or a checkpoint and so in the same order each time.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(least, -(-(docs.agg(F.sum(F.length("text"))).first()[0] or 0) // PART_CHARS))
     buckets = buckets or parts
-    docs = docs.sortWithinPartitions("id", "text")
+    docs = docs if in_order else docs.sortWithinPartitions("id", "text")
     id_type = docs.schema["id"].dataType.simpleString()
     numbered = encode_words(distinct_words(docs, "id", "text", block_chars, buckets), path, pattern, min(parts, buckets))
     nothing = F.lit(None)

@@ -66,7 +66,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = tokenizer_file("byte_bpe_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN), path)
+    coded = bpe.decode(bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, in_order=True), path)
     return coded.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
