@@ -149,10 +149,13 @@ def range_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("FUN-17", """, c AS (SELECT content_id, duration, greatest(1, ceil((duration - 2) / 298))::INT AS n FROM content), l AS (SELECT *, CASE WHEN n > 1 AND duration - (n - 1) * 298 < 5 THEN n - 1 ELSE n END AS m FROM c)
-SELECT content_id, i AS chunk, (i * 298)::DOUBLE AS a, CASE WHEN i = m - 1 THEN duration ELSE least(duration, i * 298 + 300) END AS b FROM l, range(0, m) t(i)""")
+SELECT content_id, count(*) AS n, round(sum((i + 1) * (i * 298)::DOUBLE), 1) AS starts, round(sum((i + 1) * CASE WHEN i = m - 1 THEN duration ELSE least(duration, i * 298 + 300) END), 1) AS ends FROM l, range(0, m) t(i) GROUP BY 1""")
 def chunks(spark: SparkSession, d: str) -> DataFrame:
-    c = Tables(spark, d).content
-    return c.select("content_id", F.posexplode(R.chunk_plan(F.col("duration"), 300.0, 2.0)).alias("chunk", "x")).select("content_id", F.col("chunk").cast("long").alias("chunk"), F.col("x.start").alias("a"), F.col("x.end").alias("b"))
+    """Each content's whole plan as its number of chunks and sums of their starts and ends, weighted by place."""
+    plan = R.chunk_plan(F.col("duration"), 300.0, 2.0)
+    held = Tables(spark, d).content.select("content_id", plan.alias("p"))
+    weighted = lambda side: F.round(F.aggregate(F.zip_with("p", F.sequence(F.lit(1), F.size("p")), lambda x, i: x[side] * i), F.lit(0.0), lambda s, x: s + x), 1)
+    return held.select("content_id", F.size("p").cast("long").alias("n"), weighted("start").alias("starts"), weighted("end").alias("ends"))
 
 
 @query("FUN-18")
