@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomcast.operators.reliable import components, cut, ensure_checkpoint_dir, remove_folder
 
-__all__ = ["ASCII_SPACE", "components", "cut", "documents", "ensure_checkpoint_dir", "free_name", "remove_folder", "stay", "table", "tokenizer_file"]
+__all__ = ["ASCII_SPACE", "components", "cut", "documents", "ensure_checkpoint_dir", "free_name", "remove_folder", "spread_join", "stay", "table", "tokenizer_file"]
 
 #: ASCII white space, as the operators' contracts name it.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
@@ -23,6 +23,17 @@ def free_name(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def spread_join(rows: DataFrame, one_each: DataFrame, on: list[str], salts: int = 4) -> DataFrame:
+    """Inner join of rows with a table that has one row for each of on, in which a hot key's rows are dealt to several tasks.
+
+    The rows of a key take turns over salts, and the other table is listed under each.
+    """
+    salt = free_name("salt", [*rows.columns, *one_each.columns])
+    dealt = rows.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    listed = one_each.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(listed, [*on, salt]).drop(salt)
+
+
 def stay(docs: DataFrame, id_col: str, marks: DataFrame, class_of: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """One row of docs for each group of marks, with all its columns: a row of the group's smallest id.
 

@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomcast.llm import simhash
-from loomcast.llm.common import components, cut, stay
+from loomcast.llm.common import components, cut, spread_join, stay
 
 BANDS, ROWS = 24, 5
 SHINGLES_AT_ONCE = 1 << 12
+#: Components of up to so many classes are compared class by class at once.
+FEW = 3
 _RNG = np.random.default_rng(42)
 _FIRST, _SECOND = (_RNG.integers(0, 1 << 64, size=(BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1) for _ in range(2))
 
@@ -121,6 +123,37 @@ def _prefixes(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]
     return first(2 * similarity / (1 + similarity)), first(similarity)
 
 
+def _between(sets: DataFrame, index: DataFrame, probe: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of classes of different components that may be similar; no similar pair of such is left out.
+
+    Components that share a key of _prefixes meet once. Each class of the one with fewer
+    classes is then held against all shingles of the other together: a class of m shingles
+    has at least t / (1 + t) (n + m) in common with a similar one of n, so a class that
+    shares fewer with the whole component is similar to none of it, and a large component
+    isn't compared class by class with what lies just outside it.
+    """
+    t = similarity
+    where = sets.select("cls", F.size("s").alias("n")).join(found, "cls", "left").select("cls", "n", F.coalesce("component", "cls").alias("of"))
+    where = cut(where)
+    left, right = (x.select("key", "cls").join(where.select("cls", F.col("of").alias(name)), "cls").select("key", name).distinct() for x, name in ((index, "x"), (probe, "y")))
+    met = left.join(right, "key").where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    sizes = where.groupBy("of").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    both = met.join(sizes.toDF("x", "kx", "lx", "hx"), "x").join(sizes.toDF("y", "ky", "ly", "hy"), "y")
+    fewer = F.col("kx") <= F.col("ky")
+    pick = lambda a, b: F.when(fewer, F.col(a)).otherwise(F.col(b))
+    sides = both.select(pick("x", "y").alias("of"), pick("y", "x").alias("big"), pick("ky", "kx").alias("k"), pick("ly", "lx").alias("lo"), pick("hy", "hx").alias("hi"))
+    asked = sides.join(where.withColumnRenamed("cls", "q"), "of").where((F.col("hi") >= t * F.col("n")) & (t * F.col("lo") <= F.col("n"))).select("q", "n", "big", "k", "lo")
+    asked = cut(asked)
+    large = asked.where(F.col("k") > FEW)
+    whole = where.join(large.select(F.col("big").alias("of")).distinct(), "of", "left_semi").join(sets, "cls").select(F.col("of").alias("big"), F.explode("s").alias("key")).distinct()
+    own = large.join(sets.select(F.col("cls").alias("q"), "s"), "q").select("q", "n", "big", "lo", F.explode("s").alias("key"))
+    shared = own.join(whole, ["big", "key"]).groupBy("q", "n", "big", "lo").agg(F.count(F.lit(1)).alias("c"))
+    able = shared.where(F.col("c") >= t / (1 + t) * (F.col("n") + F.greatest(t * F.col("n"), "lo")) - 1e-9).select("q", "n", "big")
+    able = able.unionByName(asked.where(F.col("k") <= FEW).select("q", "n", "big"))
+    pairs = able.join(where.toDF("m", "nm", "big"), "big").where((F.col("nm") >= t * F.col("n")) & (t * F.col("nm") <= F.col("n")))
+    return pairs.select(F.least("q", "m").alias("a"), F.greatest("q", "m").alias("b")).distinct()
+
+
 def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
     """(id, cls, grp, least), one row per row of docs: its class, its group's least class and its group's smallest id."""
     rows = cut(_classes_of(docs, id_col, text_col, width))
@@ -153,14 +186,11 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity:
     heads = index.groupBy("key").agg(F.min(F.struct("n", "cls")).alias("h"))
     second = similar(probe.join(heads, "key").where(F.struct("n", "cls") > F.col("h")).select(F.col("h.cls").alias("a"), F.col("cls").alias("b")).distinct())
     found = cut(components(first.unionByName(second)).withColumnRenamed("node", "cls"))
-    index, probe = (x.join(found, "cls", "left").select("key", F.struct("n", "cls").alias("r"), F.coalesce("component", "cls").alias("of")) for x in (index, probe))
-    mixed = index.unionByName(probe).groupBy("key").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo <> hi").select("key")
-    other = probe.select("key", F.col("r").alias("q"), F.col("of").alias("of_q"))
-    rest = index.join(mixed, "key", "left_semi").join(other, "key").where("r < q and of <> of_q").select(F.col("r.cls").alias("a"), F.col("q.cls").alias("b")).distinct()
+    rest = _between(sets.join(some, "cls", "left_semi"), index, probe, found, similarity)
     linked = components(first.unionByName(second).unionByName(similar(rest))).withColumnRenamed("node", "cls")
     of = classes.join(linked, "cls", "left").select("cls", "least_id", F.coalesce("component", "cls").alias("grp"))
     least = of.groupBy("grp").agg(F.min("least_id").alias("least"))
-    return rows.select("id", "cls").join(of.select("cls", "grp").join(least, "grp"), "cls").select("id", "cls", "grp", "least")
+    return spread_join(rows.select("id", "cls"), of.select("cls", "grp").join(least, "grp"), ["cls"]).select("id", "cls", "grp", "least")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
