@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import components, cut
+from loomcast.llm.common import components, cut, spread_join
 
 #: Low bit and width of each segment.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -183,7 +183,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = groups.groupBy("component").agg(F.min("least_id").alias("component_id"))
     linked = groups.select("fp", "component").join(least, "component").select("fp", "component_id")
     of = classes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
-    return rows.join(of, "fp").select(id_col, "fp", "component_id")
+    return spread_join(rows, of, ["fp"]).select(id_col, "fp", "component_id")
 
 
 def fingerprint_hex(col: str = "fp") -> F.Column:
