@@ -103,8 +103,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], positions: bool, block_chars: int
             digest.update(f"|{doc_id}|".encode())
             chars += len(text or "")
             if chars >= block_chars:
-                yield int.from_bytes(digest.digest(), "little", signed=True), index, ids, counts, found
+                made = int.from_bytes(digest.digest(), "little", signed=True), index, ids, counts, found
                 index, ids, counts, found, digest, chars = start()
+                yield made
+                del made
     if ids:
         yield int.from_bytes(digest.digest(), "little", signed=True), index, ids, counts, found
 
@@ -117,7 +119,7 @@ def distinct_words(docs: DataFrame, id_col: str, text_col: str, block_chars: int
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, index, *_ in _blocks(batches, False, block_chars):
+        for key, index, *rest in _blocks(batches, False, block_chars):
             held: list[tuple[list[int], list[bytes]]] = [([], []) for _ in range(buckets)]
             for at, word in enumerate(index):
                 raw = word.encode()
@@ -127,6 +129,7 @@ def distinct_words(docs: DataFrame, id_col: str, text_col: str, block_chars: int
             rows = [(b, key, _planes(np.diff(ats, prepend=0)), _planes(np.fromiter(map(len, raws), np.int64, len(raws))), _squeeze(b"".join(raws))) for b, (ats, raws) in enumerate(held) if ats]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), *[pa.binary()] * 3), strict=True)], names=["bucket", "block", "at", "sizes", "words"])
+            del index, rest, held, rows, columns  # before the next block is read
 
     return docs.select(id_col, text_col).mapInArrow(run, "bucket int, block long, at binary, sizes binary, words binary")
 
@@ -136,10 +139,11 @@ def word_positions(docs: DataFrame, id_col: str, text_col: str, block_chars: int
     id_type = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, _, ids, counts, found in _blocks(batches, True, block_chars):
+        for key, index, ids, counts, found in _blocks(batches, True, block_chars):
             held = pa.array([[x.as_py() for x in ids]], pa.list_(ids[0].type))
             planes = [_planes(np.array(counts, dtype=np.uint32)), _planes(np.concatenate(found))]
             yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), held, pa.array([planes[0]]), pa.array([planes[1]])], names=["block", "doc_ids", "counts", "positions"])
+            del index, ids, counts, found, held, planes
 
     return docs.select(id_col, text_col).mapInArrow(run, f"block long, doc_ids array<{id_type.simpleString()}>, counts binary, positions binary")
 
