@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomcast.llm.common import components, cut
+from loomcast.llm.common import components, cut, spread_join
 
 TABLES, BLOCKS, PROBES, STEP, SEED = 12, 3, 8, 0.35, 20240131
 #: Cells of each block that probes are made of.
@@ -217,6 +217,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         "label", "vec", (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), F.coalesce("component_id", "least_id").alias("component_id")
     )
     able, other = rows.where("vec is not null"), rows.where("vec is null")
-    out = able.join(known, ["label", "vec"]).select("id", "n_links", "component_id")
+    out = spread_join(able, known, ["label", "vec"]).select("id", "n_links", "component_id")
     out = out.unionByName(other.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").cast(id_type).alias("component_id")))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
