@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import ASCII_SPACE, cut, stay
+from loomcast.llm.common import ASCII_SPACE, cut, spread_join, stay
 
 SALTS = 16
 
@@ -46,11 +46,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = text_groups(docs, id_col, text_col, salts)
     by_digest = cut(groups.groupBy("digest").agg(F.count(F.lit(1)).alias("n_texts"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")))
     rows = _rows(docs, id_col, text_col)
-    out = rows.select("id", "digest").join(by_digest.where("n_texts = 1").drop("n_texts"), "digest")
+    out = spread_join(rows.select("id", "digest"), by_digest.where("n_texts = 1").drop("n_texts"), ["digest"])
     clash = by_digest.where("n_texts > 1").select("digest")
     if not clash.isEmpty():  # different texts under one digest are told apart by content
         apart = groups.join(clash, "digest", "left_semi")
-        out = out.unionByName(rows.join(apart, ["digest", "text"]).select("digest", "id", "keep_id", "group_size"))
+        out = out.unionByName(spread_join(rows, apart, ["digest", "text"]).select("digest", "id", "keep_id", "group_size"))
     return out.select(
         F.col("id").alias(id_col), "keep_id", "group_size",
         F.coalesce(F.col("id") == F.col("keep_id"), F.lit(False)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"),
