@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcast.llm import bpe, chat, exact_dedup, html_text, lattice, packing, pii, quality, simhash, url_filter
-from loomcast.llm.common import documents, table, tokenizer_file
+from loomcast.llm import bpe, chat, divergence, exact_dedup, html_text, lattice, packing, pii, prefix_trie, quality, simhash, token_store, url_filter
+from loomcast.llm.common import cut, documents, ensure_checkpoint_dir, table, tokenizer_file
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,35 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op12_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/tokens-{uuid.uuid4().hex}"
+    token_store.write(documents(spark, sf_dir), folder, tokenizer_file("byte_bpe_50k.json"))
+    return token_store.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbered turns and all ids of the query's conversations: each begins with the first turns of its hundred's first one."""
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("size"))
+    convs = sizes.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 100).alias("donor"), (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).alias("h"))
+    given = turns.where("conv_id % 100 = 0 and pos < 5").withColumnRenamed("conv_id", "donor")
+    first = convs.join(given, "donor").where("pos < h").select("conv_id", "pos", "key", "chars")
+    heads = convs.join(sizes.where("conv_id % 100 = 0").select(F.col("conv_id").alias("donor"), "size"), "donor", "left")
+    heads = heads.select("conv_id", "h", F.least("h", F.coalesce("size", F.lit(0))).alias("n"))
+    own = turns.join(heads, "conv_id").where("pos >= h").select("conv_id", (F.col("pos") - F.col("h") + F.col("n")).alias("pos"), "key", "chars")
+    return first.unionByName(own), convs.select("conv_id")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    numbered = cut(prefix_trie.numbered_turns(turns, *(F.col(c) for c in ("conv_id", "turn", "role", "text"))))
+    return prefix_trie.trie(*rebuilt(numbered))
+
+
 OP4_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -159,10 +189,52 @@ SELECT m.vec_id, coalesce(n.k, 0) AS n_links, m.component_id, m.vec_id = m.compo
 FROM m LEFT JOIN n ON n.a = m.vec_id
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS a, row_number() OVER () AS r FROM documents),
+w AS (SELECT lang, source, r, unnest(a) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS df FROM w GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY ALL HAVING sum(df) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d), v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY 1),
+grid AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n AS n_lang FROM g JOIN kept k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+t AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM grid GROUP BY ALL),
+p AS (SELECT x.lang, x.source, x.term, x.n, 1 + (1000000000::HUGEINT * (x.n + 2)) // (t.total + 2 * v.v) AS p, 1 + (1000000000::HUGEINT * (x.n_lang + 2)) // (v.total + 2 * v.v) AS q
+      FROM grid x JOIN t ON t.lang = x.lang AND t.source = x.source JOIN v ON v.lang = x.lang),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM o QUALIFY part = 'pair' OR rank <= 10
+"""
+
+OP13_SQL = r"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, conv_id - conv_id % 100 AS donor,
+    xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::UBIGINT)),
+      lambda x, y: list_reduce(list_prepend(xor(x, y), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), lambda s, z: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384::UBIGINT) ELSE s >> 1 END)), 4294967295::UBIGINT)::BIGINT % 6 AS h,
+    count(*) AS n FROM t GROUP BY 1),
+u AS (SELECT k.conv_id, t.pos, t.role, t.text FROM k JOIN t ON t.conv_id = k.donor AND t.pos < k.h
+  UNION ALL SELECT k.conv_id, t.pos - k.h + least(k.h, coalesce(o.n, 0)), t.role, t.text FROM k JOIN t USING (conv_id) LEFT JOIN k o ON o.conv_id = k.donor WHERE t.pos >= k.h),
+r AS (SELECT conv_id, pos::BIGINT + 1 AS depth, list({'role': role, 'text': text}) OVER (PARTITION BY conv_id ORDER BY pos) AS seq, length(text) AS chars FROM u
+  UNION ALL SELECT conv_id, 0, [], 0 FROM k),
+n AS (SELECT seq, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM r GROUP BY ALL),
+p AS (SELECT r.conv_id, r.depth, n.conv_id AS node FROM r JOIN n ON n.seq = r.seq AND n.depth = r.depth),
+c AS (SELECT n.conv_id, n.depth, n.n_convs, n.chars, p.node AS parent FROM n LEFT JOIN p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+e AS (SELECT conv_id, max(depth) AS depth FROM r GROUP BY 1), m AS (SELECT p.node, p.depth, string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) AS ids FROM p JOIN e USING (conv_id, depth) GROUP BY ALL),
+y AS (SELECT parent, depth - 1 AS depth, count(*) AS k FROM c WHERE parent IS NOT NULL GROUP BY ALL),
+f AS (SELECT c.*, coalesce(y.k, 0) AS n_children FROM c LEFT JOIN y ON y.parent = c.conv_id AND y.depth = c.depth),
+z AS (SELECT p.node, p.depth, sum((f.n_children = 0)::INT) AS n_leaves, sum((f.n_convs - 1) * f.chars) AS saved FROM f JOIN p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY ALL)
+SELECT f.conv_id, f.depth, f.parent AS parent_conv_id, f.n_convs, f.n_children, z.n_leaves::BIGINT AS n_leaves, z.saved::BIGINT AS saved_tokens, sha256(coalesce(m.ids, '')) AS ends_sha256
+FROM f JOIN z ON z.node = f.conv_id AND z.depth = f.depth LEFT JOIN m ON m.node = f.conv_id AND m.depth = f.depth
+"""
+
 
 QUERIES = (
     op1_simhash, op2_packing, op3_pii, op4_exact_dedup, op5_html_text,
     op6_url_filter, op7_chat, op8_byte_bpe, op9_lattice, op10_quality,
+    op11_divergence, op12_wavelet, op13_prefix_trie,
 )
 
 
@@ -171,4 +243,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4_SQL, "op6_url_filter": OP6_SQL, "op7_chat": OP7_SQL, "op9_lattice": OP9_SQL}
+    return {"op4_exact_dedup": OP4_SQL, "op6_url_filter": OP6_SQL, "op7_chat": OP7_SQL, "op9_lattice": OP9_SQL, "op11_divergence": OP11_SQL, "op13_prefix_trie": OP13_SQL}

@@ -89,6 +89,13 @@ def test_op8(spark, texts):
         assert got[i] == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
 
 
+def test_op12(spark, texts):
+    from tests.llm.test_token_store import expected
+
+    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in L.op12_wavelet(spark, DATA).collect())
+    assert got == expected(sorted(texts.items()))
+
+
 def test_op10(spark, texts, duck):
     got = {r.doc_id: r for r in L.op10_quality(spark, DATA).collect()}
     assert set(got) == set(texts)
