@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The place of a new folder that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from what was written."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -37,6 +45,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def row_numbers(rows: DataFrame, out: str, start: int = 0) -> DataFrame:
+    """rows, a checkpoint, with out: numbers from start without gaps, in the order of its partitions.
+
+    One count for each partition goes through the driver.
+    """
+    sizes = dict(rows.groupBy(F.spark_partition_id().alias("part")).count().collect())
+    firsts = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=start))
+    at = F.monotonically_increasing_id()  # the partition, and 33 bits for the place in it
+    first = F.get(F.array(*[F.lit(x).cast("long") for x in firsts]), F.shiftright(at, 33).cast("int"))
+    return rows.withColumn(out, first + at.bitwiseAND(F.lit((1 << 33) - 1)))
+
+
+def ranked_rows(rows: DataFrame, order: list, out: str) -> DataFrame:
+    """rows with out: their rank from 0 in a total order, by range partitions; from a checkpoint."""
+    return cut(row_numbers(cut(rows.repartitionByRange(*order).sortWithinPartitions(*order)), out))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of an edge list (a, b) of one orderable type.
 
