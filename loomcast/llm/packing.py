@@ -44,7 +44,7 @@ _LETTERS, _NUMBERS, _PLAIN_END = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff\u0100-\u012f
 _PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte in a byte-level vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     table, extra = {b: chr(b) for b in plain}, 256
@@ -70,7 +70,7 @@ class ChunkTokenizer:
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
 
     def _library(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()

@@ -16,30 +16,18 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomcast.llm.common import cut
+from loomcast.operators.reliable import row_numbers
 
 #: Bytes of decimal ids that travel as one row to the task that hashes a node's.
 PIECE = 1 << 16
 
 
-def row_numbers(rows: DataFrame, out: str, start: int = 0) -> DataFrame:
-    """rows, a checkpoint, with out: numbers from start without gaps, in the order of its partitions.
-
-    One count for each partition goes through the driver.
-    """
-    sizes = dict(rows.groupBy(F.spark_partition_id().alias("part")).count().collect())
-    firsts = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=start))
-    at = F.monotonically_increasing_id()  # the partition, and 33 bits for the place in it
-    first = F.get(F.array(*[F.lit(x).cast("long") for x in firsts]), F.shiftright(at, 33).cast("int"))
-    return rows.withColumn(out, first + at.bitwiseAND(F.lit((1 << 33) - 1)))
-
-
 def numbered_turns(turns: DataFrame, conv: Column, turn: Column, role: Column, text: Column) -> DataFrame:
     """(conv_id, pos, key, chars): each conversation's turns from 0, by turn (null first), role and text.
 
@@ -72,16 +60,22 @@ def _blocks(turns: DataFrame, longest: int) -> list[DataFrame]:
 
 
 def _prefixes(convs: DataFrame, turns: DataFrame, longest: int) -> DataFrame:
-    """(conv_id, depth, node): the node of each prefix of each conversation; the root is 0."""
-    known, used = convs.select("conv_id", F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("node")), 1
+    """(conv_id, depth, node): the node of each prefix of each conversation; the root is 0.
+
+    Before the round of blocks of 2^k turns depth counts in units of twice that. So every
+    round is the same plan, whose code Spark compiles once.
+    """
+    zero = F.lit(0).cast("long")
+    known, used = convs.select("conv_id", zero.alias("depth"), zero.alias("node")), 1
     blocks = _blocks(turns, longest) if longest else []
-    for k in reversed(range(len(blocks))):
-        even = blocks[k].where("j % 2 = 0").select("conv_id", (F.col("j") * (1 << k)).alias("depth"), F.col("name").alias("fill"))
+    for level in reversed(blocks):
+        known = known.withColumn("depth", F.col("depth") * 2)
+        even = level.where("j % 2 = 0").select("conv_id", F.col("j").alias("depth"), F.col("name").alias("fill"))
         met = known.withColumnRenamed("node", "upto").join(even, ["conv_id", "depth"])
-        new = _named(met.select("conv_id", (F.col("depth") + (1 << k)).alias("depth"), "upto", "fill"), ["upto", "fill"], "node", used)
+        new = _named(met.select("conv_id", (F.col("depth") + 1).alias("depth"), "upto", "fill"), ["upto", "fill"], "node", used)
         used = (new.agg(F.max("node")).first()[0] or used) + 1
-        known = known.unionByName(new)
-    return cut(known)
+        known = cut(known.unionByName(new))
+    return known
 
 
 def _ends_hash(ends: DataFrame) -> DataFrame:
@@ -159,13 +153,12 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     nodes = nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long")))
     saved = ((F.col("n_convs") - 1) * F.coalesce("chars", F.lit(0))).cast("long")
     nodes = cut(nodes.select("node", "conv_id", "depth", "parent", "n_convs", "n_children", (F.col("n_children") == 0).cast("long").alias("n_leaves"), saved.alias("saved_tokens")))
-    step = 1
-    while step <= longest:
-        low = nodes.where(F.col("depth") >= step).select("conv_id", (F.col("depth") - step).alias("depth"), "n_leaves", "saved_tokens")
-        more = low.join(known, ["conv_id", "depth"]).groupBy("node").agg(F.sum("n_leaves").alias("l"), F.sum("saved_tokens").alias("s"))
+    nodes = nodes.withColumn("up", F.col("parent"))  # the ancestor 2^k above
+    for _ in range(longest.bit_length()):
+        more = nodes.where("up is not null").groupBy(F.col("up").alias("node")).agg(F.sum("n_leaves").alias("l"), F.sum("saved_tokens").alias("s"))
         added = [(F.col(c) + F.coalesce(x, F.lit(0))).alias(c) for c, x in (("n_leaves", "l"), ("saved_tokens", "s"))]
-        nodes = cut(nodes.join(more, "node", "left").select("node", "conv_id", "depth", "parent", "n_convs", "n_children", *added))
-        step *= 2
+        upper = nodes.where("up is not null").select(F.col("node").alias("up"), F.col("up").alias("upper"))
+        nodes = cut(nodes.join(upper, "up", "left").join(more, "node", "left").select("node", "conv_id", "depth", "parent", "n_convs", "n_children", *added, F.col("upper").alias("up")))
     lengths = convs.join(turns.groupBy("conv_id").agg(F.max("pos").alias("last")), "conv_id", "left").select("conv_id", (F.coalesce("last", F.lit(-1)) + 1).alias("depth"))
     hashes = _ends_hash(known.join(lengths, ["conv_id", "depth"]).select("node", "conv_id"))
     parents = nodes.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))

@@ -15,6 +15,7 @@ that any store and its commits serve, and reads only the columns that are asked
 from __future__ import annotations
 
 import functools
+import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -26,14 +27,18 @@ from pyspark.sql import functions as F
 
 from loomcast.llm.bpe import words_of
 from loomcast.llm.common import free_name
+from loomcast.llm.packing import byte_letters
 
 #: A shard is closed at so many ids, after the document that reaches it.
 SHARD_TOKENS = 1_000_000
 CHUNK = 1 << 15
 _HEAD = struct.Struct("<4sIQ")
 _MAGIC = b"WVM1"
-#: Words a worker remembers; beyond it the table starts anew.
-REMEMBERED = 600_000
+#: Words a worker remembers, in about 200 MB; beyond it the table starts anew.
+REMEMBERED = 1_200_000
+_TOUCHING = re.compile(r"\s\s")
+#: A Latin word and marks after it: two pre-tokens at most, the word with the space before it.
+_PLAIN = re.compile("([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([^\\w\\s]*)")
 
 
 def packed(ids: np.ndarray, bits: int) -> bytes:
@@ -41,10 +46,11 @@ def packed(ids: np.ndarray, bits: int) -> bytes:
     import zstandard
 
     squeeze = zstandard.ZstdCompressor(level=3).compress
-    now, n = ids.astype("<u4"), len(ids)
+    kind = np.uint16 if bits <= 16 else np.uint32
+    now, n = ids.astype(kind), len(ids)
     zeros, ones, sizes, chunks = [], [], [], []
     for bit in reversed(range(bits)):
-        plane = (now >> np.uint32(bit) & np.uint32(1)).astype(bool)
+        plane = (now & kind(1 << bit)) != 0
         starts = np.arange(0, n, CHUNK)
         ones.append(np.concatenate([[0], np.cumsum(np.add.reduceat(plane, starts, dtype=np.int64) if n else np.zeros(0, np.int64))])[:-1])
         raw = np.packbits(plane, bitorder="little").tobytes()
@@ -54,7 +60,7 @@ def packed(ids: np.ndarray, bits: int) -> bytes:
             chunks.append(small if len(small) < len(part) else part)
             sizes.append(len(chunks[-1]))
         zeros.append(n - int(plane.sum()))
-        now = np.concatenate([now[~plane], now[plane]])
+        now = np.concatenate([np.compress(~plane, now), np.compress(plane, now)])
     directory = np.array(zeros, "<u4").tobytes() + np.concatenate(ones).astype("<u4").tobytes() + np.array(sizes, "<u4").tobytes()
     return _HEAD.pack(_MAGIC, bits, n) + directory + b"".join(chunks)
 
@@ -85,12 +91,13 @@ class Wavelet:
 
     def ids(self) -> np.ndarray:
         """All ids: the planes put back from the lowest up."""
-        now = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        now = np.zeros(self.n, kind)
         for level in reversed(range(self.bits)):
             plane = np.concatenate([self._unpacked(level, c) for c in range(self.ones.shape[1])] or [np.zeros(0, np.uint8)]).astype(bool)
             before = np.empty_like(now)
-            before[~plane], before[plane] = now[: self.zeros[level]], now[self.zeros[level] :]
-            now = before | plane.astype(np.uint32) << np.uint32(self.bits - 1 - level)
+            before[np.concatenate([np.flatnonzero(~plane), np.flatnonzero(plane)])] = now
+            now = before | plane.astype(kind) << kind(self.bits - 1 - level)
         return now
 
     def _rank(self, level: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +153,10 @@ class Wavelet:
 class WordIds:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, equal to the library's; special tokens' strings are text.
 
-    Pre-tokens never cross the words of bpe.words_of; a word's ids are asked of the library once.
+    Where no two white-space characters meet, pre-tokens never cross the start of a space,
+    so a text's ids are those of its pieces between spaces, each with the space before it;
+    elsewhere those of bpe.words_of. The library is asked once for a piece or word; of a
+    plain one only its model, as the pre-tokens are clear.
     """
 
     def __init__(self, path: str) -> None:
@@ -154,22 +164,41 @@ class WordIds:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.model, self.letters = self.library.model, byte_letters()
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def ids(self, text: str) -> bytes:
-        words, known = words_of(text), self.known
+        if _TOUCHING.search(text):
+            return self._joined(self.words, words_of(text), "")
+        first, *rest = text.split(" ")
+        return (self._joined(self.words, words_of(first), "") if first else b"") + self._joined(self.pieces, rest, " ")
+
+    def _joined(self, known: dict[str, bytes], parts: list[str], before: str) -> bytes:
         try:
-            return b"".join([known[w] for w in words])
+            return b"".join([known[p] for p in parts])
         except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in known]
+            new = [p for p in dict.fromkeys(parts) if p not in known]
         if len(known) + len(new) > REMEMBERED:
             known.clear()
-            new = list(dict.fromkeys(words))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = array("I", found.ids).tobytes()
-        return b"".join([known[w] for w in words])
+            new = list(dict.fromkeys(parts))
+        for part in new:
+            plain = _PLAIN.fullmatch(part) if before else None
+            known[part] = self._plain(*plain.groups()) if plain else self._library(before + part)
+        return b"".join([known[p] for p in parts])
+
+    def _library(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _plain(self, word: str, marks: str) -> bytes:
+        letters = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        after = self.marks.get(marks)
+        if after is None:
+            if len(self.marks) > 10_000:
+                self.marks = {"": b""}
+            after = self.marks[marks] = self._library(marks)
+        return array("I", [t.id for t in self.model.tokenize(self.letters[32] + letters)]).tobytes() + after
 
 
 @functools.lru_cache(maxsize=1)

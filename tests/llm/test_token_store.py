@@ -58,7 +58,8 @@ def test_planes_compress():
 def test_words_give_the_librarys_ids():
     rng, lib, own = random.Random(3), library(), S.WordIds(PATH)
     pool = "aA9 .,'\n\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0      　᠎​﻿é日١²\U0001f600<|>_"
-    for text in [t or "" for t in TEXTS] + ["".join(rng.choices(pool, k=rng.randrange(1, 30))) for _ in range(3000)]:
+    words = ["it's", " don't 've x's", "naïve*** cœur, ﬁx ʼn 'tis ªb ×x a×b Ÿ.z _a a_ a- -a ²a a²", "Ǆ ȸ ɐb é̀a"]
+    for text in words + [t or "" for t in TEXTS] + ["".join(rng.choices(pool, k=rng.randrange(1, 30))) for _ in range(3000)]:
         assert np.frombuffer(own.ids(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
 
 
