@@ -45,8 +45,8 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def row_numbers(rows: DataFrame, out: str, start: int = 0) -> DataFrame:
-    """rows, a checkpoint, with out: numbers from start without gaps, in the order of its partitions.
+def row_numbers(rows: DataFrame, out: str, start: int = 0) -> tuple[DataFrame, int]:
+    """rows, a checkpoint, with out: numbers from start without gaps, in the order of its partitions; and the next number.
 
     One count for each partition goes through the driver.
     """
@@ -54,12 +54,12 @@ def row_numbers(rows: DataFrame, out: str, start: int = 0) -> DataFrame:
     firsts = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=start))
     at = F.monotonically_increasing_id()  # the partition, and 33 bits for the place in it
     first = F.get(F.array(*[F.lit(x).cast("long") for x in firsts]), F.shiftright(at, 33).cast("int"))
-    return rows.withColumn(out, first + at.bitwiseAND(F.lit((1 << 33) - 1)))
+    return rows.withColumn(out, first + at.bitwiseAND(F.lit((1 << 33) - 1))), start + sum(sizes.values())
 
 
 def ranked_rows(rows: DataFrame, order: list, out: str) -> DataFrame:
     """rows with out: their rank from 0 in a total order, by range partitions; from a checkpoint."""
-    return cut(row_numbers(cut(rows.repartitionByRange(*order).sortWithinPartitions(*order)), out))
+    return cut(row_numbers(cut(rows.repartitionByRange(*order).sortWithinPartitions(*order)), out)[0])
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
