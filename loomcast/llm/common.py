@@ -26,10 +26,11 @@ def free_name(name: str, taken: Iterable[str]) -> str:
 def spread_join(rows: DataFrame, one_each: DataFrame, on: list[str], salts: int = 4) -> DataFrame:
     """Inner join of rows with a table that has one row for each of on, in which a hot key's rows are dealt to several tasks.
 
-    The rows of a key take turns over salts, and the other table is listed under each.
+    The rows of a key are dealt over salts by a hash of their content, so that a task that
+    runs again deals them alike, and the other table is listed under each.
     """
     salt = free_name("salt", [*rows.columns, *one_each.columns])
-    dealt = rows.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
     listed = one_each.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(listed, [*on, salt]).drop(salt)
 

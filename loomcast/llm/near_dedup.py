@@ -14,17 +14,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomcast.llm import simhash
 from loomcast.llm.common import components, cut, spread_join, stay
+from loomcast.operators.reliable import row_numbers
 
 BANDS, ROWS = 24, 5
 SHINGLES_AT_ONCE = 1 << 12
 #: Components of up to so many classes are compared class by class at once.
 FEW = 3
+#: A set's sketch counts its shingles by their first byte; larger counts than a byte holds have no sketch.
+BINS = 256
 _RNG = np.random.default_rng(42)
 _FIRST, _SECOND = (_RNG.integers(0, 1 << 64, size=(BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1) for _ in range(2))
 
@@ -70,39 +75,56 @@ def bands(hashes: np.ndarray) -> np.ndarray:
     return np.array(keys, dtype=np.uint64).view(np.int64)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: int, width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[int]]]:
-    """(batch, sets, digests of the sets) of at most 1,000 rows at once."""
+def sketch(hashes: np.ndarray) -> bytes | None:
+    """How many of a set's hashes begin with each byte; the sum of the smaller counts of two sets is at least what they share."""
+    counts = np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=BINS)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
+def _texts(batches: Iterator[pa.RecordBatch], column: int, width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[str]]]:
+    """(batch, sets, 128-bit digests of the sets) of at most 1,000 rows at once."""
     import xxhash
 
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
             sets = [shingles(t.as_buffer().to_pybytes() if t.is_valid else b"", width) for t in part.column(column)]
-            yield part, sets, np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
+            yield part, sets, [xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets]
 
 
 def _classes_of(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, cls, fp, bands) of each row; rows of equal shingle sets share cls."""
+    """(id, dig, fp, bands) of each row; rows of equal shingle sets share dig."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets, digests in _texts(batches, 1, width):
             keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
             prints = np.array([fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests), pa.array(prints), keys], names=["id", "cls", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests), pa.array(prints), keys], names=["id", "dig", "fp", "bands"])
 
-    return docs.select(id_col, F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, f"id {kind}, cls long, fp long, bands array<long>")
+    return docs.select(id_col, F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, f"id {kind}, dig string, fp long, bands array<long>")
 
 
 def _sets_of(docs: DataFrame, text_col: str, width: int) -> DataFrame:
-    """(cls, s): each distinct shingle set of docs."""
+    """(dig, s, n, sketch): each distinct shingle set of docs, its size and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets, digests in _texts(batches, 0, width):
             values = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(digests), values], names=["cls", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), values, pa.array(map(len, sets), pa.int32()), pa.array(map(sketch, sets), pa.binary())], names=["dig", "s", "n", "sketch"])
+
+    return docs.select(F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, "dig string, s array<long>, n int, sketch binary").dropDuplicates(["dig"])
+
 
-    return docs.select(F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, "cls long, s array<long>").dropDuplicates(["cls"])
+@F.pandas_udf(T.IntegerType())
+def _at_most(x: pd.Series, y: pd.Series) -> pd.Series:
+    """The most shingles that two sets of these sketches share; null if either has none."""
+    able = x.notna() & y.notna()
+    out = pd.Series(np.nan, index=x.index, dtype="Float64")
+    if able.any():
+        a, b = (np.frombuffer(b"".join(z[able]), np.uint8).reshape(-1, BINS) for z in (x, y))
+        out[able] = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    return out.astype("Int32")
 
 
 def _prefixes(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
@@ -157,7 +179,8 @@ def _between(sets: DataFrame, index: DataFrame, probe: DataFrame, found: DataFra
 def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
     """(id, cls, grp, least), one row per row of docs: its class, its group's least class and its group's smallest id."""
     rows = cut(_classes_of(docs, id_col, text_col, width))
-    classes = cut(rows.groupBy("cls").agg(F.min("id").alias("least_id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    classes = cut(rows.groupBy("dig").agg(F.min("id").alias("least_id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    classes = cut(row_numbers(classes, "cls")[0])
     keys = classes.select("cls", F.explode("bands").alias("key"))
     heads = keys.groupBy("key").agg(F.min("cls").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     keys = cut(keys.join(heads, "key"))
@@ -168,12 +191,19 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity:
     proposed = cut(proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     met = proposed.select(F.col("a").alias("cls")).unionByName(proposed.select(F.col("b").alias("cls"))).distinct()
     # One row of each class that was met brings its text: by id where it has one.
-    ids = rows.join(met, "cls", "left_semi").groupBy("cls").agg(F.min("id").alias(id_col))
+    ids = classes.join(met, "cls", "left_semi").select(F.col("least_id").alias(id_col))
     asked = docs.select(id_col, text_col)
     some = asked.join(ids.where(F.col(id_col).isNotNull()).select(id_col).distinct(), id_col, "left_semi").unionByName(asked.where(F.col(id_col).isNull()))
-    sets = cut(_sets_of(some, text_col, width))
+    sets = cut(_sets_of(some, text_col, width).join(classes.select("dig", "cls"), "dig").drop("dig"))
 
     def similar(pairs: DataFrame) -> DataFrame:
+        """The pairs at the limit; sizes rule out first, then sketches, and only what is left meets as sets."""
+        t, share = similarity, similarity / (1 + similarity)
+        for c in "ab":
+            pairs = pairs.join(sets.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"k{c}")), c)
+        pairs = pairs.where((F.col("na") >= t * F.col("nb") - 1e-9) & (F.col("nb") >= t * F.col("na") - 1e-9))
+        pairs = pairs.select("a", "b", "na", "nb", _at_most("ka", "kb").alias("most"))
+        pairs = cut(pairs.where(F.col("most").isNull() | (F.col("most") >= share * (F.col("na") + F.col("nb")) - 1e-9)).select("a", "b"))
         both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("s").alias("y")), "b")
         shared = F.size(F.array_intersect("x", "y"))
         return cut(both.where(shared / (F.size("x") + F.size("y") - shared) >= similarity).select("a", "b"))
@@ -190,7 +220,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity:
     linked = components(first.unionByName(second).unionByName(similar(rest))).withColumnRenamed("node", "cls")
     of = classes.join(linked, "cls", "left").select("cls", "least_id", F.coalesce("component", "cls").alias("grp"))
     least = of.groupBy("grp").agg(F.min("least_id").alias("least"))
-    return spread_join(rows.select("id", "cls"), of.select("cls", "grp").join(least, "grp"), ["cls"]).select("id", "cls", "grp", "least")
+    of = of.join(classes.select("cls", "dig"), "cls").join(least, "grp").select("dig", "grp", "least")
+    return spread_join(rows.select("id", "dig"), of, ["dig"]).select("id", F.col("dig").alias("cls"), "grp", "least")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -223,8 +254,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part, _, digests in _texts(batches, at, width):
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digests)], names=[*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digests, pa.string())], names=[*part.schema.names, name])
 
-        return rows.mapInArrow(run, f"{kinds}, `{name}` long")
+        return rows.mapInArrow(run, f"{kinds}, `{name}` string")
 
     return stay(docs, id_col, _groups(docs, id_col, text_col, width, similarity), class_of)
