@@ -5,8 +5,9 @@ all distinct turns; a block of two, four, eight ... turns by a number for the pa
 halves' names, in as many join rounds as the longest conversation's length has bits. Then
 a prefix of d turns is named along d's binary digits, the highest first: the name of the
 shorter prefix without the lowest digit, and the aligned block that fills it up. Equal
-names mean equal prefixes, so each name is a node. A subtree is summed over in log rounds
-too: what a node knows of its next 2^k levels is added to its ancestor 2^k above.
+names mean equal prefixes, so each name is a node. A node belongs to its least member, and
+so do all nodes below that this member has left to itself: a subtree's sum is that of its
+members' own nodes from its depth on, which sums along each conversation give.
 
 Every join is on a conversation and a place in it, or on a pair of names; a pair that
 many conversations share is one row on the other side, so AQE may split it.
@@ -18,7 +19,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.llm.common import cut
@@ -26,6 +27,8 @@ from loomcast.operators.reliable import row_numbers
 
 #: Bytes of decimal ids that travel as one row to the task that hashes a node's.
 PIECE = 1 << 16
+#: Turns of a conversation that a task adds up one after the other.
+RUN = 1024
 
 
 def numbered_turns(turns: DataFrame, conv: Column, turn: Column, role: Column, text: Column) -> DataFrame:
@@ -39,31 +42,30 @@ def numbered_turns(turns: DataFrame, conv: Column, turn: Column, role: Column, t
     order = [F.col("conv_id"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
     key = F.unhex(F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")), 256))
     laid = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("conv_id", key.alias("key"), F.length("text").cast("long").alias("chars")))
-    laid = cut(row_numbers(laid, "at"))
+    laid = cut(row_numbers(laid, "at")[0])
     return laid.join(laid.groupBy("conv_id").agg(F.min("at").alias("first")), "conv_id").select("conv_id", (F.col("at") - F.col("first")).alias("pos"), "key", "chars")
 
 
-def _named(rows: DataFrame, pair: list[str], out: str, start: int = 0) -> DataFrame:
-    """rows with a dense number from start for each distinct value of the columns pair, in their stead."""
-    names = row_numbers(cut(rows.select(*pair).distinct()), out, start)
-    return cut(rows.join(names, pair).drop(*pair))
+def _named(rows: DataFrame, pair: list[str], out: str, start: int = 0) -> tuple[DataFrame, int]:
+    """rows with a dense number from start for each distinct value of the columns pair, in their stead; and the next number."""
+    names, end = row_numbers(cut(rows.select(*pair).distinct()), out, start)
+    return cut(rows.join(names, pair).drop(*pair)), end
 
 
 def _blocks(turns: DataFrame, longest: int) -> list[DataFrame]:
     """(conv_id, j, name) of the aligned blocks of 1, 2, 4, ... turns: block j holds turns j 2^k to (j + 1) 2^k - 1."""
-    levels = [_named(turns.select("conv_id", F.col("pos").alias("j"), "key"), ["key"], "name")]
+    levels = [_named(turns.select("conv_id", F.col("pos").alias("j"), "key"), ["key"], "name")[0]]
     while 1 << len(levels) <= longest:
         odd = F.col("j") % 2 == 1
         halves = levels[-1].groupBy("conv_id", F.shiftright("j", 1).alias("j")).agg(F.max(F.when(~odd, F.col("name"))).alias("l"), F.max(F.when(odd, F.col("name"))).alias("r"))
-        levels.append(_named(halves.where("r is not null"), ["l", "r"], "name"))
+        levels.append(_named(halves.where("r is not null"), ["l", "r"], "name")[0])
     return levels
 
 
 def _prefixes(convs: DataFrame, turns: DataFrame, longest: int) -> DataFrame:
     """(conv_id, depth, node): the node of each prefix of each conversation; the root is 0.
 
-    Before the round of blocks of 2^k turns depth counts in units of twice that. So every
-    round is the same plan, whose code Spark compiles once.
+    In the round of blocks of 2^k turns depth counts in their number.
     """
     zero = F.lit(0).cast("long")
     known, used = convs.select("conv_id", zero.alias("depth"), zero.alias("node")), 1
@@ -72,10 +74,9 @@ def _prefixes(convs: DataFrame, turns: DataFrame, longest: int) -> DataFrame:
         known = known.withColumn("depth", F.col("depth") * 2)
         even = level.where("j % 2 = 0").select("conv_id", F.col("j").alias("depth"), F.col("name").alias("fill"))
         met = known.withColumnRenamed("node", "upto").join(even, ["conv_id", "depth"])
-        new = _named(met.select("conv_id", (F.col("depth") + 1).alias("depth"), "upto", "fill"), ["upto", "fill"], "node", used)
-        used = (new.agg(F.max("node")).first()[0] or used) + 1
-        known = cut(known.unionByName(new))
-    return known
+        new, used = _named(met.select("conv_id", (F.col("depth") + 1).alias("depth"), "upto", "fill"), ["upto", "fill"], "node", used)
+        known = known.unionByName(new)
+    return cut(known)
 
 
 def _ends_hash(ends: DataFrame) -> DataFrame:
@@ -127,6 +128,22 @@ def _ends_hash(ends: DataFrame) -> DataFrame:
     return pieces.repartition("node").sortWithinPartitions("node", "first").mapInArrow(hashed, "node long, ends_sha256 string")
 
 
+def _below(known: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n_leaves, saved_tokens): leaf and saved of nodes, summed over each one's subtree.
+
+    Each node's values stand in its least member's row; a sum runs up every conversation,
+    block by block of RUN turns, and a node adds up what its members have from it on.
+    """
+    rows = known.join(nodes.select("conv_id", "depth", "leaf", "saved"), ["conv_id", "depth"], "left").na.fill(0, ["leaf", "saved"])
+    rows = cut(rows.withColumn("block", F.expr(f"depth div {RUN}")))
+    later = Window.partitionBy("conv_id").orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("conv_id", "block").agg(F.sum("leaf").alias("l"), F.sum("saved").alias("s"))
+    blocks = blocks.select("conv_id", "block", *[F.coalesce(F.sum(c).over(later), F.lit(0)).alias(c) for c in "ls"])
+    on = Window.partitionBy("conv_id", "block").orderBy(F.col("depth").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.select("conv_id", "block", "node", F.sum("leaf").over(on).alias("leaf"), F.sum("saved").over(on).alias("saved")).join(blocks, ["conv_id", "block"])
+    return summed.groupBy("node").agg(F.sum(F.col("leaf") + F.col("l")).alias("n_leaves"), F.sum(F.col("saved") + F.col("s")).alias("saved_tokens"))
+
+
 def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     """One row for each distinct beginning of a conversation, the empty one (the root) too.
 
@@ -152,17 +169,11 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     children = nodes.where("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n_children"))
     nodes = nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long")))
     saved = ((F.col("n_convs") - 1) * F.coalesce("chars", F.lit(0))).cast("long")
-    nodes = cut(nodes.select("node", "conv_id", "depth", "parent", "n_convs", "n_children", (F.col("n_children") == 0).cast("long").alias("n_leaves"), saved.alias("saved_tokens")))
-    nodes = nodes.withColumn("up", F.col("parent"))  # the ancestor 2^k above
-    for _ in range(longest.bit_length()):
-        more = nodes.where("up is not null").groupBy(F.col("up").alias("node")).agg(F.sum("n_leaves").alias("l"), F.sum("saved_tokens").alias("s"))
-        added = [(F.col(c) + F.coalesce(x, F.lit(0))).alias(c) for c, x in (("n_leaves", "l"), ("saved_tokens", "s"))]
-        upper = nodes.where("up is not null").select(F.col("node").alias("up"), F.col("up").alias("upper"))
-        nodes = cut(nodes.join(upper, "up", "left").join(more, "node", "left").select("node", "conv_id", "depth", "parent", "n_convs", "n_children", *added, F.col("upper").alias("up")))
+    nodes = cut(nodes.select("node", "conv_id", "depth", "parent", "n_convs", "n_children", (F.col("n_children") == 0).cast("long").alias("leaf"), saved.alias("saved")))
     lengths = convs.join(turns.groupBy("conv_id").agg(F.max("pos").alias("last")), "conv_id", "left").select("conv_id", (F.coalesce("last", F.lit(-1)) + 1).alias("depth"))
     hashes = _ends_hash(known.join(lengths, ["conv_id", "depth"]).select("node", "conv_id"))
     parents = nodes.select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
-    out = nodes.join(parents, "parent", "left").join(hashes, "node", "left")
+    out = nodes.join(_below(known, nodes), "node").join(parents, "parent", "left").join(hashes, "node", "left")
     return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
 
 

@@ -65,6 +65,7 @@ def listed(df):
 @pytest.mark.parametrize("parts", [1, 5])
 def test_equals_a_walked_trie(spark, parts, monkeypatch):
     monkeypatch.setattr(T, "PIECE", 12)
+    monkeypatch.setattr(T, "RUN", 5)
     rows = made(parts)
     df = spark.createDataFrame(random.Random(9).sample(rows, len(rows)), KINDS).repartition(parts)
     assert listed(T.conversation_trie(df)) == brute(sequences(rows))
