@@ -51,15 +51,16 @@ def packed(ids: np.ndarray, bits: int) -> bytes:
     zeros, ones, sizes, chunks = [], [], [], []
     for bit in reversed(range(bits)):
         plane = (now & kind(1 << bit)) != 0
-        starts = np.arange(0, n, CHUNK)
-        ones.append(np.concatenate([[0], np.cumsum(np.add.reduceat(plane, starts, dtype=np.int64) if n else np.zeros(0, np.int64))])[:-1])
-        raw = np.packbits(plane, bitorder="little").tobytes()
-        for at in range(0, len(raw), CHUNK // 8):
+        octets = np.packbits(plane, bitorder="little")
+        starts, raw = range(0, len(octets), CHUNK // 8), octets.tobytes()
+        held = np.add.reduceat(np.bitwise_count(octets), starts, dtype=np.int64) if n else np.zeros(0, np.int64)
+        ones.append(np.cumsum(held) - held)
+        for at in starts:
             part = raw[at : at + CHUNK // 8]
             small = squeeze(part)
             chunks.append(small if len(small) < len(part) else part)
             sizes.append(len(chunks[-1]))
-        zeros.append(n - int(plane.sum()))
+        zeros.append(n - int(held.sum()))
         now = np.concatenate([np.compress(~plane, now), np.compress(plane, now)])
     directory = np.array(zeros, "<u4").tobytes() + np.concatenate(ones).astype("<u4").tobytes() + np.array(sizes, "<u4").tobytes()
     return _HEAD.pack(_MAGIC, bits, n) + directory + b"".join(chunks)
@@ -70,8 +71,11 @@ class Wavelet:
 
     def __init__(self, payload: bytes) -> None:
         magic, self.bits, self.n = _HEAD.unpack_from(payload)
+        import zstandard
+
         if magic != _MAGIC:
             raise ValueError("not a wavelet matrix")
+        self._expand = zstandard.ZstdDecompressor().decompress
         self.payload, per = payload, -(-self.n // CHUNK)
         numbers = np.frombuffer(payload, "<u4", self.bits * (1 + 2 * per), _HEAD.size).astype(np.int64)
         self.zeros, ones, sizes = np.split(numbers, [self.bits, self.bits * (1 + per)])
@@ -80,21 +84,21 @@ class Wavelet:
         self.spans = np.stack([ends - sizes, ends], axis=1).reshape(self.bits, per, 2)
         self._bits = functools.lru_cache(maxsize=256)(self._unpacked)
 
-    def _unpacked(self, level: int, chunk: int) -> np.ndarray:
-        import zstandard
-
+    def _octets(self, level: int, chunk: int) -> bytes:
         start, end = self.spans[level, chunk].tolist()
-        here, part = min(CHUNK, self.n - chunk * CHUNK), self.payload[start:end]
-        if len(part) < -(-here // 8):
-            part = zstandard.ZstdDecompressor().decompress(part)
-        return np.unpackbits(np.frombuffer(part, np.uint8), count=here, bitorder="little")
+        part = self.payload[start:end]
+        return self._expand(part) if len(part) < -(-min(CHUNK, self.n - chunk * CHUNK) // 8) else part
+
+    def _unpacked(self, level: int, chunk: int) -> np.ndarray:
+        return np.unpackbits(np.frombuffer(self._octets(level, chunk), np.uint8), count=min(CHUNK, self.n - chunk * CHUNK), bitorder="little")
 
     def ids(self) -> np.ndarray:
         """All ids: the planes put back from the lowest up."""
         kind = np.uint16 if self.bits <= 16 else np.uint32
         now = np.zeros(self.n, kind)
         for level in reversed(range(self.bits)):
-            plane = np.concatenate([self._unpacked(level, c) for c in range(self.ones.shape[1])] or [np.zeros(0, np.uint8)]).astype(bool)
+            raw = b"".join([self._octets(level, c) for c in range(self.ones.shape[1])])
+            plane = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n, bitorder="little").view(bool)
             before = np.empty_like(now)
             before[np.concatenate([np.flatnonzero(~plane), np.flatnonzero(plane)])] = now
             now = before | plane.astype(kind) << kind(self.bits - 1 - level)
