@@ -30,7 +30,7 @@ from loomcast.llm.url_filter import split_url
 _MARKUP = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: Text up to the closing tag is no text of the page.
-RAW = frozenset("script style noscript template iframe svg math object select textarea button canvas audio video head title".split())
+RAW = frozenset("script style noscript template iframe svg object select textarea canvas audio video head title".split())
 DROPPED = frozenset("nav header footer aside form dialog menu".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = frozenset(
@@ -50,13 +50,23 @@ WEAK = frozenset("banner header hidden notice promotion related share sharing so
 LAYOUT = frozenset("area articles bar block bottom box button buttons container global icons left links list main page posts right section site sticky stories top wrapper".split())
 
 
+#: Words that do so inside an article too, beside words of layout and numbers only (comments-2, ad-slot; not comment-on-policy).
+FOREIGN = frozenset("ad ads advert adverts advertisement comment comments consent cookie cookies disqus newsletter promo sponsor sponsored".split())
+FITTINGS = frozenset("author banner body content form header item items notice popup reply replies slot thread unit wrap".split())
+
+
+def _names_foreign(name: str) -> bool:
+    parts = {x for x in re.split(r"[^a-z0-9]+", name) if x and not x.isdigit()}
+    return bool(parts & FOREIGN) and parts <= FOREIGN | LAYOUT | FITTINGS
+
+
 def _names_chrome(name: str) -> bool:
     parts = set(re.split(r"[^a-z0-9]+", name)) - {""}
     return bool(parts & CHROME) or bool(parts & WEAK) and parts <= WEAK | LAYOUT
 
 
 def _is_chrome(tag: str, attrs: str, inside: bool) -> bool:
-    """Whether an element declares itself not to be the article; inside one, its own header counts as text and names must match whole."""
+    """Whether an element declares itself not to be the article; inside one, its own header counts as text and names must match whole, or be of comments, adverts or consent."""
     if tag in DROPPED and not (inside and tag == "header"):
         return True
     if not attrs:
@@ -64,7 +74,7 @@ def _is_chrome(tag: str, attrs: str, inside: bool) -> bool:
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
-            if inside and any(x in CHROME or x in WEAK - {"header"} for x in value.split()) or not inside and any(map(_names_chrome, value.split())):
+            if inside and any(x in CHROME or x in WEAK - {"header"} or _names_foreign(x) for x in value.split()) or not inside and any(map(_names_chrome, value.split())):
                 return True
         elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -74,7 +84,8 @@ def _is_chrome(tag: str, attrs: str, inside: bool) -> bool:
 
 
 def _is_article(tag: str, attrs: str) -> bool:
-    return tag in ("article", "main") or "main" in attrs and re.search(r"role\s*=\s*[\"']?main\b", attrs) is not None or "articleBody" in attrs
+    """Whether an element is the article itself; main is a container, in which differencing decides."""
+    return tag == "article" or "articleBody" in attrs
 
 
 def page_lines(page: str) -> list[tuple[str, bool]]:

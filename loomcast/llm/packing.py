@@ -11,8 +11,9 @@ each, dual-feasible functions bound the number of bins from below. A partition t
 meets its bound is certified; its closed bins stay. Partitions with a gap give up the
 documents of their open bins and certified ones the emptiest quarter of theirs; these are dealt out
 anew into fewer partitions and packed again, and the new packing is taken if it has
-fewer bins, until a round gains nothing or MAX_ROUNDS are done; then the last packing
-stands, whole and valid, with its gap to the bound.
+fewer bins, until the bins meet the bound of the whole table, a round gains nothing or
+MAX_ROUNDS are done; then the last packing stands, whole and valid, with its gap to the
+bound.
 """
 
 from __future__ import annotations
@@ -138,13 +139,18 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Bins that any packing needs: the best of two families of dual-feasible functions.
+    """Bins that any packing of pieces needs; see bound_of_counts."""
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1)[: capacity + 1], capacity)
+
+
+def bound_of_counts(count: np.ndarray, capacity: int) -> int:
+    """Bins that any packing needs of count[x] pieces of each length x: the best of two families of dual-feasible functions.
 
     f_t takes pieces over capacity - t as whole bins and leaves out those under t; u_k
     rounds a piece of x to floor((k + 1) x / capacity) / k bins, and leaves it where
     (k + 1) x / capacity is whole.
     """
-    count = np.bincount(lengths, minlength=capacity + 1)[: capacity + 1].astype(np.int64)
+    count = count.astype(np.int64)
     size = np.arange(capacity + 1, dtype=np.int64)
     n, total = np.cumsum(count), np.cumsum(count * size)
     t = np.arange(0, capacity // 2 + 1)
@@ -206,7 +212,8 @@ def _pack_partitions(rows: DataFrame, capacity: int, parts: int, turn: int, name
 def pack(items: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PARTITION_PIECES) -> DataFrame:
     """items with a column length, 1 to capacity, gain sequence_id and offset; all other columns are kept.
 
-    Rows are numbered and dealt by number, so that repeated or null ids make no partition
+    A histogram of at most capacity lengths bounds the bins of the whole table; packing ends
+    where it is met. Rows are numbered and dealt by number, so that repeated or null ids make no partition
     larger. Partitions hold about partition_pieces pieces at any size of the input; only
     counts reach the driver. Columns of items named sequence_id or offset are replaced.
     Pieces of equal length may be packed in any order. An empty table stays empty.
@@ -218,18 +225,26 @@ def pack(items: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PAR
     def bins(df: DataFrame) -> int:
         return df.where(F.col(names["place"]) == 0).count()
 
-    n = items.count()
+    sizes = dict(items.groupBy("length").count().collect())
+    n, histogram = sum(sizes.values()), np.zeros(capacity + 1, np.int64)
+    histogram[list(sizes)] = list(sizes.values())
+    least = bound_of_counts(histogram, capacity)
     packed = cut(_pack_partitions(items, capacity, max(1, -(-n // partition_pieces)), 0, names))
     done: DataFrame | None = None
+    total = bins(packed)
     for turn in range(1, MAX_ROUNDS + 1):
+        if total <= least:
+            break
         loose = packed.where(F.col(names["open"]))
         left = loose.count()
         had = bins(loose)
         if had < 2:
             break
         again = cut(_pack_partitions(loose.select(items.columns), capacity, max(1, -(-left // partition_pieces)), turn, names))
-        if bins(again) >= had:
+        has = bins(again)
+        if has >= had:
             break
+        total -= had - has
         closed = packed.where(~F.col(names["open"]))
         done = closed if done is None else done.unionByName(closed)
         packed = again

@@ -119,6 +119,10 @@ def iban_check(country: str, rest: str) -> str:
     return f"{98 - int(''.join(str(int(c, 36)) for c in rest + country + '00')) % 97:02d}"
 
 
+#: What a secret after its name has and an ordinary word hasn't: a digit, or a capital behind a small letter.
+_MIXED = re.compile("[0-9]|[a-z][A-Z]")
+
+
 class Pseudonyms:
     """One method per kind: the pseudonym of a match, or None if it isn't valid."""
 
@@ -138,6 +142,8 @@ class Pseudonyms:
         if kind == "value" and (known := re.fullmatch(f"(?:(?P<t>{TOKEN})|(?P<a>{AWS}))(?P<rest>.*)", value)) and len(known["rest"]) >= 16:  # a token behind its name
             kind = "token" if known["t"] else "aws"
             at, value = at + known.start("rest"), known["rest"]
+        if kind == "value" and not _MIXED.search(value):
+            return None  # a word after a colon
         if kind == "aws" and set(value) <= set(UPPER + DIGITS):
             alphabets = [UPPER + DIGITS] * len(value)
         elif kind == "value" and set(value) <= set(HEX):
@@ -146,7 +152,10 @@ class Pseudonyms:
             alphabets = [alphabet_of(c) for c in value]
             if not any(alphabets):
                 return None
-        return m[0][:at] + self._text(value, alphabets, "secret" if kind == "value" else kind) + m[0][at + len(value) :]
+        new = self._text(value, alphabets, "secret" if kind == "value" else kind)
+        while kind == "value" and not _MIXED.search(new):  # walked on within the permutation, so that it is found again
+            new = self._text(new, alphabets, "secret")
+        return m[0][:at] + new + m[0][at + len(value) :]
 
     def iban(self, m: re.Match) -> str | None:
         plain = m[0].replace(" ", "")

@@ -86,8 +86,9 @@ def match_rule_table(df: DataFrame, rules: DataFrame, host: str = "host", path:
     tried = df.select(F.col(host).alias("h"), F.col(path).alias("p")).distinct().select("h", "p", F.explode(suffixes).alias("rule_host"))
     fits = tried.join(parsed, "rule_host").where(F.startswith(F.col("p"), F.col("rule_path")))
     best = fits.groupBy("h", "p").agg(F.min(F.struct((-F.length("rule")).alias("size"), "rule", "action")).alias("b"))
-    best = best.select(F.col("h").alias("__h"), F.col("p").alias("__p"), F.col("b.rule").alias("rule"), F.col("b.action").alias("rule_action"))
-    return df.join(best, (F.col(host) == F.col("__h")) & (F.col(path) == F.col("__p")), "left").drop("__h", "__p")
+    h, p = (free_name(f"__{c}", df.columns) for c in "hp")
+    best = best.select(F.col("h").alias(h), F.col("p").alias(p), F.col("b.rule").alias("rule"), F.col("b.action").alias("rule_action"))
+    return df.join(best, (F.col(host) == F.col(h)) & (F.col(path) == F.col(p)), "left").drop(h, p)
 
 
 def _strength(groups: DataFrame) -> DataFrame:
@@ -152,15 +153,16 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]
     """
     known = split_url(outcomes.where(F.col("bad").isNotNull()).select(F.col(url_col).alias("url"), "bad"), "url").select("host", "bad")
     hosts, domains, suffixes, whole = _levels(known, "host", "bad")
-    counts = hosts.select(F.col("host").alias("__host"), F.col("n").alias("__n"), F.col("bad").alias("__bad"))
-    domains, suffixes = domains.select(F.col("domain").alias("__domain"), F.col("domain_rate").alias("__dr")), suffixes.select(F.col("suffix").alias("__suffix"), F.col("suffix_rate").alias("__sr"))
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "rule_action", "bad_rate", "bad_low", "n_labelled")]
-    parts = match_rules(split_url(pages.select(*kept), url_col), rules)
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict", "rule_action", "bad_rate", "bad_low", "n_labelled")]
+    host_, n_, bad_, domain_, dr, suffix_, sr, m_, all_ = (free_name(f"__{c}", kept) for c in ("host", "n", "bad", "domain", "dr", "suffix", "sr", "m", "all"))
+    counts = hosts.select(F.col("host").alias(host_), F.col("n").alias(n_), F.col("bad").alias(bad_))
+    domains, suffixes = domains.select(F.col("domain").alias(domain_), F.col("domain_rate").alias(dr)), suffixes.select(F.col("suffix").alias(suffix_), F.col("suffix_rate").alias(sr))
+    parts = match_rules(split_url(pages.select(*[f"`{c}`" for c in kept]), url_col), rules)
     unseen, (domain, suffix) = F.lit(0).cast("long"), domain_of(F.col("host"))
-    out = parts.join(counts, F.col("host") == F.col("__host"), "left").join(domains, domain == F.col("__domain"), "left").join(suffixes, suffix == F.col("__suffix"), "left")
-    out = out.crossJoin(F.broadcast(whole.select(F.col("m").alias("__m"), F.col("p").alias("__all"))))
-    n, prior = F.coalesce("__n", unseen), F.coalesce("__dr", "__sr", "__all")
-    found = _posterior(n, F.coalesce("__bad", unseen), prior, F.col("__m"), z)
-    out = out.select(*parts.columns, n.alias("n_labelled"), *(c.alias(k) for k, c in found.items()))
+    out = parts.join(counts, F.col("host") == F.col(host_), "left").join(domains, domain == F.col(domain_), "left").join(suffixes, suffix == F.col(suffix_), "left")
+    out = out.crossJoin(F.broadcast(whole.select(F.col("m").alias(m_), F.col("p").alias(all_))))
+    n, prior = F.coalesce(n_, unseen), F.coalesce(dr, sr, all_)
+    found = _posterior(n, F.coalesce(bad_, unseen), prior, F.col(m_), z)
+    out = out.select(*[f"`{c}`" for c in parts.columns], n.alias("n_labelled"), *(c.alias(k) for k, c in found.items()))
     verdict = F.coalesce("rule_action", F.when(F.col("bad_low") >= threshold, "block").otherwise("allow"))
     return out.withColumn("verdict", verdict).drop("rule_action")

@@ -128,3 +128,26 @@ def test_differencing_decides_outside_an_article(spark):
     page = "<div>Menu</div><p>Headline {0}</p><article><p>Shared</p><p>Body {0}</p></article><p>Note {0}</p><p>Bottom</p>"
     df = spark.createDataFrame([(i, f"http://h.com/{i}", page.format(i)) for i in range(5)], "page_id long, url string, html string")
     assert {r.page_id: r.text for r in H.extract(df).collect()} == {i: f"Headline {i}\n\nShared\n\nBody {i}\n\nNote {i}" for i in range(5)}
+
+
+#: Pages and their texts, written by hand.
+GOLDEN = [
+    ("<main><div id='comments-2'>cc</div><div class='comment-list'><p>reader</p></div><div class='ad-slot'>buy</div><div class='cookie-banner'>cookies</div><p>ok</p></main>", "ok"),
+    ("<article><p>One</p><div class='comments-area'>r</div><section id='comment-17'>r</section><aside>s</aside><div class='ad-container'>b</div><p>Two</p></article>", "One\n\nTwo"),
+    ("<article><div id='comment-on-policy'><p>The minister's comment.</p></div><p class='ad-hoc'>Ad hoc work</p></article>", "The minister's comment.\n\nAd hoc work"),
+    ("<p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> here</p>", "Energy is E=mc2 here"),
+    ("<article><p>Press <button>Start</button> now</p></article>", "Press Start now"),
+    ("<main><h1>Title</h1><p>Body &amp; more</p><form><p>Your mail</p></form></main><footer>f</footer>", "Title\n\nBody & more"),
+    ("<article><header><h1>Head</h1></header><p>Text</p><div class='newsletter-box'>Join</div></article>", "Head\n\nText"),
+]
+
+
+def test_golden_pages(spark):
+    df = spark.createDataFrame([(i, f"http://h{i}.com/", page) for i, (page, _) in enumerate(GOLDEN)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.extract(df).collect()} == {i: text for i, (_, text) in enumerate(GOLDEN)}
+
+
+def test_differencing_decides_main(spark):
+    page = "<main><p>Share this story</p><p>Story {0}</p><div>All rights reserved</div></main>"
+    df = spark.createDataFrame([(i, f"http://h.com/{i}", page.format(i)) for i in range(4)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.extract(df).collect()} == {i: f"Story {i}" for i in range(4)}

@@ -5,6 +5,8 @@ import time
 
 import numpy as np
 
+import pytest
+
 from loomcast.llm import pii as P
 
 KEY = b"k"
@@ -122,3 +124,19 @@ def test_operator(spark):
     assert P.protect(df.limit(0), KEY).count() == 0
     back = P.protect(P.protect(df, KEY, counts_col=None), KEY, counts_col=None, undo=True)
     assert [r.text for r in back.collect()] == [r[1] for r in rows]
+
+
+@pytest.mark.parametrize("text", [
+    "The secret: breakfast was late.", "Password: required for entry", "token = something", "The secret: Breakfast at Tiffany", "passphrase: well-known words",
+    "API key: documentation", "My secret: deadbeef", "Token: EXCLUSIVE OFFERS", "secret = __placeholder__",
+])
+def test_words_after_a_secrets_name_stay(text):
+    assert P.pseudonymise(text, P.Pseudonyms(b"k")) == (text, {})
+
+
+def test_secrets_after_a_name_are_replaced_and_come_back():
+    make, undo = P.Pseudonyms(b"k"), P.Pseudonyms(b"k", True)
+    for value in [f"{i:x}a{i * 7:x}bc" for i in range(1000, 1400)] + ["hunterX2abc", "deadbee1", "correctHorse"]:
+        text = f"password: {value}"
+        safe, n = P.pseudonymise(text, make)
+        assert n == {"secret": 1} and P.pseudonymise(safe, undo)[0] == text

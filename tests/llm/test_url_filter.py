@@ -104,3 +104,14 @@ def test_hosts_without_outcomes_take_their_domains_rate(spark):
     pages = spark.createDataFrame([(1, "http://new.bad.com/"), (2, "http://new.good3.com/"), (3, "http://never.xx/"), (4, "http://a.unknown/"), (5, None)], "page_id long, url string")
     got = {r.page_id: (r.verdict, r.n_labelled) for r in U.judge(pages, outcomes, []).collect()}
     assert got == {1: ("block", 0), 2: ("allow", 0), 3: ("block", 0), 4: ("allow", 0), 5: ("allow", 0)}
+
+
+def test_clashing_columns_are_kept(spark):
+    outcomes = spark.createDataFrame([("http://a.com/", True), ("http://b.com/", False)], "url string, bad boolean")
+    names = ("__n", "__host", "__m", "__domain", "__all", "__sr", "__h", "__p", "best", "bad", "domain", "suffix", "a.b")
+    pages = spark.createDataFrame([(1, "http://a.com/x", *names), (2, None, *names)], "page_id long, url string, " + ", ".join(f"`{n}` string" for n in names))
+    for rules in ([("block", "a.com/")], spark.createDataFrame([("block", "a.com/")], "action string, rule string")):
+        got = {r.page_id: r for r in U.judge(pages, outcomes, rules).collect()}
+        assert got[1].verdict == "block" and got[2].verdict == "allow" and all(got[1][n] == n for n in names)
+    both = spark.createDataFrame([(1, "http://a.com/x", "mine", "theirs")], "page_id long, url string, rule_action string, Host string")
+    assert [(r.host, r.verdict) for r in U.judge(both, outcomes, [("block", "a.com/")]).collect()] == [("a.com", "block")]
