@@ -75,3 +75,11 @@ def search(index: DataFrame, queries: DataFrame, cells: Cells, k: int, visit: in
     asked = _with_cells(asked, cells, visit).select("q", F.col("x").alias("y"), F.explode("cells").alias("cell"))
     met = index.join(asked, "cell").select(F.col("q").alias(query_id), *keys, "id", F.round(dot(F.col("x"), F.col("y")), 6).alias("sim"))
     return top_per_group(met, [query_id, *keys], [F.col("sim").desc(), F.col("id")], k)
+
+
+def near_graph(vectors: DataFrame, k: int, vec_id: str = "vec_id", vector: str = "e", visit: int = 16) -> DataFrame:
+    """(a, b, sim): about the k nearest others of every row, those met in the cells nearest to it."""
+    cells = fit_cells(vectors, vec_id, vector)
+    rows = vectors.select(F.col(vec_id).alias("a"), F.col(vector).alias("qe"))
+    found = search(build(vectors, cells, vec_id, vector), rows, cells, k + 1, visit, query_id="a")  # itself too
+    return top_per_group(found.where(F.col("a") != F.col("id")), ["a"], [F.col("sim").desc(), F.col("id")], k).select("a", F.col("id").alias("b"), "sim")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomcast.functions.vectors import dot, euclidean, mean_vectors, normalised
@@ -83,6 +83,36 @@ def centroids(vectors: DataFrame, label: str, vector: str = "e", weight: str | N
     return mean_vectors(kept, [label], vector, weight, unit=True)
 
 
+def topic_keywords(texts: DataFrame, topic: str, text: str, words: str = r"[\\p{L}\\p{N}_]+", most: int = 10) -> DataFrame:
+    """(topic, rank, term, weight): the terms that set each topic off, by class-wise tf-idf.
+
+    weight is a term's share of its topic's words, times ln(1 + A / f): f is how often the
+    term occurs in all topics, A the mean number of words of a topic. Case aside; texts
+    count whole, rows without a topic or text not at all.
+    """
+    rows = texts.where(F.col(topic).isNotNull()).select(F.col(topic).alias("topic"), F.explode(F.expr(f"regexp_extract_all(lower({text}), '{words}', 0)")).alias("term"))
+    counts = rows.groupBy("topic", "term").agg(F.count(F.lit(1)).alias("n"))
+    counts = reliable(counts)
+    sizes = counts.groupBy("topic").agg(F.sum("n").alias("size"))
+    mean = sizes.agg(F.avg("size").alias("mean"))
+    whole = counts.groupBy("term").agg(F.sum("n").alias("f"))
+    weighed = counts.join(whole, "term").join(sizes, "topic").crossJoin(F.broadcast(mean))
+    weighed = weighed.select("topic", "term", F.round(F.col("n") / F.col("size") * F.log(1 + F.col("mean") / F.col("f")), 6).alias("weight"))
+    order = [F.col("weight").desc(), F.col("term")]
+    best = top_per_group(weighed, ["topic"], order, most)
+    return best.select(F.col("topic").alias(topic), F.row_number().over(Window.partitionBy("topic").orderBy(*order)).alias("rank"), "term", "weight")
+
+
+def cluster_metadata(vectors: DataFrame, label: str, vector: str = "e", row_id: str = "vec_id", nearest: int = 10) -> DataFrame:
+    """(label, n, centroid, mean_dist, representatives): each cluster's mean vector, its rows' mean distance and the ids nearest to it."""
+    held = vectors.where(F.col(label).isNotNull() & F.col(vector).isNotNull())
+    centres = mean_vectors(held, [label], vector).withColumnRenamed(vector, "centroid")
+    far = held.join(centres, label).select(label, row_id, euclidean(F.col(vector), F.col("centroid")).alias("d"))
+    best = top_per_group(far.withColumn("d", F.round("d", 9)), [label], [F.col("d"), F.col(row_id)], nearest)
+    some = best.groupBy(label).agg(F.array_sort(F.collect_list(F.struct("d", row_id))).alias("s")).select(label, F.col(f"s.{row_id}").alias("representatives"))
+    return far.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.avg("d").alias("mean_dist")).join(centres, label).join(some, label)
+
+
 def validation(vectors: DataFrame, label: str, vector: str = "e") -> DataFrame:
     """One row: Davies-Bouldin and Calinski-Harabasz of the labels, noise (-1) left out.
 

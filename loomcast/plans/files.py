@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcast.operators.reliable import ensure_checkpoint_dir
+from loomcast.operators.reliable import shared_folder
 from loomcast.plans.registry import Tables, query
 from loomcast.sources import readers as Rd
 from loomcast.sources import sinks as K
@@ -15,8 +13,7 @@ from loomcast.sources import sinks as K
 
 def folder(spark: SparkSession) -> str:
     """A new folder that all executors share."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
+    return shared_folder(spark, "files")
 
 
 def sources(t: Tables) -> DataFrame:

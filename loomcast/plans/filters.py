@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from loomcast.functions import predicates as P
 from loomcast.functions import text as X
 from loomcast.operators import joins as J
+from loomcast.operators.reliable import shared_folder
+from loomcast.operators.textindex import search_index, write_index
 from loomcast.operators.windows import top, top_per_group
 from loomcast.plans.registry import Tables, query
 
@@ -164,11 +166,37 @@ def optional_parameter(spark: SparkSession, d: str) -> DataFrame:
     return Tables(spark, d).content.where(P.all_of(P.optional_equal("platform", None), P.optional_equal("state", "P"))).select("content_id")
 
 
-@query("FLT-20", """, w AS (SELECT doc_id, list_transform(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), lambda x: x) AS ws FROM documents)
-SELECT doc_id, round(len(list_filter(ws, lambda x: x IN ('the', 'and'))) / len(ws), 6) AS rank FROM w WHERE list_contains(ws, 'the') AND list_contains(ws, 'and')""")
+POSTINGS = r""", w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM documents), tot AS (SELECT count(*) AS docs, sum(len(ws))::DOUBLE AS words FROM w),
+u AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS term, generate_subscripts(ws, 1) AS pos FROM w), df AS (SELECT term, count(DISTINCT doc_id) AS df FROM u GROUP BY 1),
+po AS (SELECT q.query_id, q.terms, doc_id, n, term, pos FROM u JOIN (SELECT query_id, terms, unnest(terms) AS term FROM questions) q USING (term)),
+tf AS (SELECT query_id, any_value(terms) AS terms, doc_id, term, any_value(n) AS n, count(*) AS tf FROM po GROUP BY query_id, doc_id, term),
+wt AS (SELECT query_id, any_value(terms) AS terms, doc_id, count(*) AS k, sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n * docs / words))) AS w FROM tf JOIN df USING (term), tot GROUP BY query_id, doc_id),
+gap AS (SELECT query_id, doc_id, term <> lag(term) OVER o AS other, pos - lag(pos) OVER o AS g FROM po WINDOW o AS (PARTITION BY query_id, doc_id ORDER BY pos)),
+cl AS (SELECT query_id, doc_id, coalesce(sum(1.0 / (g * g)) FILTER (other), 0)::DOUBLE AS c FROM gap GROUP BY ALL),
+rk AS (SELECT query_id, terms, k, doc_id, round(w + c, 6) AS rank FROM wt JOIN cl USING (query_id, doc_id))
+"""
+
+
+def text_index(t: Tables) -> str:
+    """Folder of a new index of all documents."""
+    folder = shared_folder(t.spark, "textindex")
+    write_index(t.documents, folder)
+    return folder
+
+
+@query("FLT-20", ", questions AS (SELECT 0 AS query_id, ['ention', 'heer', 'licensed'] AS terms)" + POSTINGS + "SELECT doc_id, rank FROM rk QUALIFY row_number() OVER (ORDER BY rank DESC, doc_id) <= 1000")
 def full_text(spark: SparkSession, d: str) -> DataFrame:
-    docs = Tables(spark, d).documents.where(X.matches_all_terms(F.col("text"), ["the", "and"]))
-    return docs.select("doc_id", F.round(X.term_frequency(F.col("text"), ["the", "and"]), 6).alias("rank"))
+    """The thousand best documents with any of the keywords."""
+    asked = spark.sql("SELECT 0 AS query_id, array('ention', 'heer', 'licensed') AS terms")
+    return search_index(spark, text_index(Tables(spark, d)), asked, limit=1000).select("doc_id", "rank")
+
+
+@query("FLT-20-ALL", r", questions AS (SELECT item_id AS query_id, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')[:3]) AS terms FROM benchmark)" + POSTINGS + "SELECT query_id, doc_id, rank FROM rk WHERE k = len(terms)")
+def full_text_questions(spark: SparkSession, d: str) -> DataFrame:
+    """Every document that has all of a question's terms; the questions are the openings of the benchmark's items."""
+    t = Tables(spark, d)
+    asked = t.raw("benchmark").select(F.col("item_id").alias("query_id"), F.slice(F.expr(r"regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+', 0)"), 1, 3).alias("terms"))
+    return search_index(spark, text_index(t), asked, every=True)
 
 
 @query("FLT-21", "SELECT strftime(publish_date, '%Y-%m') AS month, count(*) AS n FROM content WHERE strftime(publish_date, '%Y-%m') LIKE '1998%' GROUP BY 1")

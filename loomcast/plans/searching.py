@@ -11,6 +11,8 @@ from loomcast.functions import vectors as V
 from loomcast.operators import ann as N
 from loomcast.operators import cluster as C
 from loomcast.operators import search as Q
+from loomcast.operators.density import density_clusters
+from loomcast.operators.features import agglomerative
 from loomcast.operators.windows import top, top_per_group
 from loomcast.plans.registry import Tables, query
 
@@ -171,6 +173,18 @@ def indexed(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("CLU-1")
+def density_themes(spark: SparkSession, d: str) -> DataFrame:
+    """The density cluster of every vector, -1 for noise."""
+    return density_clusters(Tables(spark, d).vectors)
+
+
+@query("CLU-1-WARD")
+def agglomerative_themes(spark: SparkSession, d: str) -> DataFrame:
+    """Eight clusters of all vectors by Ward linkage of their cells' features."""
+    return agglomerative(Tables(spark, d).vectors, 8)
+
+
+@query("CLU-1-KMEANS")
 def themes(spark: SparkSession, d: str) -> DataFrame:
     out, _ = C.k_means(Tables(spark, d).vectors, [5], components=8)
     return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
@@ -259,8 +273,37 @@ def cross_lingual(spark: SparkSession, d: str) -> DataFrame:
     return C.align(V.mean_vectors(v, ["grp", "label"]).withColumnRenamed("label", "theme"), 0.2)
 
 
-@query("CLU-13", MEANS + ", k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(dist, 9), vec_id) AS rn FROM dd) SELECT label, vec_id, round(dist, 6) AS dist FROM k WHERE rn <= 3")
+KEYWORDS = r""", w AS (SELECT v.label, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM documents JOIN vec v ON doc_id = vec_id WHERE label IS NOT NULL),
+tc AS (SELECT label, term, count(*) AS n FROM w GROUP BY ALL), sz AS (SELECT label, sum(n) AS size FROM tc GROUP BY 1), tf AS (SELECT term, sum(n) AS f FROM tc GROUP BY 1),
+kw AS (SELECT label, term, round(n / size * ln(1 + (SELECT avg(size) FROM sz) / f), 6) AS weight FROM tc JOIN sz USING (label) JOIN tf USING (term)),
+kr AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY weight DESC, term) AS rank FROM kw)
+"""
+
+
+def topic_texts(t: Tables) -> DataFrame:
+    """A topic's texts: the documents of its vectors' ids."""
+    return t.documents.join(t.vectors.select(F.col("vec_id").alias("doc_id"), "label"), "doc_id").select("label", "text")
+
+
+@query("CLU-13", MEANS + KEYWORDS + """, nr AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY round(dist, 9), vec_id) AS rn FROM dd)
+SELECT label, n, round(s, 6) AS mean_dist, (SELECT array_to_string(list_transform(m, lambda x: round(x * 1000)::BIGINT), ',') FROM cm WHERE cm.label = st.label) AS centroid,
+  (SELECT string_agg(vec_id::VARCHAR, ',' ORDER BY rn) FROM nr WHERE nr.label = st.label AND rn <= 10) AS representatives, (SELECT string_agg(term, ',' ORDER BY rank) FROM kr WHERE kr.label = st.label AND rank <= 10) AS keywords FROM st""")
 def cluster_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each cluster: size, mean distance, centroid in thousandths, nearest rows and keywords."""
+    t = Tables(spark, d)
+    words = C.topic_keywords(topic_texts(t), "label", "text").groupBy("label").agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("k"))
+    out = C.cluster_metadata(t.vectors, "label").join(words, "label", "left")
+    listed = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    return out.select("label", "n", F.round("mean_dist", 6).alias("mean_dist"), listed(F.transform("centroid", lambda x: F.round(x * 1000).cast("long"))).alias("centroid"), listed(F.col("representatives")).alias("representatives"), listed(F.col("k.term")).alias("keywords"))
+
+
+@query("CLU-13-KEYWORDS", MEANS + KEYWORDS + "SELECT label, rank, term, weight FROM kr WHERE rank <= 20")
+def keywords(spark: SparkSession, d: str) -> DataFrame:
+    return C.topic_keywords(topic_texts(Tables(spark, d)), "label", "text", most=20)
+
+
+@query("CLU-13-NEAREST", MEANS + ", k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(dist, 9), vec_id) AS rn FROM dd) SELECT label, vec_id, round(dist, 6) AS dist FROM k WHERE rn <= 3")
+def cluster_nearest(spark: SparkSession, d: str) -> DataFrame:
     v = Tables(spark, d).vectors
     far = v.join(V.mean_vectors(v, ["label"]).withColumnRenamed("e", "m"), "label").select("label", "vec_id", V.euclidean(F.col("e"), F.col("m")).alias("x"))
     return top_per_group(far, ["label"], [F.round("x", 9), F.col("vec_id")], 3).select("label", "vec_id", F.round("x", 6).alias("dist"))

@@ -13,18 +13,21 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomcast.functions import predicates as P
 from loomcast.functions import scores as S
 from loomcast.functions import text as X
+from loomcast.functions.models import batched
 from loomcast.functions.text_udfs import hashed_vector_of
 from loomcast.operators import cluster as C
 from loomcast.operators import search as Q
-from loomcast.operators.windows import top_per_group
+from loomcast.operators.ann import near_graph
+from loomcast.operators.density import density_clusters
+from loomcast.operators.features import agglomerative
+from loomcast.operators.reliable import cut as reliable
+from loomcast.operators.windows import top, top_per_group
 from loomcast.plans.registry import Tables, query
 from loomcast.plans.searching import greedy_sql
 
@@ -102,13 +105,8 @@ class Chain:
 
 
 def hashed_vector(text, dim: int = 64):
-    """Default embedding of a column of texts: hashed_vector_of each."""
-
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def embed(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda value: hashed_vector_of(value, dim).tolist())
-
-    return embed(text)
+    """Default embedding of a column of texts: hashed_vector_of each, in batches as a model's would be."""
+    return batched(f"hashed-{dim}", lambda: lambda texts: [hashed_vector_of(t, dim).tolist() for t in texts], "array<double>", 256)(text)
 
 
 #: What the default expansion asks, by strategy; {q} is the question.
@@ -172,16 +170,34 @@ def corpus_analysis(c: Context, p: Mapping[str, Any]) -> Context:
     return c.put(corpus=c.current().agg(*aggs))
 
 
-@step("extract_themes", method="kmeans", max_themes=10, min_theme_percentage=5.0, use_faiss=False, n_clusters=None, min_cluster_size=5, min_samples=3)
+def clustered(rows: DataFrame, p: Mapping[str, Any]) -> DataFrame:
+    """rows with cluster by p's method: hdbscan (density), agglomerative (Ward) or kmeans; -1 is noise.
+
+    use_faiss takes the density method's neighbours from an inverted-file index instead of all pairs.
+    """
+    if p["method"] == "kmeans":
+        return C.k_means(rows, [p["n_clusters"]] if p["n_clusters"] else range(2, p["max_themes"] + 1), least_size=1)[0]
+    if p["method"] == "agglomerative":
+        if not p["n_clusters"]:
+            raise ValueError("agglomerative needs n_clusters")
+        found = agglomerative(rows, p["n_clusters"], vec_id="segment_id")
+    elif p["method"] == "hdbscan":
+        graph = near_graph(rows, max(15, p["min_samples"] or p["min_cluster_size"]), "segment_id") if p["use_faiss"] else None
+        found = density_clusters(rows, p["min_cluster_size"], p["min_samples"], vec_id="segment_id", graph=graph)
+    else:
+        raise ValueError(f"no method {p['method']}")
+    return rows.join(found, "segment_id")
+
+
+@step("extract_themes", method="hdbscan", max_themes=10, min_theme_percentage=5.0, use_faiss=False, n_clusters=None, min_cluster_size=5, min_samples=None)
 def extract_themes(c: Context, p: Mapping[str, Any]) -> Context:
-    """frames.themed: rows with cluster, -1 where a theme is too small. Density methods have no Spark equivalent: k-means stands in."""
-    rows = c.current().where(F.col("e").isNotNull())
-    ks = [p["n_clusters"]] if p["n_clusters"] else range(2, p["max_themes"] + 1)
-    out, _ = C.k_means(rows, ks, least_size=1)
-    sizes = out.groupBy("cluster").agg(F.count(F.lit(1)).alias("__n"))
-    least = sizes.agg((F.sum("__n") * p["min_theme_percentage"] / 100).alias("__least"))
-    fit = sizes.crossJoin(F.broadcast(least)).select("cluster", ((F.col("__n") >= F.col("__least")) & (F.col("__n") >= p["min_cluster_size"])).alias("__fit"))
-    return c.put(themed=out.join(fit, "cluster").withColumn("cluster", F.when(F.col("__fit"), F.col("cluster")).otherwise(-1)).drop("__fit"))
+    """frames.themed: rows with cluster; -1 for noise, where a theme is too small, and beyond the max_themes largest."""
+    out = reliable(clustered(c.current().where(F.col("e").isNotNull()), p))
+    sizes = out.where("cluster <> -1").groupBy("cluster").agg(F.count(F.lit(1)).alias("__n"))
+    least = out.agg((F.count(F.lit(1)) * p["min_theme_percentage"] / 100).alias("__least"))
+    large = sizes.crossJoin(F.broadcast(least)).where((F.col("__n") >= F.col("__least")) & (F.col("__n") >= p["min_cluster_size"]))
+    fit = top(large, [F.col("__n").desc(), F.col("cluster")], p["max_themes"]).select("cluster", F.lit(True).alias("__fit"))
+    return c.put(themed=out.join(fit, "cluster", "left").withColumn("cluster", F.when(F.col("__fit"), F.col("cluster")).otherwise(-1)).drop("__fit"))
 
 
 @step("quick_cluster_check", method="fast", min_cluster_size=10, min_silhouette_score=0.15, skip_if_few_segments=30, max_themes=4, force_split=True)
@@ -189,8 +205,12 @@ def quick_cluster_check(c: Context, p: Mapping[str, Any]) -> Context:
     rows = c.current().where(F.col("e").isNotNull())
     if rows.limit(p["skip_if_few_segments"]).count() < p["skip_if_few_segments"]:
         return c.put(themed=rows.withColumn("cluster", F.lit(0)))
+    if p["method"] == "hdbscan":
+        return c.put(themed=rows.join(density_clusters(rows, p["min_cluster_size"], vec_id="segment_id"), "segment_id"))
+    if p["method"] != "fast":
+        raise ValueError(f"no method {p['method']}")
     floor = -1.0 if p["force_split"] else p["min_silhouette_score"]
-    out, _ = C.k_means(rows, range(2, p["max_themes"] + 1), components=32 if p["method"] == "fast" else None, least_size=p["min_cluster_size"], least_silhouette=floor)
+    out, _ = C.k_means(rows, range(2, p["max_themes"] + 1), components=32, least_size=p["min_cluster_size"], least_silhouette=floor)
     return c.put(themed=out)
 
 
@@ -386,7 +406,7 @@ def stp_themes(spark: SparkSession, d: str) -> DataFrame:
 
 @query("STP-7")
 def stp_extract(spark: SparkSession, d: str) -> DataFrame:
-    return Chain().then("retrieve_all_segments").then("extract_themes", n_clusters=4).run(context(spark, d)).frames["themed"].groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    return Chain().then("retrieve_all_segments").then("extract_themes", method="kmeans", n_clusters=4).run(context(spark, d)).frames["themed"].groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("STP-8")
@@ -396,7 +416,7 @@ def stp_check(spark: SparkSession, d: str) -> DataFrame:
 
 @query("STP-9")
 def stp_sub(spark: SparkSession, d: str) -> DataFrame:
-    chain = Chain().then("retrieve_all_segments").then("extract_themes", n_clusters=2).then("extract_subthemes", require_valid_clusters=False)
+    chain = Chain().then("retrieve_all_segments").then("extract_themes", method="kmeans", n_clusters=2).then("extract_subthemes", require_valid_clusters=False)
     return chain.run(context(spark, d)).frames["subthemed"].groupBy("cluster", "subtheme").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -12,6 +12,7 @@ from loomcast.plans.files import folder
 from loomcast.plans.registry import Tables, query
 from loomcast.sources import sinks as K
 from loomcast.streaming import streams as St
+from loomcast.streaming.maintained import run_maintained
 
 NOW = "2024-01-31 00:00:00"
 REFRESH = """, c0 AS (SELECT event_id, ts FROM ev WHERE event_id % 7 <> 0 AND NOT (day(ts) = 28 AND event_id % 3 = 0)), keep AS (SELECT * FROM c0 WHERE ts >= TIMESTAMP '{now}' - INTERVAL {days} DAYS),
@@ -99,9 +100,24 @@ def cascade(spark: SparkSession, d: str) -> DataFrame:
     return K.without(t.segments, t.content.where("state = 'P'"), ["content_id"]).select("segment_id")
 
 
-@query("SNK-12", "SELECT speaker_id, count(*) AS n, round(sum(length), 2) AS total FROM segments GROUP BY 1")
+@query("SNK-12", """, s AS (SELECT *, CASE WHEN status = 'F' THEN length + 1 ELSE length END AS l FROM segments WHERE emotion <> 'R')
+SELECT speaker_id, count(*) AS n, sum(l)::DOUBLE AS total, count(DISTINCT content_id) AS units, arg_max(content_id, (segment_date, content_id)) AS last_unit FROM s GROUP BY 1""")
+def maintained_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Speakers' totals moved by a feed of three batches of files: all segments come, those of one status grow, those of one emotion go."""
+    old = Tables(spark, d).segments.select("speaker_id", "content_id", "segment_date", "emotion", "status", F.col("length").cast("decimal(18,2)").alias("length"))
+    new = old.withColumn("length", F.when(F.col("status") == "F", F.col("length") + 1).otherwise(F.col("length")))
+    signed = lambda rows, sign: rows.select("speaker_id", "content_id", "segment_date", F.col("length").cast("decimal(18,2)").alias("length"), F.lit(sign).alias("sign"))
+    path, changed = folder(spark), F.col("status") == "F"
+    for rows in (signed(old, 1), signed(old.where(changed), -1).unionByName(signed(new.where(changed), 1)), signed(new.where("emotion = 'R'"), -1)):
+        rows.repartition(8).write.mode("append").parquet(f"{path}/feed")
+    stream = St.read_files(spark, f"{path}/feed", signed(old, 1).schema, 8)
+    out = run_maintained(stream, f"{path}/kept", "speaker_id", "content_id", "segment_date", "length")
+    return out.select("speaker_id", "n", F.col("total").cast("double").alias("total"), "units", "last_unit")
+
+
+@query("SNK-12-MERGE", "SELECT speaker_id, count(*) AS n, round(sum(length), 2) AS total FROM segments GROUP BY 1")
 def maintained(spark: SparkSession, d: str) -> DataFrame:
-    """Aggregates kept up: what was counted before a date, and what came after it added on."""
+    """Counters merged: what was counted before a date, and what came after it added on."""
     s, date = Tables(spark, d).segments, F.lit("1998-01-01").cast("timestamp")
     per = lambda rows: rows.groupBy("speaker_id").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("total"))
     kept = K.upsert(per(s.where(F.col("segment_date") < date)), per(s.where(F.col("segment_date") >= date)), ["speaker_id"], counters=["n", "total"])
@@ -269,7 +285,20 @@ def sql_function(spark: SparkSession, d: str) -> DataFrame:
     return Tables(spark, d).channels.select("channel_id", F.expr("short_key(project, channel_name)").alias("h"))
 
 
-@query("UDF-13", ", r AS (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY publish_date DESC, content_id) AS rn FROM content WHERE publish_date >= TIMESTAMP '2001-01-01') SELECT channel_id, content_id FROM r WHERE rn = 1")
+UDF13 = ", r AS (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY publish_date DESC, content_id) AS rn FROM content WHERE publish_date >= TIMESTAMP '2001-01-01') "
+
+
+@query("UDF-13", UDF13 + "SELECT channel_id AS grp, content_id AS id, publish_date AS at, rn AS rank FROM r WHERE rn <= 2")
+def table_function(spark: SparkSession, d: str) -> DataFrame:
+    """The latest rows of each group by a table function over a partitioned, ordered table."""
+    from loomcast.functions.tables import register_latest
+
+    register_latest(spark)
+    c = Tables(spark, d).content.select(F.col("channel_id").alias("grp"), F.col("content_id").alias("id"), F.col("publish_date").alias("at"))
+    return spark.sql("SELECT * FROM latest_of(TABLE(SELECT * FROM {c} WHERE at >= TIMESTAMP '2001-01-01') PARTITION BY grp ORDER BY (at DESC, id), 2)", c=c)
+
+
+@query("UDF-13-VIEW", UDF13 + "SELECT channel_id, content_id FROM r WHERE rn = 1")
 def parameterised_view(spark: SparkSession, d: str) -> DataFrame:
     c = Tables(spark, d).content
     return spark.sql("SELECT channel_id, max_by(content_id, struct(publish_date, -content_id)) AS content_id FROM {c} WHERE publish_date >= cast(:since AS timestamp) GROUP BY channel_id", {"since": "2001-01-01"}, c=c)
@@ -280,7 +309,44 @@ def medians(spark: SparkSession, d: str) -> DataFrame:
     return Tables(spark, d).vectors.groupBy("label").agg(F.round(F.percentile("vec_id", 0.5), 4).alias("median"))
 
 
-@query("STR-8", """, f AS (SELECT user_id, ts, event_id, event_type = 'error' AS bad FROM ev), g AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS grp FROM f)
+#: Rows of the driver's events as a worker's outcomes: '' is a success.
+OUTCOME_SQL = """, x AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS ms, CASE WHEN event_type <> 'error' THEN '' WHEN k >= 80 THEN 'auth' ELSE 'error' END AS kind,
+  row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id) AS rn FROM ev), mark AS (SELECT max(ms) - 3600000 AS mark FROM x)
+"""
+OUTCOME = F.expr("CASE WHEN event_type <> 'error' THEN '' WHEN try_cast(get_json_object(props, '$.k') AS bigint) >= 80 THEN 'auth' ELSE 'error' END")
+
+
+@query("STR-8", OUTCOME_SQL + """,
+w(user_id, rn, ms, n, last, until, expired, cleared, paused) AS (
+  SELECT user_id, rn, ms, CASE WHEN kind = '' THEN 0 ELSE 1 END, ms, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT FROM x WHERE rn = 1
+  UNION ALL SELECT user_id, rn, ms, n, last, CASE WHEN kind = '' THEN 0 WHEN n >= 3 THEN ms + pause ELSE u END, expired, CASE WHEN kind = '' THEN u ELSE 0 END, CASE WHEN kind <> '' AND n >= 3 THEN ms + pause ELSE 0 END
+  FROM (SELECT y.*, CASE WHEN kind = '' THEN 0 WHEN n0 > 0 AND ms - last0 > 604800000 THEN 1 ELSE n0 + 1 END AS n, CASE WHEN kind = '' THEN last0 ELSE ms END AS last
+    FROM (SELECT x.user_id, x.rn, x.ms, x.kind, w.last AS last0, CASE x.kind WHEN 'auth' THEN 259200000 ELSE 21600000 END AS pause,
+      CASE WHEN w.until > 0 AND x.ms >= w.until THEN 0 ELSE w.n END AS n0, CASE WHEN w.until > 0 AND x.ms >= w.until THEN 0 ELSE w.until END AS u,
+      CASE WHEN w.until > 0 AND x.ms >= w.until THEN w.until ELSE 0 END AS expired FROM w JOIN x ON x.user_id = w.user_id AND x.rn = w.rn + 1) y)),
+z AS (SELECT w.user_id, w.until FROM w JOIN (SELECT user_id, max(rn) AS rn FROM x GROUP BY 1) e USING (user_id, rn), mark WHERE w.until > 0 AND w.until <= mark)
+SELECT user_id, 'paused' AS event, ms AS at_ms, paused AS until_ms FROM w WHERE paused > 0 UNION ALL SELECT user_id, 'resumed', expired, expired FROM w WHERE expired > 0
+UNION ALL SELECT user_id, 'resumed', ms, cleared FROM w WHERE cleared > 0 UNION ALL SELECT user_id, 'resumed', until, until FROM z""")
+def failure_pauses(spark: SparkSession, d: str) -> DataFrame:
+    """Workers paused at the third failure in a row, for a time by its kind, and their return, over the events as a stream."""
+    from loomcast.streaming import timed
+
+    out = timed.failure_pauses(event_stream(spark, d), "user_id", "ts", "event_id", OUTCOME, 3, 604800, {"error": 21600, "auth": 259200})
+    return timed.run_timed(out, folder(spark))
+
+
+@query("STR-6-STREAM", OUTCOME_SQL + """, l AS (SELECT *, ms + CASE kind WHEN 'auth' THEN 43200000 ELSE 172800000 END AS due FROM x), p AS (SELECT *, max(due) OVER (PARTITION BY user_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM l)
+SELECT user_id, 'stale' AS event, before AS at_ms, ms AS until_ms FROM p WHERE ms >= before
+UNION ALL SELECT user_id, 'stale', due, NULL FROM (SELECT user_id, max(due) AS due FROM l GROUP BY 1), mark WHERE due <= mark""")
+def stale_workers(spark: SparkSession, d: str) -> DataFrame:
+    """Workers that went stale, and when they were heard again, over the events as a stream."""
+    from loomcast.streaming import timed
+
+    out = timed.stale_heartbeats(event_stream(spark, d), "user_id", "ts", "event_id", OUTCOME, {"": 172800, "auth": 43200})
+    return timed.run_timed(out, folder(spark))
+
+
+@query("STR-8-RUNS", """, f AS (SELECT user_id, ts, event_id, event_type = 'error' AS bad FROM ev), g AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS grp FROM f)
 SELECT user_id, max(c)::BIGINT AS longest FROM (SELECT user_id, grp, count(*) FILTER (bad) AS c FROM g GROUP BY 1, 2) GROUP BY 1""")
 def failure_runs(spark: SparkSession, d: str) -> DataFrame:
     """The batch form of the failure tracker: each worker's longest run of failures."""

@@ -357,15 +357,15 @@ def test_theme_steps_on_planted_groups(spark):
 
     df = planted(spark, [20, 20, 12]).withColumns({"date": F.to_timestamp(F.lit("2024-01-30")), "lang": F.lit("en"), "project": F.lit("p"), "length": F.lit(1.0)})
     base = steps.Context(df, "2024-01-31 00:00:00", "river stone")
-    themed = steps.Chain().then("retrieve_all_segments").then("extract_themes", n_clusters=3).run(base).frames["themed"].collect()
+    themed = steps.Chain().then("retrieve_all_segments").then("extract_themes", method="kmeans", n_clusters=3).run(base).frames["themed"].collect()
     assert len(pairs_of(themed, "truth", "cluster")) == 3 and -1 not in {r.cluster for r in themed}
-    few = steps.Chain().then("retrieve_all_segments").then("extract_themes", n_clusters=3, min_cluster_size=15).run(base).frames["themed"].collect()
+    few = steps.Chain().then("retrieve_all_segments").then("extract_themes", method="kmeans", n_clusters=3, min_cluster_size=15).run(base).frames["themed"].collect()
     assert {r.cluster for r in few if r.truth == 2} == {-1}
     check = steps.Chain().then("retrieve_all_segments").then("quick_cluster_check").run(base).frames["themed"].collect()
     assert len(pairs_of(check, "truth", "cluster")) == 3
     alone = steps.Chain().then("quick_cluster_check", skip_if_few_segments=100).run(base).frames["themed"].collect()
     assert {r.cluster for r in alone} == {0}
-    sub = steps.Chain().then("retrieve_all_segments").then("extract_themes", n_clusters=2).then("extract_subthemes", n_subthemes=2, require_valid_clusters=False).run(base).frames["subthemed"].collect()
+    sub = steps.Chain().then("retrieve_all_segments").then("extract_themes", method="kmeans", n_clusters=2).then("extract_subthemes", n_subthemes=2, require_valid_clusters=False).run(base).frames["subthemed"].collect()
     assert len(sub) == 52 and len({(r.cluster, r.subtheme) for r in sub}) == 4
     whole = steps.Chain().then("retrieve_all_segments").then("analyze_themes_with_subthemes", select_segments_per_subtheme=4).run(base).frames
     chosen = whole["selected"].collect()
