@@ -1,15 +1,16 @@
 """The trie of conversations that begin alike, by prefix doubling.
 
 No sequence of turns is ever put together. A turn is named by a small number, dense over
-all distinct turns; a block of two, four, eight ... turns by a number for the pair of its
-halves' names, in as many join rounds as the longest conversation's length has bits. Then
-a prefix of d turns is named along d's binary digits, the highest first: the name of the
-shorter prefix without the lowest digit, and the aligned block that fills it up. Equal
+all distinct turns; a block of a power of two of turns by a number for its parts' names, in
+rounds of joins as many as the logarithm of the longest conversation. A round doubles the
+blocks BITS times, as each round costs jobs whatever its rows. Then a prefix of d turns is
+named along d's binary digits, the highest first: the name of the shorter prefix without
+the lowest BITS digits, and the aligned blocks that fill it up. Equal
 names mean equal prefixes, so each name is a node. A node belongs to its least member, and
 so do all nodes below that this member has left to itself: a subtree's sum is that of its
 members' own nodes from its depth on, which sums along each conversation give.
 
-Every join is on a conversation and a place in it, or on a pair of names; a pair that
+Every join is on a conversation and a place in it, or on names; names that
 many conversations share is one row on the other side, so AQE may split it.
 """
 
@@ -27,6 +28,9 @@ from loomcast.operators.reliable import row_numbers
 
 #: Bytes of decimal ids that travel as one row to the task that hashes a node's.
 PIECE = 1 << 16
+#: Binary digits that a round takes, and so halves of halves that are named at once: a larger step, fewer rounds of joins.
+BITS = 3
+WIDE = 1 << BITS
 #: Turns of a conversation that a task adds up one after the other.
 RUN = 1024
 
@@ -52,29 +56,38 @@ def _named(rows: DataFrame, pair: list[str], out: str, start: int = 0) -> tuple[
     return cut(rows.join(names, pair).drop(*pair)), end
 
 
+def _parts(level: DataFrame, n: int) -> DataFrame:
+    """(conv_id, j, n0, n1, ...): the first n of the WIDE names of each block of the next level; -1 for those that aren't there."""
+    at = F.col("j").bitwiseAND(F.lit(WIDE - 1))
+    held = [F.coalesce(F.max(F.when(at == i, F.col("name"))), F.lit(-1)).alias(f"n{i}") for i in range(n)]
+    return level.groupBy("conv_id", F.shiftright("j", BITS).alias("j")).agg(*held)
+
+
 def _blocks(turns: DataFrame, longest: int) -> list[DataFrame]:
-    """(conv_id, j, name) of the aligned blocks of 1, 2, 4, ... turns: block j holds turns j 2^k to (j + 1) 2^k - 1."""
+    """(conv_id, j, name) of the aligned blocks of 1, WIDE, WIDE^2, ... turns: block j of size s holds turns j s to (j + 1) s - 1."""
     levels = [_named(turns.select("conv_id", F.col("pos").alias("j"), "key"), ["key"], "name")[0]]
-    while 1 << len(levels) <= longest:
-        odd = F.col("j") % 2 == 1
-        halves = levels[-1].groupBy("conv_id", F.shiftright("j", 1).alias("j")).agg(F.max(F.when(~odd, F.col("name"))).alias("l"), F.max(F.when(odd, F.col("name"))).alias("r"))
-        levels.append(_named(halves.where("r is not null"), ["l", "r"], "name")[0])
+    while WIDE ** len(levels) <= longest:
+        whole = _parts(levels[-1], WIDE).where(f"n{WIDE - 1} >= 0")
+        levels.append(_named(whole, [f"n{i}" for i in range(WIDE)], "name")[0])
     return levels
 
 
 def _prefixes(convs: DataFrame, turns: DataFrame, longest: int) -> DataFrame:
     """(conv_id, depth, node): the node of each prefix of each conversation; the root is 0.
 
-    In the round of blocks of 2^k turns depth counts in their number.
+    In the round of blocks of a size depth counts in their number: a prefix is the one
+    without its lowest BITS digits, and as many blocks as those say.
     """
     zero = F.lit(0).cast("long")
     known, used = convs.select("conv_id", zero.alias("depth"), zero.alias("node")), 1
-    blocks = _blocks(turns, longest) if longest else []
-    for level in reversed(blocks):
-        known = known.withColumn("depth", F.col("depth") * 2)
-        even = level.where("j % 2 = 0").select("conv_id", F.col("j").alias("depth"), F.col("name").alias("fill"))
-        met = known.withColumnRenamed("node", "upto").join(even, ["conv_id", "depth"])
-        new, used = _named(met.select("conv_id", (F.col("depth") + 1).alias("depth"), "upto", "fill"), ["upto", "fill"], "node", used)
+    fills = [f"n{i}" for i in range(WIDE - 1)]
+    for level in reversed(_blocks(turns, longest) if longest else []):
+        known = known.withColumn("depth", F.col("depth") * WIDE)
+        parts = _parts(level, WIDE - 1).where("n0 >= 0").withColumn("depth", F.col("j") * WIDE).drop("j")
+        there = sum((F.col(c) >= 0).cast("int") for c in fills)
+        met = known.withColumnRenamed("node", "upto").join(parts, ["conv_id", "depth"]).withColumn("more", F.explode(F.sequence(F.lit(1), there)))
+        taken = [F.when(F.col("more") > i, F.col(c)).otherwise(-1).alias(c) for i, c in enumerate(fills)]
+        new, used = _named(met.select("conv_id", (F.col("depth") + F.col("more")).alias("depth"), "upto", *taken), ["upto", *fills], "node", used)
         known = known.unionByName(new)
     return cut(known)
 

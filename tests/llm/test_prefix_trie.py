@@ -66,7 +66,7 @@ def listed(df):
 def test_equals_a_walked_trie(spark, parts, monkeypatch):
     monkeypatch.setattr(T, "PIECE", 12)
     monkeypatch.setattr(T, "RUN", 5)
-    rows = made(parts)
+    rows = made(parts, longest=37 if parts == 1 else 70)
     df = spark.createDataFrame(random.Random(9).sample(rows, len(rows)), KINDS).repartition(parts)
     assert listed(T.conversation_trie(df)) == brute(sequences(rows))
 
