@@ -62,13 +62,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return components(edges.select(F.col(a).alias("a"), F.col(b).alias("b")))
 
 
-def propagate(edges: DataFrame, labels: DataFrame, least_votes: float, contested: float = 0.70) -> DataFrame:
+def propagate(edges: DataFrame, labels: DataFrame, least_votes: float, contested: float = 0.70, named: DataFrame | None = None, boost: float = 0.10) -> DataFrame:
     """One pass: each unlabelled node a gets the label of most squared similarity among its labelled neighbours b.
 
-    labels: (b, label). Returns (a, label, votes, status): assigned, or contested where
+    labels: (b, label). named: (a, label) of labels that a node's own metadata names, letter
+    case aside, whose votes count 1 + boost times. Returns (a, label, votes, status): assigned, or contested where
     the second label has `contested` of the first's votes, or weak below least_votes.
     """
     votes = edges.join(labels, "b").groupBy("a", "label").agg(F.sum(F.col("sim") * F.col("sim")).alias("votes"))
+    if named is not None:
+        told = named.select("a", F.lower("label").alias("__l")).distinct().withColumn("__told", F.lit(1.0 + boost))
+        votes = votes.withColumn("__l", F.lower("label")).join(told, ["a", "__l"], "left").withColumn("votes", F.col("votes") * F.coalesce("__told", F.lit(1.0))).drop("__l", "__told")
     held = votes.groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), "label"))), 1, 2).alias("t"))
     first, second = F.col("t")[0], F.try_element_at("t", F.lit(2))
     ratio = F.coalesce(second["v"] / first["v"], F.lit(0.0))
@@ -295,19 +299,26 @@ def canopies(vectors: DataFrame, key: str, row_id: str, vector: str, quality: st
     return vectors.select(key, row_id, vector, quality, name).groupBy(key).applyInPandas(run, f"`{key}` {kinds[key]}, `{row_id}` {kinds[row_id]}, canopy int")
 
 
-def gate_verdicts(vectors: DataFrame, key: str, row_id: str, vector: str, quality: str, name: str, k: int = 10, **limits: float) -> DataFrame:
-    """(key, row_id, verdict): each row of a key at the gates of a canopy that is its key's best row alone.
+def gate_verdicts(vectors: DataFrame, key: str, row_id: str, vector: str, quality: str, name: str, k: int = 10, prototype: float = 0.68, beta: float = 0.82, sentinel: float = 0.65, sentinels: int = 4) -> DataFrame:
+    """(key, row_id, verdict): each row of a key at the gates of a canopy around its key's best row.
 
-    The anchor's density comes from its k nearest rows of the key; the anchor itself is `anchor`.
+    The anchor is the prototype, its density comes from its k nearest rows of the key; it and
+    its `sentinels` nearest are the sentinels, of which, from three on, half but no more than
+    two must be at least `sentinel` similar. The anchor itself is `anchor`.
     """
     unit = vectors.select(key, row_id, name, normalised(F.col(vector)).alias("__x"), F.col(quality).alias("__q"))
     best = unit.groupBy(key).agg(F.max_by(F.struct(row_id, "__x", name), F.struct("__q", -F.col(row_id))).alias("__a"))
     near = unit.join(best, key).withColumn("sim", dot(F.col("__x"), F.col("__a.__x")))
-    others = top_per_group(near.where(F.col(row_id) != F.col(f"__a.{row_id}")), [key], [F.col("sim").desc(), F.col(row_id)], k)
-    density = others.groupBy(key).agg(F.avg("sim").alias("__d"))
-    limit = {"prototype": 0.68, "beta": 0.82, **limits}
+    others = top_per_group(near.where(F.col(row_id) != F.col(f"__a.{row_id}")), [key], [F.col("sim").desc(), F.col(row_id)], max(k, sentinels))
+    held = others.groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("s"), F.col(row_id).alias("r"), "__x"))).alias("h"))
+    mean = F.aggregate(F.slice("h", 1, k), F.lit(0.0), lambda s, x: s - x["s"]) / F.least(F.size("h"), F.lit(k))
+    guards = held.select(key, mean.alias("__d"), F.transform(F.slice("h", 1, max(1, sentinels)), lambda x: x["__x"]).alias("__g")).withColumn("__g", F.col("__g") if sentinels else F.slice("__g", 1, 0))
+    met = near.join(guards, key, "left")
+    count = F.coalesce(F.size("__g"), F.lit(0)) + 1
+    passing = F.size(F.filter(F.coalesce("__g", F.array()), lambda g: dot(F.col("__x"), g) >= sentinel)) + (F.col("sim") >= sentinel).cast("int")
+    few = (count >= 3) & (passing < F.least(F.lit(2), F.greatest(F.lit(1), F.floor(count / 2))))
     verdict = (
-        F.when(F.col(row_id) == F.col(f"__a.{row_id}"), "anchor").when(F.col("sim") < limit["prototype"], "prototype").when(F.col("sim") < limit["beta"] * F.col("__d"), "density")
+        F.when(F.col(row_id) == F.col(f"__a.{row_id}"), "anchor").when(F.col("sim") < prototype, "prototype").when(F.col("sim") < beta * F.col("__d"), "density").when(few, "sentinel")
         .when(F.col(name).isNotNull() & ~F.col(name).eqNullSafe(F.col(f"__a.{name}")), "name").otherwise("passed")
     )
-    return near.join(density, key, "left").select(key, row_id, verdict.alias("verdict"))
+    return met.select(key, row_id, verdict.alias("verdict"))

@@ -67,8 +67,8 @@ def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight:
     """Greedy: the best static score first, then static score + weight * (1 - largest dot product with the chosen).
 
     All rows are candidates. A pass for each place takes every group's best row and
-    updates the largest dot products, so that no task holds a group; each ends in a
-    reliable checkpoint. Groups of at most n rows come back whole, rows without a vector
+    updates the largest dot products, so that no task holds a group; each is one job that
+    ends in a reliable checkpoint. Groups of at most n rows come back whole, rows without a vector
     too, unless small_whole is false. Adds picked, the place in the choice, from 1.
     """
     group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
@@ -79,19 +79,18 @@ def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight:
     small = rows.where(whole)
     place = F.row_number().over(Window.partitionBy("__group").orderBy(F.col(score).desc(), F.col(row_id)))
     parts = [small.withColumn("picked", place).select(*df.columns, "picked")]
-    left = rows.where(~whole & F.col(vector).isNotNull()).withColumn("__uid", F.monotonically_increasing_id()).withColumn("__nearest", F.lit(None).cast("double"))
+    left = rows.where(~whole & F.col(vector).isNotNull()).withColumns({"__uid": F.monotonically_increasing_id(), "__nearest": F.lit(None).cast("double"), "picked": F.lit(None).cast("int")})
     left = reliable(left)
     for at in range(1, n + 1):
         gain = F.col(score).cast("double") + F.coalesce(weight * (1 - F.col("__nearest")), F.lit(0.0))
-        # max_by of the gain; ties go to the better static score, then to the smaller id
+        # min_by of the gain turned round; ties go to the better static score, then to the smaller id
         rank = F.struct((-gain).alias("g"), (-F.col(score)).alias("s"), F.col(row_id).alias("i"), F.col("__uid").alias("u"))
-        best = reliable(left.groupBy("__group").agg(F.min_by(F.struct("__uid", vector), rank).alias("__b")))
-        if best.isEmpty():
-            break
-        joined = left.join(best, "__group")
-        parts.append(joined.where(F.col("__uid") == F.col("__b.__uid")).select(*df.columns, F.lit(at).alias("picked")))
-        near = F.greatest(F.col("__nearest"), dot(F.col(vector), F.col("__b")[vector]))
-        left = reliable(joined.where(F.col("__uid") != F.col("__b.__uid")).withColumn("__nearest", near).drop("__b"))
+        best = left.where("picked is null").groupBy("__group").agg(F.min_by(F.struct("__uid", vector), rank).alias("__b"))
+        joined = left.join(best, "__group", "left")  # no best: the group is used up
+        picked = F.when(F.col("picked").isNull() & (F.col("__uid") == F.col("__b.__uid")), at).otherwise(F.col("picked"))
+        near = F.when(F.col("__b").isNotNull(), F.greatest(F.col("__nearest"), dot(F.col(vector), F.col("__b")[vector]))).otherwise(F.col("__nearest"))
+        left = reliable(joined.withColumns({"picked": picked, "__nearest": near}).drop("__b"))
+    parts.append(left.where("picked is not null").select(*df.columns, "picked"))
     return reduce(DataFrame.unionByName, parts)
 
 

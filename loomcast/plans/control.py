@@ -107,17 +107,26 @@ def prompts(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", TEMPLATES["describe"].render(kind=F.col("event_type"), user=F.col("user_id")).alias("prompt"))
 
 
-@query("UDF-4", "SELECT * FROM (VALUES ('retrieve_segments', 'ok'), ('no_such_step', 'no step no_such_step'), ('group_by', 'group_by has no parameter colour')) v(step, verdict)")
+def check_table(configs: DataFrame) -> DataFrame:
+    """configs (step, params as JSON) with verdict: `ok`, or what the registry says against a step's name or parameters.
+
+    The registry is a row for each step and is broadcast.
+    """
+    known = configs.sparkSession.createDataFrame([(name, sorted(r.defaults)) for name, r in steps.STEPS.items()], "step string, __known array<string>")
+    odd = F.array_sort(F.array_except(F.coalesce(F.json_object_keys("params"), F.array()), "__known"))
+    verdict = (
+        F.when(F.col("__known").isNull(), F.concat(F.lit("no step "), F.coalesce("step", F.lit(""))))
+        .when(F.size(odd) > 0, F.concat("step", F.lit(" has no parameter "), F.array_join(odd, ", "))).otherwise("ok")
+    )
+    return configs.join(F.broadcast(known), "step", "left").withColumn("verdict", verdict).drop("__known")
+
+
+@query("UDF-4", """, c AS (SELECT event_id, CASE event_type WHEN 'view' THEN 'retrieve_segments' WHEN 'error' THEN 'no_such_step' ELSE 'group_by' END AS step, json_keys(props) AS ks FROM ev)
+SELECT event_id, step, CASE WHEN step = 'no_such_step' THEN 'no step no_such_step' WHEN step = 'group_by' AND len(ks) > 0 THEN 'group_by has no parameter ' || array_to_string(list_sort(ks), ', ') ELSE 'ok' END AS verdict FROM c""")
 def checked_steps(spark: SparkSession, d: str) -> DataFrame:
-    """Configurations held against the registry of steps."""
-    rows = []
-    for name, params in (("retrieve_segments", {"k": 5}), ("no_such_step", {}), ("group_by", {"colour": 1})):
-        try:
-            steps.check(name, params)
-            rows.append((name, "ok"))
-        except ValueError as e:
-            rows.append((name, str(e)))
-    return spark.createDataFrame(rows, "step string, verdict string")
+    """A table of configurations held against the registry of steps; an event's properties are its step's parameters."""
+    step = F.when(F.col("event_type") == "view", "retrieve_segments").when(F.col("event_type") == "error", "no_such_step").otherwise("group_by")
+    return check_table(Tables(spark, d).events.select("event_id", step.alias("step"), F.col("props").alias("params"))).select("event_id", "step", "verdict")
 
 
 @query("UDF-8", "SELECT event_id, upper('Be brief. Describe ' || event_type || ' by user ' || user_id || '.') AS answer FROM ev")

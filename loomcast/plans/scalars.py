@@ -256,10 +256,10 @@ def keyword_bonus(spark: SparkSession, d: str) -> DataFrame:
     return Tables(spark, d).documents.select("doc_id", F.round(X.keyword_share(F.col("text"), ["The", "que", "sch"]), 6).alias("x"))
 
 
-@query("FUN-34", r"""SELECT doc_id, CASE WHEN regexp_matches(w, '^SPEAKER_\d+$') THEN 0.0 ELSE round(CASE WHEN len(regexp_split_to_array(trim(w), '[ \t\n\v\f\r]+')) >= 2 THEN 0.4 ELSE 0.1 END + CASE WHEN regexp_matches(w, '^[A-Z]') THEN 0.2 ELSE 0 END
- + CASE WHEN length(w) BETWEEN 4 AND 40 THEN 0.2 ELSE 0 END + CASE WHEN NOT regexp_matches(w, '\d') THEN 0.2 ELSE 0 END, 4) END::DOUBLE AS x FROM (SELECT doc_id, substr(text, 1, 20) AS w FROM documents)""")
+@query("FUN-34", r"""SELECT p_partkey AS part_id, CASE WHEN regexp_matches(w, '^SPEAKER_\d+$') THEN 0.0 ELSE round(CASE WHEN len(regexp_split_to_array(trim(w), '[ \t\n\v\f\r]+')) >= 2 THEN 0.4 ELSE 0.1 END + CASE WHEN regexp_matches(w, '^[A-Z]') THEN 0.2 ELSE 0 END
+ + CASE WHEN length(w) BETWEEN 4 AND 40 THEN 0.2 ELSE 0 END + CASE WHEN NOT regexp_matches(w, '\d') THEN 0.2 ELSE 0 END, 4) END::DOUBLE AS x FROM (SELECT p_partkey, p_name AS w FROM part)""")
 def name_scores(spark: SparkSession, d: str) -> DataFrame:
-    return Tables(spark, d).documents.select("doc_id", F.round(X.name_quality(F.substring("text", 1, 20)), 4).alias("x"))
+    return Tables(spark, d).raw("part").select(F.col("p_partkey").alias("part_id"), F.round(X.name_quality(F.col("p_name")), 4).alias("x"))
 
 
 @query("FUN-35")

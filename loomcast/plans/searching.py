@@ -258,12 +258,19 @@ def largest_takes_rest(spark: SparkSession, d: str) -> DataFrame:
     return v.crossJoin(F.broadcast(largest)).select("vec_id", F.coalesce("cluster", "most").alias("grp"))
 
 
-@query("CLU-11", """SELECT source, least(1, count(DISTINCT lang) / 4) AS breadth, round(least(1, count(*) / 50), 6) AS intensity, round(avg(exp(-(doc_id % 30) / 7.0)), 6) AS recency,
-round(0.4 * least(1, count(DISTINCT lang) / 4) + 0.3 * least(1, count(*) / 50) + 0.3 * avg(exp(-(doc_id % 30) / 7.0)), 6) AS score FROM documents GROUP BY 1""")
+@query("CLU-11", """, sv AS (SELECT source, e FROM documents JOIN vec ON vec_id = doc_id), sc AS (SELECT source, i, avg(e[i]) AS m FROM sv, range(1, 65) r(i) GROUP BY 1, 2), sm AS (SELECT source, list(m ORDER BY i) AS m FROM sc GROUP BY 1),
+co AS (SELECT source, avg(list_cosine_similarity(e, m)) AS c FROM sv JOIN sm USING (source) GROUP BY 1),
+g AS (SELECT source, least(1, count(DISTINCT lang) / 4) AS b, least(1, count(*) / 50) AS i, avg(exp(-(doc_id % 30) / 7.0)) AS r FROM documents GROUP BY 1)
+SELECT source, b AS breadth, round(i, 6) AS intensity, round(coalesce(c, 0), 6) AS coherence, round(r, 6) AS recency, round(0.35 * b + 0.25 * i + 0.25 * coalesce(c, 0) + 0.15 * r, 6) AS score FROM g LEFT JOIN co USING (source)""")
 def topic_metrics(spark: SparkSession, d: str) -> DataFrame:
-    g = Tables(spark, d).documents.groupBy("source").agg(F.count_distinct("lang").alias("l"), F.count(F.lit(1)).alias("n"), F.avg(F.exp(-(F.col("doc_id") % 30) / 7.0)).alias("r"))
-    breadth, intensity = F.least(F.lit(1.0), F.col("l") / 4), F.least(F.lit(1.0), F.col("n") / 50)
-    return g.select("source", breadth.alias("breadth"), F.round(intensity, 6).alias("intensity"), F.round("r", 6).alias("recency"), F.round(0.4 * breadth + 0.3 * intensity + 0.3 * F.col("r"), 6).alias("score"))
+    """Breadth, intensity, coherence (mean similarity to the topic's mean vector) and recency of each source as a topic."""
+    t = Tables(spark, d)
+    g = t.documents.groupBy("source").agg(F.count_distinct("lang").alias("l"), F.count(F.lit(1)).alias("n"), F.avg(F.exp(-(F.col("doc_id") % 30) / 7.0)).alias("r"))
+    v = t.vectors.join(t.documents.select(F.col("doc_id").alias("vec_id"), "source"), "vec_id")
+    close = v.join(V.mean_vectors(v, ["source"]).withColumnRenamed("e", "m"), "source").groupBy("source").agg(F.avg(V.cosine(F.col("e"), F.col("m"), 0.0)).alias("c"))
+    breadth, intensity, coherence = F.least(F.lit(1.0), F.col("l") / 4), F.least(F.lit(1.0), F.col("n") / 50), F.coalesce("c", F.lit(0.0))
+    score = 0.35 * breadth + 0.25 * intensity + 0.25 * coherence + 0.15 * F.col("r")
+    return g.join(close, "source", "left").select("source", breadth.alias("breadth"), F.round(intensity, 6).alias("intensity"), F.round(coherence, 6).alias("coherence"), F.round("r", 6).alias("recency"), F.round(score, 6).alias("score"))
 
 
 @query("CLU-12")
@@ -330,14 +337,16 @@ def knn_graph(spark: SparkSession, d: str) -> DataFrame:
     return edges(Tables(spark, d))
 
 
-VOTES = EDGES + """, lb AS (SELECT vec_id AS b, 'L' || (vec_id % 4) AS label FROM vec WHERE vec_id % 3 = 0), v AS (SELECT a, lb.label, sum(sim * sim) AS votes FROM ed JOIN lb USING (b) GROUP BY 1, 2),
+VOTES = EDGES + """, lb AS (SELECT vec_id AS b, 'L' || (vec_id % 4) AS label FROM vec WHERE vec_id % 3 = 0),
+v AS (SELECT a, lb.label, sum(sim * sim) * CASE WHEN lb.label = 'L' || (a % 5) THEN 1.1 ELSE 1 END AS votes FROM ed JOIN lb USING (b) GROUP BY 1, 2),
 o AS (SELECT *, row_number() OVER w AS rn, lead(votes) OVER w AS second FROM v WHERE a NOT IN (SELECT b FROM lb) WINDOW w AS (PARTITION BY a ORDER BY votes DESC, label))
 """
 
 
 def votes(t: Tables) -> DataFrame:
     known = t.vectors.where("vec_id % 3 = 0").select(F.col("vec_id").alias("b"), F.concat(F.lit("L"), F.col("vec_id") % 4).alias("label"))
-    return C.propagate(edges(t), known, 0.08)
+    named = t.vectors.select(F.col("vec_id").alias("a"), F.concat(F.lit("l"), F.col("vec_id") % 5).alias("label"))  # names of an episode's metadata
+    return C.propagate(edges(t), known, 0.08, named=named)
 
 
 @query("CLU-16", VOTES + "SELECT a, label, round(votes, 6) AS votes FROM o WHERE rn = 1 AND votes >= 0.08")
@@ -435,8 +444,10 @@ def quick_check(spark: SparkSession, d: str) -> DataFrame:
 
 @query("CLU-24", """, n AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e, vec_id % 13 AS q, CASE WHEN vec_id % 9 = 0 THEN 'n' || (vec_id % 4) END AS name FROM vec),
 a AS (SELECT label, arg_max(vec_id, (q, -vec_id)) AS anchor FROM n GROUP BY 1), s AS (SELECT n.*, anchor, x.name AS an, list_dot_product(n.e, x.e) AS sim FROM n JOIN a USING (label) JOIN n x ON x.vec_id = anchor),
-r AS (SELECT label, sim, row_number() OVER (PARTITION BY label ORDER BY sim DESC, vec_id) AS rk FROM s WHERE vec_id <> anchor), dn AS (SELECT label, avg(sim) AS d FROM r WHERE rk <= 10 GROUP BY 1)
-SELECT label, vec_id, CASE WHEN vec_id = anchor THEN 'anchor' WHEN sim < 0.2 THEN 'prototype' WHEN sim < 0.6 * d THEN 'density' WHEN name IS NOT NULL AND name IS DISTINCT FROM an THEN 'name' ELSE 'passed' END AS verdict FROM s LEFT JOIN dn USING (label)""")
+r AS (SELECT label, sim, row_number() OVER (PARTITION BY label ORDER BY sim DESC, vec_id) AS rk FROM s WHERE vec_id <> anchor), dn AS (SELECT label, avg(sim) AS d FROM r WHERE rk <= 10 GROUP BY 1),
+gd AS (SELECT label, vec_id AS guard FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY sim DESC, vec_id) AS rk FROM s WHERE vec_id <> anchor) WHERE rk <= 4 UNION ALL SELECT label, anchor FROM a),
+ps AS (SELECT n.vec_id, count(*) AS guards, count(*) FILTER (list_dot_product(n.e, g.e) >= 0.15) AS passing FROM n JOIN gd USING (label) JOIN n g ON g.vec_id = guard GROUP BY 1)
+SELECT label, vec_id, CASE WHEN vec_id = anchor THEN 'anchor' WHEN sim < 0.2 THEN 'prototype' WHEN sim < 0.6 * d THEN 'density' WHEN guards >= 3 AND passing < least(2, greatest(1, guards // 2)) THEN 'sentinel' WHEN name IS NOT NULL AND name IS DISTINCT FROM an THEN 'name' ELSE 'passed' END AS verdict FROM s JOIN ps USING (vec_id) LEFT JOIN dn USING (label)""")
 def gate_verdicts(spark: SparkSession, d: str) -> DataFrame:
     """How each row of a label fares at the gates of the canopy around the label's best row."""
     v = Tables(spark, d).vectors.select("vec_id", "label", "e", (F.col("vec_id") % 13).alias("quality"), F.when(F.col("vec_id") % 9 == 0, F.concat(F.lit("n"), F.col("vec_id") % 4)).alias("name"))

@@ -124,6 +124,13 @@ def default_expand(question: str, strategy: str, n: int) -> list[str]:
     return [t.replace("{q}", question) for t in texts]
 
 
+def expanded(questions: DataFrame, strategies: Sequence[str], n: int) -> DataFrame:
+    """questions (question, ...) with strategy, query_idx and text: default_expand of every question, as one expression."""
+    asked = [(s, i, t) for s in strategies for i, t in enumerate(default_expand("{q}", s, n))]
+    each = F.array(*[F.struct(F.lit(s).alias("strategy"), F.lit(i).alias("query_idx"), F.replace(F.lit(t), F.lit("{q}"), F.col("question")).alias("text")) for s, i, t in asked])
+    return questions.withColumn("__x", F.explode(each)).select("*", "__x.*").drop("__x")
+
+
 @step("expand_query", strategy="multi_query", n_stances=3)
 def expand_query(c: Context, p: Mapping[str, Any]) -> Context:
     """frames.queries: (query_idx, text, qe). Plug-ins: expand(question, strategy, n) and embed(column)."""
@@ -363,18 +370,15 @@ CORPUS = ", cp AS (SELECT doc_id, source, lang, n_chars, doc_id // 3 AS content_
 
 
 def _expansions() -> str:
-    rows = [(s, i, t) for s in sorted(ASKED) for i, t in enumerate(default_expand("the and thing", s, 3))]
-    return "SELECT * FROM (VALUES " + ", ".join(f"('{s}', {i}, '{t}', 64)" for s, i, t in rows) + ") v(strategy, query_idx, text, dim)"
+    rows = ", ".join(f"('{s}', {i}, '{t}')" for s in sorted(ASKED) for i, t in enumerate(ASKED[s][: 3 if s == "stance_variation" else None]))
+    return f"SELECT item_id, strategy, query_idx, replace(template, '{{q}}', text) AS text FROM benchmark, (VALUES {rows}) v(strategy, query_idx, template)"
 
 
 @query("STP-1", _expansions())
 def stp_expand(spark: SparkSession, d: str) -> DataFrame:
-    """What each strategy asks of one question."""
-    c, parts = context(spark, d), []
-    for strategy in sorted(ASKED):
-        found = Chain().then("expand_query", strategy=strategy).run(c).frames["queries"]
-        parts.append(found.select(F.lit(strategy).alias("strategy"), "query_idx", "text", F.size("qe").alias("dim")))
-    return reduce(DataFrame.unionByName, parts)
+    """What each strategy asks of every item of the benchmark."""
+    items = Tables(spark, d).raw("benchmark").select("item_id", F.col("text").alias("question"))
+    return expanded(items, sorted(ASKED), 3).select("item_id", "strategy", "query_idx", "text")
 
 
 @query("STP-2")
