@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomcast.functions.vectors import cosine
 from loomcast.operators import aggregates as A
 from loomcast.operators import joins as J
+from loomcast.operators.fuzzy import fuzzy_matches, plain_title
 from loomcast.operators.search import scored
 from loomcast.operators.windows import top_per_group
 from loomcast.plans.registry import Tables, query
@@ -326,24 +325,15 @@ def set_match(spark: SparkSession, d: str) -> DataFrame:
     return best.select("x", "y", "shared", band.alias("band"))
 
 
-#: Titles that match by 0.75 have lengths within a factor of 5/3, so they lie in buckets at most one apart.
-RATIO, STEP = 0.75, math.log(5 / 3)
-
-
 @query("JON-27")
 def fuzzy_match(spark: SparkSession, d: str) -> DataFrame:
-    """Turns of one conversation and role whose texts match by 0.75 or more, with bonuses for near places and lengths; the best match of each.
-
-    Turns meet only in neighbouring buckets of length; cheap upper bounds of the ratio come first.
-    """
-    from loomcast.functions.text_udfs import title_similarity
-
-    t = Tables(spark, d).turns.where("length(text) > 0").select("conv_id", "role", "turn", F.lower("text").alias("title"), F.length(F.lower("text")).alias("n"))
-    bucket = F.floor(F.log(F.col("n")) / STEP)
-    own = t.withColumn("bucket", F.explode(F.array(bucket - 1, bucket, bucket + 1)))
-    other = t.withColumn("bucket", bucket).toDF("conv_id", "role", "other_turn", "other_title", "other_n", "bucket")
-    pairs = own.join(other, ["conv_id", "role", "bucket"]).where("turn < other_turn").where(2 * F.least("n", "other_n") >= RATIO * (F.col("n") + F.col("other_n")))
-    pairs = pairs.withColumn("ratio", title_similarity("title", "other_title", RATIO)).where(F.col("ratio") >= RATIO)
-    bonus = F.when(F.col("other_turn") - F.col("turn") <= 2, 0.1).otherwise(0.0) + F.when(F.abs(F.col("n") - F.col("other_n")) <= 30, 0.1).otherwise(0.0)
-    scored_pairs = pairs.withColumn("score", F.round(F.col("ratio") + bonus, 6))
-    return top_per_group(scored_pairs, ["conv_id", "role", "turn"], [F.col("score").desc(), F.col("other_turn")]).select("conv_id", "role", "turn", "other_turn", "score")
+    """Pages whose titles match by 0.75 or more within a site, with bonuses for near dates (here: numbers) and lengths; the best match of each."""
+    raw = Tables(spark, d).raw("pages")
+    site = F.regexp_extract(F.lower("url"), r"://[^/?#]*?([^./?#:]+\.[^./?#:]+)(?::[0-9]*)?(?:[/?#]|$)", 1)
+    title = plain_title(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1))
+    pages = raw.select(site.alias("key"), title.alias("title"), "page_id", F.length("html").alias("length"))
+    found = fuzzy_matches(pages, pages.toDF("key", "other_title", "other_id", "other_length")).where("page_id <> other_id")
+    apart = F.abs(F.col("page_id") - F.col("other_id"))
+    bonus = F.when(apart <= 7, 0.15).when(apart <= 14, 0.10).when(apart <= 30, 0.05).otherwise(0.0) + F.when(F.abs(F.col("length") - F.col("other_length")) <= 0.1 * F.col("length"), 0.1).otherwise(0.0)
+    scored_pairs = found.withColumn("score", F.round(F.col("ratio") + bonus, 6))
+    return top_per_group(scored_pairs, ["page_id"], [F.col("score").desc(), F.col("other_id")]).select("page_id", "other_id", "score")

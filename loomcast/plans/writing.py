@@ -313,7 +313,7 @@ def medians(spark: SparkSession, d: str) -> DataFrame:
 OUTCOME_SQL = """, x AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS ms, CASE WHEN event_type <> 'error' THEN '' WHEN k >= 80 THEN 'auth' ELSE 'error' END AS kind,
   row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id) AS rn FROM ev), mark AS (SELECT max(ms) - 3600000 AS mark FROM x)
 """
-OUTCOME = F.expr("CASE WHEN event_type <> 'error' THEN '' WHEN try_cast(get_json_object(props, '$.k') AS bigint) >= 80 THEN 'auth' ELSE 'error' END")
+OUTCOME = "CASE WHEN event_type <> 'error' THEN '' WHEN try_cast(get_json_object(props, '$.k') AS bigint) >= 80 THEN 'auth' ELSE 'error' END"
 
 
 @query("STR-8", OUTCOME_SQL + """,
@@ -331,7 +331,7 @@ def failure_pauses(spark: SparkSession, d: str) -> DataFrame:
     """Workers paused at the third failure in a row, for a time by its kind, and their return, over the events as a stream."""
     from loomcast.streaming import timed
 
-    out = timed.failure_pauses(event_stream(spark, d), "user_id", "ts", "event_id", OUTCOME, 3, 604800, {"error": 21600, "auth": 259200})
+    out = timed.failure_pauses(event_stream(spark, d), "user_id", "ts", "event_id", F.expr(OUTCOME), 3, 604800, {"error": 21600, "auth": 259200})
     return timed.run_timed(out, folder(spark))
 
 
@@ -342,7 +342,7 @@ def stale_workers(spark: SparkSession, d: str) -> DataFrame:
     """Workers that went stale, and when they were heard again, over the events as a stream."""
     from loomcast.streaming import timed
 
-    out = timed.stale_heartbeats(event_stream(spark, d), "user_id", "ts", "event_id", OUTCOME, {"": 172800, "auth": 43200})
+    out = timed.stale_heartbeats(event_stream(spark, d), "user_id", "ts", "event_id", F.expr(OUTCOME), {"": 172800, "auth": 43200})
     return timed.run_timed(out, folder(spark))
 
 

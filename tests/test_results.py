@@ -16,7 +16,7 @@ from tests.test_oracles import DATA
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
 HERE = {
-    "FUN-3", "FUN-6", "FUN-18", "FUN-35", "FUN-37", "JON-27", "VEC-1-ANN", "CLU-1", "CLU-2", "CLU-5", "CLU-6", "CLU-8", "CLU-9", "CLU-12", "CLU-22", "CLU-23", "CLU-29",
+    "FUN-3", "FUN-6", "FUN-18", "FUN-35", "FUN-37", "JON-27", "VEC-1-ANN", "CLU-1", "CLU-1-KMEANS", "CLU-1-WARD", "CLU-2", "CLU-5", "CLU-6", "CLU-8", "CLU-9", "CLU-12", "CLU-22", "CLU-23", "CLU-29",
     "STP-2", "STP-6", "STP-7", "STP-8", "STP-9", "UDF-6", "UDF-7",
 }
 
@@ -140,15 +140,34 @@ def test_fun_35_and_37(spark):
 
 
 def test_jon_27(spark):
-    turns, best = table(spark, "conversations"), {}
-    for a in turns:
-        for b in turns:
-            if a.conv_id == b.conv_id and a.role == b.role and a.turn < b.turn and a.text and b.text and ratio(a.text, b.text) >= 0.75:
-                score = round(ratio(a.text, b.text) + 0.1 * (b.turn - a.turn <= 2) + 0.1 * (abs(len(a.text) - len(b.text)) <= 30), 6)
-                key = (a.conv_id, a.role, a.turn)
-                best[key] = max(best.get(key, (0, 0)), (score, -b.turn))
-    got = {(r.conv_id, r.role, r.turn): (r.score, -r.other_turn) for r in run(spark, "JON-27")}
-    assert got == pytest.approx(best) if not best else set(got) == set(best) and all(got[k][0] == pytest.approx(best[k][0]) for k in best)
+    import re
+
+    plain, best = lambda t: re.sub(r"[^\w\s]", "", t.strip(" ").lower()), {}
+    pages = [(r.page_id, ".".join(re.search("://([^/?#:]*)", r.url.lower())[1].split(".")[-2:]), plain(re.search("<title>(.*?)</title>", r.html, re.S)[1]), len(r.html)) for r in table(spark, "pages")]
+    for i, site, title, n in pages:
+        for j, other_site, other, m in pages:
+            if i != j and site == other_site and title and other and (x := ratio(title, other)) >= 0.75:
+                apart = abs(i - j)
+                score = round(x + (0.15 if apart <= 7 else 0.1 if apart <= 14 else 0.05 if apart <= 30 else 0) + 0.1 * (abs(n - m) <= 0.1 * n), 6)
+                best[i] = max(best.get(i, (0, 0)), (score, -j))
+    got = {r.page_id: (r.score, -r.other_id) for r in run(spark, "JON-27")}
+    assert len(best) >= 8 and set(got) == set(best) and all(got[k][0] == pytest.approx(best[k][0], abs=2e-6) for k in best)
+
+
+@pytest.mark.parametrize("limit", [0.7, 0.75, 0.9])
+def test_title_pairs_miss_none(spark, limit):
+    import random
+
+    from loomcast.operators.fuzzy import title_pairs
+
+    rng, titles = random.Random(int(limit * 100)), ["a", "ab", "abc", "abcd", "abd", "bd", "aaaa", "aaab", "é", "éa", "abab", "baba"]
+    for _ in range(60):
+        base = "".join(rng.choices("abcde ", k=rng.randrange(3, 40))).strip() or "x"
+        titles += [base, "".join(c for c in base if rng.random() > 0.12) or "y", base[: len(base) // 2] + "zz" + base[len(base) // 2 :]]
+    rows = [(i % 2, t) for i, t in enumerate(titles)]
+    df = spark.createDataFrame(rows, "key int, title string")
+    want = {(k, a, b) for k, a in set(rows) for q, b in set(rows) if k == q and ratio(a, b) >= limit}
+    assert {(r.key, r.a, r.b) for r in title_pairs(df, df, limit).collect()} == want
 
 
 def test_ann_recall(spark, vectors):
@@ -191,9 +210,34 @@ def test_knn_blocks_are_exact(spark, monkeypatch):
     assert {(r.a, r.b, r.sim) for r in C.neighbours(df, 3, 0.1, block="label").collect()} == want
 
 
+def test_density_and_linkage_queries(spark, vectors):
+    from tests.test_density import brute
+    from tests.test_features import partition
+
+    ids, _, x = vectors
+    assert {r.vec_id: r.cluster for r in run(spark, "CLU-1")} == brute(list(ids), x, 5, 5, 15)
+    raw = np.array([r.embedding for r in sorted(table(spark, "embeddings"), key=lambda r: list(ids).index(r.vec_id))], float)
+    found = {list(ids).index(r.vec_id): r.cluster for r in run(spark, "CLU-1-WARD")}
+    assert len(set(found.values())) == 8 and partition(found) == {frozenset(g) for g in ward_groups(raw, 8)}
+
+
+def ward_groups(vecs, clusters):
+    """Plain linkage by sums, a pair at a time."""
+    groups, n, total = {i: [i] for i in range(len(vecs))}, np.ones(len(vecs)), vecs.copy()
+    while len(groups) > clusters:
+        live = np.array(sorted(groups))
+        mean = total[live] / n[live, None]
+        cost = n[live, None] * n[live] / (n[live, None] + n[live]) * ((mean**2).sum(1)[:, None] + (mean**2).sum(1) - 2 * mean @ mean.T)
+        cost[np.tril_indices(len(live))] = np.inf
+        i, j = (live[k] for k in np.unravel_index(int(np.argmin(cost)), cost.shape))
+        groups[i] += groups.pop(j)
+        n[i], total[i] = n[i] + n[j], total[i] + total[j]
+    return groups.values()
+
+
 def test_k_means_queries(spark, vectors):
     ids, labels, _ = vectors
-    for name, ks in (("CLU-1", {5}), ("CLU-2", {2, 3, 4}), ("CLU-8", {1, 4})):
+    for name, ks in (("CLU-1-KMEANS", {5}), ("CLU-2", {2, 3, 4}), ("CLU-8", {1, 4})):
         got = run(spark, name)
         assert sum(r.n for r in got) == len(ids) and len(got) in ks
     got = {}
