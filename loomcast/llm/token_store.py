@@ -35,7 +35,7 @@ CHUNK = 1 << 15
 _HEAD = struct.Struct("<4sIQ")
 _MAGIC = b"WVM1"
 #: Words a worker remembers, in about 200 MB; beyond it the table starts anew.
-REMEMBERED = 1_200_000
+REMEMBERED = 1_000_000
 _TOUCHING = re.compile(r"\s\s")
 #: A Latin word and marks after it: two pre-tokens at most, the word with the space before it.
 _PLAIN = re.compile("([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([^\\w\\s]*)")
@@ -171,6 +171,7 @@ class WordIds:
         self.model, self.letters = self.library.model, byte_letters()
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {"": b""}
 
     def ids(self, text: str) -> bytes:
@@ -196,13 +197,18 @@ class WordIds:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _plain(self, word: str, marks: str) -> bytes:
-        letters = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        stem = self.stems.get(word)
+        if stem is None:
+            if len(self.stems) > REMEMBERED // 3:
+                self.stems.clear()
+            letters = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+            stem = self.stems[word] = array("I", [t.id for t in self.model.tokenize(self.letters[32] + letters)]).tobytes()
         after = self.marks.get(marks)
         if after is None:
             if len(self.marks) > 10_000:
                 self.marks = {"": b""}
             after = self.marks[marks] = self._library(marks)
-        return array("I", [t.id for t in self.model.tokenize(self.letters[32] + letters)]).tobytes() + after
+        return stem + after if marks else stem
 
 
 @functools.lru_cache(maxsize=1)
