@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomcast.operators.reliable import components, cut, ensure_checkpoint_dir, remove_folder
 
-__all__ = ["ASCII_SPACE", "components", "cut", "documents", "ensure_checkpoint_dir", "free_name", "remove_folder", "spread_join", "stay", "table", "tokenizer_file"]
+__all__ = ["ASCII_SPACE", "components", "cut", "documents", "ensure_checkpoint_dir", "free_name", "let_go", "remove_folder", "spread_join", "stay", "table", "tokenizer_file"]
 
 #: ASCII white space, as the operators' contracts name it.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
@@ -23,6 +24,15 @@ def free_name(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, so that Spark removes shuffle files and checkpoints that nothing refers to any more.
+
+    Otherwise they stay until the driver happens to do so; iterative jobs fill disks with them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def spread_join(rows: DataFrame, one_each: DataFrame, on: list[str], salts: int = 4) -> DataFrame:
     """Inner join of rows with a table that has one row for each of on, in which a hot key's rows are dealt to several tasks.
 

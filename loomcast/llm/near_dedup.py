@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomcast.llm import simhash
-from loomcast.llm.common import components, cut, spread_join, stay
+from loomcast.llm.common import components, cut, let_go, spread_join, stay
 from loomcast.operators.reliable import row_numbers
 
 BANDS, ROWS = 24, 5
@@ -166,6 +166,7 @@ def _between(sets: DataFrame, index: DataFrame, probe: DataFrame, found: DataFra
     sides = both.select(pick("x", "y").alias("of"), pick("y", "x").alias("big"), pick("ky", "kx").alias("k"), pick("ly", "lx").alias("lo"), pick("hy", "hx").alias("hi"))
     asked = sides.join(where.withColumnRenamed("cls", "q"), "of").where((F.col("hi") >= t * F.col("n")) & (t * F.col("lo") <= F.col("n"))).select("q", "n", "big", "k", "lo")
     asked = cut(asked)
+    let_go(sets.sparkSession)
     large = asked.where(F.col("k") > FEW)
     whole = where.join(large.select(F.col("big").alias("of")).distinct(), "of", "left_semi").join(sets, "cls").select(F.col("of").alias("big"), F.explode("s").alias("key")).distinct()
     own = large.join(sets.select(F.col("cls").alias("q"), "s"), "q").select("q", "n", "big", "lo", F.explode("s").alias("key"))
@@ -206,8 +207,11 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity:
         pairs = cut(pairs.where(F.col("most").isNull() | (F.col("most") >= share * (F.col("na") + F.col("nb")) - 1e-9)).select("a", "b"))
         both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("s").alias("y")), "b")
         shared = F.size(F.array_intersect("x", "y"))
-        return cut(both.where(shared / (F.size("x") + F.size("y") - shared) >= similarity).select("a", "b"))
+        found = cut(both.where(shared / (F.size("x") + F.size("y") - shared) >= similarity).select("a", "b"))
+        let_go(docs.sparkSession)
+        return found
 
+    let_go(docs.sparkSession)
     first = similar(proposed)
     # Buckets with a row that isn't linked to their head itself.
     loose = keys.where("cls <> head").select("key", F.least("head", "cls").alias("a"), F.greatest("head", "cls").alias("b")).join(first, ["a", "b"], "left_anti")
@@ -216,8 +220,10 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity:
     heads = index.groupBy("key").agg(F.min(F.struct("n", "cls")).alias("h"))
     second = similar(probe.join(heads, "key").where(F.struct("n", "cls") > F.col("h")).select(F.col("h.cls").alias("a"), F.col("cls").alias("b")).distinct())
     found = cut(components(first.unionByName(second)).withColumnRenamed("node", "cls"))
+    let_go(docs.sparkSession)
     rest = _between(sets.join(some, "cls", "left_semi"), index, probe, found, similarity)
     linked = components(first.unionByName(second).unionByName(similar(rest))).withColumnRenamed("node", "cls")
+    let_go(docs.sparkSession)
     of = classes.join(linked, "cls", "left").select("cls", "least_id", F.coalesce("component", "cls").alias("grp"))
     least = of.groupBy("grp").agg(F.min("least_id").alias("least"))
     of = of.join(classes.select("cls", "dig"), "cls").join(least, "grp").select("dig", "grp", "least")
