@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,153 @@ from loomcast.operators.windows import top, top_per_group
 
 #: Queries scored against all rows in one pass; more are taken in blocks of about this many.
 QUERY_BLOCK = 1000
+#: Rows, and queries, of a tile at most, and the queries of it that meet its rows at once.
+TILE_ROWS, TILE_STEP = 16384, 256
+
+#: Of one tile (queries, rows, similarities): the places of queries and of rows that it yields, and a value for each.
+Chooser = Callable[[pa.Table, pa.Table, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _parts(count: Column) -> Column:
+    """Of so many rows: parts of at most about TILE_ROWS, and up to eight of fewer."""
+    return F.greatest(F.lit(1), F.ceil(count / TILE_ROWS), F.least(F.lit(8), F.ceil(count / 1024))).cast("int")
+
+
+def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vector: str, query_id: str, query_vector: str, value: str = "sim", block: str | None = None, part: Column | None = None, digits: int = 6) -> DataFrame:
+    """Columns of queries and rows but for the vectors, and value, of what choose takes of each tile; cosine, rounded.
+
+    Rows and queries are dealt into parts by hash (queries by `part` if given), and each part of
+    one meets each of the other in a task, as matrices, TILE_STEP queries at once: the work is
+    that of all pairs, what a task holds is bounded, and only what choose takes leaves it.
+    block names a column of both; then only equal ones meet. Rows and queries without a
+    vector are left out. A tile's rows lie in the order of their ids.
+    """
+    sides = []
+    for df, name, vec, deal in ((queries, query_id, query_vector, part), (rows, row_id, vector, None)):
+        held = df.where(F.col(vec).isNotNull()).withColumn("__x", normalised(F.col(vec))).drop(vec)
+        hashed = F.xxhash64(name) if deal is None else F.xxhash64(deal)
+        if block:
+            held = held.where(F.col(block).isNotNull())
+            held = held.join(held.groupBy(block).agg(_parts(F.count(F.lit(1))).alias("__parts")), block)
+        else:
+            held = held.withColumn("__parts", _parts(F.lit(df.count())))
+        sides.append(held.withColumn("__own", F.pmod(hashed, F.col("__parts")).cast("int")))
+    asked, met = sides
+    keys = [block] if block else []
+    if block:
+        other = [s.select(block, F.col("__parts").alias("__others")).distinct() for s in (met, asked)]
+        asked, met = asked.join(other[0], block), met.join(other[1], block)
+    else:
+        count = [s.agg(F.max("__parts").alias("__others")) for s in (met, asked)]
+        asked, met = asked.crossJoin(F.broadcast(count[0])), met.crossJoin(F.broadcast(count[1]))
+    each = F.explode(F.sequence(F.lit(0), F.col("__others") - 1))
+    plain = [[c for c in df.columns if c not in (vec, *hidden)] for df, vec, hidden in ((queries, query_vector, ()), (rows, vector, keys))]
+    left = asked.select(*plain[0], "__x", F.col("__own").alias("__i"), each.alias("__j"), *[F.col(c).alias("__b") for c in keys])
+    right = met.select(*plain[1], "__x", each.alias("__i"), F.col("__own").alias("__j"), *[F.col(c).alias("__b") for c in keys])
+    fields = [queries.schema[c] for c in plain[0]] + [rows.schema[c] for c in plain[1]]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"`{value}` double"])
+    out = [f.name for f in fields] + [value]
+
+    def matrix(table: pa.Table) -> np.ndarray:
+        return np.asarray(table.column("__x").combine_chunks().flatten().to_numpy(zero_copy_only=False), float).reshape(len(table), -1)
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        b = b.take(pa.array(np.argsort(b.column(row_id).to_numpy(), kind="stable")))
+        x = matrix(b).T if len(a) and len(b) else None
+        a_plain, b_plain = a.select(plain[0]), b.select(plain[1])
+        found = []
+        for at in range(0, len(a) if len(b) else 0, TILE_STEP):
+            some = a_plain.slice(at, TILE_STEP)
+            sims = np.round(matrix(a.slice(at, TILE_STEP)) @ x, digits) + 0.0
+            sims[np.isnan(sims)] = -np.inf
+            i, j, v = choose(some, b_plain, sims)
+            one, two = some.take(pa.array(i)), b_plain.take(pa.array(j))
+            found.append(pa.Table.from_arrays([*one.columns, *two.columns, pa.array(np.asarray(v, float))], names=out))
+        none = [*a_plain.slice(0, 0).columns, *b_plain.slice(0, 0).columns, pa.array([], pa.float64())]
+        return pa.concat_tables([pa.Table.from_arrays(none, names=out), *found])
+
+    return left.groupBy(*[f"__{c}" for c in ("b", "i", "j") if c != "b" or block]).cogroup(right.groupBy(*[f"__{c}" for c in ("b", "i", "j") if c != "b" or block])).applyInArrow(run, schema)
+
+
+def _first_k(sims: np.ndarray, k: int) -> np.ndarray:
+    """Which cells are among the k greatest of their line; of equal ones the first; never -inf."""
+    if k < sims.shape[1]:
+        kth = np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k]
+        keep = sims >= kth[:, None]
+        for line in np.flatnonzero(keep.sum(axis=1) > k):
+            ties = np.flatnonzero(sims[line] == kth[line])
+            keep[line, ties[k - int((sims[line] > kth[line]).sum()) :]] = False
+    else:
+        keep = np.ones(sims.shape, bool)
+    return keep & (sims > -np.inf)
+
+
+def best_rows(k: int, keys: Sequence[str] = (), fits: Callable[[pa.Table, pa.Table, np.ndarray], np.ndarray] | None = None) -> Chooser:
+    """The k most similar rows of each query (and each of the row's keys), of those cells that fit."""
+
+    def choose(a: pa.Table, b: pa.Table, sims: np.ndarray):
+        if fits is not None:
+            sims = np.where(fits(a, b, sims), sims, -np.inf)
+        if not keys:
+            i, j = np.nonzero(_first_k(sims, k))
+            return i, j, sims[i, j]
+        of = b.select(list(keys)).to_pandas().groupby(list(keys), dropna=False).ngroup().to_numpy()
+        found = []
+        for g in np.unique(of):
+            at = np.flatnonzero(of == g)
+            i, j = np.nonzero(_first_k(sims[:, at], k))
+            found.append((i, at[j], sims[i, at[j]]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    return choose
+
+
+def best_queries(least: float, key: str | None = None) -> Chooser:
+    """Each row's most similar query (of each of the query's key) of at least `least`."""
+
+    def choose(a: pa.Table, b: pa.Table, sims: np.ndarray):
+        of = np.zeros(len(a), int) if key is None else pd.factorize(a.column(key).to_pandas(), use_na_sentinel=False)[0]
+        found = []
+        for g in np.unique(of):
+            at = np.flatnonzero(of == g)
+            top = sims[at].argmax(axis=0)
+            best = sims[at[top], np.arange(len(b))]
+            j = np.flatnonzero(best >= least)
+            found.append((at[top[j]], j, best[j]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    return choose
+
+
+def count_rows(least: float) -> Chooser:
+    """Each query with the number of rows of at least `least`, as the value; the row means nothing."""
+
+    def choose(a: pa.Table, b: pa.Table, sims: np.ndarray):
+        n = (sims >= least).sum(axis=1)
+        i = np.flatnonzero(n)
+        return i, np.zeros(len(i), int), n[i]
+
+    return choose
+
+
+def some_pair(over: float, query_key: str, row_key: str) -> Chooser:
+    """One pair over `over` of each two keys, of query and row, that have one."""
+
+    def choose(a: pa.Table, b: pa.Table, sims: np.ndarray):
+        i, j = np.nonzero(sims > over)
+        keys = [pd.factorize(t.column(c).to_pandas(), use_na_sentinel=False)[0] for t, c in ((a, query_key), (b, row_key))]
+        _, first = np.unique(keys[0][i].astype(np.int64) * (len(b) + 1) + keys[1][j], return_index=True)
+        return i[first], j[first], sims[i[first], j[first]]
+
+    return choose
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None = None, vec_id: str = "vec_id", vector: str = "e", query_id: str = "query_id", query_vector: str = "qe", keys: Sequence[str] = (), fits: Callable[[pa.Table, pa.Table, np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """(query_id, vec_id, keys, sim): what search finds, for query sets that grow with the rows; in tiles."""
+    rows = vectors.select(vec_id, vector, *keys)
+    hits = tiled(rows, queries.select(query_id, query_vector), best_rows(k, keys, fits), vec_id, vector, query_id, query_vector)
+    best = top_per_group(hits, [query_id, *keys], [F.col("sim").desc(), F.col(vec_id)], k)
+    return best if threshold is None else best.where(F.col("sim") >= threshold)
 
 
 def scored(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: str = "e", query_id: str = "query_id", query_vector: str = "qe", digits: int = 6) -> DataFrame:
@@ -43,7 +193,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | No
 
 def search_best(vectors: DataFrame, queries: DataFrame, k: int, threshold: float, vec_id: str = "vec_id", **names) -> DataFrame:
     """Best similarity over the queries of each row found by any of them."""
-    hits = search(vectors, queries, k, threshold, vec_id, **names)
+    hits = nearest(vectors, queries, k, threshold, vec_id, **names)
     return hits.groupBy(vec_id).agg(F.max("sim").alias("sim"))
 
 

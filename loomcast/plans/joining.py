@@ -9,7 +9,7 @@ from loomcast.functions.vectors import cosine
 from loomcast.operators import aggregates as A
 from loomcast.operators import joins as J
 from loomcast.operators.fuzzy import fuzzy_matches, plain_title
-from loomcast.operators.search import scored
+from loomcast.operators.search import some_pair, tiled
 from loomcast.operators.windows import top_per_group
 from loomcast.plans.registry import Tables, query
 
@@ -262,11 +262,10 @@ def scalar_subquery(spark: SparkSession, d: str) -> DataFrame:
 
 @query("JON-32", "SELECT DISTINCT least(a.label, b.label) AS x, greatest(a.label, b.label) AS y FROM vec a JOIN vec b ON a.vec_id % 20 = 0 AND a.label <> b.label AND round(list_cosine_similarity(a.e, b.e), 6) > 0.3")
 def conflict_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Labels of a stated query set against all rows, in counted blocks."""
+    """Labels of a stated query set against all rows, in tiles."""
     v = Tables(spark, d).vectors
-    asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("qe"))
-    label = asked.select("query_id").join(v.select(F.col("vec_id").alias("query_id"), F.col("label").alias("l")), "query_id")
-    pairs = scored(v, asked).where("sim > 0.3").select("query_id", "label").distinct().join(label, "query_id").where("l <> label")
+    asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("qe"), F.col("label").alias("l"))
+    pairs = tiled(v, asked, some_pair(0.3, "l", "label"), "vec_id", "e", "query_id", "qe").where("l <> label")
     return pairs.select(F.least("l", "label").alias("x"), F.greatest("l", "label").alias("y")).distinct()
 
 

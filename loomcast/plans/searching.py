@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +27,13 @@ def queries(t: Tables) -> DataFrame:
 @query("VEC-1", QS + ", k AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY sim DESC, vec_id) AS rn FROM r), b AS (SELECT vec_id, max(sim) AS sim FROM k WHERE rn <= 5 AND sim >= 0.1 GROUP BY 1) SELECT vec_id, sim FROM b")
 def per_project(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return Q.search(t.vectors, queries(t), 5, 0.1, keys=["label"]).groupBy("vec_id").agg(F.max("sim").alias("sim"))
+    return Q.nearest(t.vectors, queries(t), 5, 0.1, keys=["label"]).groupBy("vec_id").agg(F.max("sim").alias("sim"))
 
 
 @query("VEC-2", QS + ", k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rn FROM r) SELECT query_id, vec_id, sim FROM k WHERE rn <= 8")
 def batch(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return Q.search(t.vectors, queries(t), 8).select("query_id", "vec_id", "sim")
+    return Q.nearest(t.vectors, queries(t), 8).select("query_id", "vec_id", "sim")
 
 
 @query("VEC-3", QS + ", k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rn FROM r) SELECT vec_id, max(sim) AS sim FROM k WHERE rn <= 50 AND sim >= 0.05 GROUP BY 1")
@@ -78,14 +79,17 @@ def natural_retrieve(spark: SparkSession, d: str) -> DataFrame:
 def bilingual(spark: SparkSession, d: str) -> DataFrame:
     """Queries stand for (subtheme, language) pairs: a segment's score for a subtheme is its best over languages."""
     t = Tables(spark, d)
-    best = Q.scored(t.vectors, queries(t)).groupBy("vec_id", (F.col("query_id") % 300).alias("sub")).agg(F.max("sim").alias("s")).where("s >= 0.1")
+    asked = queries(t).select("qe", "query_id", (F.col("query_id") % 300).alias("sub"))
+    found = Q.tiled(t.vectors.select("vec_id", "e"), asked, Q.best_queries(0.1, "sub"), "vec_id", "e", "query_id", "qe", "s", part=F.col("sub"))
+    best = found.select("vec_id", "sub", "s")
     return best.groupBy("vec_id").agg(F.array_join(F.sort_array(F.collect_set("sub")).cast("array<string>"), ",").alias("subthemes"), F.max("s").alias("best"))
 
 
 @query("VEC-9", QS + ", kw AS (SELECT doc_id AS vec_id FROM documents WHERE text ILIKE '%ing%'), m AS (SELECT vec_id, max(sim) AS s FROM r GROUP BY 1) SELECT m.vec_id, CASE WHEN s >= 0.2 AND kw.vec_id IS NOT NULL THEN 'both' WHEN s >= 0.2 THEN 'semantic' ELSE 'keyword' END AS via FROM m LEFT JOIN kw USING (vec_id) WHERE s >= 0.2 OR (kw.vec_id IS NOT NULL AND s >= 0.1)")
 def relaxed_union(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    best = Q.scored(t.vectors, queries(t)).groupBy("vec_id").agg(F.max("sim").alias("s"))
+    found = Q.tiled(t.vectors.select("vec_id", "e"), queries(t), Q.best_queries(0.1), "vec_id", "e", "query_id", "qe", "s")
+    best = found.groupBy("vec_id").agg(F.max("s").alias("s"))
     words = t.documents.where(P.must_contain("text", ["ing"])).select(F.col("doc_id").alias("vec_id"), F.lit(True).alias("kw"))
     both = best.join(words, "vec_id", "left").withColumn("kw", F.coalesce("kw", F.lit(False)))
     via = F.when((F.col("s") >= 0.2) & F.col("kw"), "both").when(F.col("s") >= 0.2, "semantic").otherwise("keyword")
@@ -102,9 +106,13 @@ def similar_speakers(spark: SparkSession, d: str) -> DataFrame:
 @query("VEC-11", QS + ", x AS (SELECT * FROM r WHERE query_id <> vec_id AND sim >= CASE WHEN vec_id % 4 = 0 THEN greatest(0.05, 0.15 - 0.05) ELSE 0.15 END), k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rn FROM x) SELECT query_id, vec_id, sim FROM k WHERE rn <= 5")
 def quality_threshold(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    least = F.when(F.col("vec_id") % 4 == 0, F.greatest(F.lit(0.05), F.lit(0.15 - 0.05))).otherwise(0.15)
-    hits = Q.scored(t.vectors, queries(t)).where((F.col("query_id") != F.col("vec_id")) & (F.col("sim") >= least))
-    return top_per_group(hits, ["query_id"], [F.col("sim").desc(), F.col("vec_id")], 5).select("query_id", "vec_id", "sim")
+
+    def fits(a, b, sims):
+        ids = b.column("vec_id").to_numpy()
+        least = np.where(ids % 4 == 0, max(0.05, 0.15 - 0.05), 0.15)
+        return (sims >= least) & (a.column("query_id").to_numpy()[:, None] != ids)
+
+    return Q.nearest(t.vectors, queries(t), 5, fits=fits).select("query_id", "vec_id", "sim")
 
 
 @query("VEC-12", """, q AS (SELECT e AS qe FROM vec WHERE vec_id = 4), h AS (SELECT vec_id, vec_id % 40 AS episode, label, round(list_cosine_similarity(e, qe), 6) AS sim FROM vec, q),
@@ -155,7 +163,7 @@ def semantic_cache(spark: SparkSession, d: str) -> DataFrame:
     """The nearest cached row (odd ids) of each query if it is near enough, else none."""
     t = Tables(spark, d)
     q = queries(t)
-    hit = Q.search(t.vectors.where("vec_id % 2 = 1"), q, 1, 0.3).select("query_id", F.col("vec_id").alias("hit"), "sim")
+    hit = Q.nearest(t.vectors.where("vec_id % 2 = 1"), q, 1, 0.3).select("query_id", F.col("vec_id").alias("hit"), "sim")
     return q.select("query_id").join(hit, "query_id", "left")
 
 
@@ -199,7 +207,8 @@ def forced_split(spark: SparkSession, d: str) -> DataFrame:
 @query("CLU-3", QS + "SELECT query_id, count(*) AS n FROM r WHERE sim >= 0.15 GROUP BY 1 HAVING count(*) >= 3")
 def query_themes(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    return Q.scored(t.vectors, queries(t)).where("sim >= 0.15").groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    count = Q.tiled(t.vectors.select("vec_id", "e"), queries(t), Q.count_rows(0.15), "vec_id", "e", "query_id", "qe", "n")
+    return count.groupBy("query_id").agg(F.sum("n").cast("long").alias("n")).where("n >= 3")
 
 
 @query("CLU-4", "SELECT w AS keyword, count(*) AS n FROM documents, (VALUES ('the'), ('que'), ('licensed'), ('zebra')) v(w) WHERE contains(lower(text), w) GROUP BY 1 HAVING count(*) >= 3")
