@@ -181,7 +181,7 @@ def density_clusters(
     """
     samples = min_samples or min_cluster_size
     if graph is None:
-        graph = neighbours(vectors.withColumn("__all", F.lit(0)), max(k, samples), -2.0, vec_id, vector, block="__all")
+        graph = neighbours(vectors, max(k, samples), -2.0, vec_id, vector)
     rows = ranked_rows(vectors.select(F.col(vec_id).alias("id")), ["id"], "n")
     number = lambda c: rows.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"))
     near = cut(graph.join(number("a"), "a").join(number("b"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"), "sim"))

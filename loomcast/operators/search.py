@@ -25,12 +25,12 @@ TILE_ROWS, TILE_STEP = 16384, 256
 Chooser = Callable[[pa.Table, pa.Table, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def _parts(count: Column) -> Column:
-    """Of so many rows: parts of at most about TILE_ROWS, and up to eight of fewer."""
-    return F.greatest(F.lit(1), F.ceil(count / TILE_ROWS), F.least(F.lit(8), F.ceil(count / 1024))).cast("int")
+def _parts(count: Column, most: int) -> Column:
+    """Of so many rows: parts of about `most` rows, and up to eight of fewer."""
+    return F.greatest(F.lit(1), F.ceil(count / most), F.least(F.lit(8), F.ceil(count / 1024))).cast("int")
 
 
-def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vector: str, query_id: str, query_vector: str, value: str = "sim", block: str | None = None, part: Column | None = None, digits: int = 6) -> DataFrame:
+def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vector: str, query_id: str, query_vector: str, value: str = "sim", block: str | None = None, part: Column | None = None, digits: int = 6, most: int = TILE_ROWS) -> DataFrame:
     """Columns of queries and rows but for the vectors, and value, of what choose takes of each tile; cosine, rounded.
 
     Rows and queries are dealt into parts by hash (queries by `part` if given), and each part of
@@ -45,9 +45,9 @@ def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vec
         hashed = F.xxhash64(name) if deal is None else F.xxhash64(deal)
         if block:
             held = held.where(F.col(block).isNotNull())
-            held = held.join(held.groupBy(block).agg(_parts(F.count(F.lit(1))).alias("__parts")), block)
+            held = held.join(held.groupBy(block).agg(_parts(F.count(F.lit(1)), most).alias("__parts")), block)
         else:
-            held = held.withColumn("__parts", _parts(F.lit(df.count())))
+            held = held.withColumn("__parts", _parts(F.lit(df.count()), most))
         sides.append(held.withColumn("__own", F.pmod(hashed, F.col("__parts")).cast("int")))
     asked, met = sides
     keys = [block] if block else []
