@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from loomcast.operators.cluster import neighbours
 from loomcast.operators.reliable import components, cut, ranked_rows
 
-#: Edges that one task merges: the last ones of a forest, and a block of the dendrogram.
-EDGES_AT_ONCE = 1 << 14
+#: Edges that one task merges: the last ones of a forest, and a block of the dendrogram; pointers and clusters that one task follows.
+EDGES_AT_ONCE = 1 << 17
 SCALE = 10**6
 
 
@@ -134,9 +134,24 @@ def dendrogram(ranked: DataFrame, at_once: int = EDGES_AT_ONCE) -> DataFrame:
     return now.groupBy(F.shiftright("rank", small).alias("g")).applyInPandas(_local_merges, "rank long, w double, a long, b long, sa long, sb long")
 
 
-def followed(steps: DataFrame) -> DataFrame:
-    """(node, to) of pointers (node, to), each followed to its end; twice as far each round."""
+def _local_ends(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A bounded number of pointers, each followed to its end."""
+    to = dict(zip(pdf["node"], pdf["to"], strict=True))
+    for node in list(to):
+        passed = []
+        while to[node] in to:
+            passed.append(node)
+            node = to[node]
+        for x in passed:
+            to[x] = to[node]
+    return pd.DataFrame({"node": list(to), "to": list(to.values())}, dtype="int64")
+
+
+def followed(steps: DataFrame, at_once: int = EDGES_AT_ONCE) -> DataFrame:
+    """(node, to) of pointers (node, to), each followed to its end; what doesn't fit one task goes twice as far each round."""
     now = cut(steps.select("node", "to"))
+    if now.count() <= at_once:
+        return now.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(_local_ends, "node long, to long")
     while True:
         met = now.join(now.select(F.col("node").alias("to"), F.col("to").alias("further")), "to", "left")
         now = cut(met.select("node", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("moved")))
@@ -145,11 +160,36 @@ def followed(steps: DataFrame) -> DataFrame:
         now = now.select("node", "to")
 
 
-def _chosen(clusters: DataFrame) -> DataFrame:
+def _local_chosen(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The clusters taken of a bounded number."""
+    up = {c: None if pd.isna(p) else int(p) for c, p in zip(pdf["c"], pdf["parent"], strict=True)}
+    stable, able = ({c: f(x) for c, x in zip(pdf["c"], pdf[name], strict=True)} for name, f in (("stability", int), ("able", bool)))
+    kids: dict[int, list[int]] = {}
+    for c, p in up.items():
+        kids.setdefault(p, []).append(c)
+    order = list(kids.get(None, []))
+    for c in order:  # grows: from the top down
+        order += kids.get(c, [])
+    best, taken = {}, {}
+    for c in reversed(order):
+        below = sum(best[x] for x in kids.get(c, []))
+        taken[c] = able[c] and (c not in kids or stable[c] >= below)
+        best[c] = max(stable[c], below) if c in kids else stable[c]
+    top: dict = {}
+    for c in order:
+        above = top.get(up[c])
+        top[c] = above if above is not None else c if taken[c] else None
+    return pd.DataFrame({"c": pd.array(list(top), "Int64"), "top": pd.array(list(top.values()), "Int64")})
+
+
+def _chosen(clusters: DataFrame, at_once: int = EDGES_AT_ONCE) -> DataFrame:
     """(c, top) of clusters (c, parent, stability, able): the cluster taken instead of c, itself or one above; null if none is.
 
-    From the leaves up, in as many rounds as clusters lie in each other.
+    From the leaves up, in as many rounds as clusters lie in each other, unless they fit one task.
     """
+    clusters = cut(clusters)
+    if clusters.count() <= at_once:
+        return clusters.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(_local_chosen, "c long, top long")
     kids = clusters.where("parent is not null").groupBy(F.col("parent").alias("c")).agg(F.count(F.lit(1)).alias("kids"))
     waiting = cut(clusters.join(kids, "c", "left").na.fill(0, ["kids"]))
     done = waiting.where("kids = 0").select("c", "parent", F.col("stability").alias("best"), F.col("able").alias("taken"))
@@ -193,10 +233,10 @@ def density_clusters(
     child = lambda c: F.struct(F.col(c).alias("node"), F.col(f"s{c}").alias("size"), F.col("node").alias("to"), F.col("splits").alias("born"), F.col("lam").alias("birth"))
     links = cut(merges.select(F.explode(F.array(child("a"), child("b"))).alias("l")).select("l.*"))
     large = merges.where(F.col("size") >= least)
-    falls = followed(links.where(F.col("size") < least)).join(large.select(F.col("node").alias("to"), "lam"), "to").where("node >= 0").select("node", F.col("to").alias("at"), "lam")
+    falls = followed(links.where(F.col("size") < least), at_once).join(large.select(F.col("node").alias("to"), "lam"), "to").where("node >= 0").select("node", F.col("to").alias("at"), "lam")
     heads = large.join(links.select("node", F.col("to").alias("parent"), "born", "birth"), "node", "left").where("born is null or born").select("node", "parent", F.coalesce("birth", F.lit(0).cast("decimal(20,0)")).alias("birth"))
     heads = cut(heads)
-    inside = followed(links.where((F.col("size") >= least) & ~F.col("born"))).unionByName(heads.select("node", F.col("node").alias("to")))
+    inside = followed(links.where((F.col("size") >= least) & ~F.col("born")), at_once).unionByName(heads.select("node", F.col("node").alias("to")))
     inside = cut(inside.select("node", F.col("to").alias("c")))
     points = cut(falls.join(inside.select(F.col("node").alias("at"), "c"), "at").select("node", "c", "lam"))
     stay = points.select("c", "lam", F.lit(1).cast("long").alias("rows")).unionByName(large.where("splits").join(inside, "node").select("c", "lam", F.col("size").alias("rows")))
@@ -204,7 +244,7 @@ def density_clusters(
     above = heads.join(inside.select(F.col("node").alias("parent"), F.col("c").alias("up")), "parent", "left").select(F.col("node").alias("c"), F.col("up").alias("parent"))
     lone = above.where("parent is null").limit(2).count() == 1 and not single
     clusters = above.join(stable, "c").withColumn("able", F.lit(True) if not lone else F.col("parent").isNotNull())
-    tops = _chosen(clusters)
+    tops = _chosen(clusters, at_once)
     held = cut(points.join(tops, "c").where("top is not null").select("node", "top"))
     names = ranked_rows(held.groupBy("top").agg(F.min("node").alias("first")), ["first"], "cluster")
     found = held.join(names, "top").select(F.col("node").alias("n"), F.col("cluster").cast("int").alias("cluster"))
