@@ -35,11 +35,26 @@ def covered(ranges: Column, length: Column) -> Column:
     return F.when(length > 0, total / length).otherwise(0.0)
 
 
+def chunk_count(total: Column, size: float, overlap: float, tail: float = 5.0) -> Column:
+    """How many chunks chunk_plan makes of a positive total."""
+    step = size - overlap
+    count = F.greatest(F.lit(1), F.ceil((total - overlap) / step)).cast("int")
+    return F.when((count > 1) & (total - (count - 1) * step < tail), count - 1).otherwise(count)
+
+
+def chunk_rows(df: DataFrame, total: str, size: float, overlap: float, tail: float = 5.0) -> DataFrame:
+    """df with chunk_plan as rows: i from 0, start, end; compiled, where an array's functions are called for each chunk. Rows without a positive total have none."""
+    step = size - overlap
+    held = df.where(F.col(total) > 0).withColumn("__last", chunk_count(F.col(total), size, overlap, tail) - 1)
+    rows = held.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("__last"))))
+    end = F.when(F.col("i") == F.col("__last"), F.col(total)).otherwise(F.least(F.col(total), F.col("i") * step + size))
+    return rows.withColumns({"start": (F.col("i") * step).cast("double"), "end": end.cast("double")}).drop("__last")
+
+
 def chunk_plan(total: Column, size: float, overlap: float, tail: float = 5.0) -> Column:
     """(start, end) of chunks of size with overlap; a last one shorter than tail joins the one before."""
     step = size - overlap
-    count = F.greatest(F.lit(1), F.ceil((total - overlap) / step)).cast("int")
-    last = F.when((count > 1) & (total - (count - 1) * step < tail), count - 1).otherwise(count)
+    last = chunk_count(total, size, overlap, tail)
     spots = F.transform(F.sequence(F.lit(0), last - 1), lambda i: F.struct((i * step).cast("double").alias("start"), F.when(i == last - 1, total).otherwise(F.least(total, i * step + size)).cast("double").alias("end")))
     return F.when(total > 0, spots).otherwise(F.array().cast("array<struct<start:double,end:double>>"))
 
