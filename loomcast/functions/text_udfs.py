@@ -69,10 +69,24 @@ def cap_ngram_runs(texts: pd.Series) -> pd.Series:
     return texts.map(cap_ngram_runs_text)
 
 
+def title_ratios(a: Sequence[str | None], b: Sequence[str | None], least: float = 0.0) -> list[float | None]:
+    """title_ratio of each pair; what difflib works out for a second title serves all its pairs."""
+    out: list[float | None] = [None] * len(a)
+    whole = [i for i in range(len(a)) if a[i] is not None and b[i] is not None]
+    match, now = difflib.SequenceMatcher(None), None
+    for i in sorted(whole, key=lambda i: b[i]):
+        if b[i] != now:
+            now = b[i]
+            match.set_seq2(now.lower())
+        match.set_seq1(a[i].lower())
+        out[i] = match.ratio() if match.real_quick_ratio() >= least and match.quick_ratio() >= least else 0.0
+    return out
+
+
 def title_similarity(a, b, least: float = 0.0):
     @F.pandas_udf(T.DoubleType())
     def ratio(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([title_ratio(v, w, least) for v, w in zip(x, y, strict=True)], dtype=float)
+        return pd.Series(title_ratios(x.tolist(), y.tolist(), least), dtype=float)
 
     return ratio(a, b)
 

@@ -57,7 +57,8 @@ def title_pairs(left: DataFrame, right: DataFrame, ratio: float = 0.75) -> DataF
     low = [x.where(F.col("n") <= most / least) for x in short]
     lengths = F.explode(F.sequence(F.ceil(F.col("n") * least).cast("int"), F.floor(F.col("n") / least).cast("int")))
     few = low[0].withColumn("m", lengths).join(low[1].withColumnRenamed("n", "m"), ["key", "m"]).where(F.least("n", "m") <= most).where(_near(ratio)).select("key", "a", "b")
-    pairs = met.unionByName(few).distinct()
+    # Few bytes, but much work each: dealt to all tasks.
+    pairs = met.unionByName(few).distinct().repartition(4 * left.sparkSession.sparkContext.defaultParallelism, "key", "b")
     return pairs.withColumn("ratio", title_similarity("a", "b", ratio)).where(F.col("ratio") >= ratio)
 
 
