@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterable
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcast.operators.reliable import components, cut, ensure_checkpoint_dir, remove_folder
 
-__all__ = ["ASCII_SPACE", "components", "cut", "documents", "ensure_checkpoint_dir", "free_name", "let_go", "remove_folder", "spread_join", "stay", "table", "tokenizer_file"]
+__all__ = ["ASCII_SPACE", "components", "cut", "documents", "ensure_checkpoint_dir", "free_name", "let_go", "remove_folder", "spread_join", "stay", "table", "tokenizer_file", "worker_keeps"]
 
 #: ASCII white space, as the operators' contracts name it.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
@@ -33,6 +36,26 @@ def let_go(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: What this Python worker keeps from task to task, and its name.
+_kept: list = [None, None]
+
+
+def worker_keeps(name: object = None, make: Callable[[], Any] = lambda: None) -> Any:
+    """What make made under this name, kept for all tasks that the worker runs, until a task keeps another or nothing (no name).
+
+    A worker serves one stage after the other; without this the tables of a stage long done
+    fill its memory. What goes is given back to the system.
+    """
+    if _kept[0] != name:
+        _kept[:] = None, None
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+        _kept[:] = name, make()
+    return _kept[1]
+
+
 def spread_join(rows: DataFrame, one_each: DataFrame, on: list[str], salts: int = 4) -> DataFrame:
     """Inner join of rows with a table that has one row for each of on, in which a hot key's rows are dealt to several tasks.
 

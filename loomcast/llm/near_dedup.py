@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomcast.llm import simhash
-from loomcast.llm.common import components, cut, let_go, spread_join, stay
+from loomcast.llm.common import components, cut, let_go, spread_join, stay, worker_keeps
 from loomcast.operators.reliable import row_numbers
 
 BANDS, ROWS = 24, 5
@@ -85,6 +85,7 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, width: int) -> Iterat
     """(batch, sets, 128-bit digests of the sets) of at most 1,000 rows at once."""
     import xxhash
 
+    worker_keeps()
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)

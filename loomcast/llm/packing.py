@@ -18,7 +18,6 @@ bound.
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from array import array
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import cut, free_name
+from loomcast.llm.common import cut, free_name, worker_keeps
 
 CAPACITY, PARTITION_PIECES, MAX_ROUNDS = 2048, 20_000, 4
 #: Of a certified partition's bins, one in so many is exchanged, the emptiest first.
@@ -105,10 +104,9 @@ class ChunkTokenizer:
         return b"".join([known[c] for c in chunks])
 
 
-@functools.lru_cache(maxsize=1)
 def worker_tokenizer(path: str) -> ChunkTokenizer:
     """One table for all tasks that a Python worker runs."""
-    return ChunkTokenizer(path)
+    return worker_keeps(("chunks", path), lambda: ChunkTokenizer(path))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

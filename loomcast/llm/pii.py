@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomcast.llm.common import worker_keeps
+
 ROUNDS = 10
 KINDS = ("email", "secret", "iban", "date", "ip", "card", "ssn", "phone")
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -307,6 +309,7 @@ def protect(docs: DataFrame, key: bytes, text_col: str = "text", counts_col: str
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_keeps()
         make = Pseudonyms(key, undo)
         for batch in batches:
             texts, counts = [], []

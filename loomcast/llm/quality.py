@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.llm.common import free_name
+from loomcast.llm.common import free_name, worker_keeps
 
 BUCKETS, DIM, GRAMS = 1 << 14, 16, (2, 3, 4)
 #: At most so many labelled rows are fitted, the first in an order by a hash of their ids.
@@ -143,6 +143,7 @@ def features(docs: DataFrame, label_col: str = "label", text_col: str = "text")
     """(buckets, shares, label) of labelled texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_keeps()
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts = bucket_counts(text or "")
@@ -181,6 +182,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     at, weights, bias = docs.columns.index(text_col), model.weights, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_keeps()
         fitted = Model(weights, bias)
         for batch in batches:
             scores = [fitted.score(bucket_counts(t or "")) for t in batch.column(at).to_pylist()]

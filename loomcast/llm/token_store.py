@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomcast.llm.bpe import words_of
-from loomcast.llm.common import free_name
+from loomcast.llm.common import free_name, worker_keeps
 from loomcast.llm.packing import byte_letters
 
 #: A shard is closed at so many ids, after the document that reaches it.
@@ -211,10 +211,9 @@ class WordIds:
         return stem + after if marks else stem
 
 
-@functools.lru_cache(maxsize=1)
 def _worker_words(path: str) -> WordIds:
     """One table for all tasks that a Python worker runs."""
-    return WordIds(path)
+    return worker_keeps(("words", path), lambda: WordIds(path))
 
 
 def _vocabulary_bits(path: str) -> int:
