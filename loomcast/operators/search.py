@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
@@ -18,36 +18,92 @@ from loomcast.operators.windows import top, top_per_group
 
 #: Queries scored against all rows in one pass; more are taken in blocks of about this many.
 QUERY_BLOCK = 1000
-#: Rows, and queries, of a tile at most, and the queries of it that meet its rows at once.
-TILE_ROWS, TILE_STEP = 16384, 256
+#: Queries, and rows, of a tile at most, and the similarities that are worked out at once.
+TILE_QUERIES, TILE_ROWS, TILE_STEP = 32768, 65536, 1 << 22
+#: Pairs whose similarity is worked out exactly at once; of a step's pairs, one in so many at most is taken out before all are worked out exactly.
+PAIRS_AT_ONCE, FEW = 1 << 16, 16
 
-#: Of one tile (queries, rows, similarities): the places of queries and of rows that it yields, and a value for each.
-Chooser = Callable[[pa.Table, pa.Table, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
+class Tile:
+    """Some queries and some rows: their columns, unit vectors, and the same in single precision.
 
-def _parts(count: Column, most: int) -> Column:
-    """Of so many rows: parts of about `most` rows, and up to eight of fewer."""
-    return F.greatest(F.lit(1), F.ceil(count / most), F.least(F.lit(8), F.ceil(count / 1024))).cast("int")
+    A quick similarity (single precision) is less than `off` away from the exact one,
+    which is in double precision and rounded; so quick ones tell which few pairs matter,
+    and those are worked out exactly.
+    """
+
+    def __init__(self, queries: pa.Table, rows: pa.Table, x: np.ndarray, y: np.ndarray, digits: int) -> None:
+        self.queries, self.rows, self.x, self.y, self.digits = queries, rows, x, y, digits
+        self.quick_x, self.quick_y = x.astype(np.float32), np.ascontiguousarray(y.T, dtype=np.float32)
+        self.off = np.float32((x.shape[1] + 4) * 2.0**-23 + 10.0**-digits)
+
+    def steps(self, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The queries i in turns, each with its quick similarities to the rows j."""
+        y = self.quick_y if len(j) == len(self.y) else np.ascontiguousarray(self.quick_y[:, j])
+        step = max(1, TILE_STEP // max(1, len(j)))
+        for at in range(0, len(i) if len(j) else 0, step):
+            some = i[at : at + step]
+            yield some, self.quick_x[some] @ y
+
+    def exact(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Similarities of pairs."""
+        out = np.empty(len(i))
+        for at in range(0, len(i), PAIRS_AT_ONCE):
+            s = slice(at, at + PAIRS_AT_ONCE)
+            out[s] = np.einsum("ij,ij->i", self.x[i[s]], self.y[j[s]])
+        return np.round(out, self.digits) + 0.0
+
+    def all_exact(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.round(self.x[i] @ self.y[j].T, self.digits) + 0.0
+
+
+#: Of one tile: the places of queries and of rows that it yields, and a value for each.
+Chooser = Callable[[Tile], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _groups(table: pa.Table, keys: Sequence[str]) -> list[np.ndarray]:
+    """The places of each key's rows, in order; nulls are a key."""
+    if not keys:
+        return [np.arange(len(table))]
+    of = table.select(list(keys)).to_pandas().groupby(list(keys), dropna=False).ngroup().to_numpy()
+    return [np.flatnonzero(of == g) for g in np.unique(of)]
+
+
+def _cells(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a matrix is true."""
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
 
 
-def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vector: str, query_id: str, query_vector: str, value: str = "sim", block: str | None = None, part: Column | None = None, digits: int = 6, most: int = TILE_ROWS) -> DataFrame:
+def _together(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _parts(count: Column, most: int, few: int = 8) -> Column:
+    """Of so many rows: parts of about `most` rows, and up to `few` of fewer."""
+    return F.greatest(F.lit(1), F.ceil(count / most), F.least(F.lit(few), F.ceil(count / 1024))).cast("int")
+
+
+def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vector: str, query_id: str, query_vector: str, value: str = "sim", block: str | None = None, part: Column | None = None, digits: int = 6, most: int | None = None) -> DataFrame:
     """Columns of queries and rows but for the vectors, and value, of what choose takes of each tile; cosine, rounded.
 
     Rows and queries are dealt into parts by hash (queries by `part` if given), and each part of
-    one meets each of the other in a task, as matrices, TILE_STEP queries at once: the work is
+    one meets each of the other in a task, as matrices, some queries at once: the work is
     that of all pairs, what a task holds is bounded, and only what choose takes leaves it.
     block names a column of both; then only equal ones meet. Rows and queries without a
     vector are left out. A tile's rows lie in the order of their ids.
     """
     sides = []
-    for df, name, vec, deal in ((queries, query_id, query_vector, part), (rows, row_id, vector, None)):
+    for df, name, vec, deal, usual, some in ((queries, query_id, query_vector, part, TILE_QUERIES, 2), (rows, row_id, vector, None, TILE_ROWS, 16)):
+        size, few = (most, 8) if most else (usual, some)  # queries are few: their parts are what the rows are copied for
         held = df.where(F.col(vec).isNotNull()).withColumn("__x", normalised(F.col(vec))).drop(vec)
         hashed = F.xxhash64(name) if deal is None else F.xxhash64(deal)
         if block:
             held = held.where(F.col(block).isNotNull())
-            held = held.join(held.groupBy(block).agg(_parts(F.count(F.lit(1)), most).alias("__parts")), block)
+            held = held.join(held.groupBy(block).agg(_parts(F.count(F.lit(1)), size, few).alias("__parts")), block)
         else:
-            held = held.withColumn("__parts", _parts(F.lit(df.count()), most))
+            held = held.withColumn("__parts", _parts(F.lit(df.count()), size, few))
         sides.append(held.withColumn("__own", F.pmod(hashed, F.col("__parts")).cast("int")))
     asked, met = sides
     keys = [block] if block else []
@@ -69,19 +125,18 @@ def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vec
         return np.asarray(table.column("__x").combine_chunks().flatten().to_numpy(zero_copy_only=False), float).reshape(len(table), -1)
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        b = b.take(pa.array(np.argsort(b.column(row_id).to_numpy(), kind="stable")))
-        x = matrix(b).T if len(a) and len(b) else None
-        a_plain, b_plain = a.select(plain[0]), b.select(plain[1])
-        found = []
-        for at in range(0, len(a) if len(b) else 0, TILE_STEP):
-            some = a_plain.slice(at, TILE_STEP)
-            sims = np.round(matrix(a.slice(at, TILE_STEP)) @ x, digits) + 0.0
-            sims[np.isnan(sims)] = -np.inf
-            i, j, v = choose(some, b_plain, sims)
-            one, two = some.take(pa.array(i)), b_plain.take(pa.array(j))
-            found.append(pa.Table.from_arrays([*one.columns, *two.columns, pa.array(np.asarray(v, float))], names=out))
-        none = [*a_plain.slice(0, 0).columns, *b_plain.slice(0, 0).columns, pa.array([], pa.float64())]
-        return pa.concat_tables([pa.Table.from_arrays(none, names=out), *found])
+        none = [*a.select(plain[0]).slice(0, 0).columns, *b.select(plain[1]).slice(0, 0).columns, pa.array([], pa.float64())]
+        if not len(a) or not len(b):
+            return pa.Table.from_arrays(none, names=out)
+        sides = []
+        for table in (a, b.take(pa.array(np.argsort(b.column(row_id).to_numpy(), kind="stable")))):
+            x = matrix(table)
+            whole = np.flatnonzero(np.isfinite(x).all(axis=1))
+            sides.append((table.take(pa.array(whole)), x[whole]) if len(whole) < len(x) else (table, x))
+        (a, x), (b, y) = sides
+        a, b = a.select(plain[0]), b.select(plain[1])
+        i, j, v = choose(Tile(a, b, x, y, digits))
+        return pa.Table.from_arrays([*a.take(pa.array(i)).columns, *b.take(pa.array(j)).columns, pa.array(np.asarray(v, float))], names=out)
 
     return left.groupBy(*[f"__{c}" for c in ("b", "i", "j") if c != "b" or block]).cogroup(right.groupBy(*[f"__{c}" for c in ("b", "i", "j") if c != "b" or block])).applyInArrow(run, schema)
 
@@ -99,22 +154,53 @@ def _first_k(sims: np.ndarray, k: int) -> np.ndarray:
     return keep & (sims > -np.inf)
 
 
-def best_rows(k: int, keys: Sequence[str] = (), fits: Callable[[pa.Table, pa.Table, np.ndarray], np.ndarray] | None = None) -> Chooser:
-    """The k most similar rows of each query (and each of the row's keys), of those cells that fit."""
+def _kth(sims: np.ndarray, k: int) -> np.ndarray:
+    """Of each line a value that at least k cells reach, near the k-th greatest: the k-th of the maxima of disjoint sets of cells."""
+    width = max(1, min(64, sims.shape[1] // (4 * k)))
+    n = sims.shape[1] // width
+    if n < k:
+        return np.full(len(sims), -np.inf, np.float32)
+    sets = np.lib.stride_tricks.as_strided(sims, (len(sims), width, n), (sims.strides[0], n * sims.strides[1], sims.strides[1]))
+    return np.partition(sets.max(axis=1), n - k, axis=1)[:, n - k]
+
 
-    def choose(a: pa.Table, b: pa.Table, sims: np.ndarray):
-        if fits is not None:
-            sims = np.where(fits(a, b, sims), sims, -np.inf)
-        if not keys:
-            i, j = np.nonzero(_first_k(sims, k))
-            return i, j, sims[i, j]
-        of = b.select(list(keys)).to_pandas().groupby(list(keys), dropna=False).ngroup().to_numpy()
+def best_rows(k: int, keys: Sequence[str] = (), least: float | Callable[[pa.Table], np.ndarray] | None = None, apart: tuple[str, str] | None = None) -> Chooser:
+    """The k most similar rows of each query (and each of the row's keys), of those of at least `least`, which may differ by row.
+
+    apart: columns of queries and rows; pairs of equal ones are left out.
+    """
+
+    def choose(t: Tile):
+        low = np.full(len(t.rows), -np.inf) if least is None else np.broadcast_to(least(t.rows) if callable(least) else least, len(t.rows)).astype(float)
+        own = [t.queries.column(apart[0]).to_numpy(), t.rows.column(apart[1]).to_numpy()] if apart else None
         found = []
-        for g in np.unique(of):
-            at = np.flatnonzero(of == g)
-            i, j = np.nonzero(_first_k(sims[:, at], k))
-            found.append((i, at[j], sims[i, at[j]]))
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        for rows in _groups(t.rows, keys):
+            floor = low[rows].astype(np.float32)
+            for queries, sims in t.steps(np.arange(len(t.queries)), rows):
+                reached = _kth(sims, k + bool(apart))  # a query itself may be one of them
+                if (reached < floor.max() + t.off).any():  # by rows that may not count
+                    reached = _kth(np.where(sims >= floor + t.off, sims, np.float32(-np.inf)), k + bool(apart))
+                near = sims >= np.maximum(reached, floor.min())[:, None] - 2 * t.off
+                if np.count_nonzero(near) * FEW > near.size:  # many alike
+                    whole = t.all_exact(queries, rows)
+                    fits = whole >= low[rows]
+                    if own:
+                        fits &= own[0][queries][:, None] != own[1][rows]
+                    i, j = _cells(_first_k(np.where(fits, whole, -np.inf), k))
+                    found.append((queries[i], rows[j], whole[i, j]))
+                    continue
+                i, j = _cells(near)
+                i, j = queries[i], rows[j]
+                v = t.exact(i, j)
+                fits = v >= low[j]
+                if own:
+                    fits &= own[0][i] != own[1][j]
+                i, j, v = i[fits], j[fits], v[fits]
+                order = np.lexsort((j, -v, i))
+                i, j, v = i[order], j[order], v[order]
+                keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+                found.append((i[keep], j[keep], v[keep]))
+        return _together(found)
 
     return choose
 
@@ -122,16 +208,29 @@ def best_rows(k: int, keys: Sequence[str] = (), fits: Callable[[pa.Table, pa.Tab
 def best_queries(least: float, key: str | None = None) -> Chooser:
     """Each row's most similar query (of each of the query's key) of at least `least`."""
 
-    def choose(a: pa.Table, b: pa.Table, sims: np.ndarray):
-        of = np.zeros(len(a), int) if key is None else pd.factorize(a.column(key).to_pandas(), use_na_sentinel=False)[0]
+    def choose(t: Tile):
         found = []
-        for g in np.unique(of):
-            at = np.flatnonzero(of == g)
-            top = sims[at].argmax(axis=0)
-            best = sims[at[top], np.arange(len(b))]
+        for queries in _groups(t.queries, [key] if key else []):
+            seen = np.full(len(t.rows), least, np.float32)  # the greatest quick similarity of each row so far
+            best, whose = np.full(len(t.rows), -np.inf), np.zeros(len(t.rows), int)
+            for some, sims in t.steps(queries, np.arange(len(t.rows))):
+                np.maximum(seen, sims.max(axis=0), out=seen)
+                near = sims >= seen - 2 * t.off
+                if np.count_nonzero(near) * FEW > near.size:  # many alike
+                    whole = t.all_exact(some, np.arange(len(t.rows)))
+                    i, j = whole.argmax(axis=0), np.arange(len(t.rows))
+                    i, v = some[i], whole[i, j]
+                else:
+                    i, j = _cells(near)
+                    i = some[i]
+                    v = t.exact(i, j)
+                better = np.flatnonzero((v > best[j]) & (v >= least))
+                i, j, v = i[better], j[better], v[better]
+                order = np.lexsort((-i, v))  # the last one stays: the greatest, of equal ones the first query
+                best[j[order]], whose[j[order]] = v[order], i[order]
             j = np.flatnonzero(best >= least)
-            found.append((at[top[j]], j, best[j]))
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+            found.append((whose[j], j, best[j]))
+        return _together(found)
 
     return choose
 
@@ -139,8 +238,13 @@ def best_queries(least: float, key: str | None = None) -> Chooser:
 def count_rows(least: float) -> Chooser:
     """Each query with the number of rows of at least `least`, as the value; the row means nothing."""
 
-    def choose(a: pa.Table, b: pa.Table, sims: np.ndarray):
-        n = (sims >= least).sum(axis=1)
+    def choose(t: Tile):
+        n = np.zeros(len(t.queries), int)
+        for queries, sims in t.steps(np.arange(len(t.queries)), np.arange(len(t.rows))):
+            near = sims >= np.float32(least) - 2 * t.off
+            n[queries] = np.count_nonzero(near, axis=1)
+            i, j = _cells(near & (sims < np.float32(least) + 2 * t.off))
+            np.subtract.at(n, queries[i[t.exact(queries[i], j) < least]], 1)
         i = np.flatnonzero(n)
         return i, np.zeros(len(i), int), n[i]
 
@@ -150,19 +254,32 @@ def count_rows(least: float) -> Chooser:
 def some_pair(over: float, query_key: str, row_key: str) -> Chooser:
     """One pair over `over` of each two keys, of query and row, that have one."""
 
-    def choose(a: pa.Table, b: pa.Table, sims: np.ndarray):
-        i, j = np.nonzero(sims > over)
-        keys = [pd.factorize(t.column(c).to_pandas(), use_na_sentinel=False)[0] for t, c in ((a, query_key), (b, row_key))]
-        _, first = np.unique(keys[0][i].astype(np.int64) * (len(b) + 1) + keys[1][j], return_index=True)
-        return i[first], j[first], sims[i[first], j[first]]
+    def choose(t: Tile):
+        keys = [pd.factorize(x.column(c).to_pandas(), use_na_sentinel=False)[0].astype(np.int64) for x, c in ((t.queries, query_key), (t.rows, row_key))]
+        found, known = [], np.zeros(0, np.int64)
+        for queries, sims in t.steps(np.arange(len(t.queries)), np.arange(len(t.rows))):
+            i, j = _cells(sims > np.float32(over) - 2 * t.off)
+            i = queries[i]
+            pair = keys[0][i] * (len(t.rows) + 1) + keys[1][j]
+            new = np.flatnonzero(~np.isin(pair, known))
+            i, j, pair = i[new], j[new], pair[new]
+            v = t.exact(i, j)
+            i, j, v, pair = (x[v > over] for x in (i, j, v, pair))
+            pairs, first = np.unique(pair, return_index=True)
+            known = np.concatenate([known, pairs])
+            found.append((i[first], j[first], v[first]))
+        return _together(found)
 
     return choose
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None = None, vec_id: str = "vec_id", vector: str = "e", query_id: str = "query_id", query_vector: str = "qe", keys: Sequence[str] = (), fits: Callable[[pa.Table, pa.Table, np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """(query_id, vec_id, keys, sim): what search finds, for query sets that grow with the rows; in tiles."""
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, threshold: float | None = None, vec_id: str = "vec_id", vector: str = "e", query_id: str = "query_id", query_vector: str = "qe", keys: Sequence[str] = (), least: Callable[[pa.Table], np.ndarray] | None = None, apart: bool = False) -> DataFrame:
+    """(query_id, vec_id, keys, sim): what search finds, for query sets that grow with the rows; in tiles.
+
+    least gives what a row must reach, by its id; apart: a query of the same id as a row doesn't find it.
+    """
     rows = vectors.select(vec_id, vector, *keys)
-    hits = tiled(rows, queries.select(query_id, query_vector), best_rows(k, keys, fits), vec_id, vector, query_id, query_vector)
+    hits = tiled(rows, queries.select(query_id, query_vector), best_rows(k, keys, threshold if least is None else least, (query_id, vec_id) if apart else None), vec_id, vector, query_id, query_vector)
     best = top_per_group(hits, [query_id, *keys], [F.col("sim").desc(), F.col(vec_id)], k)
     return best if threshold is None else best.where(F.col("sim") >= threshold)
 
