@@ -21,6 +21,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,12 @@ SALTS = 16
 
 
 def _words(text: bytes) -> Iterator[list[bytes]]:
-    found = _TERM.finditer(text.lower())  # bytes: only A-Z are lowered
+    low = text.lower()  # bytes: only A-Z are lowered
+    if len(low) <= WORDS_AT_ONCE:
+        if part := _TERM.findall(low):
+            yield part
+        return
+    found = _TERM.finditer(low)
     while part := [m.group() for m in islice(found, WORDS_AT_ONCE)]:
         yield part
 
@@ -51,12 +57,15 @@ def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "sour
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def handed() -> pa.RecordBatch:
-            rows = [(g[0], g[1], t, k, of[g][t]) for g, held in n.items() for t, k in held.items()]
-            rows += [(*g, None, 0, 0) for g in n]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-            arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
-            arrays[2] = arrays[2].cast(pa.string())
+            sizes = np.array([len(held) + 1 for held in n.values()], np.int64)
+            which = pa.array(np.repeat(np.arange(len(n)), sizes))
+            lang, source = (pa.array([g[i] for g in n], pa.string()).take(which) for i in (0, 1))
+            terms, counts, held_by = [], [], []
+            for total, with_it in zip(n.values(), of.values(), strict=True):  # both have a group from its first document on
+                terms += [*total, None]
+                counts += [*total.values(), 0]
+                held_by += [*map(with_it.__getitem__, total), 0]
+            arrays = [lang, source, pa.array(terms, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(held_by, pa.int64())]
             return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "docs"])
 
         n, of, size = defaultdict(Counter), defaultdict(Counter), 0
