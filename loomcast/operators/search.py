@@ -8,6 +8,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ QUERY_BLOCK = 1000
 TILE_QUERIES, TILE_ROWS, TILE_STEP = 32768, 65536, 1 << 22
 #: Pairs whose similarity is worked out exactly at once; of a step's pairs, one in so many at most is taken out before all are worked out exactly.
 PAIRS_AT_ONCE, FEW = 1 << 16, 16
+#: Rows of a group that diverse chooses from in one task.
+GROUP_AT_ONCE = 1 << 14
 
 
 class Tile:
@@ -330,34 +333,64 @@ def select_top(df: DataFrame, score: str, row_id: str, n: int) -> DataFrame:
     return top(df, [F.col(score).desc(), F.col(row_id)], n)
 
 
-def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight: float = 0.5, keys: Sequence[str] = (), small_whole: bool = True) -> DataFrame:
+def _greedy(table: pa.Table, score: str, vector: str, row_id: str, n: int, weight: float) -> pa.Table:
+    """(__uid, picked): diverse's choice from one group that fits a task; sums in the order that dot takes."""
+    keys = [(score, "descending"), (row_id, "ascending"), ("__uid", "ascending")]  # ties: the better score, then the smaller id
+    table = table.take(pc.sort_indices(table, sort_keys=keys, null_placement="at_start"))
+    static = np.asarray(table.column(score).cast(pa.float64()))
+    x = np.ascontiguousarray(np.asarray(table.column(vector).combine_chunks().flatten()).reshape(len(table), -1).T)
+    left, nearest, chosen = np.ones(len(table), bool), None, []
+    for _ in range(min(n, len(table))):
+        gain = static + (0.0 if nearest is None else weight * (1 - nearest))
+        best = int(np.where(left, gain, -np.inf).argmax())
+        left[best] = False
+        chosen.append(best)
+        near = np.zeros(len(table))
+        for line in x:
+            near += line * line[best]
+        nearest = near if nearest is None else np.maximum(nearest, near)
+    return pa.table({"__uid": table.column("__uid").take(pa.array(chosen, pa.int64())), "picked": pa.array(range(1, len(chosen) + 1), pa.int32())})
+
+
+def diverse(df: DataFrame, score: str, vector: str, row_id: str, n: int, weight: float = 0.5, keys: Sequence[str] = (), small_whole: bool = True, at_once: int = GROUP_AT_ONCE) -> DataFrame:
     """Greedy: the best static score first, then static score + weight * (1 - largest dot product with the chosen).
 
-    All rows are candidates. A pass for each place takes every group's best row and
-    updates the largest dot products, so that no task holds a group; each is one job that
-    ends in a reliable checkpoint. Groups of at most n rows come back whole, rows without a vector
+    All rows are candidates. A group of at most at_once rows, all of plain numbers, is
+    chosen from in one task. For others a pass for each place takes every group's best row
+    and updates the largest dot products, so that no task holds a group; each is one job that
+    ends in a reliable checkpoint. Only ids, scores and vectors go through this; other
+    columns are joined to what was chosen. Groups of at most n rows come back whole, rows without a vector
     too, unless small_whole is false. Adds picked, the place in the choice, from 1.
     """
     group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     rows = df.withColumn("__group", F.to_json(group, {"ignoreNullFields": "false"}))
-    sizes = rows.groupBy("__group").agg(F.count(F.lit(1)).alias("__size"))
-    rows = reliable(rows.join(sizes, "__group"))
+    known = lambda x: F.coalesce(F.abs(x.cast("double")) < 1e100, F.lit(False))
+    wide = F.col(vector).isNotNull()
+    plain = F.coalesce(F.bool_and(F.when(wide, F.forall(vector, known) & known(F.col(score)))), F.lit(True))
+    one = F.coalesce(F.min(F.when(wide, F.size(vector))) == F.max(F.when(wide, F.size(vector))), F.lit(True))
+    here = (F.count(F.lit(1)) <= at_once) & plain & one
+    sizes = rows.groupBy("__group").agg(F.count(F.lit(1)).alias("__size"), here.alias("__here"))
+    rows = reliable(rows.join(sizes, "__group")).withColumn("__uid", F.monotonically_increasing_id())
     whole = (F.col("__size") <= n) if small_whole else F.lit(False)
     small = rows.where(whole)
     place = F.row_number().over(Window.partitionBy("__group").orderBy(F.col(score).desc(), F.col(row_id)))
     parts = [small.withColumn("picked", place).select(*df.columns, "picked")]
-    left = rows.where(~whole & F.col(vector).isNotNull()).withColumns({"__uid": F.monotonically_increasing_id(), "__nearest": F.lit(None).cast("double"), "picked": F.lit(None).cast("int")})
-    left = reliable(left)
-    for at in range(1, n + 1):
-        gain = F.col(score).cast("double") + F.coalesce(weight * (1 - F.col("__nearest")), F.lit(0.0))
-        # min_by of the gain turned round; ties go to the better static score, then to the smaller id
-        rank = F.struct((-gain).alias("g"), (-F.col(score)).alias("s"), F.col(row_id).alias("i"), F.col("__uid").alias("u"))
-        best = left.where("picked is null").groupBy("__group").agg(F.min_by(F.struct("__uid", vector), rank).alias("__b"))
-        joined = left.join(best, "__group", "left")  # no best: the group is used up
-        picked = F.when(F.col("picked").isNull() & (F.col("__uid") == F.col("__b.__uid")), at).otherwise(F.col("picked"))
-        near = F.when(F.col("__b").isNotNull(), F.greatest(F.col("__nearest"), dot(F.col(vector), F.col("__b")[vector]))).otherwise(F.col("__nearest"))
-        left = reliable(joined.withColumns({"picked": picked, "__nearest": near}).drop("__b"))
-    parts.append(left.where("picked is not null").select(*df.columns, "picked"))
+    left = rows.where(~whole & wide).select("__uid", "__group", "__here", F.col(score), *([F.col(row_id)] if row_id != score else []), F.col(vector))
+    chosen = left.where("__here").drop("__here").groupBy("__group").applyInArrow(lambda t: _greedy(t, score, vector, row_id, n, weight), "__uid long, picked int")
+    left = left.where("not __here").drop("__here")
+    if not left.isEmpty():
+        left = reliable(left.withColumns({"__nearest": F.lit(None).cast("double"), "picked": F.lit(None).cast("int")}))
+        for at in range(1, n + 1):
+            gain = F.col(score).cast("double") + F.coalesce(weight * (1 - F.col("__nearest")), F.lit(0.0))
+            # min_by of the gain turned round; ties go to the better static score, then to the smaller id
+            rank = F.struct((-gain).alias("g"), (-F.col(score)).alias("s"), F.col(row_id).alias("i"), F.col("__uid").alias("u"))
+            best = left.where("picked is null").groupBy("__group").agg(F.min_by(F.struct("__uid", vector), rank).alias("__b"))
+            joined = left.join(best, "__group", "left")  # no best: the group is used up
+            picked = F.when(F.col("picked").isNull() & (F.col("__uid") == F.col("__b.__uid")), at).otherwise(F.col("picked"))
+            near = F.when(F.col("__b").isNotNull(), F.greatest(F.col("__nearest"), dot(F.col(vector), F.col("__b")[vector]))).otherwise(F.col("__nearest"))
+            left = reliable(joined.withColumns({"picked": picked, "__nearest": near}).drop("__b"))
+        chosen = chosen.unionByName(left.where("picked is not null").select("__uid", "picked"))
+    parts.append(rows.join(chosen, "__uid").select(*df.columns, "picked"))
     return reduce(DataFrame.unionByName, parts)
 
 
