@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomcast.functions.vectors import dot, normalised
+from loomcast.functions.vectors import normalised
+from loomcast.operators.search import best_rows, tiled
 from loomcast.operators.windows import top_per_group
 
 #: At most so many rows are read to place the centroids, the first in an order by a hash of their ids; every row is indexed.
@@ -53,7 +54,7 @@ def _with_cells(rows: DataFrame, cells: Cells, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit = np.array(batch.column(at).to_pylist(), float).reshape(batch.num_rows, -1)
+            unit = np.asarray(batch.column(at).flatten().to_numpy(zero_copy_only=False), float).reshape(batch.num_rows, -1)
             near = cells.nearest(unit, n) if batch.num_rows else np.zeros((0, 0), int)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.tolist(), pa.list_(pa.int32()))], names=[*batch.schema.names, "cells"])
 
@@ -69,11 +70,13 @@ def build(vectors: DataFrame, cells: Cells, vec_id: str = "vec_id", vector: str
 def search(index: DataFrame, queries: DataFrame, cells: Cells, k: int, visit: int = 12, query_id: str = "query_id", query_vector: str = "qe", keys: Sequence[str] = ()) -> DataFrame:
     """(query_id, keys, id, sim): the k most similar rows in the `visit` cells nearest to each query, for each of keys if given.
 
-    An equi-join on the cell; similarity is computed exactly for the rows met.
+    Queries and rows meet by cell, in tiles as in the exact search: quick similarities
+    choose, what may count is worked out exactly, and k rows a query leave a tile.
     """
     asked = queries.where(F.col(query_vector).isNotNull()).select(F.col(query_id).alias("q"), normalised(F.col(query_vector)).alias("x"))
     asked = _with_cells(asked, cells, visit).select("q", F.col("x").alias("y"), F.explode("cells").alias("cell"))
-    met = index.join(asked, "cell").select(F.col("q").alias(query_id), *keys, "id", F.round(dot(F.col("x"), F.col("y")), 6).alias("sim"))
+    met = tiled(index.select("cell", "id", "x", *keys), asked, best_rows(k, keys), "id", "x", "q", "y", block="cell", few=(1, 1))
+    met = met.select(F.col("q").alias(query_id), *keys, "id", "sim")
     return top_per_group(met, [query_id, *keys], [F.col("sim").desc(), F.col("id")], k)
 
 

@@ -88,25 +88,26 @@ def _parts(count: Column, most: int, few: int = 8) -> Column:
     return F.greatest(F.lit(1), F.ceil(count / most), F.least(F.lit(few), F.ceil(count / 1024))).cast("int")
 
 
-def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vector: str, query_id: str, query_vector: str, value: str = "sim", block: str | None = None, part: Column | None = None, digits: int = 6, most: int | None = None) -> DataFrame:
+def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vector: str, query_id: str, query_vector: str, value: str = "sim", block: str | None = None, part: Column | None = None, digits: int = 6, most: int | None = None, few: tuple[int, int] = (2, 16)) -> DataFrame:
     """Columns of queries and rows but for the vectors, and value, of what choose takes of each tile; cosine, rounded.
 
     Rows and queries are dealt into parts by hash (queries by `part` if given), and each part of
     one meets each of the other in a task, as matrices, some queries at once: the work is
     that of all pairs, what a task holds is bounded, and only what choose takes leaves it.
     block names a column of both; then only equal ones meet. Rows and queries without a
-    vector are left out. A tile's rows lie in the order of their ids.
+    vector are left out. A tile's rows lie in the order of their ids. few: up to so many
+    parts of queries and of rows are made of what would fit one, for the sake of more tasks.
     """
     sides = []
-    for df, name, vec, deal, usual, some in ((queries, query_id, query_vector, part, TILE_QUERIES, 2), (rows, row_id, vector, None, TILE_ROWS, 16)):
-        size, few = (most, 8) if most else (usual, some)  # queries are few: their parts are what the rows are copied for
+    for df, name, vec, deal, usual, some in ((queries, query_id, query_vector, part, TILE_QUERIES, few[0]), (rows, row_id, vector, None, TILE_ROWS, few[1])):
+        size, parts = (most, 8) if most else (usual, some)  # queries are few: their parts are what the rows are copied for
         held = df.where(F.col(vec).isNotNull()).withColumn("__x", normalised(F.col(vec))).drop(vec)
         hashed = F.xxhash64(name) if deal is None else F.xxhash64(deal)
         if block:
             held = held.where(F.col(block).isNotNull())
-            held = held.join(held.groupBy(block).agg(_parts(F.count(F.lit(1)), size, few).alias("__parts")), block)
+            held = held.join(held.groupBy(block).agg(_parts(F.count(F.lit(1)), size, parts).alias("__parts")), block)
         else:
-            held = held.withColumn("__parts", _parts(F.lit(df.count()), size, few))
+            held = held.withColumn("__parts", _parts(F.lit(df.count()), size, parts))
         sides.append(held.withColumn("__own", F.pmod(hashed, F.col("__parts")).cast("int")))
     asked, met = sides
     keys = [block] if block else []
