@@ -71,14 +71,14 @@ def subtitles(spark: SparkSession, path: str) -> DataFrame:
 
 def aliases(spark: SparkSession, path: str) -> DataFrame:
     """(alias, name) of a simple YAML mapping of names to lists: `name:` lines and `- alias` lines below each."""
-    lines = spark.read.text(path, wholetext=True).select(F.split("value", "\n").alias("lines"))
-    def step(acc: Column, line: Column) -> Column:
-        name = F.regexp_extract(line, r"^([^\s#:-][^:]*):\s*$", 1)
-        alias = F.trim(F.regexp_replace(F.regexp_extract(line, r"^\s*-\s*(.+?)\s*$", 1), "[\"']", ""))
-        now = F.when(name != "", name).otherwise(acc["now"])
-        return F.struct(now.alias("now"), F.when(alias != "", F.concat(acc["out"], F.array(F.struct(alias.alias("alias"), now.alias("name"))))).otherwise(acc["out"]).alias("out"))
-    start = F.struct(F.lit(None).cast("string").alias("now"), F.array().cast("array<struct<alias:string,name:string>>").alias("out"))
-    return lines.select(F.inline(F.aggregate("lines", start, step, lambda a: a["out"])))
+    whole = spark.read.text(path, wholetext=True).select(F.concat(F.lit("\n"), "value").alias("value"))
+    # A file is parted before each name's line, so that its lines are looked at once; what stands before the first has no name.
+    heads = F.split("value", r"\n(?=[^\s#:-][^:\n]*:\s*(?:\n|$))")
+    blocks = whole.select(F.posexplode(heads).alias("at", "block")).select("at", F.split("block", "\n").alias("lines"))
+    name = F.when(F.col("at") > 0, F.regexp_extract(F.col("lines")[0], r"^([^\s#:-][^:]*):\s*$", 1))
+    alias = lambda line: F.trim(F.regexp_replace(F.regexp_extract(line, r"^\s*-\s*(.+?)\s*$", 1), "[\"']", ""))
+    said = blocks.select(F.explode(F.filter(F.transform("lines", alias), lambda x: x != "")).alias("alias"), name.alias("name"))
+    return said.select("alias", "name")
 
 
 def chart_rows(pages: DataFrame, html: str, row: str) -> DataFrame:
