@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,14 +60,24 @@ def title_ratio(a: str | None, b: str | None, least: float = 0.0) -> float | Non
     return match.ratio() if match.real_quick_ratio() >= least and match.quick_ratio() >= least else 0.0
 
 
-@F.pandas_udf(T.StringType())
-def clean_artifacts(texts: pd.Series) -> pd.Series:
-    return texts.map(clean_artifacts_text)
+#: Texts that are Python strings at once, within a batch.
+TEXTS_AT_ONCE = 64
 
 
-@F.pandas_udf(T.StringType())
-def cap_ngram_runs(texts: pd.Series) -> pd.Series:
-    return texts.map(cap_ngram_runs_text)
+def in_slices(texts: pa.Array, change: Callable[[str | None], str | None]) -> pa.Array:
+    """change of each text; of a batch only some texts at a time are Python strings."""
+    parts = [pa.array([change(t) for t in texts.slice(at, TEXTS_AT_ONCE).to_pylist()], pa.string()) for at in range(0, len(texts), TEXTS_AT_ONCE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+
+@F.arrow_udf(T.StringType())
+def clean_artifacts(texts: pa.Array) -> pa.Array:
+    return in_slices(texts, clean_artifacts_text)
+
+
+@F.arrow_udf(T.StringType())
+def cap_ngram_runs(texts: pa.Array) -> pa.Array:
+    return in_slices(texts, cap_ngram_runs_text)
 
 
 def title_ratios(a: Sequence[str | None], b: Sequence[str | None], least: float = 0.0) -> list[float | None]:
