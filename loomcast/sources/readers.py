@@ -43,7 +43,7 @@ def feed_items(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """(content_id, chunk_index, start, end, text) of JSON transcripts, plain or gzip, one document a file."""
+    """(content_id, chunk_index, start, end, text) of JSON transcripts, plain or gzip: a document or an array of documents a file."""
     rows = spark.read.schema(TRANSCRIPT).option("multiLine", True).json(path)
     return rows.select("content_id", "chunk_index", F.inline("segments"))
 
@@ -59,14 +59,17 @@ def seconds(stamp: Column) -> Column:
     return F.aggregate(F.split(F.regexp_replace(stamp, ",", "."), ":"), F.lit(0.0), lambda s, x: s * 60 + x.cast("double"))
 
 
-def subtitles(spark: SparkSession, path: str) -> DataFrame:
-    """(path, n, start, end, text) of WebVTT files; tags are dropped and lines joined."""
-    files = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
+def subtitle_cues(documents: DataFrame, key: str, whole: str) -> DataFrame:
+    """(key, n, start, end, text) of WebVTT documents, one a row; tags are dropped and lines joined."""
     cue = r"(?s)((?:\d+:)?\d{2}:\d{2}[.,]\d{3}) --> ((?:\d+:)?\d{2}:\d{2}[.,]\d{3})[^\n]*\n(.*?)(?=\n\s*\n|\z)"
-    whole = F.col("value")
-    cues = files.select("path", F.posexplode(F.arrays_zip(*[F.regexp_extract_all(whole, F.lit(cue), F.lit(i)).alias(n) for i, n in ((1, "a"), (2, "b"), (3, "t"))])).alias("n", "c"))
+    cues = documents.select(key, F.posexplode(F.arrays_zip(*[F.regexp_extract_all(F.col(whole), F.lit(cue), F.lit(i)).alias(n) for i, n in ((1, "a"), (2, "b"), (3, "t"))])).alias("n", "c"))
     text = F.trim(F.regexp_replace(F.regexp_replace("c.t", r"<[^>]*>", ""), r"\s+", " "))
-    return cues.select("path", "n", seconds(F.col("c.a")).alias("start"), seconds(F.col("c.b")).alias("end"), text.alias("text"))
+    return cues.select(key, "n", seconds(F.col("c.a")).alias("start"), seconds(F.col("c.b")).alias("end"), text.alias("text"))
+
+
+def subtitles(spark: SparkSession, path: str) -> DataFrame:
+    """(path, n, start, end, text) of WebVTT files."""
+    return subtitle_cues(spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name()), "path", "value")
 
 
 def aliases(spark: SparkSession, path: str) -> DataFrame:
