@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomcast.operators.reliable import dealt
+
 
 def semi(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     return left.join(right, on, "left_semi")
@@ -36,11 +38,20 @@ def explode_lookup(left: DataFrame, array_col: str, right: DataFrame, right_key:
     return left.join(held.select(key, F.col(f"__found.{value}").alias(out)), key, "left")
 
 
+#: Pairs that co_appearance expects of a row, when it deals them to tasks.
+PAIRS_A_ROW = 4
+
+
 def co_appearance(df: DataFrame, group: str, member: str) -> DataFrame:
-    """(a, b, together): pairs of members by the number of groups that hold both."""
-    once = df.select(group, member).where(F.col(member).isNotNull()).distinct()
-    pairs = once.withColumnRenamed(member, "a").join(once.withColumnRenamed(member, "b"), group).where("a < b")
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("together"))
+    """(a, b, together): pairs of members by the number of groups that hold both.
+
+    Rows and pairs are dealt to tasks whose number grows with the rows.
+    """
+    rows = df.select(group, member).where(F.col(member).isNotNull() & F.col(group).isNotNull())
+    n = rows.count()
+    once = dealt(rows, n, group).distinct()
+    pairs = once.withColumnRenamed(member, "a").join(once.withColumnRenamed(member, "b"), group).where("a < b").select("a", "b")
+    return dealt(pairs, PAIRS_A_ROW * n, "a", "b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("together"))
 
 
 def _in_buckets(df: DataFrame, start: str, end: str, width: float, pad: float = 0.0) -> DataFrame:

@@ -39,6 +39,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows that a task takes in where `dealt` deals them.
+ROWS_A_TASK = 500_000
+
+
+def dealt(df: DataFrame, n_rows: int, *by: str) -> DataFrame:
+    """df dealt by hash to tasks of about ROWS_A_TASK of its n_rows rows, so that what a task holds doesn't grow with the table.
+
+    What follows groups or joins by these columns without another shuffle, and nothing is
+    combined before it: where most rows have a key of their own, that takes memory and
+    saves nothing.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows // ROWS_A_TASK)), *by)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the file system that Spark writes to."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
