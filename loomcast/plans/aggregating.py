@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomcast.functions import scores as S
 from loomcast.operators import aggregates as A
 from loomcast.operators import windows as Wn
+from loomcast.operators.reliable import dealt
 from loomcast.operators.windows import top, top_per_group
 from loomcast.plans.registry import Tables, query
 
@@ -123,8 +124,11 @@ k AS (SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY episodes DES
 def regular_speakers(spark: SparkSession, d: str) -> DataFrame:
     """Of each channel the eight speakers of most episodes, two at least."""
     t = Tables(spark, d)
-    heard = t.segments.join(t.content.select("content_id", "channel_id"), "content_id")
-    counts = heard.groupBy("channel_id", "speaker_id").agg(F.count_distinct("content_id").alias("episodes")).where("episodes >= 2")
+    n_rows = t.segments.count()
+    heard = dealt(t.segments.select("content_id", "speaker_id"), n_rows, "content_id").join(dealt(t.content.select("content_id", "channel_id"), n_rows, "content_id"), "content_id")
+    # Nearly every row is a group of its own until all have met: dealt first, so that no task's groups grow with the table.
+    met = dealt(heard, n_rows, "channel_id", "speaker_id")
+    counts = met.groupBy("channel_id", "speaker_id").agg(F.count_distinct("content_id").alias("episodes")).where("episodes >= 2")
     return top_per_group(counts, ["channel_id"], [F.col("episodes").desc(), F.col("speaker_id")], 8)
 
 
