@@ -109,9 +109,9 @@ def maintained_totals(spark: SparkSession, d: str) -> DataFrame:
     signed = lambda rows, sign: rows.select("speaker_id", "content_id", "segment_date", F.col("length").cast("decimal(18,2)").alias("length"), F.lit(sign).alias("sign"))
     path, changed = folder(spark), F.col("status") == "F"
     for rows in (signed(old, 1), signed(old.where(changed), -1).unionByName(signed(new.where(changed), 1)), signed(new.where("emotion = 'R'"), -1)):
-        rows.repartition(8).write.mode("append").parquet(f"{path}/feed")
-    stream = St.read_files(spark, f"{path}/feed", signed(old, 1).schema, 8)
-    out = run_maintained(stream, f"{path}/kept", "speaker_id", "content_id", "segment_date", "length")
+        rows.write.mode("append").parquet(f"{path}/feed")  # as many files as the input has parts; what has come since the last run is a batch
+        stream = spark.readStream.schema(signed(old, 1).schema).parquet(f"{path}/feed")
+        out = run_maintained(stream, f"{path}/kept", "speaker_id", "content_id", "segment_date", "length")
     return out.select("speaker_id", "n", F.col("total").cast("double").alias("total"), "units", "last_unit")
 
 

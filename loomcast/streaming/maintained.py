@@ -14,9 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomcast.operators.reliable import cut
-
 BUCKETS = 32
+#: Parts of a bucket that are written apart.
+SHARES = 4
 
 
 def at_state(spark: SparkSession, path: str, table: str, number: int) -> DataFrame:
@@ -37,17 +37,18 @@ def maintained_sink(path: str, key: str, unit: str, at: str, value: str, sign: s
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         by = [key, unit, at]
-        change = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).groupBy("bucket", *by)
-        change = cut(change.agg(F.sum(sign).alias("n"), F.sum(F.col(value) * F.col(sign)).alias("total")))
-        touched = [r.bucket for r in change.select("bucket").distinct().collect()]  # at most `buckets`
-        rows = change
+        signed = batch.select(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"), *by, F.col(sign).cast("long").alias("n"), (F.col(value) * F.col(sign)).alias("total"))
+        kind = signed.agg(F.sum("total").alias("total")).schema["total"].dataType
+        rows = signed.withColumn("total", F.col("total").cast(kind))
+        touched = [r.bucket for r in rows.select("bucket").distinct().collect()]  # at most `buckets`
         if number:
             old = at_state(spark, path, "rows", number - 1).where(F.col("bucket").isin(touched))
-            rows = old.unionByName(change).groupBy("bucket", *by).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-        kind = change.schema["total"].dataType
-        rows = rows.withColumn("total", F.col("total").cast(kind)).where("n <> 0").withColumn("version", F.lit(number))
-        # Ranges within a bucket, so that a key with most of the rows is written by several tasks.
-        rows.repartitionByRange("bucket", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(f"{path}/rows")
+            rows = rows.unionByName(old.select(rows.columns))
+        # Old and new rows meet in one shuffle and are written from it. A bucket is dealt by unit too, so that a key with most of the rows is written by several tasks.
+        rows = rows.withColumn("share", F.pmod(F.xxhash64(unit), F.lit(SHARES)).cast("int")).repartition("bucket", "share")
+        rows = rows.groupBy("bucket", "share", *by).agg(F.sum("n").alias("n"), F.sum("total").cast(kind).alias("total")).drop("share")
+        rows = rows.where("n <> 0").withColumn("version", F.lit(number))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(f"{path}/rows")
         empty = spark.createDataFrame([(b, number) for b in touched], "bucket int, version int")
         if number:
             before = spark.read.parquet(f"{path}/manifest/state={number - 1}")
