@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomcast.functions.vectors import cosine
 from loomcast.operators import aggregates as A
 from loomcast.operators import joins as J
-from loomcast.operators.fuzzy import fuzzy_matches, plain_title
+from loomcast.operators.fuzzy import best_matches, plain_title
 from loomcast.operators.search import some_pair, tiled
 from loomcast.operators.windows import top_per_group
 from loomcast.plans.registry import Tables, query
@@ -331,8 +331,4 @@ def fuzzy_match(spark: SparkSession, d: str) -> DataFrame:
     site = F.regexp_extract(F.lower("url"), r"://[^/?#]*?([^./?#:]+\.[^./?#:]+)(?::[0-9]*)?(?:[/?#]|$)", 1)
     title = plain_title(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1))
     pages = raw.select(site.alias("key"), title.alias("title"), "page_id", F.length("html").alias("length"))
-    found = fuzzy_matches(pages, pages.toDF("key", "other_title", "other_id", "other_length")).where("page_id <> other_id")
-    apart = F.abs(F.col("page_id") - F.col("other_id"))
-    bonus = F.when(apart <= 7, 0.15).when(apart <= 14, 0.10).when(apart <= 30, 0.05).otherwise(0.0) + F.when(F.abs(F.col("length") - F.col("other_length")) <= 0.1 * F.col("length"), 0.1).otherwise(0.0)
-    scored_pairs = found.withColumn("score", F.round(F.col("ratio") + bonus, 6))
-    return top_per_group(scored_pairs, ["page_id"], [F.col("score").desc(), F.col("other_id")]).select("page_id", "other_id", "score")
+    return best_matches(pages, "page_id", "length")
