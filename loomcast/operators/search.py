@@ -23,6 +23,8 @@ QUERY_BLOCK = 1000
 TILE_QUERIES, TILE_ROWS, TILE_STEP = 32768, 65536, 1 << 22
 #: Pairs whose similarity is worked out exactly at once; of a step's pairs, one in so many at most is taken out before all are worked out exactly.
 PAIRS_AT_ONCE, FEW = 1 << 16, 16
+#: Pairs of keys that some_pair looks up before a step.
+KEYS_AT_ONCE = 1 << 16
 #: Rows of a group that diverse chooses from in one task.
 GROUP_AT_ONCE = 1 << 14
 
@@ -88,7 +90,7 @@ def _parts(count: Column, most: int, few: int = 8) -> Column:
     return F.greatest(F.lit(1), F.ceil(count / most), F.least(F.lit(few), F.ceil(count / 1024))).cast("int")
 
 
-def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vector: str, query_id: str, query_vector: str, value: str = "sim", block: str | None = None, part: Column | None = None, digits: int = 6, most: int | None = None, few: tuple[int, int] = (2, 16)) -> DataFrame:
+def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vector: str, query_id: str, query_vector: str, value: str = "sim", block: str | None = None, part: Column | None = None, digits: int = 6, most: int | None = None, few: tuple[int, int] = (2, 16), once: bool = False) -> DataFrame:
     """Columns of queries and rows but for the vectors, and value, of what choose takes of each tile; cosine, rounded.
 
     Rows and queries are dealt into parts by hash (queries by `part` if given), and each part of
@@ -97,6 +99,8 @@ def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vec
     block names a column of both; then only equal ones meet. Rows and queries without a
     vector are left out. A tile's rows lie in the order of their ids. few: up to so many
     parts of queries and of rows are made of what would fit one, for the sake of more tasks.
+    once: queries and rows are the same rows, by id, and of two parts only one meets the
+    other, so that each two rows meet in one order; needs most.
     """
     sides = []
     for df, name, vec, deal, usual, some in ((queries, query_id, query_vector, part, TILE_QUERIES, few[0]), (rows, row_id, vector, None, TILE_ROWS, few[1])):
@@ -118,9 +122,10 @@ def tiled(rows: DataFrame, queries: DataFrame, choose: Chooser, row_id: str, vec
         count = [s.agg(F.max("__parts").alias("__others")) for s in (met, asked)]
         asked, met = asked.crossJoin(F.broadcast(count[0])), met.crossJoin(F.broadcast(count[1]))
     each = F.explode(F.sequence(F.lit(0), F.col("__others") - 1))
+    from_own, to_own = F.explode(F.sequence(F.col("__own"), F.col("__others") - 1)), F.explode(F.sequence(F.lit(0), F.col("__own")))
     plain = [[c for c in df.columns if c not in (vec, *hidden)] for df, vec, hidden in ((queries, query_vector, ()), (rows, vector, keys))]
-    left = asked.select(*plain[0], "__x", F.col("__own").alias("__i"), each.alias("__j"), *[F.col(c).alias("__b") for c in keys])
-    right = met.select(*plain[1], "__x", each.alias("__i"), F.col("__own").alias("__j"), *[F.col(c).alias("__b") for c in keys])
+    left = asked.select(*plain[0], "__x", F.col("__own").alias("__i"), (from_own if once else each).alias("__j"), *[F.col(c).alias("__b") for c in keys])
+    right = met.select(*plain[1], "__x", (to_own if once else each).alias("__i"), F.col("__own").alias("__j"), *[F.col(c).alias("__b") for c in keys])
     fields = [queries.schema[c] for c in plain[0]] + [rows.schema[c] for c in plain[1]]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"`{value}` double"])
     out = [f.name for f in fields] + [value]
@@ -255,23 +260,44 @@ def count_rows(least: float) -> Chooser:
     return choose
 
 
-def some_pair(over: float, query_key: str, row_key: str) -> Chooser:
-    """One pair over `over` of each two keys, of query and row, that have one."""
+def some_pair(over: float, query_key: str, row_key: str, differ: bool = False) -> Chooser:
+    """One pair over `over` of each two keys, of query and row, that have one; differ: of each two different keys, in either order.
+
+    Queries come in the order of their keys, and rows whose keys have a pair with all keys
+    of a step are left out of it.
+    """
 
     def choose(t: Tile):
-        keys = [pd.factorize(x.column(c).to_pandas(), use_na_sentinel=False)[0].astype(np.int64) for x, c in ((t.queries, query_key), (t.rows, row_key))]
-        found, known = [], np.zeros(0, np.int64)
-        for queries, sims in t.steps(np.arange(len(t.queries)), np.arange(len(t.rows))):
-            i, j = _cells(sims > np.float32(over) - 2 * t.off)
-            i = queries[i]
-            pair = keys[0][i] * (len(t.rows) + 1) + keys[1][j]
-            new = np.flatnonzero(~np.isin(pair, known))
-            i, j, pair = i[new], j[new], pair[new]
-            v = t.exact(i, j)
-            i, j, v, pair = (x[v > over] for x in (i, j, v, pair))
-            pairs, first = np.unique(pair, return_index=True)
-            known = np.concatenate([known, pairs])
-            found.append((i[first], j[first], v[first]))
+        both = [x.column(c).to_pandas() for x, c in ((t.queries, query_key), (t.rows, row_key))]
+        if differ:
+            keys = np.split(pd.factorize(pd.concat(both), use_na_sentinel=False)[0].astype(np.int64), [len(t.queries)])
+        else:
+            keys = [pd.factorize(x, use_na_sentinel=False)[0].astype(np.int64) for x in both]
+        count = 1 + max(int(k.max(initial=-1)) for k in keys)
+        found, known, order = [], np.zeros(0, np.int64), np.argsort(keys[0], kind="stable")
+
+        def name(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return np.where(a == b, -1, np.minimum(a, b) * count + np.maximum(a, b)) if differ else a * count + b
+
+        step = max(1, TILE_STEP // max(1, len(t.rows)))
+        for at in range(0, len(order), step):
+            asked, rows = order[at : at + step], np.arange(len(t.rows))
+            own = np.unique(keys[0][asked])
+            if len(own) * count <= KEYS_AT_ONCE:
+                names = name(own[:, None], np.arange(count)[None])
+                left = (names >= 0) & ~np.isin(names, known)
+                rows = np.flatnonzero(left.any(axis=0)[keys[1]])
+            for queries, sims in t.steps(asked, rows):
+                i, j = _cells(sims > np.float32(over) - 2 * t.off)
+                i, j = queries[i], rows[j]
+                pair = name(keys[0][i], keys[1][j])
+                new = np.flatnonzero((pair >= 0) & ~np.isin(pair, known))
+                i, j, pair = i[new], j[new], pair[new]
+                v = t.exact(i, j)
+                i, j, v, pair = (x[v > over] for x in (i, j, v, pair))
+                pairs, first = np.unique(pair, return_index=True)
+                known = np.concatenate([known, pairs])
+                found.append((i[first], j[first], v[first]))
         return _together(found)
 
     return choose

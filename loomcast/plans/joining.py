@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomcast.functions.vectors import cosine
 from loomcast.operators import aggregates as A
 from loomcast.operators import joins as J
+from loomcast.operators.cluster import BLOCK_ROWS
 from loomcast.operators.fuzzy import best_matches, plain_title
 from loomcast.operators.search import some_pair, tiled
 from loomcast.operators.windows import top_per_group
@@ -260,12 +261,12 @@ def scalar_subquery(spark: SparkSession, d: str) -> DataFrame:
     return t.content.join(second, "content_id", "left").select("content_id", F.coalesce("l", F.lit(300.0)).alias("chunk"))
 
 
-@query("JON-32", "SELECT DISTINCT least(a.label, b.label) AS x, greatest(a.label, b.label) AS y FROM vec a JOIN vec b ON a.vec_id % 20 = 0 AND a.label <> b.label AND round(list_cosine_similarity(a.e, b.e), 6) > 0.3")
+@query("JON-32", "SELECT DISTINCT least(a.label, b.label) AS x, greatest(a.label, b.label) AS y FROM vec a JOIN vec b ON a.label <> b.label AND round(list_cosine_similarity(a.e, b.e), 6) > 0.3")
 def conflict_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Labels of a stated query set against all rows, in tiles."""
-    v = Tables(spark, d).vectors
-    asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("e").alias("qe"), F.col("label").alias("l"))
-    pairs = tiled(v, asked, some_pair(0.3, "l", "label"), "vec_id", "e", "query_id", "qe").where("l <> label")
+    """Pairs of labels with rows over 0.3 of each other, of all rows against all, in tiles; each two parts meet once."""
+    v = Tables(spark, d).vectors.where("label is not null")
+    asked = v.select(F.col("vec_id").alias("query_id"), F.col("e").alias("qe"), F.col("label").alias("l"))
+    pairs = tiled(v, asked, some_pair(0.3, "l", "label", differ=True), "vec_id", "e", "query_id", "qe", most=BLOCK_ROWS, once=True)
     return pairs.select(F.least("l", "label").alias("x"), F.greatest("l", "label").alias("y")).distinct()
 
 
