@@ -23,6 +23,8 @@ from loomcast.operators.windows import top_per_group
 TILE_TITLES, SMALL_TILE = 1024, 128
 #: Characters are told apart in so many classes; longer titles than so many words of 64 characters are bounded by their characters alone.
 CLASSES, WORDS = 64, 4
+#: Titles of more classes of size than so many are looked up by ranges of sizes.
+MANY = 32
 #: Cells of a matrix, and pairs, that are worked out at once.
 CELLS, PAIRS = 1 << 18, 1 << 14
 
@@ -58,6 +60,14 @@ def _common(a: _Titles, b: _Titles, i: np.ndarray, j: np.ndarray, n: int) -> np.
     """Lengths of the longest common subsequences of pairs whose first titles all have n characters."""
     left = [np.full(len(i), ~np.uint64(0)) for _ in range(-(-n // 64))]  # a zero bit: one more character in common
     line = i * (CLASSES + 1)
+    if len(left) == 1:
+        v, one, u = left[0], a.masks[0], np.empty_like(left[0])
+        for classes in b.places[: int(b.n[j].max())]:
+            np.bitwise_and(v, one[line + classes[j]], out=u)
+            s = v + u
+            v -= u
+            v |= s
+        return np.bitwise_count(~v & np.uint64((1 << n) - 1)).astype(int)
     for classes in b.places[: int(b.n[j].max())]:
         cell, carry = line + classes[j], np.uint64(0)
         for w, v in enumerate(left):
@@ -164,6 +174,9 @@ def title_pairs(left: DataFrame, right: DataFrame | None = None, ratio: float =
     first, second = first.withColumn("i", own("p")), second.withColumn("j", own("q"))
     first = first.select("key", "title", "g", "i", F.explode(F.sequence(F.col("i") if same else F.lit(0), F.col("q") - 1)).alias("j"))
     second = second.select("key", "title", "g", F.explode(F.sequence(F.lit(0), F.col("j") if same else F.col("p") - 1)).alias("i"), "j").toDF("key", "title", "g", "i", "j")  # names of its own
+    # Few bytes, but much work each: dealt to all tasks.
+    tasks = 4 * left.sparkSession.sparkContext.defaultParallelism
+    first, second = (x.repartition(tasks, "g", "i", "j") for x in (first, second))
     names = ["key", "a", "b", "ratio"]
 
     def run(tile: tuple, a: pa.Table, b: pa.Table) -> pa.Table:
@@ -187,22 +200,53 @@ def title_pairs(left: DataFrame, right: DataFrame | None = None, ratio: float =
     return first.groupBy("g", "i", "j").cogroup(second.groupBy("g", "i", "j")).applyInArrow(run, schema)
 
 
+def _alike(size: Column) -> Column:
+    """(level, node) of the ranges of sizes, each of 2 ** level whole numbers, that together are those within a tenth of size."""
+    width = F.floor(0.1 * size)
+    low, high = size - width, size + width + 1
+
+    def at(level: Column) -> Column:
+        length = F.pow(F.lit(2.0), level)
+        first, end = F.ceil(low / length), F.floor(high / length)
+        odd = lambda x: (first < end) & (F.pmod(x, F.lit(2)) == 1)
+        node = lambda x: F.struct(level.alias("level"), x.cast("long").alias("node"))
+        return F.array(F.when(odd(first), node(first)), F.when(odd(end), node(end - 1)))
+
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(31)), at)))
+
+
+def _ranges(size: Column) -> Column:
+    """(level, node) of the ranges that a size lies in, of the levels that _alike may ask for."""
+    most = F.floor(F.log2(0.23 * F.greatest(size, F.lit(0)) + 2)).cast("int")
+    node = lambda level: F.floor(size / F.pow(F.lit(2.0), level)).cast("long")
+    return F.transform(F.sequence(F.lit(0), most), lambda level: F.struct(level.alias("level"), node(level).alias("node")))
+
+
 def best_matches(rows: DataFrame, row_id: str, size: str, ratio: float = 0.75) -> DataFrame:
     """(row_id, other_id, score): of each row of (key, title, row_id, size) the best other row whose title matches.
 
     The score is the ratio, 0.15, 0.10 or 0.05 more for ids up to 7, 14 or 30 apart, and 0.1
     more for a size within a tenth of the row's; of equal ones the least id counts. Rows of one
-    title and size are one class with its two least ids, so copies don't meet each other
-    one by one; rows of near ids meet in blocks of ids.
+    title and size are one class with its two least ids, and titles of many classes have the two
+    least ids of ranges of sizes, so copies don't meet each other one by one; rows of near ids
+    meet in blocks of ids.
     """
-    rows = cut(rows.where(F.col("key").isNotNull() & F.col("title").isNotNull() & F.col(row_id).isNotNull()).select("key", "title", F.col(row_id).alias("id"), F.col(size).alias("n")))
+    rows = cut(rows.where(F.col("key").isNotNull() & F.col("title").isNotNull() & F.col(row_id).isNotNull()).select("key", "title", F.col(row_id).alias("id"), F.col(size).cast("long").alias("n")))
     found = cut(title_pairs(rows, ratio=ratio)).toDF("key", "title", "other_title", "ratio")
     others = rows.toDF("key", "other_title", "other_id", "other_n")
     alike = F.when(F.abs(F.col("n") - F.col("other_n")) <= 0.1 * F.col("n"), 0.1).otherwise(0.0)
     # Without the bonus of near ids, which can only add: a row's best two, as one may be the row itself.
-    classes = rows.select("key", "title", "n").distinct()
     held = top_per_group(others.distinct(), ["key", "other_title", "other_n"], [F.col("other_id")], 2)
-    met = classes.join(found, ["key", "title"]).join(held, ["key", "other_title"]).withColumn("score", F.round(F.col("ratio") + alike, 6))
+    held = cut(held.join(held.groupBy("key", "other_title").agg((F.count(F.lit(1)) > MANY).alias("many")), ["key", "other_title"]))
+    asked = rows.select("key", "title", "n").distinct().join(found, ["key", "title"])
+    few = asked.join(held.where("not many"), ["key", "other_title"]).withColumn("score", F.round(F.col("ratio") + alike, 6))
+    whole = F.array(F.struct(F.lit(-1).alias("level"), F.lit(0).cast("long").alias("node")))  # all sizes
+    of = lambda ranges: F.explode(F.concat(whole, F.coalesce(ranges, F.slice(whole, 1, 0)))).alias("r")
+    many = held.where("many").select("key", "other_title", "other_id", of(_ranges(F.col("other_n")))).distinct()
+    many = top_per_group(many, ["key", "other_title", "r"], [F.col("other_id")], 2)
+    some = asked.join(held.where("many").select("key", "other_title").distinct(), ["key", "other_title"]).select("*", of(_alike(F.col("n"))))
+    some = some.join(many, ["key", "other_title", "r"]).withColumn("score", F.round(F.col("ratio") + F.when(F.col("r.level") >= 0, 0.1).otherwise(0.0), 6))
+    met = few.select("key", "title", "n", "other_id", "score").unionByName(some.select("key", "title", "n", "other_id", "score"))
     met = met.groupBy("key", "title", "n", "other_id").agg(F.max("score").alias("score"))
     two = top_per_group(met, ["key", "title", "n"], [F.col("score").desc(), F.col("other_id")], 2)
     far = rows.join(two.withColumnRenamed("n", "m"), ["key", "title"]).where(F.col("n").eqNullSafe(F.col("m")))

@@ -51,7 +51,9 @@ def test_parts_meet_whole(spark, monkeypatch):
     assert sorted(map(tuple, Z.title_pairs(df, df).collect())) == want
 
 
-def test_best_matches(spark):
+@pytest.mark.parametrize("many", [1, 32])
+def test_best_matches(spark, monkeypatch, many):
+    monkeypatch.setattr(Z, "MANY", many)
     rng = random.Random(4)
     bases = ["a day at the races", "a day at the race", "nights at the opera", "night at the opera", "alone"]
     rows = [(rng.randrange(2), rng.choice(bases), i * rng.choice((1, 3)), rng.choice((100, 105, 109, 111, 150, 0))) for i in range(150)]
@@ -79,3 +81,13 @@ def test_copies_dont_meet_one_by_one(spark):
     for k in range(min(40, stages.size())):
         largest = max(largest, stages.apply(k).shuffleReadRecords())
     assert largest < 50_000
+
+
+def test_copies_of_many_sizes_dont_meet_one_by_one(spark):
+    rows = spark.range(3000).selectExpr("0 key", "'the same title' title", "id * 40 i", "id + 1 n")
+    got = {r.i: (r.other_id, r.score) for r in Z.best_matches(rows, "i", "n").collect()}
+    for k in (0, 1, 15, 800, 2999):
+        other = min(j for j in range(3000) if j != k and (abs(j - k) <= 0.1 * (k + 1) or k < 10))
+        assert got[40 * k] == (40 * other, 1.1 if abs(other - k) <= 0.1 * (k + 1) else 1.0)
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+    assert max(stages.apply(k).shuffleReadRecords() for k in range(min(40, stages.size()))) < 300_000  # of 9 million
