@@ -28,6 +28,8 @@ BANDS, ROWS = 24, 5
 SHINGLES_AT_ONCE = 1 << 12
 #: Components of up to so many classes are compared class by class at once.
 FEW = 3
+#: Shingles of the classes of a side of a task that holds classes against a component.
+SHINGLES_A_PART = 1 << 19
 #: A set's sketch counts its shingles by their first byte; larger counts than a byte holds have no sketch.
 BINS = 256
 _RNG = np.random.default_rng(42)
@@ -146,14 +148,56 @@ def _prefixes(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]
     return first(2 * similarity / (1 + similarity)), first(similarity)
 
 
-def _between(sets: DataFrame, index: DataFrame, probe: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of classes of different components that may be similar; no similar pair of such is left out.
+def _one_of(asked: DataFrame, members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): for each asked (q, big) one class of members (cls, big) that is similar to class q, if there is one.
+
+    Classes and members are dealt into parts of about SHINGLES_A_PART shingles by hash; two
+    parts meet in a task, which counts what each class shares with all members at once and
+    yields one of the similar ones, so that pairs are no rows. All members of a big one are
+    linked to each other already.
+    """
+    parts = F.greatest(F.lit(1), F.ceil(F.sum("n") / SHINGLES_A_PART)).cast("int")
+    left = asked.join(sets.select(F.col("cls").alias("q"), "n", "s"), "q")
+    right = members.join(asked.select("big").distinct(), "big", "left_semi").join(sets.select("cls", "n", "s"), "cls")
+    sizes = cut(asked.join(sets.select(F.col("cls").alias("q"), "n"), "q").groupBy("big").agg(parts.alias("asked_parts")).join(members.join(sets.select("cls", "n"), "cls").groupBy("big").agg(parts.alias("parts")), "big"))
+    own = lambda name, count: F.pmod(F.xxhash64(name), F.col(count)).cast("int")
+    all_of = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    left = left.join(sizes, "big").select("big", F.col("q").alias("cls"), "s", own("q", "asked_parts").alias("i"), all_of("parts").alias("j"))
+    right = right.join(sizes, "big").select("big", "cls", "s", all_of("asked_parts").alias("i"), own("cls", "parts").alias("j")).toDF("big", "cls", "s", "i", "j")  # names of its own
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        found = []
+        if len(a) and len(b):
+            held = b.column("s").combine_chunks()
+            lengths = held.value_lengths().to_numpy(zero_copy_only=False)
+            values = held.flatten().to_numpy(zero_copy_only=False)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], np.repeat(np.arange(len(lengths)), lengths)[order]
+            ids = b.column("cls").to_numpy()
+            for q, s in zip(a.column("cls").to_pylist(), a.column("s"), strict=True):
+                own = s.values.to_numpy(zero_copy_only=False)
+                low = np.searchsorted(values, own)
+                many = np.searchsorted(values, own, side="right") - low
+                at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())  # the places of what they share
+                shared = np.bincount(owner[at], minlength=len(lengths))
+                hit = np.flatnonzero(shared / (len(own) + lengths - shared) >= similarity)
+                if len(hit):
+                    found.append(sorted((q, int(ids[hit[0]]))))
+        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return left.groupBy("big", "i", "j").cogroup(right.groupBy("big", "i", "j")).applyInArrow(run, "a long, b long")
+
+
+def _between(sets: DataFrame, index: DataFrame, probe: DataFrame, found: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of classes of different components that may be similar, and pairs that are; with these all such components meet that have a similar pair.
 
     Components that share a key of _prefixes meet once. Each class of the one with fewer
     classes is then held against all shingles of the other together: a class of m shingles
     has at least t / (1 + t) (n + m) in common with a similar one of n, so a class that
     shares fewer with the whole component is similar to none of it, and a large component
-    isn't compared class by class with what lies just outside it.
+    isn't compared class by class with what lies just outside it. What isn't ruled out by
+    that meets the component's classes in tasks (_one_of); with components of at most FEW
+    classes it is paired.
     """
     t = similarity
     where = sets.select("cls", F.size("s").alias("n")).join(found, "cls", "left").select("cls", "n", F.coalesce("component", "cls").alias("of"))
@@ -172,10 +216,11 @@ def _between(sets: DataFrame, index: DataFrame, probe: DataFrame, found: DataFra
     whole = where.join(large.select(F.col("big").alias("of")).distinct(), "of", "left_semi").join(sets, "cls").select(F.col("of").alias("big"), F.explode("s").alias("key")).distinct()
     own = large.join(sets.select(F.col("cls").alias("q"), "s"), "q").select("q", "n", "big", "lo", F.explode("s").alias("key"))
     shared = own.join(whole, ["big", "key"]).groupBy("q", "n", "big", "lo").agg(F.count(F.lit(1)).alias("c"))
-    able = shared.where(F.col("c") >= t / (1 + t) * (F.col("n") + F.greatest(t * F.col("n"), "lo")) - 1e-9).select("q", "n", "big")
-    able = able.unionByName(asked.where(F.col("k") <= FEW).select("q", "n", "big"))
-    pairs = able.join(where.toDF("m", "nm", "big"), "big").where((F.col("nm") >= t * F.col("n")) & (t * F.col("nm") <= F.col("n")))
-    return pairs.select(F.least("q", "m").alias("a"), F.greatest("q", "m").alias("b")).distinct()
+    able = shared.where(F.col("c") >= t / (1 + t) * (F.col("n") + F.greatest(t * F.col("n"), "lo")) - 1e-9).select("q", "big")
+    links = cut(_one_of(cut(able), where.select("cls", F.col("of").alias("big")), sets, t).distinct())
+    few = asked.where(F.col("k") <= FEW).select("q", "n", "big")
+    pairs = few.join(where.toDF("m", "nm", "big"), "big").where((F.col("nm") >= t * F.col("n")) & (t * F.col("nm") <= F.col("n")))
+    return pairs.select(F.least("q", "m").alias("a"), F.greatest("q", "m").alias("b")).distinct(), links
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
@@ -222,8 +267,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity:
     second = similar(probe.join(heads, "key").where(F.struct("n", "cls") > F.col("h")).select(F.col("h.cls").alias("a"), F.col("cls").alias("b")).distinct())
     found = cut(components(first.unionByName(second)).withColumnRenamed("node", "cls"))
     let_go(docs.sparkSession)
-    rest = _between(sets.join(some, "cls", "left_semi"), index, probe, found, similarity)
-    linked = components(first.unionByName(second).unionByName(similar(rest))).withColumnRenamed("node", "cls")
+    rest, links = _between(sets.join(some, "cls", "left_semi"), index, probe, found, similarity)
+    linked = components(first.unionByName(second).unionByName(similar(rest)).unionByName(links)).withColumnRenamed("node", "cls")
     let_go(docs.sparkSession)
     of = classes.join(linked, "cls", "left").select("cls", "least_id", F.coalesce("component", "cls").alias("grp"))
     least = of.groupBy("grp").agg(F.min("least_id").alias("least"))
